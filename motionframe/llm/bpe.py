@@ -92,8 +92,16 @@ def encoder(path: str) -> Encoder:
     return Encoder(encode)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, ids): ids of the whole text, as little-endian unsigned 32-bit integers in one binary value.
+def joined(token: list[bytes], ids: np.ndarray) -> bytes:
+    """The bytes that ids stand for."""
+    return b"".join(map(token.__getitem__, ids.tolist()))
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """(id_col, ids[, decoded]): ids of the whole text, as little-endian unsigned 32-bit integers in one binary value.
+
+    With decoded, the ids are also turned back into bytes, as decode() does, in
+    the same pass.
 
     path is that of a rank file, which every executor can read.  A null text
     counts as empty and has no ids.  Other columns are left out; repeated rows
@@ -101,23 +109,25 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoded = encoder(path)
-        for batch in slices(batches):
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            ids = [x.astype("<u4").tobytes() for x in encoded.batch(texts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+        encoded, token = encoder(path), read_ranks(path) if decoded else []
+        for batch in slices(batches, 2 << 20):
+            ids = [x.astype("<u4") for x in encoded.batch([x or "" for x in batch.column(1).to_pylist()])]
+            out = {"id": batch.column(0), "ids": pa.array([x.tobytes() for x in ids], pa.binary())}
+            if decoded:
+                out["decoded"] = pa.array([joined(token, x) for x in ids], pa.binary())
+            yield pa.RecordBatch.from_pydict(out)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, ids binary").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, ids binary" + ", decoded binary" * decoded).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id_col, ids_col, decoded): the bytes that the ids stand for.  Null ids have null bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = read_ranks(path).__getitem__
+        token = read_ranks(path)
         for batch in slices(batches):
-            raw = [None if x is None else b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in batch.column(1).to_pylist()]
+            raw = [None if x is None else joined(token, np.frombuffer(x, "<u4")) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], ["id", "ids", "decoded"])
 
     kind = encoded.schema[id_col].dataType.simpleString()

@@ -21,9 +21,9 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 #: Characters handled at once; a longer text is handled alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Distinct pre-tokens that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 # The white space of the Unicode standard (property White_Space).
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 

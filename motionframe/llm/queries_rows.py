@@ -27,7 +27,7 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_multi_50k.tiktoken")
-    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    both = bpe.encode(table(spark, sf_dir, "documents"), path, decoded=True)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import queries_dedup, queries_rows
+from . import queries_dedup, queries_rows, queries_scores
 
-MODULES = (queries_dedup, queries_rows)
+MODULES = (queries_dedup, queries_rows, queries_scores)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}

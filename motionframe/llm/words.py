@@ -13,8 +13,8 @@ import pyarrow as pa
 
 U = np.uint64
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE_BYTES = np.zeros(256, bool)
+SPACE_BYTES[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes hashed in one go; a longer text gets its own, larger tables.
@@ -56,7 +56,7 @@ class Hasher:
 
     def _chunk(self, data: np.ndarray, starts_of_texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, start and end of each word; texts are cut at starts_of_texts."""
-        inside = ~_SPACE[data]
+        inside = ~SPACE_BYTES[data]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         cut = starts_of_texts[(starts_of_texts > 0) & (starts_of_texts < len(data))]
