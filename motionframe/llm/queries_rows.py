@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, media, packing
-from .frames import table
+from .frames import table, written
 
 
 def vocabulary(name: str) -> str:
@@ -16,7 +16,8 @@ def vocabulary(name: str) -> str:
 
 
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = media.probe(media.store(table(spark, sf_dir, "documents")), payload=True)
+    stored = written(media.store(table(spark, sf_dir, "documents")))
+    found = media.probe(stored, payload=True)
     key = F.col("keyframe_ranges")
     feature = F.concat_ws("|", "codec", "timescale", F.format_string("%.3f", "duration_s"), "n_samples", F.size(key), F.concat_ws("-", key[0]["start"], key[0]["end"]))
     return found.select(
