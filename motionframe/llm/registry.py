@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import queries_dedup, queries_rows, queries_scores
+from . import queries_dedup, queries_rows, queries_scores, queries_texts
 
-MODULES = (queries_dedup, queries_rows, queries_scores)
+MODULES = (queries_dedup, queries_rows, queries_scores, queries_texts)
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}
