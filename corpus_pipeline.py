@@ -1,11 +1,59 @@
-"""The corpus pipeline: documents in, packed training rows out."""
+"""The corpus pipeline: documents in, rows of packed token sequences out.
 
-STAGES: list = []
+Each stage takes what its predecessor kept, written as Parquet and read again.
+All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from motionframe.llm import neardup, packing, pii, quality, substrings
+from motionframe.llm.frames import table, written
+from motionframe.llm.queries_rows import vocabulary
+from motionframe.llm.queries_texts import KEY
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Two documents are near duplicates from this share of common runs of five words, in percent.
+PERCENT = 80
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the preference model, fitted on the labelled ones, doesn't reject."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs.select(*COLUMNS), model).where("predicted = 1").select(*COLUMNS)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each group of near duplicates."""
+    gone = written(neardup.near_duplicates(docs, percent=PERCENT).where("not kept").select("doc_id"))
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that stand in an earlier one."""
+    rest = substrings.remove(docs, carry=("lang", "source"), untouched=True).withColumnRenamed("kept", "text")
+    return rest.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with surrogates for personal data and secrets."""
+    return pii.pseudonymise(docs.select(*COLUMNS), KEY).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 1024 tokens."""
+    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"))
+
+
+STAGES = [("quality", quality_stage), ("near duplicates", near_duplicate_stage), ("substrings", substring_stage), ("surrogates", private_stage), ("packing", packing_stage)]
+#: No SQL: the model, the surrogates and the packing aren't SQL's to express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -101,9 +101,9 @@ def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     return docs.select("id", "text", "v", "anchors").mapInArrow(run, f"tail bigint, head bigint, id {kind}, v int, place int")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).bitwiseAND(0x7FFF).cast("int").alias("v"))
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).bitwiseAND(0x7FFF).cast("int").alias("v"), F.struct(*carry, F.lit(0).alias("_")).alias("carried"))
 
 
 def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,18 +134,18 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
     ).drop("_run")
 
 
-def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
-    """(id_col, n_words, n_removed, kept): each document without the words that repeated windows cover.
+def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, carry: tuple[str, ...] = (), untouched: bool = False) -> DataFrame:
+    """(id_col, n_words, n_removed, kept, *carry): each document without the words that repeated windows cover.
 
     A word goes if it lies in a window of `window` words that also starts in a
     document of smaller id; windows are judged on the input.  Words are runs of
-    anything but ASCII white space, and kept ones are joined by one blank.  If
-    nothing goes from a text, kept is still its words joined by one blank.  With
+    anything but ASCII white space, and kept ones are joined by one blank;
+    with untouched, a text from which nothing goes is kept as it is.  With
     digest, kept_sha256 (lower-case hex) stands for kept.  A null text has no
     words; a document with a null id is compared with none; documents of one id
-    are not compared with each other.  Other columns are left out.
+    are not compared with each other.  Of other columns, those in carry are kept.
     """
-    keyed = _keyed(docs, id_col, text_col)
+    keyed = _keyed(docs, id_col, text_col, carry)
     cut = spans(docs, window, anchor, id_col, text_col).groupBy("id").agg(F.collect_list(F.struct("v", "start", "n_windows", "tail", "head")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,14 +174,17 @@ def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col:
             kept = []
             for k in range(batch.num_rows):
                 lo, hi = firsts[k], firsts[k + 1]
+                if left[k] == total[k] and untouched:
+                    kept.append(batch.column(1)[k].as_py())
+                    continue
                 if left[k] == total[k]:
                     joined = b" ".join(raw[begin[lo] : end[hi - 1]].split()) if hi > lo else b""
                 else:
                     mine = np.flatnonzero(stays[lo:hi]) + lo
                     joined = b" ".join(raw[a:b] for a, b in zip(begin[mine].tolist(), end[mine].tolist(), strict=True))
                 kept.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(total - left), pa.array(kept, pa.string())], ["id", "n_words", "n_removed", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(total - left), pa.array(kept, pa.string()), batch.column(4)], ["id", "n_words", "n_removed", "kept", "carried"])
 
-    kind = keyed.schema["id"].dataType.simpleString()
-    out = keyed.join(cut, "id", "left").select("id", "text", "v", "spans").mapInArrow(run, f"id {kind}, n_words bigint, n_removed bigint, kept string")
-    return out.withColumnsRenamed({"id": id_col, "kept": "kept_sha256" if digest else "kept"})
+    kind, carried = (keyed.schema[c].dataType.simpleString() for c in ("id", "carried"))
+    out = keyed.join(cut, "id", "left").select("id", "text", "v", "spans", "carried").mapInArrow(run, f"id {kind}, n_words bigint, n_removed bigint, kept string, carried {carried}")
+    return out.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_sha256" if digest else "kept"), *(F.col("carried")[c].alias(c) for c in carry))
