@@ -35,4 +35,5 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or shared_dir(spark)
     df.write.mode("overwrite").parquet(path)
+    spark.sparkContext._jvm.System.gc()  # the context removes shuffle files of plans that are garbage, once they are collected
     return spark.read.schema(df.schema).parquet(path)

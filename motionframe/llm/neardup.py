@@ -1,10 +1,10 @@
 """Near duplicates by min-max hashing: both ends of every permutation are kept, so half as many hashes are needed.
 
-Documents with equal shingle sets are one class from the start.  Classes that
-agree in a band of the signature are compared on their full sets, each with the
-pivots of its bucket: first with the least id, then, in buckets that still hold
-more than one component, with more and more pivots, until no pair of a bucket
-that could join two components is left.
+Documents with equal shingle sets are one node.  Nodes that agree in a band of
+the signature share a bucket.  Each is compared on its full set with the least
+node of its buckets.  Where a bucket then still holds several components, no
+pair that could join two of them may be lost, nor may all pairs be listed: a
+prefix filter leaves the few that can reach the threshold at all.
 """
 
 from __future__ import annotations
@@ -22,8 +22,6 @@ from .words import Hasher, U, mix, runs
 SHINGLE = 5
 PERMUTATIONS = 48
 ROWS = 4
-#: Pivots of a bucket after each round.
-GROWTH = 4
 #: Sets that are compared with one pivot's in one group.
 GROUP = 64
 
@@ -46,6 +44,16 @@ def families(n: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
 
 
+def fingerprint(sets: list[np.ndarray], k: int) -> np.ndarray:
+    """The k-th 64-bit fingerprint of each set, whatever the order of its items; 0 of an empty one."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    out = np.zeros(len(sets), U)
+    if sizes.sum():
+        full = sizes > 0
+        out[full] = np.add.reduceat(mix(np.concatenate(sets) ^ U(0xA5A5 + k)), (np.cumsum(sizes) - sizes)[full])
+    return out
+
+
 def signatures(docs: DataFrame, shingle: int, permutations: int, rows: int) -> DataFrame:
     """(id, n_shingles, f1, f2, bands): set size, two 64-bit fingerprints of the set, one key a band (none for an empty set)."""
 
@@ -57,12 +65,10 @@ def signatures(docs: DataFrame, shingle: int, permutations: int, rows: int) -> D
             sizes = np.fromiter(map(len, sets), np.int64, len(sets))
             full = sizes > 0
             bands = np.zeros((len(sets), 2 * permutations // rows), U)
-            prints = np.zeros((2, len(sets)), U)
+            prints = [fingerprint(sets, k) for k in range(2)]
             if full.any():
                 flat = np.concatenate(sets)
                 at = (np.cumsum(sizes) - sizes)[full]
-                for k in range(2):
-                    prints[k, full] = np.add.reduceat(mix(flat ^ U(0xA5A5 + k)), at)
                 ends = np.empty((int(full.sum()), 2 * permutations), U)
                 for p, factor in enumerate(factors):
                     value = flat * factor
@@ -81,55 +87,87 @@ def signatures(docs: DataFrame, shingle: int, permutations: int, rows: int) -> D
     return docs.select("id", "text").mapInArrow(run, f"id {kind}, n_shingles bigint, f1 bigint, f2 bigint, bands array<bigint>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose whole sets have 100 * intersection >= percent * union.
-
-    Each b's set goes to a's in groups of at most about GROUP, so a pivot with
-    many partners is dealt over many groups.
-    """
-    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("_groups"))
-    dealt = pairs.join(counts, "a").withColumn("_group", F.pmod(F.xxhash64("b"), F.col("_groups")).cast("int"))
-    left = counts.select("a", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("_group")).select("a", "_group", F.col("a").alias("id"), F.lit(True).alias("pivot"))
-    asked = left.unionByName(dealt.select("a", "_group", F.col("b").alias("id"), F.lit(False).alias("pivot")))
-    places = asked.groupBy("id").agg(F.collect_list(F.struct("a", "_group", "pivot")).alias("places"))
-    kind = docs.schema["id"].dataType.simpleString()
+def set_table(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """(node, items): the sorted distinct shingle hashes of the nodes(id, node)."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(lower=True)
         for batch in slices(batches):
             words, _, _, firsts, _ = hasher.batch(batch.column(1))
-            lists = batch.column(2)
-            part, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy())
-            at = np.repeat(np.arange(batch.num_rows), sizes)
-            found = [x.tobytes() for x in shingle_sets(words, firsts, shingle)]
-            for lo in range(0, len(at), 256):  # a text may have many places
-                hi = min(lo + 256, len(at))
-                yield pa.RecordBatch.from_arrays([*(part.field(k).slice(lo, hi - lo) for k in range(3)), batch.column(0).take(pa.array(at[lo:hi])), pa.array([found[k] for k in at[lo:hi]], pa.binary())], ["a", "_group", "pivot", "id", "items"])
+            sets = shingle_sets(words, firsts, shingle)
+            flat = np.concatenate(sets) if sets else np.zeros(0, U)
+            offsets = np.append(0, np.cumsum([len(x) for x in sets])).astype(np.int32)
+            f1, f2 = (pa.array(fingerprint(sets, k).view(np.int64)) for k in range(2))
+            yield pa.RecordBatch.from_arrays([batch.column(0), f1, f2, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))], ["id", "f1", "f2", "items"])
+
+    kind = docs.schema["id"].dataType.simpleString()
+    # whatever the sizes, texts are joined the same way, by their ids
+    texts = docs.select("id", "text").join(nodes.select("id").distinct().hint("merge"), "id").mapInArrow(run, f"id {kind}, f1 bigint, f2 bigint, items array<bigint>")
+    return texts.join(nodes, ["id", "f1", "f2"]).select("node", "items").dropDuplicates(["node"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) of nodes whose whole sets have 100 * intersection >= percent * union.
 
-    each = docs.select("id", "text").join(places, "id").mapInArrow(sets, f"a {kind}, _group int, pivot boolean, id {kind}, items binary")
+    A node's partners are compared with it in groups of about GROUP, so that one
+    with many is dealt over many groups.
+    """
+    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("_groups"))
+    dealt = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("_groups")).cast("int").alias("_group"), F.col("b").alias("node"), F.lit(False).alias("pivot"))
+    heads = counts.select("a", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("_group")).select("a", "_group", F.col("a").alias("node"), F.lit(True).alias("pivot"))
+    each = heads.unionByName(dealt).join(sets.hint("merge"), "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot = None
         for batch in slices(batches):
-            a, b, items, is_pivot = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "id", "items", "pivot"))
             keep = []
-            for k, (raw, first) in enumerate(zip(items, is_pivot.to_pylist(), strict=True)):
-                mine = np.frombuffer(raw.as_buffer(), U)
+            flat, ends = batch.column(4).flatten().to_numpy(), batch.column(4).offsets.to_numpy()
+            ends = ends - ends[0]
+            for k, first in enumerate(batch.column(3).to_pylist()):
+                mine = flat[ends[k] : ends[k + 1]].view(U)
                 if first:  # the rows of a group come pivot first
                     pivot = mine.copy()
                     continue
-                both = np.searchsorted(pivot, mine)
-                same = int((pivot[np.minimum(both, len(pivot) - 1)] == mine).sum())
+                at = np.searchsorted(pivot, mine)
+                same = int((pivot[np.minimum(at, len(pivot) - 1)] == mine).sum())
                 if 100 * same >= percent * (len(pivot) + len(mine) - same):
                     keep.append(k)
             take = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([a.take(take), b.take(take)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take)], ["a", "b"])
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = each.repartition(n, "a", "_group").sortWithinPartitions("a", "_group", F.desc("pivot"))
+    n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = each.select("a", "_group", "node", "pivot", "items").repartition(n, "a", "_group").sortWithinPartitions("a", "_group", F.desc("pivot"))
+    kind = pairs.schema["a"].dataType.simpleString()
     return ordered.mapInArrow(compare, f"a {kind}, b {kind}")
 
 
+def possible(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes(node, component) of two components that may reach the threshold; all that do are among them.
+
+    A set whose items seen in other sets are too few can't reach it.  Of those
+    left, two that do share an item among the rarest of each, as many as may be
+    missing and one more; and neither shares more items than are seen elsewhere.
+    """
+    item = written(sets.join(nodes, "node").select("node", "component", F.size("items").alias("n"), F.explode("items").alias("sh")))
+    for _ in range(2):
+        often = item.groupBy("sh").agg(F.count("*").alias("df")).where("df > 1")
+        hit = item.drop("df", "core").join(often, "sh")
+        core = hit.groupBy("node").agg(F.count("*").alias("core")).where("core > 0")
+        kept = hit.join(core, "node").where(f"100 * core >= {percent} * n")
+        item = written(kept)
+    # how many of an item's first places its own rare items, which no other set has, take up
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "sh"))
+    reach = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("core"))
+    front = item.withColumn("_r", rank).where(F.col("_r") <= reach)
+    front = written(front.groupBy("node", "component", "n", "core").agg(F.collect_list("sh").alias("front")))
+    row = front.withColumn("sh", F.explode("front"))
+    a, b = row.alias("a"), row.select(*(F.col(c).alias(c + "2") for c in row.columns)).alias("b")
+    least = F.least("core", "core2")
+    may = (F.col("sh") == F.col("sh2")) & (F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2")) & (100 * least >= percent * (F.col("n") + F.col("n2") - least))
+    once = F.array_min(F.array_intersect("front", "front2")) == F.col("sh")  # a pair comes from one of the items that it shares
+    return a.join(b, may & once).select(F.col("node").alias("a"), F.col("node2").alias("b"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the least id that each end of the edges (a, b) reaches.  Alternates large and small stars until they stand."""
     now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
@@ -161,30 +199,31 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE,
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     base = written(signatures(docs, shingle, permutations, rows))
     useful = base.where("id is not null and n_shingles > 0")
-    classes = useful.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("rep"))
-    member = useful.join(classes, ["f1", "f2", "n_shingles"]).select("id", "rep")
-    bucket = useful.join(classes.select("rep", "f1", "f2").distinct(), (F.col("id") == F.col("rep")) & (useful["f1"] == classes["f1"]) & (useful["f2"] == classes["f2"]), "left_semi").select("id", F.explode("bands").alias("key")).distinct()
-    shared = bucket.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("_n")).where("_n > 1")
-    bucket = written(bucket.join(shared, "key").select("key", "id", "a"))
-    reps = docs.where("id is not null")
-    same_id = member.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    pairs = written(bucket.where("a <> id").select("a", F.col("id").alias("b")).distinct())
-    tested, edges, pivots = pairs, None, 1
-    while True:
-        more = verified(pairs, reps, shingle, percent)
-        edges = written(more if edges is None else edges.unionByName(more))
-        found = written(components(edges))
-        label = bucket.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        mixed = label.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.count("*").alias("_n")).where(f"_a <> _b and _n > {pivots}").select("key")
-        open_ = written(label.join(mixed, "key"))
-        if open_.isEmpty():
-            break
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        upto = pivots * GROWTH
-        pivot = open_.withColumn("_rank", rank).where(F.col("_rank") <= upto).where(F.col("_rank") > pivots).select("key", F.col("id").alias("p"), F.col("component").alias("pc"))
-        asked = open_.join(pivot, "key").where("component <> pc").select(F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b")).distinct()
-        pairs = written(asked.join(tested, ["a", "b"], "left_anti"))
-        tested, pivots = tested.unionByName(pairs), upto
-    linked = components(edges.unionByName(same_id))
-    out = base.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    classes = useful.groupBy("f1", "f2").agg(F.min("id").alias("rep"))
+    # a node is known by the least id of its documents, or, if that is of several nodes, by a hash
+    twice = classes.groupBy("rep").count().where("count > 1").select("rep", F.lit(True).alias("_twice"))
+    number = F.when(F.col("_twice"), F.xxhash64("f1", "f2")).otherwise(F.col("rep"))
+    node = written(classes.join(twice, "rep", "left").select("f1", "f2", "rep", number.alias("node")))
+    member = written(useful.join(node, ["f1", "f2"]).select("id", "node"))
+    one = useful.join(node, ["f1", "f2"]).where("id = rep")
+    bucket = one.select("node", F.explode("bands").alias("key")).distinct()
+    shared = bucket.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    bucket = written(bucket.join(shared, "key"))
+    near = bucket.select("node").distinct().join(node, "node").select(F.col("rep").alias("id"), "f1", "f2", "node")
+    sets = written(set_table(docs, near, shingle))
+    edges = written(verified(bucket.where("a <> node").select("a", F.col("node").alias("b")).distinct(), sets, percent))
+    found = written(components(edges))
+    label = bucket.join(found.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    mixed = label.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b").select("key")
+    open_ = written(label.join(mixed, "key").select("node", "component").distinct())
+    if not open_.isEmpty():
+        edges = written(edges.unionByName(verified(possible(open_, sets, percent), sets, percent)))
+    first = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("id", "a")
+    same_id = member.join(first, "id").where("a <> node").select("a", F.col("node").alias("b"))
+    root = components(edges.unionByName(same_id)).withColumnRenamed("id", "node")
+    rooted = written(node.join(root, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("root")))
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component"))
+    of_node = rooted.join(least, "root").select("node", "component")
+    of_id = member.join(of_node, "node").groupBy("id").agg(F.min("component").alias("component"))
+    out = base.join(of_id, "id", "left").withColumn("component", F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))

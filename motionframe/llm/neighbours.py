@@ -108,7 +108,7 @@ def descend(graph: DataFrame, vectors: DataFrame, blocks: int, p: Params, seed:
     edge = written(forward.unionByName(_reverse(graph, p.reverse, seed)).withColumn("p", _block_of(F.col("w"), blocks)).groupBy("p", "w", "c").agg(F.max("fresh").alias("fresh")))
     bound = graph.select("id", F.when(F.size("sims") < p.degree, F.lit(-float("inf"))).otherwise(F.array_min("sims")).cast("float").alias("bound"))
     known = vectors.join(bound, "id")
-    need = edge.select("p", F.col("c").alias("id")).distinct().join(known, "id").select("p", "id", "vec", "bound")
+    need = edge.select(F.col("p").alias("p"), F.col("c").alias("id")).distinct().join(known, "id").select("p", "id", "vec", "bound")
 
     def local(key: tuple, edges: pa.Table, vecs: pa.Table) -> pa.Table:
         ids, x, least = vecs["id"].to_numpy(), _matrix(vecs["vec"], np.float32), vecs["bound"].to_numpy()
