@@ -85,7 +85,8 @@ def templates(urls: DataFrame, p: TreeParams) -> DataFrame:
         strong = child.where((F.col("n") >= p.min_support) & (F.col("m") >= p.min_labelled))
         apart = strong.join(whole, ["host", "template"]).where(z >= p.min_z).select("host", "template", "_s", F.lit(True).alias("_apart"))
         name = F.when(F.col("_s").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.when(F.col("_apart"), F.col("_s")).otherwise(F.lit(WILD))))
-        now = now.join(apart, ["host", "template", "_s"], "left").withColumn("template", F.concat("template", name)).drop("_apart")
+        # written at each level, as the next one reads it twice
+        now = written(now.join(apart, ["host", "template", "_s"], "left").withColumn("template", F.concat("template", name)).drop("_apart"))
     return now.withColumn("template", F.when(F.col("_size") > p.depth, F.concat("template", F.lit("/" + WILD))).otherwise(F.col("template"))).drop("_seg", "_size", "_s")
 
 
@@ -103,7 +104,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], p: TreeParams
     p = p or TreeParams()
     bad = labels.where(F.col("bad").isin(0, 1)).groupBy(F.col(id_col).alias("key")).agg(F.max("bad").cast("int").alias("bad"))
     base = pages.select(F.col(id_col).alias("key"), F.col(url_col).cast("string").alias("url")).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}).drop("url")
-    tree = written(templates(base.join(bad, "key", "left"), p))
+    tree = templates(base.join(bad, "key", "left"), p)
     share = tree.groupBy("host", "template").agg(F.count("bad").alias("m"), F.sum("bad").alias("b")).na.fill(0, ["b"])
     total = share.agg(F.sum("m").alias("_m"), F.sum("b").alias("_b"))
     prior = F.coalesce(1 - F.col("_b") / F.nullif(F.col("_m"), F.lit(0)), F.lit(1.0))
