@@ -24,6 +24,8 @@ from .frames import slices, written
 from .words import Hasher, U, runs, starts_inside
 
 WINDOW = 13
+#: In place of a number of windows: all that the text has.
+WHOLE = -1
 ANCHOR = 5
 
 
@@ -51,7 +53,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(anchor, id) of every document, each pair once."""
+    """(anchor, print) of every text, each pair once a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -64,10 +66,9 @@ def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             text, value = text[order], value[order]
             new = np.ones(len(text), bool)
             new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
-            yield pa.RecordBatch.from_arrays([_signed(value[new]), batch.column(0).take(pa.array(text[new]))], ["anchor", "id"])
+            yield pa.RecordBatch.from_arrays([_signed(value[new]), batch.column(0).take(pa.array(text[new]))], ["anchor", "print"])
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"anchor bigint, id {kind}").where("id is not null")
+    return docs.where("id is not null").select("print", "text").mapInArrow(run, "anchor bigint, print bigint")
 
 
 def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -103,7 +104,15 @@ def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).bitwiseAND(0x7FFF).cast("int").alias("v"), F.struct(*carry, F.lit(0).alias("_")).alias("carried"))
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"), F.xxhash64(text).bitwiseAND(0x7FFF).cast("int").alias("v"), F.struct(*carry, F.lit(0).alias("_")).alias("carried"))
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """(id, print, first_id): of each document, the least id with the same text, known by 128 bits and its length."""
+    text = F.col("text")
+    known = docs.where("id is not null and text is not null").select("id", "print", F.xxhash64(F.lit("other"), text).alias("_h"), F.octet_length(text).alias("_n"))
+    first = known.groupBy("print", "_h", "_n").agg(F.min("id").alias("first_id"))
+    return known.join(first, ["print", "_h", "_n"]).select("id", "print", "first_id")
 
 
 def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -111,13 +120,18 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
 
     (id, v, first_id, start, n_windows, tail, head): n_windows consecutive windows
     from word start on, all of which start in the smaller id first_id too; tail
-    and head are the hashes at both ends, for verification at the source.
+    and head are the hashes at both ends, for verification at the source.  Of a
+    copy of a whole text, n_windows is WHOLE and tail the text's fingerprint.
     """
     docs = _keyed(docs, id_col, text_col)
+    same = written(classes(docs))
     seen = anchors(docs, window, anchor)
-    repeated = seen.groupBy("anchor").agg(F.min("id").alias("_a"), F.max("id").alias("_b")).where("_a < _b").select("anchor")
-    wanted = seen.join(repeated, "anchor").groupBy("id").agg(F.collect_list("anchor").alias("anchors"))
-    found = written(edges(docs.join(wanted, "id"), window, anchor))
+    repeated = seen.groupBy("anchor").agg(F.min("print").alias("_a"), F.max("print").alias("_b")).where("_a < _b").select("anchor")
+    # anchors go to the first document of each text; its copies are removed whole
+    first = same.where("id = first_id").select("id", "print").distinct()
+    wanted = seen.join(repeated, "anchor").distinct().join(first, "print").groupBy("id").agg(F.collect_list("anchor").alias("anchors"))
+    # whatever the sizes, texts are joined the same way, by their ids
+    found = written(edges(docs.join(wanted.hint("merge"), "id"), window, anchor))
     edge = found.groupBy("tail", "head").agg(F.min("id").alias("first_id"), F.max("id").alias("_last")).where("first_id < _last").drop("_last")
     edge = written(edge)
     # a node joins two edges if it has one on each side and both start in the same document first
@@ -129,9 +143,11 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
     near = (F.col("v") == F.lag("v").over(by)) & (F.col("place") - F.lag("place").over(by) <= 1) & (F.col("first_id") == F.lag("first_id").over(by))
     step = F.when(near & (F.col("_goes_on") | (F.col("place") == F.lag("place").over(by))), 0).otherwise(1)
     run = dup.withColumn("_new", F.coalesce(step, F.lit(1))).withColumn("_run", F.sum("_new").over(by))
-    return run.groupBy("id", "_run").agg(
+    paths = run.groupBy("id", "_run").agg(
         F.min("v").alias("v"), F.min("first_id").alias("first_id"), F.min("place").alias("start"), (F.max("place") - F.min("place") + 1).alias("n_windows"), F.min_by("tail", "place").alias("tail"), F.max_by("head", "place").alias("head")
     ).drop("_run")
+    copies = same.where("id > first_id").select("id", F.col("print").bitwiseAND(0x7FFF).cast("int").alias("v"), "first_id", F.lit(0).alias("start"), F.lit(WHOLE).alias("n_windows"), F.col("print").alias("tail"), F.col("print").alias("head"))
+    return paths.unionByName(copies)
 
 
 def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, carry: tuple[str, ...] = (), untouched: bool = False) -> DataFrame:
@@ -153,15 +169,19 @@ def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col:
         for batch in slices(batches):
             lists = batch.column(3)
             part = lists.flatten()
+            prints = batch.column(5).to_numpy(zero_copy_only=False)
             v, start, n, tail, head = (part.field(k).to_numpy(zero_copy_only=False) for k in range(5))
             text = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             words, begin, end, firsts, data = hasher.batch(batch.column(1))
             gone = np.zeros(len(words) + 1, np.int64)
             if len(text):
+                copied = (n == WHOLE) & (prints[text] == tail) & (firsts[text + 1] - firsts[text] >= window)
+                np.add.at(gone, firsts[text[copied]], 1)
+                np.add.at(gone, firsts[text[copied] + 1], -1)
                 node = runs(words, window - 1).view(np.int64)
                 at = firsts[text] + start.astype(np.int64)
                 to = at + n.astype(np.int64)
-                ok = (v == batch.column(2).to_numpy()[text]) & (to + window - 1 <= firsts[text + 1])
+                ok = (n != WHOLE) & (v == batch.column(2).to_numpy()[text]) & (to + window - 1 <= firsts[text + 1])
                 text, at, to, tail, head = text[ok], at[ok], to[ok], tail[ok], head[ok]
                 ok = (node[at] == tail) & (node[to] == head)  # the words at the coordinates are the path's
                 np.add.at(gone, at[ok], 1)
@@ -186,5 +206,5 @@ def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(total - left), pa.array(kept, pa.string()), batch.column(4)], ["id", "n_words", "n_removed", "kept", "carried"])
 
     kind, carried = (keyed.schema[c].dataType.simpleString() for c in ("id", "carried"))
-    out = keyed.join(cut, "id", "left").select("id", "text", "v", "spans", "carried").mapInArrow(run, f"id {kind}, n_words bigint, n_removed bigint, kept string, carried {carried}")
+    out = keyed.join(cut.hint("merge"), "id", "left").select("id", "text", "v", "spans", "carried", "print").mapInArrow(run, f"id {kind}, n_words bigint, n_removed bigint, kept string, carried {carried}")
     return out.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_sha256" if digest else "kept"), *(F.col("carried")[c].alias(c) for c in carry))
