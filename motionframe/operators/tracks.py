@@ -6,15 +6,20 @@ Every operator takes detections as DataFrames and works on windows over
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..config import CropConfig, FrameSize, TrackConfig
 
 KEY = ("video_id", "track_id")
-TRACK = Window.partitionBy(*KEY)
-ORDER = TRACK.orderBy("frame_idx", "det_seq")
-BEFORE = ORDER.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def of_track() -> WindowSpec:
+    return Window.partitionBy(*KEY)
+
+
+def in_order() -> WindowSpec:
+    return of_track().orderBy("frame_idx", "det_seq")
 
 
 def both_seen() -> Column:
@@ -39,7 +44,8 @@ def motion_stats(detections: DataFrame) -> DataFrame:
     track of one frame has zeros.
     """
     row = detections.select(*KEY, "frame_idx", "det_seq", centre("x").alias("cx"), centre("y").alias("cy"), F.when(both_seen(), stride()).alias("width"))
-    step = F.sqrt(F.pow(F.col("cx") - F.last("cx", True).over(BEFORE), 2) + F.pow(F.col("cy") - F.last("cy", True).over(BEFORE), 2))
+    before = in_order().rowsBetween(Window.unboundedPreceding, -1)
+    step = F.sqrt(F.pow(F.col("cx") - F.last("cx", True).over(before), 2) + F.pow(F.col("cy") - F.last("cy", True).over(before), 2))
     first = F.min(F.struct("frame_idx", "det_seq"))
     mean = lambda c: F.when(F.count("*") > 1, F.coalesce(c, F.lit(0.0))).otherwise(0.0)
     return row.withColumn("step", step).groupBy(*KEY).agg(
@@ -49,7 +55,7 @@ def motion_stats(detections: DataFrame) -> DataFrame:
 
 def without_ghosts(detections: DataFrame, min_frames: int) -> DataFrame:
     """Detections of tracks with at least min_frames of them, whether ankles are seen or not."""
-    return detections.withColumn("_n", F.count("*").over(TRACK)).where(F.col("_n") >= min_frames).drop("_n")
+    return detections.withColumn("_n", F.count("*").over(of_track())).where(F.col("_n") >= min_frames).drop("_n")
 
 
 def select_runners(stats: DataFrame, c: TrackConfig) -> DataFrame:
@@ -75,8 +81,8 @@ def of_tracks(detections: DataFrame, kept: DataFrame) -> DataFrame:
 
 def filled(value: Column, otherwise: Column) -> Column:
     """Nulls of a track filled linearly by place in the track, the ends with the nearest value; all null: otherwise."""
-    place = F.row_number().over(ORDER)
-    past, to_come = ORDER.rowsBetween(Window.unboundedPreceding, 0), ORDER.rowsBetween(0, Window.unboundedFollowing)
+    place = F.row_number().over(in_order())
+    past, to_come = in_order().rowsBetween(Window.unboundedPreceding, 0), in_order().rowsBetween(0, Window.unboundedFollowing)
     known = F.when(value.isNotNull(), place)
     a, b = F.last(value, True).over(past), F.first(value, True).over(to_come)
     p, q = F.last(known, True).over(past), F.first(known, True).over(to_come)
@@ -87,7 +93,7 @@ def filled(value: Column, otherwise: Column) -> Column:
 def smoothed(value: Column, window: int) -> Column:
     """Centred moving mean, shorter at the ends; a track shorter than the window stays as it is."""
     half = window // 2
-    return F.when(F.count("*").over(TRACK) < window, value).otherwise(F.avg(value).over(ORDER.rowsBetween(-half, half)))
+    return F.when(F.count("*").over(of_track()) < window, value).otherwise(F.avg(value).over(in_order().rowsBetween(-half, half)))
 
 
 def fill_centres(detections: DataFrame, frame: FrameSize) -> DataFrame:
@@ -150,8 +156,8 @@ def clips(regions_: DataFrame, length: int = 16, step: int = 16) -> DataFrame:
     Frames count by their place among the valid ones.  Tracks with fewer have no
     clip, and what is left at a track's end is in none.
     """
-    rn = F.row_number().over(ORDER) - 1
-    row = regions_.where("crop_valid").select(*KEY, "frame_idx", "det_seq", rn.alias("rn"), F.count("*").over(TRACK).alias("n"))
+    rn = F.row_number().over(in_order()) - 1
+    row = regions_.where("crop_valid").select(*KEY, "frame_idx", "det_seq", rn.alias("rn"), F.count("*").over(of_track()).alias("n"))
     first = F.greatest(F.lit(0), F.floor((F.col("rn") - length) / step) + 1)
     last = F.least(F.floor(F.col("rn") / step), F.floor((F.col("n") - length) / step))
     inside = row.where((F.col("n") >= length) & (first <= last)).withColumn("k", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
@@ -170,7 +176,7 @@ def renumbered(named: DataFrame) -> DataFrame:
 
 def carried(detections: DataFrame, c: CropConfig) -> DataFrame:
     """detections with cx, cy: the centre, else the last one, else the bottom centre of the frame."""
-    past = ORDER.rowsBetween(Window.unboundedPreceding, 0)
+    past = in_order().rowsBetween(Window.unboundedPreceding, 0)
     return detections.withColumns({
         "seen": centre("x").isNotNull(), "cx": F.coalesce(F.last(centre("x"), True).over(past), F.lit(c.frame.width / 2)), "cy": F.coalesce(F.last(centre("y"), True).over(past), F.lit(0.85 * c.frame.height)),
     })
