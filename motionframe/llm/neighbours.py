@@ -4,7 +4,7 @@ Equal vectors are one node.  Vectors get one more component, which makes all of
 them equally long, so that nearness by inner product is that by distance.  Nodes
 are dealt into blocks of a fixed size by a hash of their ids; a block's task is
 sent each vector that it needs once.  The graph starts from the nearest nodes of
-the own block; each round then joins every node's neighbours, and those that
+the own block, in a few dealings; each round then joins every node's neighbours, and those that
 have it as neighbour, with each other.
 """
 
@@ -27,8 +27,9 @@ class Params:
     degree: int = 32  # neighbours of a node
     reverse: int = 32  # nodes that have it as neighbour, in a round and in the search
     block: int = 4096  # nodes of a block
-    rounds: int = 6
-    stop: float = 0.01  # ends the rounds when fewer of all neighbours are new
+    dealings: int = 3  # of nodes to blocks, in which the graph starts
+    rounds: int = 5
+    stop: float = 0.05  # ends the rounds when fewer of all neighbours are new
     offers: int = 16  # that a block makes to a node in a round
     entries: int = 1024  # nodes that every query starts from
     beam: int = 320
@@ -40,8 +41,8 @@ class Params:
 GRAPH = "p int, id bigint, nbrs array<bigint>, sims array<float>, fresh array<boolean>"
 
 
-def _block_of(c: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(c, F.lit(7)), F.lit(blocks)).cast("int")
+def _block_of(c: Column, blocks: int, seed: int = 7) -> Column:
+    return F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(blocks)).cast("int")
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
@@ -77,8 +78,8 @@ def usable(c: Column) -> Column:
     return c.isNotNull() & (F.size(c) > 0) & ~bad & F.exists(c, lambda x: x != 0)
 
 
-def start(vectors: DataFrame, blocks: int, k: int) -> DataFrame:
-    """Each node's nearest in its own block."""
+def start(vectors: DataFrame, blocks: int, k: int, seed: int = 7) -> DataFrame:
+    """Each node's nearest in its own block of the dealing by seed."""
 
     def run(key: tuple, part: pa.Table) -> pa.Table:
         ids, x = part["id"].to_numpy(), _matrix(part["vec"], np.float32)
@@ -92,7 +93,7 @@ def start(vectors: DataFrame, blocks: int, k: int) -> DataFrame:
         counts = np.full(len(ids), most)
         return pa.table({"p": part["p"], "id": part["id"], "nbrs": _lists(nbrs.ravel(), counts, pa.int64()), "sims": _lists(sims.ravel(), counts, pa.float32()), "fresh": _lists(np.ones(nbrs.size, bool), counts, pa.bool_())})
 
-    return vectors.withColumn("p", _block_of(F.col("id"), blocks)).groupBy("p").applyInArrow(run, GRAPH)
+    return vectors.withColumn("p", _block_of(F.col("id"), blocks, seed)).groupBy("p").applyInArrow(run, GRAPH)
 
 
 def _reverse(graph: DataFrame, most: int, seed: int) -> DataFrame:
@@ -149,13 +150,18 @@ def descend(graph: DataFrame, vectors: DataFrame, blocks: int, p: Params, seed:
         return pa.table({"id": pa.array(ids[to], pa.int64()), "nbrs": _lists(ids[v], counts, pa.int64()), "sims": _lists(s.astype(np.float32), counts, pa.float32())})
 
     offers = edge.groupBy("p").cogroup(need.groupBy("p")).applyInArrow(local, "id bigint, nbrs array<bigint>, sims array<float>")
+    return merged(graph, offers, blocks, p.degree)
+
+
+def merged(graph: DataFrame, offers: DataFrame, blocks: int, degree: int) -> DataFrame:
+    """The graph with the best of its neighbours and of offers(id, nbrs, sims); fresh tells those that were only offered."""
     rows = graph.select("p", "id", "nbrs", "sims", F.lit(True).alias("old")).unionByName(offers.select(_block_of(F.col("id"), blocks).alias("p"), "id", "nbrs", "sims", F.lit(False).alias("old")))
 
     def merge(key: tuple, part: pa.Table) -> pa.Table:
         nbrs, counts = _ragged(part["nbrs"], np.int64)
         sims, _ = _ragged(part["sims"], np.float32)
         u, old = np.repeat(part["id"].to_numpy(), counts), np.repeat(part["old"].to_numpy(), counts)
-        best = _best(u, nbrs, sims, p.degree, old)
+        best = _best(u, nbrs, sims, degree, old)
         to, n = np.unique(u[best], return_counts=True)
         return pa.table({"p": pa.array(np.full(len(to), key[0].as_py(), np.int32)), "id": to, "nbrs": _lists(nbrs[best], n, pa.int64()), "sims": _lists(sims[best], n, pa.float32()), "fresh": _lists(~old[best], n, pa.bool_())})
 
@@ -168,6 +174,10 @@ def build(vectors: DataFrame, n: int, p: Params) -> DataFrame:
     graph = written(start(vectors, blocks, p.degree))
     if blocks == 1:  # the start is exact
         return graph
+    # of one dealing alone the blocks would be islands
+    for seed in range(1, p.dealings):
+        graph = written(merged(graph, start(vectors, blocks, p.degree, seed), blocks, p.degree))
+    graph = written(graph.withColumn("fresh", F.transform("nbrs", lambda x: F.lit(True))))
     for seed in range(p.rounds):
         graph = written(descend(graph, vectors, blocks, p, seed))
         came, total = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x))), F.sum(F.size("fresh"))).first()
