@@ -120,6 +120,12 @@ def coverage(mapped_: DataFrame) -> DataFrame:
     return mapped_.agg(F.count("*").alias("expected"), F.count_if(lost).alias("missing"), F.coalesce(F.try_divide(F.count_if("present"), F.count("*")) * 100, F.lit(0.0)).alias("percent"), F.count_distinct(F.when(lost, F.col("stem"))).alias("affected"))
 
 
+def first_missing(mapped_: DataFrame, most: int = 5) -> DataFrame:
+    """(stem, missing, first): of each video with missing versions how many, and the first names in order."""
+    lost = mapped_.where(~F.col("present")).groupBy("stem").agg(F.count("*").alias("missing"), F.array_sort(F.collect_list("name")).alias("n"))
+    return lost.select("stem", "missing", F.slice("n", 1, most).alias("first"))
+
+
 def require_whole(mapped_: DataFrame) -> DataFrame:
     """mapped_, or an error while it runs if a version is missing."""
     return mapped_.withColumn("present", F.when(F.col("present"), True).otherwise(F.raise_error(F.concat(F.lit("missing version "), F.col("name")))))

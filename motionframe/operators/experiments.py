@@ -82,3 +82,25 @@ def write_csv(rows: DataFrame, path: str) -> None:
 def batch_tally(results: DataFrame) -> DataFrame:
     """results(clips_generated, success): clips, processed and failed; a success without clips is processed."""
     return results.agg(F.coalesce(F.sum(F.when(F.col("success"), F.col("clips_generated"))), F.lit(0)).alias("clips"), F.count_if("success").alias("processed"), F.count_if(~F.col("success")).alias("failed"))
+
+
+def shortened(text: Column, most: int = 12) -> Column:
+    """For narrow reports: longer texts end in ~."""
+    return F.when(F.length(text) > most, F.concat(F.substring(text, 1, most - 1), F.lit("~"))).otherwise(text)
+
+
+def result_document(rows: DataFrame) -> DataFrame:
+    """One row, json: the results by id and a summary of their states.  Experiments are few; a corpus's rows are not for this."""
+    summary = F.struct(F.count("*").alias("total_experiments"), *(F.count_if(F.col("status") == s).alias(s.lower()) for s in ("COMPLETED", "PENDING", "FAILED")))
+    listed_ = F.array_sort(F.collect_list(F.struct(ID, *(c for c in rows.columns if c != ID))))
+    return rows.agg(F.to_json(F.struct(listed_.alias("results"), summary.alias("summary")), {"pretty": "true"}).alias("json"))
+
+
+def write_results(rows: DataFrame, path: str) -> None:
+    result_document(rows).coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_results(like: DataFrame, path: str) -> DataFrame:
+    """The results of a document, with the columns of like."""
+    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in like.schema)
+    return like.sparkSession.read.option("multiLine", True).schema(f"results array<struct<{fields}>>").json(path).select(F.explode("results").alias("r")).select("r.*").select(*like.columns)

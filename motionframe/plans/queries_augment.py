@@ -46,6 +46,7 @@ QUERIES = {
     "f4_preset_config": lambda s, d: A.preset_configs(s, 25),
     "f4_map_versions": lambda s, d: A.mapped(clips(s, d), available(s, d), N).select("doc_id", "version", "name", "present"),
     "f4_coverage": lambda s, d: A.coverage(A.mapped(clips(s, d), available(s, d), N)).withColumn("percent", F.round("percent", 6)),
+    "f4_first_missing": lambda s, d: A.first_missing(A.mapped(clips(s, d), available(s, d), N), 2).withColumn("first", F.array_join("first", ",")),
     "f4_augmented_split": lambda s, d: A.augmented_split(split(s, d), available(s, d), N, "gs://bucket/raw/", "gs://bucket/made/"),
     "f4_experiment_split": lambda s, d: A.experiment_split(clips(s, d).select(F.col("doc_id").alias("place"), "stem"), available(s, d).where("doc_id % 3 <> 0")),
     "f4_pending": lambda s, d: A.pending(clips(s, d).select("doc_id", "path"), clips(s, d).where("doc_id % 4 = 1")),
@@ -94,6 +95,7 @@ SQL = {
     "f4_preset_config": f"WITH {PRESETS} SELECT name, CASE WHEN len(a) = 0 THEN 1 ELSE 25 END AS versions, " + ", ".join(f"CASE WHEN list_contains(a, '{k}') THEN {p}::DOUBLE ELSE 0::DOUBLE END AS {k}" for k, p in PROB.items()) + " FROM pr",
     "f4_map_versions": f"WITH {VID} SELECT doc_id, version, name, name IN (SELECT name FROM av) AS present FROM ver",
     "f4_coverage": f"WITH {VID}, m AS (SELECT *, name IN (SELECT name FROM av) AS present FROM ver) SELECT count(*) AS expected, count(*) FILTER (NOT present) AS missing, round(count(*) FILTER (present) / count(*) * 100, 6) AS percent, count(DISTINCT stem) FILTER (NOT present) AS affected FROM m",
+    "f4_first_missing": f"WITH {VID}, m AS (SELECT stem, count(*) AS missing, list_sort(list(name)) AS n FROM ver ANTI JOIN av USING (name) GROUP BY stem) SELECT stem, missing, array_to_string(n[1:2], ',') AS first FROM m",
     "f4_augmented_split": f"WITH {VID} SELECT 'gs://bucket/made/' || name AS path, 'train' AS split FROM av WHERE doc_id % 10 < 7 UNION ALL SELECT 'gs://bucket/raw/' || stem || '.mp4', split FROM spl WHERE split <> 'train'",
     "f4_experiment_split": f"WITH {VID}, f AS (SELECT * FROM av WHERE doc_id % 3 <> 0) SELECT vid.doc_id AS place, vid.stem, f.name FROM vid LEFT JOIN f USING (stem)",
     "f4_pending": f"WITH {VID} SELECT doc_id, path FROM vid WHERE doc_id % 4 <> 1",

@@ -71,6 +71,7 @@ QUERIES = {
     "f6_progress": lambda s, d: X.progress(*flags(s, d)),
     "f6_list": lambda s, d: X.listed(*flags(s, d)),
     "f6_results_csv": lambda s, d: X.csv_rows(X.saved(*sides(s, d))).withColumn("val_acc", F.col("val_acc").try_cast("double")),
+    "f6_short_names": lambda s, d: results(s, d).select("experiment_id", X.shortened(F.concat("status", F.lit("_"), "experiment_id"), 14).alias("shown")).distinct(),
     "f6_batch_tally": lambda s, d: X.batch_tally(table(s, d, "events").select((F.col("event_id") % 7).alias("clips_generated"), (F.col("event_type") != "error").alias("success"))),
 }
 
@@ -115,5 +116,6 @@ SQL = {
     "f6_progress": f"WITH {RES}, f AS (SELECT al.experiment_id, au.experiment_id AS a, td.experiment_id AS t FROM al LEFT JOIN au USING (experiment_id) LEFT JOIN td USING (experiment_id)) SELECT count(*) AS total, count(a) AS augmented, count(t) AS trained, count(*) FILTER (t IS NULL) AS remaining FROM f",
     "f6_list": f"WITH {RES} SELECT experiment_id, experiment_id IN (SELECT experiment_id FROM au) AS augmented, experiment_id IN (SELECT experiment_id FROM td) AS trained FROM al",
     "f6_results_csv": f"WITH {RES} SELECT experiment_id, 'none' AS augmentations, val_acc, status FROM sv",
+    "f6_short_names": f"WITH {RES} SELECT DISTINCT experiment_id, CASE WHEN len(status || '_' || experiment_id) > 14 THEN left(status || '_' || experiment_id, 13) || '~' ELSE status || '_' || experiment_id END AS shown FROM re",
     "f6_batch_tally": "SELECT sum(event_id % 7) FILTER (event_type <> 'error')::BIGINT AS clips, count(*) FILTER (event_type <> 'error') AS processed, count(*) FILTER (event_type = 'error') AS failed FROM events",
 }

@@ -118,6 +118,16 @@ def test_merging_of_results(spark):
     assert ids(X.eligible(local, remote.where("experiment_id = 'c'"))) == {"d", "e", "f"} and ids(X.eligible(local, remote, local.where("experiment_id = 'c'"), force=True)) == {"c"}
 
 
+def test_result_documents(spark, tmp_path):
+    rows = spark.createDataFrame([("b", "PENDING", 1), ("a", "COMPLETED", None)], "experiment_id string, status string, seq int")
+    X.write_results(rows, str(tmp_path / "r"))
+    doc = json.loads("".join(r.value for r in spark.read.option("wholetext", True).text(str(tmp_path / "r")).collect()))
+    assert [r["experiment_id"] for r in doc["results"]] == ["a", "b"] and doc["summary"] == {"total_experiments": 2, "completed": 1, "pending": 1, "failed": 0}
+    assert sorted(X.read_results(rows, str(tmp_path / "r")).collect()) == sorted(rows.collect())
+    X.write_csv(rows.withColumn("val_acc", F.lit(None).cast("double")), str(tmp_path / "c"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).columns == ["experiment_id", "augmentations", "val_acc", "status"]
+
+
 def test_files(spark, tmp_path):
     for n in ("deep/a_lap_1_001.mp4", "b_lap_2_???.mp4", "b_lap_2_01.mp4", "x_ID_3_clip_002.mp4", "m_label_4_.mp4", "c.MP4"):
         (tmp_path / n).parent.mkdir(exist_ok=True)
