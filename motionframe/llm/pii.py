@@ -46,9 +46,10 @@ PATTERNS = (
     ("secret", r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,64})(?![0-9A-Za-z])"),
     ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
     ("ip", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"),
-    ("card", r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]|-[0-9])"),
+    ("card", r"(?<![0-9-])(?:[0-9]{13,19}|[0-9]{4}(?:(?: [0-9]{4}){3}|(?:-[0-9]{4}){3}| [0-9]{6} [0-9]{5}|-[0-9]{6}-[0-9]{5}))(?![0-9]|-[0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("phone", r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9])"),
+    ("phone", r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|\.[0-9])"),
+    ("phone", r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9]|\.[0-9])"),
     ("phone", r"(?<![0-9+])\+[0-9]{8,15}(?![0-9])"),
     ("name", r"(?<!\w)(?:%s)\.? [^\W\d_a-zа-я]\w+(?: [^\W\d_a-zа-я]\w+)?" % "|".join(map(re.escape, sorted(_TITLE_OF, key=len, reverse=True)))),
 )
@@ -135,10 +136,11 @@ def in_format_of(kind: str, value: str, canon: str) -> str:
 
 
 def find(text: str) -> list[tuple[str, int, int]]:
-    """(type, start, end) of every entity in the text, in code points."""
+    """(type, start, end) of every entity in the text, in code points.  Numbers of a card's length are cards if their check digit fits."""
     if not HINT.search(text) and not any(t in text for t in _TITLE_OF):
         return []
-    return [(PATTERNS[int(m.lastgroup[1:])][0], *m.span()) for m in FINDER.finditer(text)]
+    found = [(PATTERNS[int(m.lastgroup[1:])][0], *m.span()) for m in FINDER.finditer(text)]
+    return [(kind, a, b) for kind, a, b in found if kind != "card" or _luhn(_UNWANTED.sub("", text[a:b])) == 0]
 
 
 def mentions(docs: DataFrame) -> DataFrame:

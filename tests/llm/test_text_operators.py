@@ -237,6 +237,11 @@ def test_surrogates(spark):
     assert pii.pseudonymise(docs.limit(0), b"k").collect() == []
 
 
+def test_neighbouring_entities_are_told_apart():
+    text = "+1 (826) 555-4081 190.137.223.204 4845168114407329 +1 (826) 555-4081. 9807915762804490 1.2.3 2020-10-11"
+    assert [(kind, text[a:b]) for kind, a, b in pii.find(text)] == [("phone", "+1 (826) 555-4081"), ("ip", "190.137.223.204"), ("card", "4845168114407329"), ("phone", "+1 (826) 555-4081")]
+
+
 def test_surrogates_never_clash(spark, monkeypatch):
     real = pii.surrogate
     monkeypatch.setattr(pii, "surrogate", lambda kind, canon, key, attempt=0: "9.9.9.9" if attempt == 0 else real(kind, canon, key, attempt))
