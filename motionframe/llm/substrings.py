@@ -129,7 +129,8 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
     repeated = seen.groupBy("anchor").agg(F.min("print").alias("_a"), F.max("print").alias("_b")).where("_a < _b").select("anchor")
     # anchors go to the first document of each text; its copies are removed whole
     first = same.where("id = first_id").select("id", "print").distinct()
-    wanted = seen.join(repeated, "anchor").distinct().join(first, "print").groupBy("id").agg(F.collect_list("anchor").alias("anchors"))
+    # each key is once in what is hashed here, a partition's share of it is small, and skewed partitions of the other side can be split
+    wanted = written(seen.join(repeated.hint("shuffle_hash"), "anchor").distinct().join(first, "print").groupBy("id").agg(F.collect_list("anchor").alias("anchors")))
     # whatever the sizes, texts are joined the same way, by their ids
     found = written(edges(docs.join(wanted.hint("merge"), "id"), window, anchor))
     edge = found.groupBy("tail", "head").agg(F.min("id").alias("first_id"), F.max("id").alias("_last")).where("first_id < _last").drop("_last")
@@ -138,7 +139,7 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
     ends = edge.select(F.col("head").alias("node"), F.lit(1).alias("_in"), F.lit(0).alias("_out"), "first_id").unionByName(edge.select(F.col("tail").alias("node"), F.lit(0).alias("_in"), F.lit(1).alias("_out"), "first_id"))
     node = ends.groupBy("node").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.min("first_id").alias("_a"), F.max("first_id").alias("_b")).where("_in = 1 and _out = 1 and _a = _b")
     edge = edge.join(node.select(F.col("node").alias("tail"), F.lit(True).alias("_goes_on")), "tail", "left")
-    dup = found.join(edge, ["tail", "head"]).where("first_id < id")
+    dup = found.join(edge.hint("shuffle_hash"), ["tail", "head"]).where("first_id < id")
     by = Window.partitionBy("id").orderBy("v", "place")
     near = (F.col("v") == F.lag("v").over(by)) & (F.col("place") - F.lag("place").over(by) <= 1) & (F.col("first_id") == F.lag("first_id").over(by))
     step = F.when(near & (F.col("_goes_on") | (F.col("place") == F.lag("place").over(by))), 0).otherwise(1)
