@@ -163,7 +163,7 @@ def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col:
     are not compared with each other.  Of other columns, those in carry are kept.
     """
     keyed = _keyed(docs, id_col, text_col, carry)
-    cut = spans(docs, window, anchor, id_col, text_col).groupBy("id").agg(F.collect_list(F.struct("v", "start", "n_windows", "tail", "head")).alias("spans"))
+    cut = written(spans(docs, window, anchor, id_col, text_col)).groupBy("id").agg(F.collect_list(F.struct("v", "start", "n_windows", "tail", "head")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
