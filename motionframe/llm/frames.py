@@ -37,3 +37,12 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     spark.sparkContext._jvm.System.gc()  # the context removes shuffle files of plans that are garbage, once they are collected
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that written() made; nothing may read them any more."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        for file in df.inputFiles()[:1]:
+            path = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

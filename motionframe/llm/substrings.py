@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import slices, written
+from .frames import dropped, slices, written
 from .words import Hasher, U, runs, starts_inside
 
 WINDOW = 13
@@ -133,13 +133,15 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
     wanted = written(seen.join(repeated.hint("shuffle_hash"), "anchor").distinct().join(first, "print").groupBy("id").agg(F.collect_list("anchor").alias("anchors")))
     # whatever the sizes, texts are joined the same way, by their ids
     found = written(edges(docs.join(wanted.hint("merge"), "id"), window, anchor))
+    dropped(wanted)
     edge = found.groupBy("tail", "head").agg(F.min("id").alias("first_id"), F.max("id").alias("_last")).where("first_id < _last").drop("_last")
     edge = written(edge)
     # a node joins two edges if it has one on each side and both start in the same document first
     ends = edge.select(F.col("head").alias("node"), F.lit(1).alias("_in"), F.lit(0).alias("_out"), "first_id").unionByName(edge.select(F.col("tail").alias("node"), F.lit(0).alias("_in"), F.lit(1).alias("_out"), "first_id"))
     node = ends.groupBy("node").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.min("first_id").alias("_a"), F.max("first_id").alias("_b")).where("_in = 1 and _out = 1 and _a = _b")
-    edge = edge.join(node.select(F.col("node").alias("tail"), F.lit(True).alias("_goes_on")), "tail", "left")
-    dup = found.join(edge.hint("shuffle_hash"), ["tail", "head"]).where("first_id < id")
+    marked = written(edge.join(node.select(F.col("node").alias("tail"), F.lit(True).alias("_goes_on")), "tail", "left"))
+    dropped(edge)
+    dup = found.join(marked.hint("shuffle_hash"), ["tail", "head"]).where("first_id < id")
     by = Window.partitionBy("id").orderBy("v", "place")
     near = (F.col("v") == F.lag("v").over(by)) & (F.col("place") - F.lag("place").over(by) <= 1) & (F.col("first_id") == F.lag("first_id").over(by))
     step = F.when(near & (F.col("_goes_on") | (F.col("place") == F.lag("place").over(by))), 0).otherwise(1)
@@ -148,7 +150,9 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
         F.min("v").alias("v"), F.min("first_id").alias("first_id"), F.min("place").alias("start"), (F.max("place") - F.min("place") + 1).alias("n_windows"), F.min_by("tail", "place").alias("tail"), F.max_by("head", "place").alias("head")
     ).drop("_run")
     copies = same.where("id > first_id").select("id", F.col("print").bitwiseAND(0x7FFF).cast("int").alias("v"), "first_id", F.lit(0).alias("start"), F.lit(WHOLE).alias("n_windows"), F.col("print").alias("tail"), F.col("print").alias("head"))
-    return paths.unionByName(copies)
+    out = written(paths.unionByName(copies))
+    dropped(found, marked, same)
+    return out
 
 
 def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, carry: tuple[str, ...] = (), untouched: bool = False) -> DataFrame:
@@ -163,7 +167,7 @@ def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col:
     are not compared with each other.  Of other columns, those in carry are kept.
     """
     keyed = _keyed(docs, id_col, text_col, carry)
-    cut = written(spans(docs, window, anchor, id_col, text_col)).groupBy("id").agg(F.collect_list(F.struct("v", "start", "n_windows", "tail", "head")).alias("spans"))
+    cut = spans(docs, window, anchor, id_col, text_col).groupBy("id").agg(F.collect_list(F.struct("v", "start", "n_windows", "tail", "head")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
