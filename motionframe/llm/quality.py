@@ -148,7 +148,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int, id_col: str, te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(lower=True)
-        for batch in slices(batches):
+        for batch in slices(batches, 1 << 20):
             x = features(batch.column(0), hasher)
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column(1)], ["x", "label"])
 
@@ -177,7 +177,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(lower=True)
-        for batch in slices(batches):
+        for batch in slices(batches, 1 << 20):
             s = model.score(features(batch.column(batch.schema.get_field_index(text_col)), hasher))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*batch.schema.names, "score", "predicted"])
 
