@@ -38,6 +38,8 @@ FAMILY = {
 }
 _DOMAINS = ("example.org", "example.net", "example.com")
 _SYLLABLES = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+# What family names grow by with each redraw.
+_MIDDLES = {"LATIN": _SYLLABLES, "CYRILLIC": [a + b for a in "бвгдзклмнпрст" for b in "аеио"], "GREEK": [a + b for a in "βγδκλμνπρστ" for b in "αεηιο"]}
 
 _TITLE_OF = {t: g for g, titles in TITLES.items() for t in titles}
 #: name, pattern; at one place the first that matches wins.
@@ -94,7 +96,11 @@ def script_of(word: str) -> str:
 
 
 def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
-    """The canonical form of the entity's surrogate."""
+    """The canonical form of the entity's surrogate.
+
+    A name has as many more syllables as it was drawn again, so that there are
+    enough for any number of entities.
+    """
     draw = _draw(key, kind, canon, attempt)
     if kind == "email":
         return "".join(_SYLLABLES[draw(len(_SYLLABLES))] for _ in range(5)) + f"{draw(1000):03d}@{_SYLLABLES[draw(len(_SYLLABLES))]}{_SYLLABLES[draw(len(_SYLLABLES))]}.{_DOMAINS[draw(len(_DOMAINS))]}"
@@ -104,7 +110,8 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
         title, _, rest = canon.partition(" ")
         script = script_of(rest)
         names, (a, b, c) = GIVEN[script][_TITLE_OF.get(title, "n")], FAMILY[script]
-        family = a[draw(len(a))] + b[draw(len(b))] + c[draw(len(c))]
+        more = _MIDDLES[script]
+        family = a[draw(len(a))] + b[draw(len(b))] + "".join(more[draw(len(more))] for _ in range(attempt)) + c[draw(len(c))]
         return title + " " + (names[draw(len(names))] + " " if " " in rest else "") + family
     if kind == "secret":
         head = next((p for p in ("akia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-") if canon.startswith(p)), "")
@@ -177,7 +184,8 @@ def settled(entities: DataFrame, key: bytes, most: int = 64) -> DataFrame:
 
     An entity draws again while its surrogate is an original, or that of an
     entity with a lesser canonical form.  Raises if clashes are left after
-    `most` draws, which means that a format is too small for its entities.
+    `most` draws, which means that a format of numbers is too small for its
+    entities; names have room for any number of them.
     """
     now = written(drawn(entities.withColumn("attempt", F.lit(0)), key))
     for attempt in range(1, most + 1):

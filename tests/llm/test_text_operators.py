@@ -250,3 +250,17 @@ def test_surrogates_never_clash(spark, monkeypatch):
     late = {r.canon: r.attempt for r in pii.settled(entities, b"k").collect()}
     fakes = [pii.surrogate("ip", v, b"k", late.get(v, 0)) for v in values]
     assert len(set(fakes)) == 5 and not set(fakes) & set(values) and len(late) == 4
+
+
+def test_more_names_than_a_pool_holds(spark):
+    def words(letters, n):
+        return ["".join(w).capitalize() for w in itertools.islice(itertools.product(letters, repeat=4), n)]
+
+    names = [f"Mr {w}" for w in words("bcdfghkl", 2600)] + [f"г-жа {w}" for w in words("бвгджзкл", 600)] + [f"κύριος {w}" for w in words("βγδζθκλμ", 300)]
+    names += [f"Dr {w} Papp" for w in words("βγδζθκλμ", 600)]
+    docs = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "doc_id bigint, text string")
+    out = pii.pseudonymise(docs, b"k").collect()
+    fakes = {pii.canonical("name", r.text) for r in out}
+    assert len(out) == len(fakes) == len(names) and all(r.n_entities == 1 for r in out)
+    assert not fakes & {pii.canonical("name", n) for n in names}
+    assert all(pii.find(r.text) == [("name", 0, len(r.text))] for r in out)
