@@ -23,12 +23,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.reassembled(warc.records(spark, path))
     rows = written(back.select(
         page_of("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), warc.base32_sha1(F.col("payload")).alias("payload_digest"), F.col("type").alias("record_type"),
-        page_of("refers_to").alias("refers_to"), "complete",
+        page_of("refers_to").alias("refers_to"), "complete", "own_id", "own_refers_to",
     ))
     whole = rows.where("record_type = 'response'")
-    origin = whole.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest").distinct()
-    again = rows.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to", "complete").join(origin, "refers_to", "left")
-    return whole.unionByName(again)
+    origin = whole.select(F.col("own_id").alias("own_refers_to"), "payload_bytes", "payload_digest")
+    again = rows.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(origin, "own_refers_to", "left")
+    return whole.unionByName(again).drop("own_id", "own_refers_to")
 
 
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,26 +42,49 @@ def _chunked(payload: Column, size: int) -> Column:
 
 
 def duplicates(pages: DataFrame, min_bytes: int) -> DataFrame:
-    """(id, digest, refers_to) of the rows of pages(id, payload, digest) whose payload a row with a larger id has."""
-    light = pages.where((F.octet_length("payload") >= min_bytes) & F.col("id").isNotNull()).select("id", "digest").distinct()
-    keeper = light.groupBy("digest").agg(F.max("id").alias("refers_to"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    return light.join(keeper, "digest").where("id <> refers_to").select("id", "digest", "refers_to")
+    """(id, digest, refers_to, n) of pages(id, payload, digest): n rows have this id and payload, which a row with the larger id refers_to has.
+
+    refers_to is null for the largest id, and under min_bytes.  Only what has a
+    refers_to or an n over 1 is in the result; null ids aren't.
+    """
+    light = written(pages.where("id is not null").groupBy("id", "digest").agg(F.count("*").alias("n"), F.max(F.octet_length("payload")).alias("size")))
+    keeper = light.where(F.col("size") >= min_bytes).groupBy("digest").agg(F.max("id").alias("refers_to"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    refers_to = F.when((F.col("size") >= min_bytes) & (F.col("id") != F.col("refers_to")), F.col("refers_to"))
+    return light.join(keeper, "digest", "left").select("id", "digest", refers_to.alias("refers_to"), "n").where("refers_to is not null or n > 1")
+
+
+def numbered(body: DataFrame, repeats: bool) -> DataFrame:
+    """body(id, digest, n, ...), where n is over 1 only with repeats, with the column own, unique to each row: one of the rows of an id and digest has these two alone, all others a row number too.
+
+    A null id always has a row number.  It needn't be fixed there, as no other
+    record refers to it; rows whose id and payload repeat are written with theirs.
+    """
+    text = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("")), "digest")
+    row = F.monotonically_increasing_id()
+    out = body.where("n is null or n = 1").withColumn("own", F.when(F.col("id").isNull(), F.concat_ws(":", text, row)).otherwise(text))
+    if not repeats:
+        return out
+    again = written(body.where("n > 1").withColumn("_row", row))
+    first = again.groupBy("id", "digest").agg(F.min("_row").alias("_first"))
+    return out.unionByName(again.join(first, ["id", "digest"]).withColumn("own", F.when(F.col("_row") == F.col("_first"), text).otherwise(F.concat_ws(":", text, "_row"))).drop("_row", "_first"))
 
 
 def write(pages: DataFrame, path: str, min_bytes: int = 0, segment: int = 1 << 16, chunk: int = 1 << 13, records_a_file: int = 4096, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date: str = "1970-01-01T00:00:00Z") -> None:
     """Writes each row as a record: a response, or a revisit of the equal payload of at least min_bytes with the largest id.
 
     Blocks of more than `segment` bytes go on in continuation records.  A null
-    payload counts as empty.  Rows with a null id are responses, whose record id
-    has no number.  records_a_file * segment bounds a file's size.
+    payload counts as empty.  Rows with a null id are responses.  Each record has
+    an id of its own, also where ids repeat or are null; the page's name, made of
+    its id alone, stands in WARC-Page and WARC-Refers-To-Page.
+    records_a_file * segment bounds a file's size.
     """
     raw = F.col(payload_col).cast("string").cast("binary")
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(raw, F.lit(b"")).alias("payload")).withColumn("digest", base32_sha1(F.col("payload")))
     dup = written(duplicates(base, min_bytes))  # Spark broadcasts it only if it is small
-    name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
+    name = lambda *c: F.concat(F.lit("<urn:page:"), F.coalesce(F.concat_ws(":", *(x.cast("string") for x in c)), F.lit("")), F.lit(">"))
     line = lambda key, value: F.concat(F.lit(key + ": "), value, F.lit(EOL))
     first = F.col("refers_to").isNull()
-    body = base.join(dup, ["id", "digest"], "left").withColumn("block", F.when(first, F.concat(F.lit(HTTP_HEAD), _chunked(F.col("payload"), chunk))).otherwise("").cast("binary"))
+    body = numbered(base.join(dup, ["id", "digest"], "left"), not dup.where("n > 1").isEmpty()).withColumn("block", F.when(first, F.concat(F.lit(HTTP_HEAD), _chunked(F.col("payload"), chunk))).otherwise("").cast("binary"))
     total = F.octet_length("block")
     parts = F.greatest(F.lit(1), F.ceil(total / segment)).cast("int")
     each = body.withColumn("parts", parts).withColumn("number", F.explode(F.sequence(F.lit(1), F.col("parts"))))
@@ -70,13 +93,14 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, segment: int = 1 << 1
     record = F.concat(
         F.lit("WARC/1.1" + EOL),
         line("WARC-Type", F.when(~begins, "continuation").when(first, "response").otherwise("revisit")),
-        F.when(begins, line("WARC-Record-ID", name(F.col("id")))).otherwise(line("WARC-Record-ID", F.concat(F.lit("<urn:segment:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("number"), F.lit(">")))),
+        F.when(begins, line("WARC-Record-ID", name(F.col("own")))).otherwise(line("WARC-Record-ID", F.concat(F.lit("<urn:segment:"), F.col("own"), F.lit(":"), F.col("number"), F.lit(">")))),
+        F.when(begins, line("WARC-Page", name(F.col("id")))).otherwise(""),
         line("WARC-Date", F.lit(date)),
         F.when(begins & F.col("url").isNotNull(), line("WARC-Target-URI", F.regexp_replace("url", r"[\r\n]", ""))).otherwise(""),
         F.when(begins, line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest"))).otherwise(""),
-        F.when(begins & ~first, F.concat(line("WARC-Refers-To", name(F.col("refers_to"))), line("WARC-Profile", F.lit(PROFILE)))).otherwise(""),
+        F.when(begins & ~first, F.concat(line("WARC-Refers-To", name(F.col("refers_to"), F.col("digest"))), line("WARC-Refers-To-Page", name(F.col("refers_to"))), line("WARC-Profile", F.lit(PROFILE)))).otherwise(""),
         F.when(cut, line("WARC-Segment-Number", F.col("number"))).otherwise(""),
-        F.when(~begins, line("WARC-Segment-Origin-ID", name(F.col("id")))).otherwise(""),
+        F.when(~begins, line("WARC-Segment-Origin-ID", name(F.col("own")))).otherwise(""),
         F.when(cut & ends, line("WARC-Segment-Total-Length", total)).otherwise(""),
         line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", F.octet_length(part)),
@@ -115,9 +139,9 @@ def http_payload(block: bytes) -> bytes | None:
     return dechunked(body) if any(b"chunked" in c for c in coding) else body
 
 
-FIELDS = [("record_id", "warc-record-id"), ("type", "warc-type"), ("url", "warc-target-uri"), ("refers_to", "warc-refers-to"), ("digest", "warc-payload-digest"), ("origin_id", "warc-segment-origin-id"), ("number", "warc-segment-number"), ("total", "warc-segment-total-length")]
-RECORD = "record_id string, type string, url string, refers_to string, digest string, origin_id string, number int, total bigint, block binary, payload binary"
-_KINDS = [pa.string()] * 6 + [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+FIELDS = [("record_id", "warc-record-id"), ("type", "warc-type"), ("url", "warc-target-uri"), ("refers_to", "warc-refers-to"), ("digest", "warc-payload-digest"), ("origin_id", "warc-segment-origin-id"), ("number", "warc-segment-number"), ("total", "warc-segment-total-length"), ("page", "warc-page"), ("refers_to_page", "warc-refers-to-page")]
+RECORD = "record_id string, type string, url string, refers_to string, digest string, origin_id string, number int, total bigint, page string, refers_to_page string, block binary, payload binary"
+_KINDS = [pa.string()] * 6 + [pa.int32(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary()]
 
 
 def parsed(content: bytes) -> Iterator[tuple]:
@@ -161,14 +185,19 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def reassembled(found: DataFrame) -> DataFrame:
-    """(record_id, type, url, refers_to, digest, payload, complete): segments joined by origin, in the order of their numbers.
+    """(record_id, type, url, refers_to, digest, own_id, own_refers_to, payload, complete): segments joined by origin, in the order of their numbers.
 
+    own_id and own_refers_to are the ids in the archive; record_id and refers_to
+    are the names of pages, which records may share, if the archive has them.
     complete is false, and payload null, if a segment is missing or comes twice,
     the total length isn't that announced, or the transfer framing is broken.
     """
-    columns = ["record_id", "type", "url", "refers_to", "digest"]
+    columns = ["record_id", "type", "url", "refers_to", "digest", "own_id", "own_refers_to"]
+    origin = F.coalesce("origin_id", "record_id")
+    named = {"own_id": F.col("record_id"), "own_refers_to": F.col("refers_to"), "record_id": F.coalesce("page", "record_id"), "refers_to": F.coalesce("refers_to_page", "refers_to")}
+    found = found.withColumns({"origin": origin, **named})
     whole = found.where("number is null").select(*columns, "payload", ((F.col("type") != "response") | F.col("payload").isNotNull()).alias("complete"))
-    parts = found.where("number is not null").groupBy(F.coalesce("origin_id", "record_id").alias("origin")).agg(
+    parts = found.where("number is not null").groupBy("origin").agg(
         F.array_sort(F.collect_list(F.struct("number", "block"))).alias("parts"), F.max("total").alias("total"), *(F.max(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in columns)
     )
     joined = F.array_join(F.transform("parts", lambda p: _text(p["block"])), "").cast("binary")
@@ -177,8 +206,8 @@ def reassembled(found: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            payload = [None if x is None else http_payload(x) for x in batch.column(5).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(payload, pa.binary()), pa.array([x is not None for x in payload])], [*columns, "payload", "complete"])
+            payload = [None if x is None else http_payload(x) for x in batch.column(len(columns)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(payload, pa.binary()), pa.array([x is not None for x in payload])], [*columns, "payload", "complete"])
 
-    decoded = checked.select(*columns, "block").mapInArrow(run, "record_id string, type string, url string, refers_to string, digest string, payload binary, complete boolean")
+    decoded = checked.select(*columns, "block").mapInArrow(run, ", ".join(f"{c} string" for c in columns) + ", payload binary, complete boolean")
     return whole.unionByName(decoded)

@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from motionframe.llm import bpe, media, packing, pii, pretokens, warc, words
+from motionframe.llm.queries_texts import op3_warc
 
 P = pytest.importorskip("public_tokenizers")
 PATTERN = regex.compile(P.PATTERN)
@@ -264,3 +265,25 @@ def test_more_names_than_a_pool_holds(spark):
     assert len(out) == len(fakes) == len(names) and all(r.n_entities == 1 for r in out)
     assert not fakes & {pii.canonical("name", n) for n in names}
     assert all(pii.find(r.text) == [("name", 0, len(r.text))] for r in out)
+
+
+def test_archives_of_long_pages_with_repeated_and_null_ids(spark, tmp_path):
+    import base64
+    import hashlib
+
+    long, other = "long page " * 20000, "another page " * 20000
+    rows = [(9, "u", long), (9, "v", long), (9, "u", other), (3, "u", long), (4, "w", other), (4, "w", "short"), (None, "u", long), (None, "u", long), (None, "v", other), (5, "u", "once"), (5, "u", "once")]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    keeper = {text: max(i for i, _, t in rows if t == text and i is not None) for _, _, text in rows}
+    wanted = []
+    for i, _, text in rows:
+        revisit = i is not None and i != keeper[text]
+        digest = base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
+        wanted.append((i, len(text), digest, "revisit" if revisit else "response", keeper[text] if revisit else None, True))
+    got = op3_warc(spark, str(tmp_path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(wanted, key=str)
+    warc.write(spark.read.parquet(str(tmp_path / "pages.parquet")), str(tmp_path / "a"))
+    records = warc.records(spark, str(tmp_path / "a"))
+    assert records.select("record_id").distinct().count() == records.count()
+    ids = {r.record_id for r in records.collect()}
+    assert {r.refers_to for r in records.where("refers_to is not null").collect()} <= ids
