@@ -2,20 +2,26 @@
 
 Templates form a tree a host.  Level by level, a segment keeps its own branch if
 it is frequent enough and its labels differ from those of its siblings taken
-together; all others become one wildcard branch.  Templates whose smoothed share
-of good labels is too low are rejected.
+together; all others become one wildcard branch.  Branches of one parent that
+stay apart, but whose shares of bad labels don't differ, are one node of the
+tree.  Nodes whose smoothed share of good labels is too low are rejected.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import written
+from .frames import shared_dir, written
 
 WILD = "*"
+#: Stands for WILD in nodes; no path has it.
+_ANY = "?"
 
 
 def _ascii_lower(c: Column) -> Column:
@@ -56,7 +62,7 @@ def longest_rule(rules: list[Rule], host: Column, path: Column) -> Column:
 
 @dataclass(frozen=True)
 class TreeParams:
-    depth: int = 4
+    depth: int | None = None
     min_support: int = 20
     min_labelled: int = 8
     min_z: float = 1.96
@@ -64,37 +70,86 @@ class TreeParams:
     min_purity: float = 0.5
 
 
-def templates(urls: DataFrame, p: TreeParams) -> DataFrame:
-    """urls(key, host, path, bad) with the column template; bad is 1, 0 or null.
+def merged(apart: DataFrame, p: TreeParams) -> DataFrame:
+    """(host, node, _s, _as) of the branches apart(host, node, _s, m, b): _as names those of a parent that are one, after the first of them.
+
+    By rising share of bad labels, a branch joins those before it if its share
+    differs from theirs by less than min_z standard errors.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent, name, all_m, all_b = None, None, 0, 0
+        for batch in batches:
+            names = []
+            for host, node, s, m, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rate = (all_b + b) / (all_m + m)
+                error = math.sqrt(rate * (1 - rate) * (1 / m + 1 / all_m)) if all_m else 0.0
+                if parent != (host, node) or (error and abs(b / m - all_b / all_m) / error >= p.min_z):
+                    parent, name, all_m, all_b = (host, node), s, 0, 0
+                all_m, all_b = all_m + m, all_b + b
+                names.append(name)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(names, pa.string())], ["host", "node", "_s", "_as"])
 
-    A path's first `depth` segments are looked at; what is deeper is one
-    wildcard.  At each level a segment's branch stays apart if it has min_support
-    urls, min_labelled labels, and a share of bad ones that differs from that of
-    all segments beside it by min_z standard errors.
+    rows = apart.select("host", "node", "_s", "m", "b").repartition("host", "node").sortWithinPartitions("host", "node", F.col("b") / F.col("m"), "_s")
+    return rows.mapInArrow(run, "host string, node string, _s string, _as string")
+
+
+def templates(urls: DataFrame, p: TreeParams) -> DataFrame:
+    """urls(key, host, path, bad) with the columns template and node; bad is 1, 0 or null.
+
+    At each level a segment's branch stays apart if it has min_support urls,
+    min_labelled labels, and a share of bad ones that differs from that of all
+    segments beside it by min_z standard errors.  template names a path's own
+    branches, node those that they are one with.  This goes on until no node is
+    left that could be split, or for `depth` levels: then what is deeper is one
+    wildcard.
     """
+    spark = urls.sparkSession
     segments = F.split(F.regexp_replace("path", "^/", ""), "/")
-    now = urls.withColumn("_seg", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(segments)).withColumn("_size", F.size("_seg")).withColumn("template", F.lit(""))
-    for level in range(p.depth):
-        now = now.withColumn("_s", F.get("_seg", F.lit(level)))
-        child = now.where("_s is not null").groupBy("host", "template", "_s").agg(F.count("*").alias("n"), F.count("bad").alias("m"), F.sum("bad").alias("b")).na.fill(0, ["b"])
-        whole = child.groupBy("host", "template").agg(F.sum("m").alias("all_m"), F.sum("b").alias("all_b"))
-        rest = F.col("all_m") - F.col("m")
-        rate = F.col("all_b") / F.nullif(F.col("all_m"), F.lit(0))
-        error = F.sqrt(rate * (1 - rate) * (1 / F.col("m") + 1 / F.nullif(rest, F.lit(0))))
-        z = F.abs(F.col("b") / F.col("m") - (F.col("all_b") - F.col("b")) / F.nullif(rest, F.lit(0))) / F.nullif(error, F.lit(0.0))
+    now = written(urls.withColumn("_seg", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(segments)).withColumn("_size", F.size("_seg")).withColumns({"template": F.lit(""), "node": F.lit("")}))
+    out = shared_dir(spark)
+
+    def finish(rows: DataFrame, level: int) -> DataFrame:
+        """Adds rows to the result; a wildcard stands for each segment that is left."""
+        left = F.col("_size") if p.depth is None else F.least(F.col("_size"), F.lit(p.depth + 1))
+        done = rows.withColumns({c: F.concat(c, F.repeat(F.lit("/" + w), left - level)) for c, w in (("template", WILD), ("node", _ANY))}).select(*urls.columns, "template", "node")
+        done.write.mode("append").parquet(out)
+        return done
+
+    level = 0
+    while p.depth is None or level < p.depth:
+        deeper = now.where(F.col("_size") > level)
+        whole = deeper.groupBy("host", "node").agg(F.count("*").alias("n"), F.count("bad").alias("all_m"), F.sum("bad").alias("all_b"))
+        # a node of fewer urls or labels, or of labels of one kind, has no branch that stays apart, here or deeper
+        whole = written(whole.where((F.col("n") >= p.min_support) & (F.col("all_m") > p.min_labelled) & (F.col("all_b") > 0) & (F.col("all_b") < F.col("all_m"))).drop("n"))
+        if whole.isEmpty():
+            break
+        marked = now.join(whole.select("host", "node", F.lit(True).alias("_open")), ["host", "node"], "left").withColumn("_open", F.col("_open").isNotNull() & (F.col("_size") > level))
+        finish(marked.where("not _open"), level)
+        now = marked.where("_open").drop("_open").withColumn("_s", F.get("_seg", F.lit(level)))
+        child = now.groupBy("host", "node", "_s").agg(F.count("*").alias("n"), F.count("bad").alias("m"), F.sum("bad").alias("b")).na.fill(0, ["b"])
+        m = F.nullif(F.col("m"), F.lit(0))
+        rest = F.nullif(F.col("all_m") - F.col("m"), F.lit(0))
+        rate = F.col("all_b") / F.col("all_m")
+        error = F.sqrt(rate * (1 - rate) * (1 / m + 1 / rest))
+        z = F.abs(F.col("b") / m - (F.col("all_b") - F.col("b")) / rest) / F.nullif(error, F.lit(0.0))
         strong = child.where((F.col("n") >= p.min_support) & (F.col("m") >= p.min_labelled))
-        apart = strong.join(whole, ["host", "template"]).where(z >= p.min_z).select("host", "template", "_s", F.lit(True).alias("_apart"))
-        name = F.when(F.col("_s").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.when(F.col("_apart"), F.col("_s")).otherwise(F.lit(WILD))))
-        # written at each level, as the next one reads it twice
-        now = written(now.join(apart, ["host", "template", "_s"], "left").withColumn("template", F.concat("template", name)).drop("_apart"))
-    return now.withColumn("template", F.when(F.col("_size") > p.depth, F.concat("template", F.lit("/" + WILD))).otherwise(F.col("template"))).drop("_seg", "_size", "_s")
+        apart = merged(strong.join(whole, ["host", "node"]).where(z >= p.min_z), p)
+        own = F.concat(F.lit("/"), F.when(F.col("_as").isNotNull(), F.col("_s")).otherwise(F.lit(WILD)))
+        # written at each level, as the next one reads it more than once
+        named = now.join(apart, ["host", "node", "_s"], "left").withColumns({"template": F.concat("template", own), "node": F.concat("node", F.lit("/"), F.coalesce("_as", F.lit(_ANY)))})
+        now = written(named.drop("_as", "_s"))
+        level += 1
+    done = finish(now, level)
+    return spark.read.schema(done.schema).parquet(out)
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], p: TreeParams | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(id_col, host, path, rule, verdict, template, purity) of every row of pages.
 
     The longest rule that fits decides.  Elsewhere a url is blocked if the
-    smoothed share of good labels of its host's template is under min_purity:
+    smoothed share of good labels of its node in the host's tree, which templates
+    of like shares have in common, is under min_purity:
     (good + prior_weight * share of good of all) / (labelled + prior_weight).
     labels has (id_col, bad), bad being 1 or 0; of several labels of an id the
     worst counts.  Without any labels the share of all is 1.  A null or
@@ -105,10 +160,10 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], p: TreeParams
     bad = labels.where(F.col("bad").isin(0, 1)).groupBy(F.col(id_col).alias("key")).agg(F.max("bad").cast("int").alias("bad"))
     base = pages.select(F.col(id_col).alias("key"), F.col(url_col).cast("string").alias("url")).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}).drop("url")
     tree = templates(base.join(bad, "key", "left"), p)
-    share = tree.groupBy("host", "template").agg(F.count("bad").alias("m"), F.sum("bad").alias("b")).na.fill(0, ["b"])
+    share = tree.groupBy("host", "node").agg(F.count("bad").alias("m"), F.sum("bad").alias("b")).na.fill(0, ["b"])
     total = share.agg(F.sum("m").alias("_m"), F.sum("b").alias("_b"))
     prior = F.coalesce(1 - F.col("_b") / F.nullif(F.col("_m"), F.lit(0)), F.lit(1.0))
-    pure = share.crossJoin(F.broadcast(total)).select("host", "template", ((F.col("m") - F.col("b") + p.prior_weight * prior) / (F.col("m") + p.prior_weight)).alias("purity"))  # total is one row
-    found = tree.join(pure, ["host", "template"]).withColumn("_rule", longest_rule(rules, F.col("host"), F.col("path")))
+    pure = share.crossJoin(F.broadcast(total)).select("host", "node", ((F.col("m") - F.col("b") + p.prior_weight * prior) / (F.col("m") + p.prior_weight)).alias("purity"))  # total is one row
+    found = tree.join(pure, ["host", "node"]).withColumn("_rule", longest_rule(rules, F.col("host"), F.col("path")))
     own = F.when(F.col("purity") < p.min_purity, "block").otherwise("allow")
     return found.select(F.col("key").alias(id_col), "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce("_rule.verdict", own).alias("verdict"), "template", "purity")

@@ -211,6 +211,29 @@ def test_urls_against_plain_loops(spark):
     assert urls.judge(frame.limit(0), found, RULES).collect() == []
 
 
+def test_urls_that_part_deep_and_branches_that_are_alike(spark):
+    rows, labels = [], {}
+
+    def add(url, n, bad):
+        for k in range(n):
+            labels[len(rows)] = int(k < bad)
+            rows.append((len(rows), url % k))
+
+    for part, bad in (("good", 0), ("bad", 40)):
+        add(f"http://deep.net/2024/01/02/a/b/c/{part}/%d/x", 40, bad)
+    for part, bad in (("p", 10), ("q", 11), ("r", 0), ("s", 1)):
+        add(f"http://flat.net/{part}/%d", 20, bad)
+    add("http://flat.net/t/%d", 8, 5)
+    pages, found = spark.createDataFrame(rows, "page_id bigint, url string"), spark.createDataFrame([*labels.items()], "page_id bigint, bad int")
+    got = urls.judge(pages, found, []).collect()
+    deep = {(r.template, r.verdict) for r in got if r.host == "deep.net"}
+    assert {v for t, v in deep if "/good/" in t} == {"allow"} and {v for t, v in deep if "/bad/" in t} == {"block"} and len(deep) == 2
+    purity = {r.template.split("/")[1]: round(r.purity, 9) for r in got if r.host == "flat.net"}
+    prior = 1 - sum(labels.values()) / len(labels)
+    smooth = lambda good, n: round((good + 10 * prior) / (n + 10), 9)
+    assert purity == {"p": smooth(19, 40), "q": smooth(19, 40), "r": smooth(39, 40), "s": smooth(39, 40), "*": smooth(3, 8)}
+
+
 def exact(rows, queries, k):
     out = {}
     for i, q in queries:
