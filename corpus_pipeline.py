@@ -26,9 +26,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near duplicates."""
+    """The document of least id of each group of near duplicates, once.
+
+    Of rows of one id and equal text the first by lang, source and n_chars stays,
+    nulls first.  Unequal texts of one id, and rows with a null id, all stay.
+    """
     gone = written(neardup.near_duplicates(docs, percent=PERCENT).where("not kept").select("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    rest = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS).withColumn("_key", F.coalesce(F.sha2("text", 256), F.lit("")))
+    again = written(rest.where("doc_id is not null").groupBy("doc_id", "_key").agg(F.count("*").alias("_n")).where("_n > 1"))
+    if again.isEmpty():
+        return rest.select(*COLUMNS)
+    marked = rest.join(again, ["doc_id", "_key"], "left")
+    first = marked.where("_n is not null").groupBy("doc_id", "_key").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("_first")).select("doc_id", "_first.*")
+    return marked.where("_n is null").select(*COLUMNS).unionByName(first.select(*COLUMNS))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from motionframe.llm import neardup, neighbours, quality, substrings, urls
 from motionframe.llm.frames import table
 from motionframe.llm.queries_scores import RULES, fold
@@ -120,6 +121,14 @@ def test_near_duplicates_of_nothing(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_near_duplicate_stage_keeps_repeated_rows_once(spark):
+    text, other = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, text, "en", "w", 9), (1, text, "de", "w", 9), (1, text, "de", "w", 9), (2, text, "de", "w", 9), (1, other, "en", "w", 9), (3, None, None, "w", 0), (3, None, None, "w", 0), (4, "single", "en", "w", 6), (None, text, "en", "w", 9), (None, text, "en", "w", 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [tuple(r) for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([rows[1], rows[4], rows[5], rows[7], rows[8], rows[9]], key=str)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 50)] + [(100, 101)], "a bigint, b bigint")
     got = {r.id: r.component for r in neardup.components(edges).collect()}
