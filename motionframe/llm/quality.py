@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -100,6 +102,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * (self.raw(x) - self.cut), -40, 40)))
 
 
+def meetings(n_good: int, n_bad: int, opponents: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places among the good and the bad: every one of either meets `opponents` of the other.  The stride has no divisor in common with n_bad, so that none is passed over."""
+    stride = next(k for k in itertools.count(7) if math.gcd(k, n_bad) == 1)
+    turn = np.arange(max(n_good, n_bad))
+    return [(turn % n_good, (turn * stride + k * (1 + n_bad // opponents)) % n_bad) for k in range(opponents)]
+
+
 def fit(x: np.ndarray, y: np.ndarray, opponents: int = 8, l2: float = 1e-3, steps: int = 25) -> Model:
     """Weights by logistic loss on feature differences of (preferred, other) pairs; the cut is the score quantile with fewest errors.
 
@@ -114,9 +123,7 @@ def fit(x: np.ndarray, y: np.ndarray, opponents: int = 8, l2: float = 1e-3, step
         return Model(np.zeros(d), np.ones(d), np.zeros(d), -sign, 8.0)
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
     z = np.clip((x - mean) / scale, -8, 8)
-    most = max(len(good), len(bad))
-    turn = np.arange(most)
-    pairs = [(good[turn % len(good)], bad[(turn * 7 + k * (1 + len(bad) // opponents)) % len(bad)]) for k in range(opponents)]
+    pairs = [(good[i], bad[j]) for i, j in meetings(len(good), len(bad), opponents)]
     diff = z[np.concatenate([p[0] for p in pairs])] - z[np.concatenate([p[1] for p in pairs])]
     w = np.zeros(d)
     for _ in range(steps):  # Newton's method

@@ -144,6 +144,14 @@ def test_quality_on_held_out_labels(spark):
     assert np.mean([[a > b for b in bad] for a in good]) > 0.98
 
 
+@pytest.mark.parametrize("n_bad", [1, 2, 7, 8, 48, 49, 50, 105, 161, 217, 840])
+@pytest.mark.parametrize("n_good", [1, 30, 49, 300, 2000])
+def test_all_rows_of_both_labels_meet(n_good, n_bad):
+    pairs = quality.meetings(n_good, n_bad, 8)
+    for side, n in ((0, n_good), (1, n_bad)):
+        assert np.bincount(np.concatenate([p[side] for p in pairs]), minlength=n).min() >= 8
+
+
 def test_quality_edges(spark):
     rows = [(1, None, "x", 1), (2, "", "x", 1), (3, "word " * 50000, None, 1), (None, "a b c", "x", 1), (4, "###", "x", 1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, score string, v int")
