@@ -1,19 +1,21 @@
 """Near duplicates by min-max hashing: both ends of every permutation are kept, so half as many hashes are needed.
 
 Documents with equal shingle sets are one node.  Nodes that agree in a band of
-the signature share a bucket.  Each is compared on its full set with the least
-node of its buckets.  Where a bucket then still holds several components, no
-pair that could join two of them may be lost, nor may all pairs be listed: a
-prefix filter leaves the few that can reach the threshold at all.
+the signature share a bucket.  Each is compared on its full set with the most
+central node of each of its buckets, the pivot.  Where a pivot's nodes are still
+several components, no pair that could join two of them may be lost, nor may all
+pairs be listed: a filter on their differences from the pivot leaves the few
+that can reach the threshold at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import slices, written
@@ -106,11 +108,12 @@ def set_table(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     return texts.join(nodes, ["id", "f1", "f2"]).select("node", "items").dropDuplicates(["node"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) of nodes whose whole sets have 100 * intersection >= percent * union.
+def compared(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> DataFrame:
+    """(a, b, n_a, n_b, same[, items]) of the pairs (a, b) of nodes, on their whole sets: both sizes and that of the intersection.
 
-    A node's partners are compared with it in groups of about GROUP, so that one
-    with many is dealt over many groups.
+    With differences, items are those that only one of the two has.  A node's
+    partners are compared with it in groups of about GROUP, so that one with many
+    is dealt over many groups.
     """
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("_groups"))
     dealt = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("_groups")).cast("int").alias("_group"), F.col("b").alias("node"), F.lit(False).alias("pivot"))
@@ -118,9 +121,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     each = heads.unionByName(dealt).join(sets.hint("merge"), "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivot = None
+        pivot = np.zeros(0, U)
         for batch in slices(batches):
-            keep = []
+            at, rows, rest = [], [], []
             flat, ends = batch.column(4).flatten().to_numpy(), batch.column(4).offsets.to_numpy()
             ends = ends - ends[0]
             for k, first in enumerate(batch.column(3).to_pylist()):
@@ -128,44 +131,108 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if first:  # the rows of a group come pivot first
                     pivot = mine.copy()
                     continue
-                at = np.searchsorted(pivot, mine)
-                same = int((pivot[np.minimum(at, len(pivot) - 1)] == mine).sum())
-                if 100 * same >= percent * (len(pivot) + len(mine) - same):
-                    keep.append(k)
-            take = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(2).take(take)], ["a", "b"])
+                there = pivot[np.minimum(np.searchsorted(pivot, mine), len(pivot) - 1)] == mine
+                same = int(there.sum())
+                at.append(k)
+                rows.append((len(pivot), len(mine), same))
+                if differences:
+                    rest.append(np.setxor1d(pivot, mine, assume_unique=True))
+            take = pa.array(at, pa.int64())
+            out = [batch.column(0).take(take), batch.column(2).take(take), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3))]
+            if differences:
+                offsets = np.append(0, np.cumsum([len(x) for x in rest])).astype(np.int32)
+                values = np.concatenate(rest) if rest else np.zeros(0, U)
+                out.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64))))
+            yield pa.RecordBatch.from_arrays(out, ["a", "b", "n_a", "n_b", "same", "items"][: len(out)])
 
     n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = each.select("a", "_group", "node", "pivot", "items").repartition(n, "a", "_group").sortWithinPartitions("a", "_group", F.desc("pivot"))
     kind = pairs.schema["a"].dataType.simpleString()
-    return ordered.mapInArrow(compare, f"a {kind}, b {kind}")
+    return ordered.mapInArrow(compare, f"a {kind}, b {kind}, n_a bigint, n_b bigint, same bigint" + ", items array<bigint>" * differences)
 
 
-def possible(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes(node, component) of two components that may reach the threshold; all that do are among them.
+def alike(percent: float) -> Column:
+    """Of rows of compared(): intersection and union have the ratio at least."""
+    return 100 * F.col("same") >= percent * (F.col("n_a") + F.col("n_b") - F.col("same"))
 
-    A set whose items seen in other sets are too few can't reach it.  Of those
-    left, two that do share an item among the rarest of each, as many as may be
-    missing and one more; and neither shares more items than are seen elsewhere.
+
+def pivots(bucket: DataFrame) -> DataFrame:
+    """bucket(key, node) with its pivot a, without buckets of one node: the node that meets most others in all its buckets, as it is central to its like."""
+    many = bucket.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
+    bucket = bucket.join(many, "key")
+    weight = bucket.groupBy("node").agg(F.sum("_n").alias("_w"))
+    first = bucket.drop("_n").join(weight, "node").groupBy("key").agg(F.max(F.struct("_w", "node"))["node"].alias("a"))
+    return bucket.drop("_n").join(first, "key")
+
+
+def possible(items: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of two components, both rows of one p, that may reach the threshold; all that do are among them.
+
+    items(p, node, component, n, size, sh, covers) has the `size` items sh that a
+    node's set of n and the set of p don't share (all of its own, if p has none).
+    Two such differences are as far apart as the two sets.  So sets of n and m
+    reach the threshold only if their differences, of sizes s and t, share at
+    least (s + t - (n + m) * (100 - percent) / (100 + percent)) / 2 items.  Items
+    that only one component has can't be shared.  The others are ordered by
+    frequency: from the first shared one on, enough must be left in both.
     """
-    item = written(sets.join(nodes, "node").select("node", "component", F.size("items").alias("n"), F.explode("items").alias("sh")))
-    for _ in range(2):
-        often = item.groupBy("sh").agg(F.count("*").alias("df")).where("df > 1")
-        hit = item.drop("df", "core").join(often, "sh")
-        core = hit.groupBy("node").agg(F.count("*").alias("core")).where("core > 0")
-        kept = hit.join(core, "node").where(f"100 * core >= {percent} * n")
-        item = written(kept)
-    # how many of an item's first places its own rare items, which no other set has, take up
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "sh"))
-    reach = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("core"))
-    front = item.withColumn("_r", rank).where(F.col("_r") <= reach)
-    front = written(front.groupBy("node", "component", "n", "core").agg(F.collect_list("sh").alias("front")))
-    row = front.withColumn("sh", F.explode("front"))
-    a, b = row.alias("a"), row.select(*(F.col(c).alias(c + "2") for c in row.columns)).alias("b")
-    least = F.least("core", "core2")
-    may = (F.col("sh") == F.col("sh2")) & (F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2")) & (100 * least >= percent * (F.col("n") + F.col("n2") - least))
-    once = F.array_min(F.array_intersect("front", "front2")) == F.col("sh")  # a pair comes from one of the items that it shares
-    return a.join(b, may & once).select(F.col("node").alias("a"), F.col("node2").alias("b"))
+    often = items.groupBy("p", "sh").agg(F.count("*").alias("df"), F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi").drop("_lo", "_hi")
+    own = Window.partitionBy("p", "node")
+    left = F.count("*").over(own) - F.row_number().over(own.orderBy("df", "sh")) + 1
+    row = items.join(often, ["p", "sh"]).withColumn("left", left).where(percent * (F.col("size") - F.col("left")) <= (100 - percent) * F.col("n")).drop("df")
+    a, b = row, row.select(*(F.col(c).alias(c + "2") for c in row.columns))
+    share = F.least("left", "left2")
+    near = (100 + percent) * (F.col("size") + F.col("size2") - 2 * share) <= (100 - percent) * (F.col("n") + F.col("n2"))
+    may = (F.col("p") == F.col("p2")) & (F.col("sh") == F.col("sh2")) & (F.col("node") < F.col("node2")) & (F.col("component") != F.col("component2")) & (F.col("covers") | F.col("covers2")) & near
+    return a.join(b, may).select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
+
+
+def labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows(node, ...) with component, from found(id, component); a node without is its own."""
+    return rows.join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def links(bucket: DataFrame, sets: DataFrame, percent: int, rounds: int = 2, cover: float = 0.5) -> DataFrame:
+    """Edges (a, b) whose ends have 100 * intersection >= percent * union; they reach all that links between nodes of one bucket(key, node) reach.
+
+    In each round every node of a bucket is compared with the bucket's pivot.
+    One that shares `cover` with it is done there: whatever is linked with it is,
+    by the triangle inequality of the Jaccard distance, near the pivot too, so
+    both are known by their differences from the pivot, and possible() leaves the
+    few pairs to compare that aren't joined yet.  Nodes that no pivot covers, all
+    unlike each other, meet by the whole of their sets.
+    """
+    edges, seen = [], []
+    for _ in range(rounds):
+        bucket = written(pivots(bucket))
+        if bucket.isEmpty():
+            break
+        now = written(compared(bucket.where("a <> node").select("a", F.col("node").alias("b")).distinct(), sets))
+        edges.append(now.where(alike(percent)).select("a", "b"))
+        share = F.col("same") / (F.col("n_a") + F.col("n_b") - F.col("same"))
+        # a little less than the bounds, as these are fractions
+        now = now.withColumn("covers", share >= cover).where(share >= percent / 100 + cover - 1 - 1e-9)
+        seen.append(now.select(F.col("a").alias("p"), F.col("b").alias("node"), "covers"))
+        done = now.where("covers").select("a", F.col("b").alias("node"))
+        bucket = written(bucket.where("a <> node").join(done, ["a", "node"], "left_anti").select("key", "node"))
+    if not edges:
+        return sets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    edges = written(reduce(DataFrame.unionByName, edges))
+    found = written(components(edges))
+    # pivots among whose nodes two components could be linked
+    near = written(labelled(reduce(DataFrame.unionByName, seen), found).groupBy("p", "node", "component").agg(F.max("covers").alias("covers")))
+    mixed = near.groupBy("p").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.max("covers").alias("_c")).where("_a <> _b and _c").select("p")
+    near = written(near.join(mixed, "p"))
+    apart = compared(near.select(F.col("p").alias("a"), F.col("node").alias("b")), sets, differences=True)
+    item = apart.select(F.col("a").alias("p"), F.col("b").alias("node"), F.col("n_b").alias("n"), F.size("items").cast("long").alias("size"), F.explode("items").alias("sh")).join(near, ["p", "node"])
+    pairs = [possible(written(item), percent)] if not near.isEmpty() else []
+    rest = labelled(bucket, found)
+    mixed = rest.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b").select("key")
+    rest = written(rest.join(mixed, "key").select("node", "component").distinct())
+    if not rest.isEmpty():
+        whole = sets.join(rest, "node").select(F.lit(0).alias("p"), "node", "component", F.size("items").cast("long").alias("n"), F.explode("items").alias("sh"), F.lit(True).alias("covers"))
+        pairs.append(possible(written(whole.withColumn("size", F.col("n"))), percent))
+    return edges.unionByName(compared(reduce(DataFrame.unionByName, pairs).distinct(), sets).where(alike(percent)).select("a", "b")) if pairs else edges
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -207,17 +274,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE,
     member = written(useful.join(node, ["f1", "f2"]).select("id", "node"))
     one = useful.join(node, ["f1", "f2"]).where("id = rep")
     bucket = one.select("node", F.explode("bands").alias("key")).distinct()
-    shared = bucket.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    shared = bucket.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
     bucket = written(bucket.join(shared, "key"))
     near = bucket.select("node").distinct().join(node, "node").select(F.col("rep").alias("id"), "f1", "f2", "node")
     sets = written(set_table(docs, near, shingle))
-    edges = written(verified(bucket.where("a <> node").select("a", F.col("node").alias("b")).distinct(), sets, percent))
-    found = written(components(edges))
-    label = bucket.join(found.withColumnRenamed("id", "node"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = label.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b").select("key")
-    open_ = written(label.join(mixed, "key").select("node", "component").distinct())
-    if not open_.isEmpty():
-        edges = written(edges.unionByName(verified(possible(open_, sets, percent), sets, percent)))
+    edges = written(links(bucket, sets, percent))
     first = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("id", "a")
     same_id = member.join(first, "id").where("a <> node").select("a", F.col("node").alias("b"))
     root = components(edges.unionByName(same_id)).withColumnRenamed("id", "node")
