@@ -1,11 +1,15 @@
 """Approximate nearest neighbours by inner product: an NN-descent graph, searched greedily from many queries at once.
 
-Equal vectors are one node.  Vectors get one more component, which makes all of
-them equally long, so that nearness by inner product is that by distance.  Nodes
-are dealt into blocks of a fixed size by a hash of their ids; a block's task is
-sent each vector that it needs once.  The graph starts from the nearest nodes of
-the own block, in a few dealings; each round then joins every node's neighbours, and those that
-have it as neighbour, with each other.
+Equal vectors are one node.  The graph is by distance after the vectors were made
+equally long by one more component, so that nearness by inner product is nearness
+on the graph.  Nodes are dealt into blocks of like vectors, of bounded size, and
+numbered in them, so that a number tells the block.  Blocks exchange rows that
+hold arrays, one for each pair of blocks that have something to tell each other;
+a node's share of them is bounded by the parameters, whatever the number of nodes.
+
+The graph starts from small leaves of random projection trees.  In each round
+every node tells those that it lists, is answered by them, and joins its neighbours,
+on either side, with each other; what is nearer than what they have is offered to them.
 """
 
 from __future__ import annotations
@@ -20,56 +24,82 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import written
+from .words import U, mix
 
 
 @dataclass(frozen=True)
 class Params:
     degree: int = 32  # neighbours of a node
     reverse: int = 32  # nodes that have it as neighbour, in a round and in the search
-    block: int = 4096  # nodes of a block
-    dealings: int = 3  # of nodes to blocks, in which the graph starts
-    rounds: int = 5
-    stop: float = 0.05  # ends the rounds when fewer of all neighbours are new
+    block: int = 1024  # nodes of a block
+    leaf: int = 64  # nodes of a leaf, among which the graph starts
+    dealings: int = 4  # of nodes to leaves
+    sample: int = 2048  # vectors that the driver draws planes from
+    rounds: int = 8
+    stop: float = 0.02  # ends the rounds when fewer of all neighbours are new
     offers: int = 16  # that a block makes to a node in a round
-    entries: int = 1024  # nodes that every query starts from
-    beam: int = 320
+    entries: int = 64  # nodes that every query starts from, and as many of the longest
+    beam: int = 256
     expand: int = 48  # nodes of a query that are expanded in a round
-    search_rounds: int = 12
-    query_block: int = 512
+    search_rounds: int = 10
+    query_block: int = 256
 
 
-GRAPH = "p int, id bigint, nbrs array<bigint>, sims array<float>, fresh array<boolean>"
+#: Bits of a node's number in its block, and of a part's number in its cell.
+BITS = 20
+INDEX = (1 << BITS) - 1
 
+# what a row of MESSAGE is
+STATE, REQUEST, ANSWER, REVERSE, OFFER, ASK, LIST, WANT, VECTORS = range(9)
+MESSAGE = "dest bigint, kind int, nodes array<bigint>, vecs array<float>, bounds array<float>, ends array<int>, links array<bigint>, sims array<float>, fresh array<boolean>"
+ARRAYS = {"nodes": pa.int64(), "vecs": pa.float32(), "bounds": pa.float32(), "ends": pa.int32(), "links": pa.int64(), "sims": pa.float32(), "fresh": pa.bool_()}
 
-def _block_of(c: Column, blocks: int, seed: int = 7) -> Column:
-    return F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(blocks)).cast("int")
 
+def told(rows: list[dict]) -> pa.Table:
+    """Rows of MESSAGE; arrays that are left out are null."""
+    return pa.table({"dest": pa.array([r["dest"] for r in rows], pa.int64()), "kind": pa.array([r["kind"] for r in rows], pa.int32()), **{c: pa.array([r.get(c) for r in rows], pa.list_(kind)) for c, kind in ARRAYS.items()}})
 
-def _matrix(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False)
-    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1), kind)
 
+def heard(table: pa.Table | pa.RecordBatch) -> list[dict]:
+    """The rows of MESSAGE, their arrays as NumPy's."""
+    out = [{"dest": d, "kind": k} for d, k in zip(table.column("dest").to_pylist(), table.column("kind").to_pylist(), strict=True)]
+    for c in ARRAYS:
+        column = table.column(c)
+        for row, x in zip(out, column, strict=True):
+            if x.is_valid:
+                row[c] = x.values.to_numpy(zero_copy_only=False)
+    return out
 
-def _ragged(column: pa.ChunkedArray | pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """(values, lengths) of a list column."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False), np.diff(column.offsets.to_numpy())
 
+def of_kind(rows: list[dict], kind: int) -> list[dict]:
+    return [r for r in rows if r["kind"] == kind]
 
-def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(values, kind))
 
+def joined(rows: list[dict], column: str, kind: type) -> np.ndarray:
+    return np.concatenate([r[column] for r in rows]).astype(kind, copy=False) if rows else np.zeros(0, kind)
 
-def _best(u: np.ndarray, v: np.ndarray, s: np.ndarray, most: int, prefer: np.ndarray | None = None) -> np.ndarray:
-    """Places of the `most` largest s of each u, each v once (of equal ones, that with prefer), by u and falling s."""
-    order = np.lexsort((np.zeros(len(u), bool) if prefer is None else ~prefer, v, u))
-    new = np.ones(len(order), bool)
-    new[1:] = (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])
-    order = order[new]
-    order = order[np.lexsort((v[order], -s[order], u[order]))]
-    first = np.searchsorted(u[order], u[order])
-    return order[np.arange(len(order)) - first < most]
+
+def parts(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each distinct key with its places."""
+    if not len(keys):
+        return
+    order = np.argsort(keys, kind="stable")
+    values, first = np.unique(keys[order], return_index=True)
+    yield from zip(values.tolist(), np.split(order, first[1:]), strict=True)
+
+
+def leading(groups: np.ndarray, most: int) -> np.ndarray:
+    """Mask over sorted groups: the first `most` of each."""
+    return np.arange(len(groups)) - np.searchsorted(groups, groups) < most
+
+
+def norms(x: np.ndarray) -> np.ndarray:
+    return np.square(x.astype(np.float64)).sum(-1)
+
+
+def nearness(dots: np.ndarray, a: np.ndarray, b: np.ndarray, top: float) -> np.ndarray:
+    """Minus half the squared distance of vectors whose squared lengths a and b were made up to top; written so that long vectors don't drown short ones."""
+    return np.minimum(dots - (top * (a + b) - a * b) / (top + np.sqrt(np.maximum(top - a, 0) * np.maximum(top - b, 0))), 0).astype(np.float32)
 
 
 def usable(c: Column) -> Column:
@@ -78,183 +108,340 @@ def usable(c: Column) -> Column:
     return c.isNotNull() & (F.size(c) > 0) & ~bad & F.exists(c, lambda x: x != 0)
 
 
-def start(vectors: DataFrame, blocks: int, k: int, seed: int = 7) -> DataFrame:
-    """Each node's nearest in its own block of the dealing by seed."""
+def dealt(vectors: DataFrame, sample: np.ndarray, n: int, most: int, seed: int) -> DataFrame:
+    """vectors with the column p: cells of like vectors, cut by random planes, in parts of about `most` rows at most.
+
+    A plane lies between two vectors of the sample, in its middle.  A cell that
+    is too full for all that, as of vectors that hardly differ, is dealt by a hash.
+    """
+    bits = max(0, math.ceil(math.log2(max(n, 1) / most)))
+    rng = np.random.default_rng(seed)
+    at = rng.integers(0, max(len(sample), 1), (2, bits))
+    planes = (sample[at[0]] - sample[at[1]]).astype(np.float32) if len(sample) else np.zeros((0, 1), np.float32)
+    flat = np.abs(planes).sum(1) == 0
+    planes[flat] = rng.normal(size=(int(flat.sum()), planes.shape[1]))
+    middle = np.median(sample @ planes.T, 0) if len(sample) else np.zeros(0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(batch.schema.get_field_index("vec")).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            cell = ((x @ planes.T > middle) << np.arange(bits)).sum(1) if bits else np.zeros(batch.num_rows, np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int64))], [*batch.schema.names, "p"])
+
+    celled = vectors.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema) + ", p bigint")
+    full = celled.groupBy("p").agg(F.ceil(F.count("*") / most).alias("_parts"))
+    part = F.pmod(F.xxhash64("id", F.lit(seed)), F.col("_parts"))
+    return celled.join(full, "p").withColumn("p", F.col("p") * (1 << BITS) + part).drop("_parts")
+
+
+def packed(vectors: DataFrame, p: Params) -> DataFrame:
+    """A STATE row for each block of vectors(p, node, vec): vecs by node, and no neighbours yet."""
+
+    def run(key: tuple, part: pa.Table) -> pa.Table:
+        order = np.argsort(part["node"].to_numpy())
+        n = len(order)
+        x = part["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)[order]
+        return told([{"dest": key[0].as_py(), "kind": STATE, "vecs": x.ravel(), "links": np.full(n * p.degree, -1), "sims": np.full(n * p.degree, -np.inf, np.float32), "fresh": np.zeros(n * p.degree, bool)}])
+
+    return vectors.select("p", "node", "vec").groupBy("p").applyInArrow(run, MESSAGE)
+
+
+def opened(row: dict, degree: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(vecs, links, sims, fresh) of a STATE row, a row a node."""
+    links = row["links"].reshape(-1, degree)
+    return row["vecs"].reshape(len(links), -1), links, row["sims"].reshape(-1, degree), row["fresh"].reshape(-1, degree)
+
+
+def started(vectors: DataFrame, p: Params, top: float, seed: int) -> DataFrame:
+    """OFFER rows: the nearest of each node of vectors(p, node, vec) in its leaf of a tree of random planes through the cell p."""
 
     def run(key: tuple, part: pa.Table) -> pa.Table:
-        ids, x = part["id"].to_numpy(), _matrix(part["vec"], np.float32)
-        most = min(k, len(ids) - 1)
-        nbrs, sims = np.zeros((len(ids), most), np.int64), np.zeros((len(ids), most), np.float32)
-        for at in range(0, len(ids), 512):
-            s = x[at : at + 512] @ x.T
-            s[np.arange(len(s)), np.arange(at, at + len(s))] = -np.inf
-            near = np.argpartition(-s, most - 1, axis=1)[:, :most] if most else np.zeros((len(s), 0), int)
-            nbrs[at : at + 512], sims[at : at + 512] = ids[near], np.take_along_axis(s, near, 1)
-        counts = np.full(len(ids), most)
-        return pa.table({"p": part["p"], "id": part["id"], "nbrs": _lists(nbrs.ravel(), counts, pa.int64()), "sims": _lists(sims.ravel(), counts, pa.float32()), "fresh": _lists(np.ones(nbrs.size, bool), counts, pa.bool_())})
-
-    return vectors.withColumn("p", _block_of(F.col("id"), blocks, seed)).groupBy("p").applyInArrow(run, GRAPH)
-
-
-def _reverse(graph: DataFrame, most: int, seed: int) -> DataFrame:
-    """(w, c, fresh): at most `most` nodes c that have w as neighbour, new ones first, else by a hash."""
-    edge = graph.select(F.col("id").alias("c"), F.explode(F.arrays_zip("nbrs", "fresh")).alias("e")).select(F.col("e.nbrs").alias("w"), "c", F.col("e.fresh").alias("fresh"))
-    rank = F.row_number().over(Window.partitionBy("w").orderBy(F.desc("fresh"), F.xxhash64("c", "w", F.lit(seed))))
-    return edge.withColumn("_r", rank).where(F.col("_r") <= most).drop("_r")
-
-
-def descend(graph: DataFrame, vectors: DataFrame, blocks: int, p: Params, seed: int) -> DataFrame:
-    """The graph after one round, as GRAPH; fresh tells what came in this round."""
-    forward = graph.select(F.col("id").alias("w"), F.explode(F.arrays_zip("nbrs", "fresh")).alias("e")).select("w", F.col("e.nbrs").alias("c"), F.col("e.fresh").alias("fresh"))
-    edge = written(forward.unionByName(_reverse(graph, p.reverse, seed)).withColumn("p", _block_of(F.col("w"), blocks)).groupBy("p", "w", "c").agg(F.max("fresh").alias("fresh")))
-    bound = graph.select("id", F.when(F.size("sims") < p.degree, F.lit(-float("inf"))).otherwise(F.array_min("sims")).cast("float").alias("bound"))
-    known = vectors.join(bound, "id")
-    need = edge.select(F.col("p").alias("p"), F.col("c").alias("id")).distinct().join(known, "id").select("p", "id", "vec", "bound")
-
-    def local(key: tuple, edges: pa.Table, vecs: pa.Table) -> pa.Table:
-        ids, x, least = vecs["id"].to_numpy(), _matrix(vecs["vec"], np.float32), vecs["bound"].to_numpy()
-        order = np.argsort(ids)
-        ids, x, least = ids[order], x[order], least[order]
-        w, c, fresh = edges["w"].to_numpy(), edges["c"].to_numpy(), edges["fresh"].to_numpy()
-        order = np.argsort(w, kind="stable")
-        c, fresh = np.searchsorted(ids, c[order]), fresh[order]
-        _, first, count = np.unique(w[order], return_index=True, return_counts=True)
-        width = int(count.max(initial=0))
-        slot = np.arange(width)
-        kept: list[tuple] = []
-        size = 0
+        ids = part["node"].to_numpy()
+        x = part["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        length, rng = norms(x), np.random.default_rng([seed, key[0].as_py()])
+        stack, found = [np.arange(len(ids))], []
+        while stack:
+            at = stack.pop()
+            if len(at) > p.leaf:
+                a, b = x[rng.choice(at, 2, replace=False)]
+                half = np.argpartition(x[at] @ (a - b), len(at) // 2)
+                stack += [at[half[: len(at) // 2]], at[half[len(at) // 2 :]]]
+                continue
+            s = nearness(x[at] @ x[at].T, length[at][:, None], length[at], top)
+            np.fill_diagonal(s, -np.inf)
+            most = min(p.degree, len(at) - 1)
+            near = np.argpartition(-s, max(most - 1, 0), axis=1)[:, :most]
+            found.append((np.repeat(ids[at], most), ids[at][near].ravel(), np.take_along_axis(s, near, 1).ravel()))
+        u, v, s = (np.concatenate(c) for c in zip(*found, strict=True))
+        return told([{"dest": to, "kind": OFFER, "nodes": u[k], "links": v[k], "sims": s[k]} for to, k in parts(u >> BITS)])
+
+    return vectors.select("p", "node", "vec").groupBy("p").applyInArrow(run, MESSAGE)
+
+
+def merged(state: DataFrame, offers: DataFrame, p: Params) -> DataFrame:
+    """STATE rows with the nearest of what each node has and is offered; fresh tells those that were only offered."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        rows = heard(table)
+        own, offered = of_kind(rows, STATE)[0], of_kind(rows, OFFER)
+        _, links, sims, _ = opened(own, p.degree)
+        n = len(links)
+        u = np.append(np.repeat(np.arange(n), p.degree), joined(offered, "nodes", np.int64) & INDEX)
+        v, s = np.append(links.ravel(), joined(offered, "links", np.int64)), np.append(sims.ravel(), joined(offered, "sims", np.float32))
+        new = np.arange(len(u)) >= links.size
+        order = np.lexsort((new, v, u))
+        order = order[v[order] >= 0]
+        once = np.ones(len(order), bool)
+        once[1:] = (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])
+        order = order[once]
+        order = order[np.lexsort((v[order], -s[order], u[order]))]
+        order = order[leading(u[order], p.degree)]
+        slot = np.arange(len(order)) - np.searchsorted(u[order], u[order])
+        to = u[order] * p.degree + slot
+        links, sims, fresh = np.full(n * p.degree, -1), np.full(n * p.degree, -np.inf, np.float32), np.zeros(n * p.degree, bool)
+        links[to], sims[to], fresh[to] = v[order], s[order], new[order]
+        return told([{"dest": key[0].as_py(), "kind": STATE, "vecs": own["vecs"], "links": links, "sims": sims, "fresh": fresh}])
+
+    return state.unionByName(offers).groupBy("dest").applyInArrow(run, MESSAGE)
+
+
+def requests(state: DataFrame, p: Params, vectors: bool = True) -> DataFrame:
+    """REQUEST rows: what nodes list which of another block's, with the listing nodes' vectors and the nearness that they ask for at least."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in heard(batch):
+                x, links, sims, fresh = opened(row, p.degree)
+                who, slot = np.nonzero(links >= 0)
+                to, out = links[who, slot], []
+                for dest, k in parts(to >> BITS):
+                    nodes, at = np.unique(who[k], return_inverse=True)
+                    out.append({"dest": dest, "kind": REQUEST, "nodes": row["dest"] << BITS | nodes, "ends": at.astype(np.int32), "links": to[k], "fresh": fresh[who[k], slot[k]]})
+                    if vectors:
+                        out[-1] |= {"vecs": x[nodes].ravel(), "bounds": sims[nodes].min(1)}
+                yield from told(out).to_batches()
+
+    return state.mapInArrow(run, MESSAGE)
+
+
+def thinned(asked: list[dict], most: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node's place in the block, who lists it, fresh) of REQUEST rows: at most `most` of each node, new ones first, else by a hash."""
+    who = np.concatenate([r["nodes"][r["ends"]] for r in asked]) if asked else np.zeros(0, np.int64)
+    to, fresh = joined(asked, "links", np.int64) & INDEX, joined(asked, "fresh", bool)
+    order = np.lexsort((mix(who.astype(U) ^ U(seed << 40) ^ to.astype(U) << U(50)), ~fresh, to))
+    order = order[leading(to[order], most)]
+    return to[order], who[order], fresh[order]
+
+
+def answers(state: DataFrame, asked: DataFrame, p: Params, seed: int) -> DataFrame:
+    """ANSWER rows for those who asked, and a REVERSE row for the own block."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        rows = heard(table)
+        asked, out, here = of_kind(rows, REQUEST), [], key[0].as_py()
+        x, _, sims, _ = opened(of_kind(rows, STATE)[0], p.degree)
+        for r in asked:
+            nodes = np.unique(r["links"] & INDEX)
+            out.append({"dest": int(r["nodes"][0]) >> BITS, "kind": ANSWER, "nodes": here << BITS | nodes, "vecs": x[nodes].ravel(), "bounds": sims[nodes].min(1)})
+        to, who, fresh = thinned(asked, p.reverse, seed)
+        nodes, vecs, bounds = joined(asked, "nodes", np.int64), joined(asked, "vecs", np.float32).reshape(-1, x.shape[1]), joined(asked, "bounds", np.float32)
+        nodes, at = np.unique(nodes, return_index=True)
+        kept = np.unique(np.searchsorted(nodes, who))
+        out.append({"dest": here, "kind": REVERSE, "nodes": nodes[kept], "vecs": vecs[at[kept]].ravel(), "bounds": bounds[at[kept]], "ends": to.astype(np.int32), "links": who, "fresh": fresh})
+        return told(out)
+
+    return state.unionByName(asked).groupBy("dest").applyInArrow(run, MESSAGE)
+
+
+def offers(state: DataFrame, answered: DataFrame, p: Params, top: float) -> DataFrame:
+    """OFFER rows: each node's neighbours, on either side, joined with each other, where one of a pair is new and near enough."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        rows = heard(table)
+        known, back = [r for r in rows if r["kind"] != STATE], of_kind(rows, REVERSE)
+        x, links, _, fresh = opened(of_kind(rows, STATE)[0], p.degree)
+        ids, at = np.unique(joined(known, "nodes", np.int64), return_index=True)
+        x, least = joined(known, "vecs", np.float32).reshape(-1, x.shape[1])[at], joined(known, "bounds", np.float32)[at]
+        if not len(ids):
+            return told([])
+        length, n = norms(x), len(links)
+        who = np.where(links >= 0, np.searchsorted(ids, links), -1)
+        turned, new = np.full((n, p.reverse), -1), np.zeros((n, p.reverse), bool)
+        to = joined(back, "ends", np.int64)
+        slot = np.arange(len(to)) - np.searchsorted(to, to)
+        turned[to, slot], new[to, slot] = np.searchsorted(ids, joined(back, "links", np.int64)), joined(back, "fresh", bool)
+        who, fresh = np.hstack([who, turned]), np.hstack([fresh, new])
+        # one key holds a node, the distance and another node, so that sorting puts the nearest first
+        width = U(max(1, len(ids).bit_length()))
+        precise = U(min(31, 64 - 2 * int(width)))
+        kept, size = [], 0
 
         def squeeze() -> None:
             nonlocal kept, size
-            u, v, s = (np.concatenate(a) for a in zip(*kept, strict=True))
-            best = _best(u, v, s, p.offers)
-            kept, size = [(u[best], v[best], s[best])], 0
-
-        for at in range(0, len(first), 128):
-            f, n = first[at : at + 128, None], count[at : at + 128, None]
-            there = slot < n
-            place = np.where(there, f + slot, f)
-            who, new = c[place], fresh[place] & there
-            y = x[who]
-            s = y @ y.transpose(0, 2, 1)
-            ok = there[:, :, None] & there[:, None, :] & (new[:, :, None] | new[:, None, :]) & (who[:, :, None] != who[:, None, :]) & (s > least[who][:, :, None])
-            a, i, j = np.nonzero(ok)
-            kept.append((who[a, i], who[a, j], s[a, i, j]))
-            size += len(a)
+            keys = np.unique(np.concatenate(kept))
+            kept, size = [keys[leading(keys >> (width + precise), p.offers)]], 0
+
+        for a in range(0, n, 64):
+            m = who[a : a + 64]
+            y, there = x[m], m >= 0
+            s = nearness(y @ y.transpose(0, 2, 1), length[m][:, :, None], length[m][:, None, :], top)
+            new = fresh[a : a + 64] & there
+            ok = (new[:, :, None] | new[:, None, :]) & there[:, :, None] & there[:, None, :] & (m[:, :, None] != m[:, None, :]) & (s > least[m][:, :, None])
+            b, i, j = np.nonzero(ok)
+            far = (0 - s[b, i, j]).view(np.uint32).astype(U) >> (U(31) - precise)
+            kept.append(m[b, i].astype(U) << (width + precise) | far << width | m[b, j].astype(U))
+            size += len(b)
             if size > 2_000_000:
                 squeeze()
         if kept:
             squeeze()
-        u, v, s = kept[0] if kept else (np.zeros(0, int),) * 3
-        to, counts = np.unique(u, return_counts=True)
-        return pa.table({"id": pa.array(ids[to], pa.int64()), "nbrs": _lists(ids[v], counts, pa.int64()), "sims": _lists(s.astype(np.float32), counts, pa.float32())})
-
-    offers = edge.groupBy("p").cogroup(need.groupBy("p")).applyInArrow(local, "id bigint, nbrs array<bigint>, sims array<float>")
-    return merged(graph, offers, blocks, p.degree)
-
-
-def merged(graph: DataFrame, offers: DataFrame, blocks: int, degree: int) -> DataFrame:
-    """The graph with the best of its neighbours and of offers(id, nbrs, sims); fresh tells those that were only offered."""
-    rows = graph.select("p", "id", "nbrs", "sims", F.lit(True).alias("old")).unionByName(offers.select(_block_of(F.col("id"), blocks).alias("p"), "id", "nbrs", "sims", F.lit(False).alias("old")))
-
-    def merge(key: tuple, part: pa.Table) -> pa.Table:
-        nbrs, counts = _ragged(part["nbrs"], np.int64)
-        sims, _ = _ragged(part["sims"], np.float32)
-        u, old = np.repeat(part["id"].to_numpy(), counts), np.repeat(part["old"].to_numpy(), counts)
-        best = _best(u, nbrs, sims, degree, old)
-        to, n = np.unique(u[best], return_counts=True)
-        return pa.table({"p": pa.array(np.full(len(to), key[0].as_py(), np.int32)), "id": to, "nbrs": _lists(nbrs[best], n, pa.int64()), "sims": _lists(sims[best], n, pa.float32()), "fresh": _lists(~old[best], n, pa.bool_())})
-
-    return rows.groupBy("p").applyInArrow(merge, GRAPH)
-
-
-def build(vectors: DataFrame, n: int, p: Params) -> DataFrame:
-    """The neighbour graph of the n vectors(id, vec), as GRAPH.  Nodes without any other node have no row in it."""
-    blocks = max(1, math.ceil(n / p.block))
-    graph = written(start(vectors, blocks, p.degree))
-    if blocks == 1:  # the start is exact
-        return graph
-    # of one dealing alone the blocks would be islands
-    for seed in range(1, p.dealings):
-        graph = written(merged(graph, start(vectors, blocks, p.degree, seed), blocks, p.degree))
-    graph = written(graph.withColumn("fresh", F.transform("nbrs", lambda x: F.lit(True))))
+        keys = kept[0] if kept else np.zeros(0, U)
+        u, v = ids[(keys >> (width + precise)).astype(np.int64)], ids[(keys & ((U(1) << width) - U(1))).astype(np.int64)]
+        s = -(((keys >> width) & ((U(1) << precise) - U(1))) << (U(31) - precise)).astype(np.uint32).view(np.float32)
+        return told([{"dest": to, "kind": OFFER, "nodes": u[k], "links": v[k], "sims": s[k]} for to, k in parts(u >> BITS)])
+
+    return state.unionByName(answered).groupBy("dest").applyInArrow(run, MESSAGE)
+
+
+def build(vectors: DataFrame, sample: np.ndarray, n: int, top: float, p: Params) -> DataFrame:
+    """The neighbour graph of the n vectors(p, node, id, vec), as STATE rows."""
+    state = written(packed(vectors, p))
+    for seed in range(1, p.dealings + 1):
+        cells = dealt(vectors.drop("p"), sample, n, p.block, seed)
+        state = written(merged(state, started(cells, p, top, seed), p))
+    state = written(state.withColumn("fresh", F.transform("links", lambda x: x >= 0)))
     for seed in range(p.rounds):
-        graph = written(descend(graph, vectors, blocks, p, seed))
-        came, total = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x))), F.sum(F.size("fresh"))).first()
+        told_ = answers(state, requests(state, p), p, seed)
+        state = written(merged(state, offers(state, told_, p, top), p))
+        came, total = state.agg(F.sum(F.size(F.filter("fresh", lambda x: x))), F.sum(F.size("fresh"))).first()
         if came < p.stop * total:
             break
-    return graph
+    return state
 
 
-STATE = "b int, id bigint, vec array<float>, cand array<bigint>, sims array<float>, done array<boolean>"
+def lists(state: DataFrame, p: Params) -> DataFrame:
+    """A STATE row for each block, with the neighbours of each node on either side in links, and their numbers in ends."""
 
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        rows = heard(table)
+        _, links, _, _ = opened(of_kind(rows, STATE)[0], p.degree)
+        to, who, _ = thinned(of_kind(rows, REQUEST), p.reverse, 0)
+        u, v = np.append(np.repeat(np.arange(len(links)), p.degree), to), np.append(links.ravel(), who)
+        order = np.lexsort((v, u))
+        order = order[v[order] >= 0]
+        once = np.ones(len(order), bool)
+        once[1:] = (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])
+        order = order[once]
+        return told([{"dest": key[0].as_py(), "kind": STATE, "links": v[order], "ends": np.bincount(u[order], minlength=len(links)).astype(np.int32)}])
 
-def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, n: int, p: Params) -> DataFrame:
-    """(id, cand, sims): the nodes that a greedy search of each of queries(id, vec, own) holds at its end, nearest first.
+    return state.unionByName(requests(state, p, vectors=False)).groupBy("dest").applyInArrow(run, MESSAGE)
 
-    own is the query's own node, or null.  A round expands each query's `expand`
-    nearest nodes that it hasn't expanded, until none is left or search_rounds
-    are over.  Queries are dealt into blocks, whose tasks get each vector once.
-    """
-    count = queries.count()
-    blocks = max(1, math.ceil(count / p.query_block))
-    adjacent = graph.select("id", "nbrs").unionByName(_reverse(graph, p.reverse, -1).groupBy(F.col("w").alias("id")).agg(F.collect_list("c").alias("nbrs")))
-    adjacent = written(adjacent.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("nbrs"))).alias("nbrs")))
-    entry = [r[0] for r in vectors.select("id").orderBy(F.xxhash64("id", F.lit(11)), "id").limit(p.entries).collect()]  # `entries` bounds it
-    none = "array<bigint>", "array<float>", "array<boolean>"
-    state = queries.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("b"), "id", "vec", *(F.array().cast(k).alias(c) for c, k in zip(("cand", "sims", "done"), none, strict=True)), "own")
-    state = written(state)
-    for round_ in range(p.search_rounds + 1):
-        if round_ == 0:
-            # every query looks at the entries, and at its own node's neighbours
-            wanted = state.where("own is not null").select("b", F.col("own").alias("id"), "id").toDF("b", "node", "q")
-            first = state.select("b").distinct().select("b", F.lit(None).cast("long").alias("node"), F.lit(entry).cast("array<bigint>").alias("nbrs"))
-            open_ = wanted.select("b", "node").distinct()
+
+QUERY = "b bigint, id bigint, own bigint, vec array<float>, cand array<bigint>, sims array<float>, done array<boolean>"
+
+
+def asks(queries: DataFrame, p: Params, entries: np.ndarray | None) -> DataFrame:
+    """ASK rows for the nodes that each block of queries expands next.  With entries, these are their own nodes, and the entries are LIST and WANT rows."""
+
+    def run(key: tuple, part: pa.Table) -> pa.Table:
+        b, out = key[0].as_py(), []
+        if entries is None:
+            nodes = [np.array(c.as_py(), np.int64)[~np.array(d.as_py(), bool)][: p.expand] for c, d in zip(part["cand"], part["done"], strict=True)]
+            nodes = np.unique(np.concatenate(nodes))
         else:
-            flat = state.select("b", F.explode(F.slice(F.expr("filter(arrays_zip(cand, done), x -> not x.done)"), 1, p.expand)).alias("e"))
-            open_, first = flat.select("b", F.col("e.cand").alias("node")).distinct(), None
-        lists = open_.join(adjacent.withColumnRenamed("id", "node"), "node").select("b", "node", "nbrs")
-        lists = written(lists if first is None else lists.unionByName(first))
-        need = lists.select("b", F.explode("nbrs").alias("id")).distinct().join(vectors, "id")
-        sent = lists.select("b", F.col("node").alias("id"), "nbrs", F.lit(None).cast("array<float>").alias("vec")).unionByName(need.select("b", "id", F.lit(None).cast("array<bigint>").alias("nbrs"), "vec"))
-
-        first_round = round_ == 0
-
-        def step(key: tuple, mine: pa.Table, got: pa.Table) -> pa.Table:
-            is_list = np.asarray(got["vec"].is_null())
-            vecs, near = got.filter(pa.array(~is_list)), got.filter(pa.array(is_list))
-            ids, x = vecs["id"].to_numpy(), _matrix(vecs["vec"], np.float32)
-            order = np.argsort(ids)
-            ids, x = ids[order], x[order]
-            values, counts = _ragged(near["nbrs"], np.int64)
-            ends = np.cumsum(counts)
-            of: dict[int | None, list[np.ndarray]] = {}
-            values = np.searchsorted(ids, values)
-            for node, a, b in zip(near["id"].to_pylist(), (ends - counts).tolist(), ends.tolist(), strict=True):
-                of.setdefault(node, []).append(values[a:b])
-            entries = np.unique(np.concatenate(of.pop(None))) if None in of else np.zeros(0, int)
-            out = []
-            own = mine["own"].to_pylist() if first_round else [None] * mine.num_rows
-            for q, vec, cand, sims, done, me in zip(mine["id"].to_pylist(), _matrix(mine["vec"], np.float32), mine["cand"], mine["sims"], mine["done"], own, strict=True):
-                cand, sims, done = np.array(cand.as_py(), np.int64), np.array(sims.as_py(), np.float32), np.array(done.as_py(), bool)
-                go = np.flatnonzero(~done)[: p.expand]
-                parts = [a for node in cand[go].tolist() for a in of.get(node, ())]
-                if first_round:
-                    parts = [entries, *of.get(me, ())]
-                done[go] = True
-                new = np.unique(np.concatenate(parts)) if parts else np.zeros(0, int)
-                new = new[~np.isin(ids[new], cand)] if len(new) else new
-                cand, sims, done = np.append(cand, ids[new] if len(new) else []).astype(np.int64), np.append(sims, x[new] @ vec if len(new) else []).astype(np.float32), np.append(done, np.zeros(len(new), bool))
-                keep = np.lexsort((cand, -sims))[: p.beam]
-                out.append((q, cand[keep], sims[keep], done[keep]))
-            counts = np.array([len(r[1]) for r in out])
-            flat = lambda k, t: np.concatenate([r[k] for r in out]).astype(t) if out else np.zeros(0, t)
-            return pa.table({"b": mine["b"], "id": mine["id"], "vec": mine["vec"], "cand": _lists(flat(1, np.int64), counts, pa.int64()), "sims": _lists(flat(2, np.float32), counts, pa.float32()), "done": _lists(flat(3, bool), counts, pa.bool_())})
-
-        state = written(state.groupBy("b").cogroup(sent.groupBy("b")).applyInArrow(step, STATE))
-        if state.where(F.exists("done", lambda x: ~x)).isEmpty():
+            nodes = np.unique(np.array([x for x in part["own"].to_pylist() if x is not None], np.int64))
+            out.append({"dest": b, "kind": LIST, "nodes": np.array([-1]), "ends": np.array([len(entries)], np.int32), "links": entries})
+            out += [{"dest": to, "kind": WANT, "nodes": entries[k], "links": np.array([b])} for to, k in parts(entries >> BITS)]
+        return told(out + [{"dest": to, "kind": ASK, "nodes": nodes[k], "links": np.array([b])} for to, k in parts(nodes >> BITS)])
+
+    return queries.groupBy("b").applyInArrow(run, MESSAGE)
+
+
+def tells(near: DataFrame, asked: DataFrame) -> DataFrame:
+    """LIST rows, of the neighbours of the nodes asked for, and WANT rows to the neighbours' blocks."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        rows = heard(table)
+        out = [r for r in rows if r["kind"] in (LIST, WANT)]
+        asked = of_kind(rows, ASK)
+        if asked:
+            own = of_kind(rows, STATE)[0]
+            ends = np.append(0, np.cumsum(own["ends"]))
+        for r in asked:
+            at = r["nodes"] & INDEX
+            flat = np.concatenate([own["links"][ends[k] : ends[k + 1]] for k in at.tolist()])
+            out.append({"dest": int(r["links"][0]), "kind": LIST, "nodes": r["nodes"], "ends": own["ends"][at], "links": flat})
+            flat = np.unique(flat)
+            out += [{"dest": to, "kind": WANT, "nodes": flat[k], "links": r["links"]} for to, k in parts(flat >> BITS)]
+        return told(out)
+
+    return near.unionByName(asked).groupBy("dest").applyInArrow(run, MESSAGE)
+
+
+def sent(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
+    """VECTORS rows: what each block of queries wants, each vector once."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        rows = heard(table)
+        wanted, out = of_kind(rows, WANT), []
+        for b in sorted({int(r["links"][0]) for r in wanted}):
+            nodes = np.unique(np.concatenate([r["nodes"] for r in wanted if r["links"][0] == b]))
+            own = of_kind(rows, STATE)[0]
+            out.append({"dest": b, "kind": VECTORS, "nodes": nodes, "vecs": own["vecs"].reshape(len(own["ends"]), -1)[nodes & INDEX].ravel()})
+        return told(out)
+
+    return blocks.unionByName(wanted).groupBy("dest").applyInArrow(run, MESSAGE)
+
+
+def stepped(queries: DataFrame, got: DataFrame, p: Params, first: bool) -> DataFrame:
+    """QUERY rows after what the LIST rows name was scored by the VECTORS rows."""
+
+    def run(key: tuple, mine: pa.Table, table: pa.Table) -> pa.Table:
+        rows = heard(table)
+        ids, at = np.unique(joined(of_kind(rows, VECTORS), "nodes", np.int64), return_index=True)
+        x = joined(of_kind(rows, VECTORS), "vecs", np.float32)
+        x = x.reshape(len(at), -1)[at] if len(at) else x.reshape(0, 1)
+        of: dict[int, np.ndarray] = {}
+        for r in of_kind(rows, LIST):
+            ends = np.cumsum(r["ends"])
+            of |= dict(zip(r["nodes"].tolist(), np.split(np.searchsorted(ids, r["links"]), ends[:-1]), strict=True))
+        out = []
+        for vec, cand, sims, done, own in zip(mine["vec"], mine["cand"], mine["sims"], mine["done"], mine["own"].to_pylist(), strict=True):
+            vec, cand, sims, done = (c.values.to_numpy(zero_copy_only=False) for c in (vec, cand, sims, done))
+            done = done.copy()
+            go = np.flatnonzero(~done)[: p.expand]
+            done[go] = True
+            lists = [of[k] for k in (cand[go].tolist() if not first else [-1, own]) if k in of]
+            new = np.unique(np.concatenate(lists)) if lists else np.zeros(0, int)
+            new = new[~np.isin(ids[new], cand)] if len(new) else new
+            if len(new):
+                cand, sims, done = np.append(cand, ids[new]), np.append(sims, x[new] @ vec), np.append(done, np.zeros(len(new), bool))
+            keep = np.lexsort((cand, -sims))[: p.beam]
+            out.append((cand[keep], sims[keep], done[keep]))
+        columns = {c: pa.array([r[k] for r in out], pa.list_(kind)) for k, (c, kind) in enumerate({"cand": pa.int64(), "sims": pa.float32(), "done": pa.bool_()}.items())}
+        return pa.table({"b": mine["b"], "id": mine["id"], "own": mine["own"], "vec": mine["vec"], **columns})
+
+    return queries.groupBy("b").cogroup(got.groupBy("dest")).applyInArrow(run, QUERY)
+
+
+def search(queries: DataFrame, state: DataFrame, entries: np.ndarray, p: Params) -> DataFrame:
+    """(id, cand, sims): the nodes that a greedy search of each of queries(b, id, own, vec) holds at its end, nearest first.
+
+    own is the query's own node, or null; b, below zero, names blocks of queries.
+    A round expands each query's `expand` nearest nodes that it hasn't expanded,
+    until none is left or search_rounds are over.
+    """
+    near = written(lists(state, p))
+    blocks = written(state.drop("ends").withColumn("ends", F.sequence(F.lit(1), (F.size("links") / p.degree).cast("int"))).withColumns({"links": F.lit(None).cast("array<bigint>"), "sims": F.lit(None).cast("array<float>"), "fresh": F.lit(None).cast("array<boolean>")}))
+    none = {"cand": "array<bigint>", "sims": "array<float>", "done": "array<boolean>"}
+    now = written(queries.select("b", "id", "own", "vec", *(F.array().cast(kind).alias(c) for c, kind in none.items())))
+    for turn in range(p.search_rounds + 1):
+        got = written(tells(near, asks(now, p, entries if turn == 0 else None)))
+        back = sent(blocks, got.where(F.col("kind") == WANT)).unionByName(got.where(F.col("kind") == LIST))
+        now = written(stepped(now, back, p, turn == 0))
+        if now.where(F.exists("done", lambda x: ~x)).isEmpty():
             break
-    return state.select("id", "cand", "sims")
+    return now.select("id", "cand", "sims")
 
 
 def nearest(base: DataFrame, queries: DataFrame, k: int = 20, params: Params | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -264,29 +451,37 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, params: Params | N
     among its results.  score is the inner product in double precision, summed
     from the first component to the last; ties go to the smaller id.  Rows whose
     id or vector is null, or whose vector is zero or holds null or non-finite
-    components, take no part; all vectors must have one length.  Of repeated ids
-    each vector counts.  With at most `entries` distinct vectors the result is
-    exact, else approximate.
+    components, take no part; of vectors of several lengths the shorter ones count
+    as filled up with zeros.  Of repeated ids each vector counts.
     """
     p = params or Params()
     tidy = lambda df: df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("raw")).where(F.col("id").isNotNull() & usable(F.col("raw")))
-    base, asked = written(tidy(base)), tidy(queries).distinct()
-    node = written(base.groupBy("raw").agg(F.min("id").alias("node"), F.count_distinct("id").alias("n")))
-    # two vectors may have the same least id; the node's number must not
-    if not node.groupBy("node").count().where("count > 1").isEmpty():
-        node = written(node.withColumn("node", F.xxhash64("raw")))
-    norm = F.aggregate("raw", F.lit(0.0), lambda a, x: a + x * x)
-    n, longest = node.agg(F.count("*"), F.max(norm)).first()
-    if not n:
+    base, asked = written(tidy(base)), written(tidy(queries).distinct())
+    size = F.max(F.size("raw"))
+    wide = max(base.agg(size).first()[0] or 0, asked.agg(size).first()[0] or 0)
+    filled = lambda df: df.withColumn("raw", F.concat("raw", F.array_repeat(F.lit(0.0), F.lit(wide) - F.size("raw"))))
+    base, asked = filled(base), filled(asked)
+    largest = base.agg(F.max(F.array_max(F.transform("raw", F.abs)))).first()[0]
+    if largest is None:
         return asked.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias(id_col), F.lit(0.0).alias("score")).limit(0)
-    rest = F.sqrt(F.greatest(F.lit(longest) - norm, F.lit(0.0)))
-    unit = F.lit(1 / math.sqrt(longest))
-    vectors = written(node.select(F.col("node").alias("id"), F.transform(F.concat("raw", F.array(rest)), lambda x: (x * unit).cast("float")).alias("vec")))
-    graph = build(vectors, n, p)
-    own = asked.join(node.select("raw", F.col("node").alias("own")), "raw", "left")
-    query = own.select(F.monotonically_increasing_id().alias("id"), F.col("id").alias("query_id"), F.transform(F.concat("raw", F.array(F.lit(0.0))), lambda x: (x * unit).cast("float")).alias("vec"), "own", "raw")
-    query = written(query)
-    hits = search(query.select("id", "vec", "own"), graph, vectors, n, p)
+    scaled = lambda by: F.transform("raw", lambda x: (x / by).cast("float")).alias("vec")
+    node = base.groupBy("raw").agg(F.min("id").alias("id")).select("id", "raw", scaled(largest))
+    node = written(node)
+    length = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
+    n, top = node.agg(F.count("*"), F.max(length)).first()
+    drawn = node.orderBy(F.xxhash64("raw"), "id").limit(p.sample).select("vec").toArrow()["vec"].combine_chunks()  # `sample` bounds it
+    sample = drawn.flatten().to_numpy(zero_copy_only=False).reshape(len(drawn), -1)
+    place = F.row_number().over(Window.partitionBy("p").orderBy(F.xxhash64("raw"), "id")) - 1
+    node = written(dealt(node, sample, n, p.block, 0).withColumn("node", F.col("p") * (1 << BITS) + place))
+    state = build(node.select("p", "node", "id", "vec"), sample, n, top, p)
+    by = [F.xxhash64("raw"), length.desc()]
+    entries = np.unique([r[0] for order in by for r in node.orderBy(order, "id").limit(p.entries).select("node").collect()])  # `entries` bounds it
+    # a query's scale doesn't change its order
+    own = asked.join(node.select("raw", F.col("node").alias("own")), "raw", "left").withColumn("query_id", F.col("id")).withColumn("id", F.monotonically_increasing_id())
+    query = written(own.select("id", "query_id", "own", "raw", scaled(F.greatest(F.lit(largest), F.array_max(F.transform("raw", F.abs))))))
+    count = query.count()
+    like = dealt(query.select("id", "own", "vec"), sample, count, p.query_block, 0)
+    hits = search(like.select((-1 - F.col("p")).alias("b"), "id", "own", "vec"), state, entries, p)
     # vectors close to the last place may change places in double precision; the rest of the beam can't
     near = hits.select("id", F.explode(F.slice("cand", 1, 4 * (k + 1))).alias("node"))
     dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)

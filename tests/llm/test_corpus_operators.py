@@ -275,20 +275,29 @@ def test_neighbours_of_few_vectors_are_exact(spark):
     assert neighbours.nearest(one, one).collect() == []
 
 
-def test_neighbours_recall_on_a_graph_of_many_blocks(spark):
+@pytest.mark.parametrize("longest", [1, 30_000])
+def test_neighbours_recall_on_a_graph_of_many_blocks(spark, longest):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(3000, 24))
+    x[17] *= longest
     base = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
-    p = neighbours.Params(block=500, entries=100, beam=200, degree=24)
+    p = neighbours.Params(block=300)
     got = neighbours.nearest(base, base.where("vec_id % 20 = 0"), 20, p).collect()
     assert len(got) == 150 * 20
     found = {}
     for r in got:
         found.setdefault(r.query_id, set()).add(r.vec_id)
-        assert abs(r.score - x[r.query_id] @ x[r.vec_id]) < 1e-9
+        assert abs(r.score - x[r.query_id] @ x[r.vec_id]) <= 1e-9 * longest
     hits = 0
     for i, mine in found.items():
         s = x @ x[i]
         s[i] = -np.inf
         hits += len(mine & set(np.argsort(-s)[:20].tolist()))
     assert hits >= 0.9 * len(got)
+
+
+def test_neighbours_of_odd_vectors(spark):
+    rows = [(1, [1e200, 0.0]), (2, [1.0]), (3, [-1.0, 2.0, 0.0]), (4, [1e-200, 1e-200]), (2, [3.0, 1.0]), (5, [1.0])]
+    base = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest(base, base.where("vec_id = 5"), 20).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 1e200), (2, 3.0), (2, 1.0), (4, 1e-200), (3, -1.0)]
