@@ -36,8 +36,8 @@ def _tokenizer(path: str):
 def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
     """The tokenizer's ids of each text.  Texts that hold one of its added tokens go through it whole, others by pre-token."""
     tokenizer, encoder, special = _tokenizer(path)
-    whole = [i for i, x in enumerate(texts) if any(s in x for s in special)]
-    out = encoder.batch(["" if i in set(whole) else x for i, x in enumerate(texts)] if whole else texts)
+    whole = {i for i, x in enumerate(texts) if any(s in x for s in special)}
+    out = encoder.batch(["" if i in whole else x for i, x in enumerate(texts)] if whole else texts)
     for i in whole:
         out[i] = np.asarray(tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
     return out
@@ -187,24 +187,27 @@ def slots(patterns: Patterns) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def pack(parts: DataFrame, capacity: int = 1024, length_col: str = "length", order: tuple[str, ...] = ("doc_id", "piece"), salts: int = 64) -> DataFrame:
+def pack(parts: DataFrame, capacity: int = 1024, length_col: str = "length", order: tuple[str, ...] = ("doc_id", "piece"), group: int = 1 << 16) -> DataFrame:
     """All columns of parts, with sequence_id and offset: rows of at most capacity, filled from 0 without gaps.
 
     Lengths must be from 1 to capacity; a row whose length is null or outside
     gets nulls.  Ranks are counted within (length, salt), the salt being a hash
-    of the order columns, so that a length with many pieces is dealt over
-    `salts` groups.  The driver holds one count for each length and the plan,
-    which capacity bounds; parts is read twice and should be a written table.
+    of the order columns, so that a length with many pieces is dealt over groups
+    of about `group` pieces.  The driver holds one count for each length and the
+    plan, which capacity bounds; parts is read again and again and should be a
+    written table.
     Columns named sequence_id and offset are replaced.
     """
     spark = parts.sparkSession
     parts = parts.drop("sequence_id", "offset")
     length = F.col(length_col)
     ok = length.between(1, capacity)
-    keyed = parts.withColumn("_len", F.when(ok, length.cast("long"))).withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
-    sizes = keyed.where("_len is not null").groupBy("_len", "_salt").agg(F.count("*").alias("_n"))
-    counts = {r[0]: r[1] for r in sizes.groupBy("_len").agg(F.sum("_n")).collect()}
+    counted = parts.withColumn("_len", F.when(ok, length.cast("long")))
+    counts = {r[0]: r[1] for r in counted.where("_len is not null").groupBy("_len").count().collect()}
     table = spark.createDataFrame(slots(plan(counts, capacity)), "_len long, _from long, _to long, _seq long, _off long")
+    groups = F.broadcast(spark.createDataFrame([(k, -(-n // group)) for k, n in counts.items()], "_len long, _groups long"))  # its rows are bounded by capacity
+    keyed = counted.join(groups, "_len", "left").withColumn("_salt", F.pmod(F.xxhash64(*order), F.coalesce("_groups", F.lit(1)))).drop("_groups")
+    sizes = keyed.where("_len is not null").groupBy("_len", "_salt").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_len").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1))
     firsts = sizes.select("_len", "_salt", F.coalesce(before, F.lit(0)).alias("_before"))
     rank = F.row_number().over(Window.partitionBy("_len", "_salt").orderBy(*order)) - 1 + F.col("_before")
