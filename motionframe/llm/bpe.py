@@ -73,11 +73,23 @@ def serialise(vocabulary: list[bytes]) -> bytes:
 
 
 @lru_cache(2)
-def encoder(path: str) -> Encoder:
+def model_of(path: str):
+    """The sentencepiece model of a rank file."""
     import sentencepiece
 
-    vocabulary = read_ranks(path)
-    model = sentencepiece.SentencePieceProcessor(model_proto=serialise(vocabulary))
+    return sentencepiece.SentencePieceProcessor(model_proto=serialise(read_ranks(path)))
+
+
+@lru_cache(2)
+def byte_strings(path: str) -> list[bytes]:
+    """What each id stands for: the letters of the model's pieces, turned back into bytes."""
+    model, byte = model_of(path), {c: b for b, c in enumerate(alphabet())}
+    return [bytes(map(byte.__getitem__, model.id_to_piece(k))) for k in range(1, model.get_piece_size())]
+
+
+@lru_cache(2)
+def encoder(path: str) -> Encoder:
+    vocabulary, model = read_ranks(path), model_of(path)
     rank_of = {token: rank for rank, token in enumerate(vocabulary)}
     letters = {b: c for b, c in enumerate(alphabet())}
 
@@ -109,7 +121,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoded, token = encoder(path), read_ranks(path) if decoded else []
+        encoded, token = encoder(path), byte_strings(path) if decoded else []
         for batch in slices(batches, 2 << 20):
             ids = [x.astype("<u4") for x in encoded.batch([x or "" for x in batch.column(1).to_pylist()])]
             out = {"id": batch.column(0), "ids": pa.array([x.tobytes() for x in ids], pa.binary())}
@@ -125,7 +137,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     """(id_col, ids_col, decoded): the bytes that the ids stand for.  Null ids have null bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = read_ranks(path)
+        token = byte_strings(path)
         for batch in slices(batches):
             raw = [None if x is None else joined(token, np.frombuffer(x, "<u4")) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], ["id", "ids", "decoded"])

@@ -4,7 +4,8 @@ The pattern of the public byte-level vocabularies is applied with array
 operations over code points: runs of letters, of numbers and of other signs,
 each with at most one space before it, the English contractions, and white
 space.  Pre-tokens repeat a lot, so a batch is encoded by encoding its distinct
-pre-tokens and gathering their ids.
+pre-tokens and gathering their ids.  Equal ones are found by a hash and then
+compared.
 """
 
 from __future__ import annotations
@@ -118,6 +119,13 @@ class Encoder:
         np.cumsum((points.astype(U) + U(1)) * power[: len(points)], out=sums[1:])
         _, first, which = np.unique(mix((sums[end] - sums[start]) * inverse[start]), return_index=True, return_inverse=True)
         words = [joined[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+        # a pre-token that has another's hash, but not its characters, is a word of its own
+        length = end - start
+        like = points[np.minimum(np.arange(len(points)) + np.repeat(start[first][which] - start, length), len(points) - 1)]
+        odd = np.flatnonzero(np.logical_or.reduceat(points != like, start) | (length != length[first][which]))
+        if len(odd):
+            which[odd] = np.arange(len(odd)) + len(words)
+            words += [joined[start[i] : end[i]] for i in odd.tolist()]
         ids = self._ids(words)
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         base = np.cumsum(size) - size
