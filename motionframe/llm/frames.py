@@ -13,7 +13,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in slices of about `most` bytes, one row at least, so that long texts don't pile up."""
     for batch in batches:
         rows = max(1, int(batch.num_rows * most / max(batch.nbytes, 1)))

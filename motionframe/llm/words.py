@@ -1,24 +1,28 @@
 """Hashes of words and of runs of words, computed for a whole Arrow batch at once.
 
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D, so UTF-8 texts
-can be cut bytewise.  Hashes are polynomial over the word's bytes, taken from
-prefix sums modulo 2**64 and then mixed; ``salt`` selects an independent family,
-so that two families together identify a run by 128 bits.
+can be cut bytewise.  Hashes of short words are polynomial over their bytes, taken
+from prefix sums modulo 2**64 and then mixed; long words could be built so that
+such hashes agree whatever the base, so theirs is a digest's.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_BASE = 0x9E3779B97F4A7C15
 SPACE_BYTES = np.zeros(256, bool)
 SPACE_BYTES[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes hashed in one go; a longer text gets its own, larger tables.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+#: Bytes from which on a word has a digest.
+LONG = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -41,8 +45,8 @@ def powers(base: int, n: int) -> np.ndarray:
 class Hasher:
     """Word hashes of texts, with power tables that are kept between batches."""
 
-    def __init__(self, salt: int = 0, lower: bool = False):
-        self.base, self.lower = _BASE[salt], lower
+    def __init__(self, lower: bool = False):
+        self.base, self.lower = _BASE, lower
         self.inverse = pow(self.base, -1, 1 << 64)
         self.tables = None
 
@@ -67,8 +71,12 @@ class Hasher:
         begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
         power, inverse = self._table(len(data) + 1)
         sums = np.zeros(len(data) + 1, U)
-        np.cumsum((_LOWER[data] if self.lower else data).astype(U) * power[: len(data)] + power[: len(data)], out=sums[1:])
-        return mix((sums[end] - sums[begin]) * inverse[begin]), begin, end
+        data = _LOWER[data] if self.lower else data
+        np.cumsum(data.astype(U) * power[: len(data)] + power[: len(data)], out=sums[1:])
+        out = mix((sums[end] - sums[begin]) * inverse[begin])
+        for i in np.flatnonzero(end - begin >= LONG).tolist():
+            out[i] = int.from_bytes(hashlib.blake2b(data[begin[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+        return out, begin, end
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(hash, begin, end of each word; first word of each text, with the total at the end; bytes).
