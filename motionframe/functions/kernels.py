@@ -28,9 +28,9 @@ def flip(frame: np.ndarray) -> np.ndarray:
 
 
 def brightness_contrast(frame: np.ndarray, brightness: float, contrast: float) -> np.ndarray:
-    """Factors around 1: contrast about the middle, then brightness; cut to whole values."""
+    """Changes around 0, as the plans draw them: contrast about the middle, then brightness; cut to whole values."""
     x = frame.astype(np.float32)
-    return (contrast * (x - 128) + 128 + (brightness - 1) * 255).clip(0, 255).astype(np.uint8)
+    return ((1 + contrast) * (x - 128) + 128 + brightness * 255).clip(0, 255).astype(np.uint8)
 
 
 def gaussian_weights(sigma: float) -> np.ndarray:
@@ -48,20 +48,57 @@ def blur(frame: np.ndarray, sigma: float) -> np.ndarray:
     for axis in (0, 1):
         pad = [(0, 0)] * out.ndim
         pad[axis] = (half, half)
-        wide = np.pad(out, pad, mode="reflect" if out.shape[axis] > half else "symmetric")
+        wide = np.pad(out, pad, mode="reflect")
         out = sum(w[k] * np.take(wide, range(k, k + frame.shape[axis]), axis=axis) for k in range(len(w)))
     return np.floor(out + 0.5).clip(0, 255).astype(np.uint8)
 
 
 def cutout(frame: np.ndarray, top: float, left: float, ratio: float) -> np.ndarray:
-    """A grey rectangle, whose sides take the root of ratio of the frame's."""
+    """A grey rectangle, whose sides take the root of ratio of the frame's; top and left are shares of the room that it leaves."""
     h, w = frame.shape[:2]
-    y, x, dy, dx = int(top * h), int(left * w), int(h * ratio**0.5), int(w * ratio**0.5)
+    dy, dx = int(h * ratio**0.5), int(w * ratio**0.5)
+    y, x = int(top * (h - dy)), int(left * (w - dx))
     out = frame.copy()
     out[y : y + dy, x : x + dx] = 128
     return out
 
 
+Warp = Callable[[np.ndarray, float], np.ndarray]
+
+
+def augmented(frame: np.ndarray, row: dict, ratio: float, rotate: Warp | None = None, rescale: Warp | None = None) -> np.ndarray:
+    """The frame after the kinds that a row of parameters applies, in their fixed order; grey is always applied, null parameters aren't.
+
+    Rotation and scaling are a caller's functions of a frame and the parameter;
+    a row that asks for one that isn't given is an error.
+    """
+    out = grayscale(frame)
+    if row["flip"]:
+        out = flip(out)
+    if row["brightness"] or row["contrast"]:
+        out = brightness_contrast(out, row["brightness"] or 0.0, row["contrast"] or 0.0)
+    if row["blur_sigma"] is not None:
+        out = blur(out, row["blur_sigma"])
+    for name, warp in (("rotation", rotate), ("scale", rescale)):
+        if row[name] is not None:
+            if warp is None:
+                raise ValueError(f"no function for {name}")
+            out = warp(out, row[name])
+    return out if row["cutout_top"] is None else cutout(out, row["cutout_top"], row["cutout_left"], ratio)
+
+
+def resized(frame: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Bilinear, with the centres of pixels at halves and the edge repeated; in double precision, so libraries of fixed-point weights may differ by 1."""
+    out = frame.astype(np.float64)
+    for axis, size in ((0, height), (1, width)):
+        have = out.shape[axis]
+        at = ((np.arange(size) + 0.5) * have / size - 0.5).clip(0, have - 1)
+        low = np.floor(at).astype(int)
+        part = (at - low).reshape([-1 if k == axis else 1 for k in range(out.ndim)])
+        out = np.take(out, low, axis) * (1 - part) + np.take(out, np.minimum(low + 1, have - 1), axis) * part
+    return np.floor(out + 0.5).clip(0, 255).astype(np.uint8)
+
+
 def padded_crop(frame: np.ndarray, x1: int, y1: int, x2: int, y2: int) -> np.ndarray:
     """The crop, black where it lies outside the frame."""
     h, w = frame.shape[:2]
@@ -83,6 +120,13 @@ def normalised(frames: np.ndarray) -> np.ndarray:
     return x.transpose(0, 3, 1, 2)
 
 
+def item(frames: list[np.ndarray] | None, length: int = 16, side: int = 224) -> np.ndarray:
+    """(T, C, H, W) for a network: frames resized and normalised; zeros for a clip that couldn't be read."""
+    if not frames:
+        return np.zeros((length, 3, side, side), np.float32)
+    return normalised(np.stack([resized(f, side, side) for f in frames]))
+
+
 def on_frames(frames: DataFrame, kernel: Callable[..., np.ndarray], *arguments: str) -> DataFrame:
     """frames with the kernel applied to every frame; arguments name columns that hold its parameters.
 

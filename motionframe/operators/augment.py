@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import PRESET_NAMES, STANDARD, AugmentConfig, preset_config, preset_kinds
 from ..functions.scalars import file_name, hash32, stem, uniform
+from ..sources.files import parts_document
 from .catalog import augmented_name, below, without_version
 
 
@@ -80,9 +81,9 @@ def described() -> Column:
 
 
 def cutout_rectangle(width: int, height: int, ratio: float) -> dict[str, Column]:
-    """x, y, w, h of the cut, whose sides take the root of ratio of the frame's."""
+    """x, y, w, h of the cut, whose sides take the root of ratio of the frame's; the parameters are shares of the room that it leaves."""
     w, h = (int(side * ratio**0.5) for side in (width, height))
-    return {"x": (F.col("cutout_left") * width).cast("int"), "y": (F.col("cutout_top") * height).cast("int"), "w": F.when(F.col("cutout_top").isNotNull(), F.lit(w)), "h": F.when(F.col("cutout_top").isNotNull(), F.lit(h))}
+    return {"x": (F.col("cutout_left") * (width - w)).cast("int"), "y": (F.col("cutout_top") * (height - h)).cast("int"), "w": F.when(F.col("cutout_top").isNotNull(), F.lit(w)), "h": F.when(F.col("cutout_top").isNotNull(), F.lit(h))}
 
 
 def blur_kernel(sigma: Column) -> Column:
@@ -137,10 +138,41 @@ def augmented_split(split: DataFrame, available: DataFrame, n: int, raw: str, ma
     return train.unionByName(split.where("split <> 'train'").select(below(raw, F.col("path")).alias("path"), "split"))
 
 
+def by_video(files: DataFrame) -> DataFrame:
+    """files(name) with the stem of the video they were made of, which is their name without version."""
+    return files.select("name", without_version(stem(file_name(F.col("name")))).alias("stem"))
+
+
 def experiment_split(train: DataFrame, files: DataFrame) -> DataFrame:
-    """(place, stem, name): the files made of each train(place, stem), known by their name without version; null where there is none."""
-    made = files.select("name", without_version(stem(F.col("name"))).alias("stem"))
-    return train.join(made, "stem", "left").select("place", "stem", "name")
+    """(place, k, stem, name): the files made of each train(place, stem), in the order of their names; videos without any are left out."""
+    made = train.join(by_video(files), "stem")
+    return made.select("place", F.row_number().over(Window.partitionBy("place", "stem").orderBy("name")).alias("k"), "stem", "name")
+
+
+def experiment_counts(train: DataFrame, files: DataFrame) -> DataFrame:
+    """One row: original_train_count, augmented_train_count and missing_train_count, which counts the videos without files."""
+    per = train.join(by_video(files).groupBy("stem").agg(F.count("*").alias("n")), "stem", "left")
+    return per.agg(F.count("*").alias("original_train_count"), F.coalesce(F.sum("n"), F.lit(0)).alias("augmented_train_count"), F.count_if(F.col("n").isNull()).alias("missing_train_count"))
+
+
+def experiment_document(split: DataFrame, files: DataFrame, experiment: str, base_split: str) -> DataFrame:
+    """The split document of an experiment: the files made of the train videos of split(split, place, path), the other parts as they are."""
+    train = split.where("split = 'train'").select("place", stem(file_name(F.col("path"))).alias("stem"))
+    rows = experiment_split(train, files).select(F.lit("train").alias("split"), F.struct("place", "k").alias("place"), F.col("name").alias("path"))
+    rest = split.where("split <> 'train'").select("split", F.struct("place", F.lit(0).alias("k")).alias("place"), "path")
+    about = experiment_counts(train, files).select(F.lit(experiment).alias("experiment_id"), "*", F.lit(base_split).alias("base_split"))
+    return parts_document(rows.unionByName(rest), about)
+
+
+def augmented_document(split: DataFrame, available: DataFrame, n: int, raw: str, made: str, source: str, bucket: str, original: DataFrame | None = None) -> DataFrame:
+    """The document of augmented_split(), its paths in order; original is one row with the metadata of the split it was made from."""
+    rows = augmented_split(split.select("path", "split"), available, n, raw, made)
+    count = lambda of, part, name: of.agg(F.count_if(F.col("split") == part).alias(name))
+    about = count(split, "train", "original_train_count").join(count(rows, "train", "augmented_train_count")).join(count(rows, "val", "val_count")).join(count(rows, "test", "test_count"))  # rows of one each
+    about = about.select(F.lit(source).alias("source_split"), F.lit(bucket).alias("gcs_bucket"), F.lit(n).alias("versions_per_video"), "*")
+    if original is not None:
+        about = about.join(original.select(F.struct(*original.columns).alias("original_metadata")))
+    return parts_document(rows.withColumn("place", F.col("path")), about)
 
 
 def pending(work: DataFrame, completed: DataFrame, key: str = "path") -> DataFrame:

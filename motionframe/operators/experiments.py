@@ -38,8 +38,17 @@ def status_summary(rows: DataFrame) -> DataFrame:
 
 
 def ranked(rows: DataFrame) -> DataFrame:
-    """rows with rank, by falling val_acc; without one it counts as 0; ties by seq."""
-    return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.coalesce("val_acc", F.lit(0.0)).desc(), "seq")))
+    """Completed rows with rank, by falling val_acc, a percentage; without one it counts as 0; ties by seq.
+
+    Ranks are counted within each percent, and go on from those above it.
+    """
+    value = F.coalesce("val_acc", F.lit(0.0))
+    done = rows.where("status = 'COMPLETED'").withColumn("_p", F.floor(value).cast("int"))
+    sizes = done.groupBy("_p").agg(F.count("*").alias("_n"))
+    above = F.sum("_n").over(Window.orderBy(F.desc("_p")).rowsBetween(Window.unboundedPreceding, -1))  # a row a percent
+    before = sizes.select("_p", F.coalesce(above, F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_p").orderBy(value.desc(), "seq")) + F.col("_before")
+    return done.join(before, "_p").withColumn("rank", rank.cast("int")).drop("_p", "_before")
 
 
 def eligible(augmented: DataFrame, trained: DataFrame, wanted: DataFrame | None = None, force: bool = False) -> DataFrame:
@@ -57,6 +66,28 @@ def progress(every: DataFrame, augmented: DataFrame, trained: DataFrame) -> Data
     return both.agg(F.count("*").alias("total"), F.count("a").alias("augmented"), F.count("t").alias("trained"), F.count_if(F.col("t").isNull()).alias("remaining"))
 
 
+def remaining(every: DataFrame, augmented: DataFrame) -> DataFrame:
+    """Ids that aren't augmented yet."""
+    return every.select(ID).distinct().join(augmented.select(ID), ID, "left_anti")
+
+
+METRICS = ("train_acc", "val_acc", "test_acc", "best_val_acc", "train_loss", "val_loss", "test_loss")
+
+
+def after_phase(rows: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """rows after a phase of work with outcomes(experiment_id, error_message, metrics): completed with the metrics that both have, or failed with the message.
+
+    Rows without an outcome stay; outcomes without a row are left out.
+    """
+    shared = [m for m in METRICS if m in rows.columns and m in outcomes.columns]
+    came = outcomes.select(ID, F.lit(True).alias("_came"), F.col("error_message").alias("_error"), *(F.col(m).alias("_" + m) for m in shared))
+    good, bad = F.col("_came") & F.col("_error").isNull(), F.col("_error").isNotNull()
+    new = {"status": F.when(good, "COMPLETED").when(bad, "FAILED").otherwise(F.col("status"))} | {m: F.when(good, F.col("_" + m)).otherwise(F.col(m)) for m in shared}
+    if "error_message" in rows.columns:
+        new["error_message"] = F.when(bad, F.col("_error")).otherwise(F.col("error_message"))
+    return rows.join(came, ID, "left").withColumns(new).select(*rows.columns)
+
+
 def listed(every: DataFrame, augmented: DataFrame, trained: DataFrame) -> DataFrame:
     """every experiment with its flags"""
     flag = lambda df, name: df.select(ID, F.lit(True).alias(name)).distinct()
@@ -65,14 +96,20 @@ def listed(every: DataFrame, augmented: DataFrame, trained: DataFrame) -> DataFr
 
 
 def fixed(c: Column, digits: int) -> Column:
-    """A number in fixed notation; null is empty."""
-    return F.when(c.isNull(), "").otherwise(F.format_string(f"%.{digits}f", c))
+    """A number in fixed notation, rounded by its exact value, as Java's format isn't; null is empty.  For reports, which are short."""
+    shown = F.udf(lambda x: "" if x is None else f"{x:.{digits}f}", "string", useArrow=True)
+    return shown(c.cast("double"))
 
 
 def csv_rows(rows: DataFrame) -> DataFrame:
-    """The text columns of the CSV report."""
-    shown = F.when(F.size("augmentations") > 0, F.array_join("augmentations", " + ")).otherwise("none") if "augmentations" in rows.columns else F.lit("none")
-    return rows.select(ID, shown.alias("augmentations"), fixed(F.col("val_acc"), 2).alias("val_acc"), "status")
+    """The columns of the CSV report, as text; those that rows lacks are empty."""
+    has = lambda name, shown: shown(F.col(name)) if name in rows.columns else F.lit("")
+    plain = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    kinds = has("augmentations", lambda c: F.when(F.size(c) > 0, F.array_join(c, "+")).otherwise("none"))
+    return rows.select(
+        ID, kinds.alias("augmentations"), has("original_train_count", plain).alias("original_samples"), has("augmented_train_count", plain).alias("augmented_samples"), has("versions_per_video", plain).alias("versions_per_video"),
+        *(has(m, lambda c, d=4 if m.endswith("loss") else 2: fixed(c, d)).alias(m) for m in METRICS), has("training_time_seconds", lambda c: fixed(c, 0)).alias("training_time_s"), "status",
+    )
 
 
 def write_csv(rows: DataFrame, path: str) -> None:

@@ -50,11 +50,20 @@ def report(clips: DataFrame, key: str, names: Column) -> DataFrame:
     return out.select("tracks", F.col("track").alias("primary_track"), outcome.alias("outcome"), label_of(F.col("predicted_idx"), names).alias("predicted_label"), "confidence", F.coalesce("n_clips", F.lit(0)).cast("long").alias("num_clips"))
 
 
-def sampled_frames(n: Column, how: str = "uniform", size: int = 16) -> Column:
-    """Which `size` of n frames a clip takes: spread evenly, or from the middle; fewer frames are repeated in turn."""
+def report_document(row: DataFrame, **about: str) -> DataFrame:
+    """One row, json: a report() with what else is known of it, such as the video and the model."""
+    return row.select(F.to_json(F.struct(*(F.lit(v).alias(k) for k, v in about.items()), *row.columns), {"pretty": "true"}).alias("json"))
+
+
+def sampled_frames(n: Column, how: str = "uniform", size: int = 16, draw: Column | None = None) -> Column:
+    """Which `size` of n frames a clip takes: spread evenly, from the middle, or from an offset; fewer frames are repeated in turn.
+
+    draw, from 0 to 1 exclusive, is what the offset is made from.
+    """
     spread = lambda i: F.floor(i * (n - 1) / float(size - 1)).cast("int")
     middle = lambda i: (F.floor((n - size) / 2) + i).cast("int")
-    pick = spread if how == "uniform" else middle
+    offset = lambda i: (F.floor(draw * (n - size + 1)) + i).cast("int")
+    pick = {"uniform": spread, "centre": middle, "offset": offset}[how]
     return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.when(n >= size, pick(i)).otherwise(F.pmod(i, n).cast("int")))
 
 

@@ -23,19 +23,27 @@ def sizes(n: Column, c: SplitConfig) -> tuple[Column, Column]:
     return F.when(n == 1, 1).when(n == 2, 1).when(fits, train).otherwise(n - val - 1), F.when(n == 1, 0).when(n == 2, 1).otherwise(val)
 
 
+def part_of(k: Column, n: Column, c: SplitConfig, stratified: bool = True) -> Column:
+    """The part of the k-th of n subjects.  Unstratified, all are cut once, with no least sizes."""
+    train, val = sizes(n, c) if stratified else (F.floor(n * c.train), F.floor(n * c.val))
+    return F.when(k <= train, "train").when(k <= train + val, "val").otherwise("test")
+
+
 def assigned(runners: DataFrame, c: SplitConfig, stratified: bool = True) -> DataFrame:
     """runners(runner_id, label) with split.
 
     Subjects are put in the order of a hash of seed and subject; the draws are
-    not those of any generator, but the sizes are exact.  Unstratified, all are
-    cut once, with no least sizes.
+    not those of any generator, but the sizes are exact.  They are counted within
+    the hash's first digits, and go on from those of less.
     """
-    order = F.md5(F.concat(F.lit(f"{c.seed}|"), F.col("runner_id").cast("string")))
-    group = Window.partitionBy("label") if stratified else Window.partitionBy(F.lit(1))
-    row = runners.withColumns({"_k": F.row_number().over(group.orderBy(order, "runner_id")), "_n": F.count("*").over(group)})
-    n = F.col("_n")
-    train, val = sizes(n, c) if stratified else (F.floor(n * c.train), F.floor(n * c.val))
-    return row.withColumn("split", F.when(F.col("_k") <= train, "train").when(F.col("_k") <= train + val, "val").otherwise("test")).drop("_k", "_n")
+    keyed = runners.withColumn("_h", F.md5(F.concat(F.lit(f"{c.seed}|"), F.col("runner_id").cast("string")))).withColumns({"_b": F.substring("_h", 1, 3), "_g": F.col("label").cast("string") if stratified else F.lit("")})
+    sizes_ = keyed.groupBy("_g", "_b").agg(F.count("*").alias("_m"))
+    group = Window.partitionBy("_g")
+    before = F.sum("_m").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))  # 4096 rows a label at most
+    sizes_ = sizes_.select("_g", "_b", F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_m").over(group).alias("_n")).withColumnsRenamed({"_g": "_g2", "_b": "_b2"})
+    row = keyed.join(sizes_, F.col("_g").eqNullSafe(F.col("_g2")) & (F.col("_b") == F.col("_b2")))
+    k = F.row_number().over(Window.partitionBy("_g", "_b").orderBy("_h", "runner_id")) + F.col("_before")
+    return row.withColumn("_k", k).withColumn("split", part_of(F.col("_k"), F.col("_n"), c, stratified)).select(*runners.columns, "split")
 
 
 def split_videos(videos: DataFrame, c: SplitConfig, stratified: bool = True) -> DataFrame:
@@ -55,30 +63,35 @@ def part_sizes(split: DataFrame) -> DataFrame:
     return per.withColumn("percent", F.col("clips") / F.sum("clips").over(Window.partitionBy(F.lit(1))) * 100)
 
 
-def exact_order(runners: list, seed: int, label_order: list | None = None) -> dict:
-    """The shuffle of one seeded generator over the labels in turn; runners is a list of (runner_id, label), which is small."""
+def exact_order(runners: list[tuple[str, object]], seed: int, stratified: bool = True) -> dict:
+    """The shuffle of one seeded generator over the subjects of each label in turn, or of all at once.
+
+    Labels come in the order in which the sorted runners, pairs (runner_id,
+    label), first show them.
+    """
     import random
 
-    rng = random.Random(seed)
-    groups: dict = {}
-    for runner, label in runners:
-        groups.setdefault(label, []).append(runner)
-    out = {}
-    for label in label_order or groups:
-        out[label] = sorted(groups[label])
-        rng.shuffle(out[label])
-    return out
+    rng, groups = random.Random(seed), {}
+    for runner, label in sorted(runners, key=lambda r: r[0]):
+        groups.setdefault(label if stratified else None, []).append(runner)
+    for group in groups.values():
+        rng.shuffle(group)
+    return groups
 
 
-def exact_split(runners: DataFrame, c: SplitConfig) -> DataFrame:
-    """assigned(), but in the order that random.Random(seed) shuffles the subjects of each label, labels in rising order.
+def exact_split(runners: DataFrame, c: SplitConfig, stratified: bool = True) -> DataFrame:
+    """assigned(), but in the order that random.Random(seed) shuffles the subjects.
 
-    Subjects go through the driver, one small row each; they are people, not clips.
+    For lists of subjects that fit the driver: each is one small row there.
     """
-    rows = [(r.runner_id, r.label) for r in runners.select("runner_id", "label").orderBy("label", "runner_id").collect()]
-    order = exact_order(rows, c.seed, sorted({label for _, label in rows}))
-    ranked = [(runner, k + 1) for group in order.values() for k, runner in enumerate(group)]
-    place = runners.sparkSession.createDataFrame(ranked, "runner_id string, _k int")
-    row = runners.join(place, "runner_id").withColumn("_n", F.count("*").over(Window.partitionBy("label")))
-    train, val = sizes(F.col("_n"), c)
-    return row.withColumn("split", F.when(F.col("_k") <= train, "train").when(F.col("_k") <= train + val, "val").otherwise("test")).drop("_k", "_n")
+    rows = [(r.runner_id, r.label) for r in runners.select("runner_id", "label").collect()]
+    placed = [(runner, k + 1, len(group)) for group in exact_order(rows, c.seed, stratified).values() for k, runner in enumerate(group)]
+    row = runners.join(runners.sparkSession.createDataFrame(placed, "runner_id string, _k int, _n int"), "runner_id")
+    return row.withColumn("split", part_of(F.col("_k"), F.col("_n"), c, stratified)).drop("_k", "_n")
+
+
+def require_some(videos: DataFrame) -> DataFrame:
+    """videos, or an error if no file could be parsed."""
+    if videos.isEmpty():
+        raise ValueError("no videos to split")
+    return videos

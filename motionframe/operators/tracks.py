@@ -6,6 +6,7 @@ Every operator takes detections as DataFrames and works on windows over
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -58,6 +59,12 @@ def without_ghosts(detections: DataFrame, min_frames: int) -> DataFrame:
     return detections.withColumn("_n", F.count("*").over(of_track())).where(F.col("_n") >= min_frames).drop("_n")
 
 
+def ghost_counts(detections: DataFrame, min_frames: int) -> DataFrame:
+    """One row: the tracks that without_ghosts() keeps, and those that it removes."""
+    per = detections.groupBy(*KEY).agg(F.count("*").alias("_n"))
+    return per.agg(F.count_if(F.col("_n") >= min_frames).alias("kept"), F.count_if(F.col("_n") < min_frames).alias("removed"))
+
+
 def select_runners(stats: DataFrame, c: TrackConfig) -> DataFrame:
     """The tracks of motion_stats that move.
 
@@ -185,17 +192,22 @@ def carried(detections: DataFrame, c: CropConfig) -> DataFrame:
 def exponential_mean(detections: DataFrame, c: CropConfig) -> DataFrame:
     """(video_id, track_id, frame_idx, sx, sy) of frames without detection: a mean that only such frames move.
 
-    It recurs, so each track's frames are one array, which a track's length bounds.
+    It recurs, so each track's frames, which its length bounds, are gone through once in order.
     """
-    lost = carried(detections, c).where("not seen").groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("frame_idx", "cx", "cy"))).alias("f"))
-
-    def add(done: Column, x: Column) -> Column:
-        prior = F.get(done, F.size(done) - 1)
-        mean = lambda new, old: F.when(old.isNull(), new).otherwise(c.alpha * new + (1 - c.alpha) * old)
-        return F.concat(done, F.array(F.struct(x["frame_idx"].alias("frame_idx"), mean(x["cx"], prior["sx"]).alias("sx"), mean(x["cy"], prior["sy"]).alias("sy"))))
-
-    start = F.array().cast("array<struct<frame_idx:int,sx:double,sy:double>>")
-    return lost.select(*KEY, F.explode(F.aggregate("f", start, add)).alias("s")).select(*KEY, "s.frame_idx", "s.sx", "s.sy")
+    lost = carried(detections, c).where("not seen").select(*KEY, "frame_idx", "cx", "cy")
+
+    def run(track: pa.Table) -> pa.Table:
+        track = track.sort_by("frame_idx")
+        out = {}
+        for old, new in (("cx", "sx"), ("cy", "sy")):
+            out[new], mean = [], None
+            for x in track[old].to_pylist():
+                mean = x if mean is None else c.alpha * x + (1 - c.alpha) * mean
+                out[new].append(mean)
+        return pa.table({**{k: track[k] for k in (*KEY, "frame_idx")}, **{k: pa.array(v, pa.float64()) for k, v in out.items()}})
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lost.schema if f.name not in ("cx", "cy"))
+    return lost.groupBy(*KEY).applyInArrow(run, kinds + ", sx double, sy double")
 
 
 def feet_box(body: tuple[str, str, str, str], c: CropConfig) -> dict[str, Column]:

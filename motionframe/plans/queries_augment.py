@@ -27,6 +27,11 @@ def available(s, d):
     return A.versions(clips(s, d), N).where((F.col("doc_id") * N + F.col("version")) % 7 != 0).select(augmented_name(F.col("stem"), F.col("version")).alias("name"), "doc_id")
 
 
+def trained(s, d):
+    """All clips as train videos, and the files of those that have a label."""
+    return clips(s, d).select(F.col("doc_id").alias("place"), "stem"), available(s, d).where("name not like '%???.mp4'")
+
+
 def drawn(s, d):
     return A.params_native(A.versions(clips(s, d).select("doc_id", "stem"), N), CONFIG)
 
@@ -48,18 +53,19 @@ QUERIES = {
     "f4_coverage": lambda s, d: A.coverage(A.mapped(clips(s, d), available(s, d), N)).withColumn("percent", F.round("percent", 6)),
     "f4_first_missing": lambda s, d: A.first_missing(A.mapped(clips(s, d), available(s, d), N), 2).withColumn("first", F.array_join("first", ",")),
     "f4_augmented_split": lambda s, d: A.augmented_split(split(s, d), available(s, d), N, "gs://bucket/raw/", "gs://bucket/made/"),
-    "f4_experiment_split": lambda s, d: A.experiment_split(clips(s, d).select(F.col("doc_id").alias("place"), "stem"), available(s, d).where("doc_id % 3 <> 0")),
+    "f4_experiment_split": lambda s, d: A.experiment_split(*trained(s, d)),
+    "f4_experiment_counts": lambda s, d: A.experiment_counts(*trained(s, d)),
     "f4_pending": lambda s, d: A.pending(clips(s, d).select("doc_id", "path"), clips(s, d).where("doc_id % 4 = 1")),
-    "f4_checkpoint_merge": lambda s, d: A.checkpoint_merge(clips(s, d).where("doc_id % 4 = 1").select("path"), clips(s, d).where("doc_id % 6 = 1").select("path")),
+    "f4_checkpoint_merge": lambda s, d: A.checkpoint_merge(clips(s, d).where("stem not like '%???'").select("path"), clips(s, d).where("stem like '%???' or path like 'en/%'").select("path")),
     "f4_cutout_rect": lambda s, d: drawn(s, d).select("doc_id", "version", *(c.alias(k) for k, c in A.cutout_rectangle(224, 224, 0.15).items())),
     "f4_blur_kernel": lambda s, d: drawn(s, d).where("blur_sigma is not null").select("doc_id", "version", A.blur_kernel(F.col("blur_sigma")).alias("side")),
 }
 
 VID = r"""
-vid AS (SELECT doc_id, lang || '/clips/' || stem || '.mp4' AS path, stem, regexp_extract(stem, '^(.*)_([^_]*)$', 1) AS base, right(stem, 3) AS lab FROM (
+vid AS (SELECT doc_id, lang, lang || '/clips/' || stem || '.mp4' AS path, stem, regexp_extract(stem, '^(.*)_([^_]*)$', 1) AS base, right(stem, 3) AS lab FROM (
     SELECT doc_id, lang, printf('%s_RUN%d_%s_lap_%03d_CUT_%03d_%s', source, doc_id % 3 + 1, upper(lang), doc_id % 100, doc_id, coalesce(printf('%03d', quality + 2 * toxic), '???')) AS stem FROM documents LEFT JOIN labels USING (doc_id))),
 ver AS (SELECT *, printf('%s_v%03d_%s.mp4', base, version, lab) AS name FROM (SELECT *, unnest(range(1, 5))::INT AS version FROM vid)),
-av AS (SELECT name, doc_id, stem FROM ver WHERE (doc_id * 4 + version) % 7 <> 0),
+av AS (SELECT name, doc_id, stem, lab FROM ver WHERE (doc_id * 4 + version) % 7 <> 0),
 spl AS (SELECT *, CASE WHEN doc_id % 10 < 7 THEN 'train' WHEN doc_id % 10 = 7 THEN 'val' ELSE 'test' END AS split FROM vid)
 """
 
@@ -97,9 +103,12 @@ SQL = {
     "f4_coverage": f"WITH {VID}, m AS (SELECT *, name IN (SELECT name FROM av) AS present FROM ver) SELECT count(*) AS expected, count(*) FILTER (NOT present) AS missing, round(count(*) FILTER (present) / count(*) * 100, 6) AS percent, count(DISTINCT stem) FILTER (NOT present) AS affected FROM m",
     "f4_first_missing": f"WITH {VID}, m AS (SELECT stem, count(*) AS missing, list_sort(list(name)) AS n FROM ver ANTI JOIN av USING (name) GROUP BY stem) SELECT stem, missing, array_to_string(n[1:2], ',') AS first FROM m",
     "f4_augmented_split": f"WITH {VID} SELECT 'gs://bucket/made/' || name AS path, 'train' AS split FROM av WHERE doc_id % 10 < 7 UNION ALL SELECT 'gs://bucket/raw/' || stem || '.mp4', split FROM spl WHERE split <> 'train'",
-    "f4_experiment_split": f"WITH {VID}, f AS (SELECT * FROM av WHERE doc_id % 3 <> 0) SELECT vid.doc_id AS place, vid.stem, f.name FROM vid LEFT JOIN f USING (stem)",
+    # the versions of a train video in the order of their names; one without any is passed over and counted
+    "f4_experiment_split": f"WITH {VID}, f AS (SELECT * FROM av WHERE lab <> '???') SELECT vid.doc_id AS place, (row_number() OVER (PARTITION BY vid.doc_id ORDER BY f.name))::INT AS k, vid.stem, f.name FROM vid JOIN f USING (stem)",
+    "f4_experiment_counts": f"WITH {VID}, f AS (SELECT * FROM av WHERE lab <> '???'), n AS (SELECT stem, count(*) AS n FROM f GROUP BY stem) SELECT count(*) AS original_train_count, coalesce(sum(n), 0)::BIGINT AS augmented_train_count, count(*) FILTER (n IS NULL) AS missing_train_count FROM vid LEFT JOIN n USING (stem)",
     "f4_pending": f"WITH {VID} SELECT doc_id, path FROM vid WHERE doc_id % 4 <> 1",
-    "f4_checkpoint_merge": f"WITH {VID} SELECT path FROM vid WHERE doc_id % 4 = 1 UNION SELECT path FROM vid WHERE doc_id % 6 = 1",
-    "f4_cutout_rect": f"WITH {DRAWN} SELECT doc_id, version, trunc(cutout_left * 224)::INT AS x, trunc(cutout_top * 224)::INT AS y, CASE WHEN cutout_top IS NOT NULL THEN trunc(224 * sqrt(0.15::DOUBLE))::INT END AS w, CASE WHEN cutout_top IS NOT NULL THEN trunc(224 * sqrt(0.15::DOUBLE))::INT END AS h FROM dr",
+    "f4_checkpoint_merge": f"WITH {VID} SELECT path FROM vid WHERE lab <> '???' UNION SELECT path FROM vid WHERE lab = '???' OR lang = 'en'",
+    # int(left_frac * (w - cutout_w)), int(top_frac * (h - cutout_h)), where cutout_w = int(w * sqrt(ratio)): with 224 and 0.15 the side is 86, and left 0.5 gives 69
+    "f4_cutout_rect": f"WITH {DRAWN} SELECT doc_id, version, trunc(cutout_left * (224 - trunc(224 * sqrt(0.15::DOUBLE))))::INT AS x, trunc(cutout_top * (224 - trunc(224 * sqrt(0.15::DOUBLE))))::INT AS y, CASE WHEN cutout_top IS NOT NULL THEN trunc(224 * sqrt(0.15::DOUBLE))::INT END AS w, CASE WHEN cutout_top IS NOT NULL THEN trunc(224 * sqrt(0.15::DOUBLE))::INT END AS h FROM dr",
     "f4_blur_kernel": f"WITH {DRAWN} SELECT doc_id, version, greatest((2 * round_even(3 * blur_sigma, 0) + 1)::INT, 3) AS side FROM dr WHERE blur_sigma IS NOT NULL",
 }

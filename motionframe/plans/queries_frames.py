@@ -16,7 +16,7 @@ def frames(s, d):
 
 
 def gray_flip_bc(frame: np.ndarray) -> np.ndarray:
-    return N.brightness_contrast(N.flip(N.grayscale(frame)), 1.1, 0.9)
+    return N.brightness_contrast(N.flip(N.grayscale(frame)), 0.1, -0.1)
 
 
 def cut_and_pad(frame: np.ndarray, top: float) -> np.ndarray:

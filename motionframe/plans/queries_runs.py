@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalars import uniform
 from ..operators import experiments as X
 from ..operators import predict as P
 from ..sources.views import detections, results, table
@@ -27,7 +28,7 @@ def lengths(s, d):
 
 
 def frames(s, d, how):
-    return lengths(s, d).select("track_id", "n", F.array_join(F.transform(P.sampled_frames(F.col("n"), how), lambda x: x.cast("string")), ",").alias("frames"))
+    return lengths(s, d).select("track_id", "n", F.array_join(F.transform(P.sampled_frames(F.col("n"), how, draw=uniform(F.col("track_id").cast("string"), F.lit("offset"))), lambda x: x.cast("string")), ",").alias("frames"))
 
 
 def sides(s, d):
@@ -40,6 +41,22 @@ def flags(s, d):
     return results(s, d), local.where("status <> 'PENDING'"), remote.where("status = 'COMPLETED'")
 
 
+def phase(s, d):
+    """The local rows, and an outcome for each id that has a remote one: an error where that isn't completed."""
+    local, remote = sides(s, d)
+    return local.drop("seq"), remote.select("experiment_id", F.when(F.col("status") != "COMPLETED", F.lower("status")).alias("error_message"), (F.col("val_acc") + 1).alias("val_acc"))
+
+
+def filled(rows):
+    """rows with the other columns of a result; each fifth has none of them."""
+    seq, acc = F.col("seq"), F.col("val_acc")
+    kinds = F.when(seq % 3 == 0, F.array().cast("array<string>")).when(seq % 3 == 1, F.array(F.lit("flip"))).otherwise(F.array(F.lit("flip"), F.lit("blur")))
+    return rows.withColumns({
+        "augmentations": kinds, "original_train_count": (seq % 50).cast("int"), "augmented_train_count": (seq % 50 * 25).cast("int"), "versions_per_video": F.lit(25), "train_acc": acc / 3, "test_acc": acc / 7,
+        "best_val_acc": acc, "train_loss": acc / 11, "val_loss": acc / 13, "test_loss": acc / 17, "training_time_seconds": F.when(acc.isNotNull(), seq / 7),
+    })
+
+
 def batches(s, d):
     l = table(s, d, "lineitem")
     return l.select(F.col("l_orderkey").alias("batch"), (F.col("l_discount") * 10).alias("loss"), (F.col("l_returnflag") == "N").alias("hit"))
@@ -60,6 +77,7 @@ QUERIES = {
     "f5_report": lambda s, d: R6(P.report(some_failed(s, d), "track", names()), "confidence"),
     "f5_temporal_uniform": lambda s, d: frames(s, d, "uniform"),
     "f5_temporal_center_loop": lambda s, d: frames(s, d, "centre"),
+    "f5_temporal_offset": lambda s, d: frames(s, d, "offset"),
     "f5_accuracy_loss": lambda s, d: R6(P.accuracy(batches(s, d)), "accuracy", "loss"),
     "f5_best_epoch": lambda s, d: P.best_epochs(epochs(s, d)),
     "f6_upsert": lambda s, d: X.upserted(*sides(s, d)),
@@ -67,10 +85,12 @@ QUERIES = {
     "f6_merge_load": lambda s, d: X.loaded(*sides(s, d)),
     "f6_status_summary": lambda s, d: X.status_summary(X.saved(*sides(s, d))),
     "f6_ranked_summary": lambda s, d: X.ranked(X.saved(*sides(s, d))).select("experiment_id", "val_acc", "rank"),
-    "f6_eligible": lambda s, d: X.eligible(*flags(s, d)[1:], wanted=flags(s, d)[0].where("seq % 3 = 0")),
+    "f6_eligible": lambda s, d: X.eligible(*flags(s, d)[1:], wanted=flags(s, d)[0].where("val_acc is not null")),
     "f6_progress": lambda s, d: X.progress(*flags(s, d)),
+    "f6_remaining": lambda s, d: X.remaining(*flags(s, d)[:2]),
+    "f6_after_phase": lambda s, d: X.after_phase(*phase(s, d)),
     "f6_list": lambda s, d: X.listed(*flags(s, d)),
-    "f6_results_csv": lambda s, d: X.csv_rows(X.saved(*sides(s, d))).withColumn("val_acc", F.col("val_acc").try_cast("double")),
+    "f6_results_csv": lambda s, d: X.csv_rows(filled(X.saved(*sides(s, d)))),
     "f6_short_names": lambda s, d: results(s, d).select("experiment_id", X.shortened(F.concat("status", F.lit("_"), "experiment_id"), 14).alias("shown")).distinct(),
     "f6_batch_tally": lambda s, d: X.batch_tally(table(s, d, "events").select((F.col("event_id") % 7).alias("clips_generated"), (F.col("event_type") != "error").alias("success"))),
 }
@@ -105,17 +125,27 @@ SQL = {
     "f5_report": f"WITH {CLIP}, g AS (SELECT * FROM pr WHERE clip_id % 5 <> 0), {MEAN.format(src='g')}, m AS (SELECT label AS track FROM embeddings GROUP BY label ORDER BY count(*) DESC, label LIMIT 1) SELECT (SELECT count(DISTINCT label) FROM embeddings) AS tracks, m.track AS primary_track, CASE WHEN tr.idx IS NULL THEN 'all clips failed' ELSE 'success' END AS outcome, {NAME} AS predicted_label, round(conf, 6) AS confidence, coalesce(n_clips, 0)::BIGINT AS num_clips FROM m LEFT JOIN tr USING (track)",
     "f5_temporal_uniform": frames_sql("floor(i * (n - 1) / 15.0::DOUBLE)"),
     "f5_temporal_center_loop": frames_sql("(n - 16) // 2 + i"),
+    "f5_temporal_offset": frames_sql("floor(('0x' || substr(md5(track_id || '|offset'), 1, 8))::BIGINT / 4294967296.0::DOUBLE * (n - 15)) + i"),
     "f5_accuracy_loss": "WITH b AS (SELECT l_orderkey, avg(l_discount * 10) AS loss, count(*) FILTER (l_returnflag = 'N') AS hits, count(*) AS n FROM lineitem GROUP BY 1) SELECT round(sum(hits) / sum(n) * 100, 6) AS accuracy, round(avg(loss), 6) AS loss FROM b",
     "f5_best_epoch": "WITH e AS (SELECT l_suppkey AS run, l_linenumber AS epoch, round(avg(l_quantity), 4) AS val_accuracy FROM lineitem GROUP BY ALL) SELECT *, val_accuracy > coalesce(max(val_accuracy) OVER (PARTITION BY run ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS is_best FROM e",
     "f6_upsert": f"WITH {RES} SELECT * FROM rm UNION ALL SELECT * FROM lo ANTI JOIN rm USING (experiment_id)",
     "f6_merge_save": f"WITH {RES} SELECT * FROM sv",
     "f6_merge_load": f"WITH {RES} SELECT rm.*, CASE WHEN lo.experiment_id IS NULL THEN 'new' ELSE 'updated' END AS origin FROM rm LEFT JOIN lo USING (experiment_id) UNION ALL SELECT lo.*, 'current' FROM lo ANTI JOIN rm USING (experiment_id)",
     "f6_status_summary": f"WITH {RES} SELECT count(*) AS total_experiments, count(*) FILTER (status = 'COMPLETED') AS completed, count(*) FILTER (status = 'PENDING') AS pending, count(*) FILTER (status = 'FAILED') AS failed FROM sv",
-    "f6_ranked_summary": f"WITH {RES} SELECT experiment_id, val_acc, (row_number() OVER (ORDER BY coalesce(val_acc, 0) DESC, seq))::INT AS rank FROM sv",
-    "f6_eligible": f"WITH {RES} SELECT experiment_id FROM au WHERE experiment_id IN (SELECT experiment_id FROM re WHERE seq % 3 = 0) AND experiment_id NOT IN (SELECT experiment_id FROM td)",
+    # sorted(completed, key=lambda r: r.val_acc or 0, reverse=True), which keeps equal ones in their order: of (a, 50), (b, none), (c, 70, pending), (d, 50) come a, d, b
+    "f6_ranked_summary": f"WITH {RES} SELECT experiment_id, val_acc, (row_number() OVER (ORDER BY coalesce(val_acc, 0) DESC, seq))::INT AS rank FROM sv WHERE status = 'COMPLETED'",
+    "f6_eligible": f"WITH {RES} SELECT experiment_id FROM au WHERE experiment_id IN (SELECT experiment_id FROM re WHERE val_acc IS NOT NULL) AND experiment_id NOT IN (SELECT experiment_id FROM td)",
     "f6_progress": f"WITH {RES}, f AS (SELECT al.experiment_id, au.experiment_id AS a, td.experiment_id AS t FROM al LEFT JOIN au USING (experiment_id) LEFT JOIN td USING (experiment_id)) SELECT count(*) AS total, count(a) AS augmented, count(t) AS trained, count(*) FILTER (t IS NULL) AS remaining FROM f",
+    "f6_remaining": f"WITH {RES} SELECT experiment_id FROM al WHERE experiment_id NOT IN (SELECT experiment_id FROM au)",
+    # a result becomes COMPLETED with the metrics, or FAILED with the message; without an outcome it stays
+    "f6_after_phase": f"WITH {RES} SELECT lo.experiment_id, CASE WHEN rm.status IS NULL THEN lo.status WHEN rm.status = 'COMPLETED' THEN 'COMPLETED' ELSE 'FAILED' END AS status, CASE WHEN rm.status = 'COMPLETED' THEN rm.val_acc + 1 ELSE lo.val_acc END AS val_acc FROM lo LEFT JOIN rm USING (experiment_id)",
     "f6_list": f"WITH {RES} SELECT experiment_id, experiment_id IN (SELECT experiment_id FROM au) AS augmented, experiment_id IN (SELECT experiment_id FROM td) AS trained FROM al",
-    "f6_results_csv": f"WITH {RES} SELECT experiment_id, 'none' AS augmentations, val_acc, status FROM sv",
+    # "+".join(augmentations) or "none", counts as they are, accuracies with 2 digits, losses with 4, seconds with none, "" for what there isn't: (x, [flip, blur], 7, 175, 25, 66.666, none, ...) is x,flip+blur,7,175,25,66.67,,...
+    "f6_results_csv": f"""WITH {RES}, n AS (SELECT *, ['none', 'flip', 'flip+blur'][seq % 3 + 1] AS augmentations FROM sv)
+        SELECT experiment_id, augmentations, (seq % 50)::VARCHAR AS original_samples, (seq % 50 * 25)::VARCHAR AS augmented_samples, '25' AS versions_per_video, """ + ", ".join(
+        f"CASE WHEN val_acc IS NULL THEN '' ELSE printf('%.{n}f', {e}) END AS {c}" for c, n, e in (
+            ("train_acc", 2, "val_acc / 3"), ("val_acc", 2, "val_acc"), ("test_acc", 2, "val_acc / 7"), ("best_val_acc", 2, "val_acc"), ("train_loss", 4, "val_acc / 11"), ("val_loss", 4, "val_acc / 13"), ("test_loss", 4, "val_acc / 17"), ("training_time_s", 0, "seq / 7"))
+    ) + ", status FROM n",
     "f6_short_names": f"WITH {RES} SELECT DISTINCT experiment_id, CASE WHEN len(status || '_' || experiment_id) > 14 THEN left(status || '_' || experiment_id, 13) || '~' ELSE status || '_' || experiment_id END AS shown FROM re",
     "f6_batch_tally": "SELECT sum(event_id % 7) FILTER (event_type <> 'error')::BIGINT AS clips, count(*) FILTER (event_type <> 'error') AS processed, count(*) FILTER (event_type = 'error') AS failed FROM events",
 }

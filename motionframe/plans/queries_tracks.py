@@ -50,6 +50,7 @@ QUERIES = {
     "f1_slice_clips": lambda s, d: clips(s, d, 16, 8),
     "f1_renumber_clips": lambda s, d: T.renumbered(clips(s, d, 16, 16)).select("video_id", "clip_name", F.format_string("CUT_%03d", "cut").alias("cut")),
     "f1_locf": lambda s, d: rounded(T.carried(detections(s, d), FEET).select(*KEY, "frame_idx", "seen", "cx", "cy"), "cx", "cy"),
+    "f1_ghost_counts": lambda s, d: T.ghost_counts(detections(s, d), 65),
     "f1_ema": lambda s, d: T.exponential_mean(detections(s, d), FEET).withColumns({n: F.col(n).cast("float").cast("double") for n in ("sx", "sy")}),
     "f1_feet_bbox": lambda s, d: body(s, d).select(*KEY, "frame_idx", *(v.alias(k) for k, v in T.feet_box(("bx1", "by1", "bx2", "by2"), FEET).items())),
     "f1_feet_crop": lambda s, d: T.feet_crop(body(s, d).select(*KEY, "frame_idx", *(v.alias(k) for k, v in T.feet_box(("bx1", "by1", "bx2", "by2"), FEET).items())), FEET).select(*KEY, "frame_idx", "x1", "y1", "x2", "y2"),
@@ -136,6 +137,7 @@ def sides_sql(v: str, size: int, most: int, name: str) -> str:
 SHOWN = "video_id, track_id, round(avg_speed, 6) AS avg_speed, round(ankle_variance, 4) AS ankle_variance, round(vertical_oscillation, 4) AS vertical_oscillation, frame_count"
 SQL = {
     "f1_motion_stats": f"WITH {DET}, {STATS} SELECT {SHOWN} FROM st WHERE mx = 0 OR (avg_speed >= 0.5::DOUBLE * mx AND ankle_variance >= 400)",
+    "f1_ghost_counts": f"WITH {DET} SELECT count(DISTINCT track_id) FILTER (n >= 65) AS kept, count(DISTINCT track_id) FILTER (n < 65) AS removed FROM c",
     "f1_ghost_filter": f"WITH {DET} SELECT video_id, count(DISTINCT track_id) AS tracks, count(*) AS frames FROM c WHERE n >= 65 GROUP BY video_id",
     "f1_runner_ratio": f"WITH {DET}, {STATS} SELECT video_id, track_id, frame_count FROM st WHERE mx = 0 OR avg_speed >= 0.9::DOUBLE * mx",
     "f1_runner_topn": f"WITH {DET}, {STATS}, rk AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY avg_speed DESC, track_id) AS r FROM st) SELECT video_id, track_id, frame_count AS frames FROM rk WHERE mx = 0 OR (r <= 5 AND ankle_variance >= 400)",

@@ -83,6 +83,26 @@ def split_document(assigned: DataFrame) -> DataFrame:
     return whole.join(F.broadcast(maps)).select(F.to_json(F.struct(*PARTS, meta.alias("metadata")), {"pretty": "true"}).alias("json"))  # both are one row
 
 
+def parts_document(rows: DataFrame, about: DataFrame) -> DataFrame:
+    """One row, json: the paths of each part of rows(split, place, path) by place, and about, one row, as metadata."""
+    mine = lambda p: F.transform(F.array_sort(F.collect_list(F.when(F.col("split") == p, F.struct("place", "path")))), lambda x: x["path"])
+    lists = rows.agg(*(mine(p).alias(p) for p in PARTS))
+    whole = lists.join(F.broadcast(about.select(F.struct(*about.columns).alias("metadata"))))  # both are one row
+    return whole.select(F.to_json(F.struct(*PARTS, "metadata"), {"pretty": "true"}).alias("json"))
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A text at a path, which becomes a folder of one file, in place of what was there."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(path)
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """What put_text() put there, or the text of a single file; null where there is none."""
+    if not exists(spark, path):
+        return None
+    return "".join(r.value for r in spark.read.text(path, wholetext=True).collect()).removesuffix("\n")  # one document
+
+
 def write_split(assigned: DataFrame, path: str) -> None:
     split_document(assigned).coalesce(1).write.mode("overwrite").text(path)
 
@@ -109,6 +129,27 @@ def decoded(spark: SparkSession, path: str, decode: Callable[[str, bytes], Itera
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.mp4").load(path).select("path", "content").mapInArrow(run, schema)
 
 
+def attempted(spark: SparkSession, path: str, work: Callable[[str, bytes], int]) -> DataFrame:
+    """(path, clips_generated, success, error_message) of each video below a path, from a function of path and content that returns how many clips it made.
+
+    A video on which the function raises is a row of its own with no clips and
+    the error's text; the others go on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for where, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                try:
+                    rows.append((where, work(where, content), True, None))
+                except Exception as e:  # whatever it is, it is this video's
+                    rows.append((where, 0, False, str(e)))
+            columns = zip(*rows, strict=True) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.bool_(), pa.string()), strict=True)], ["path", "clips_generated", "success", "error_message"])
+
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.mp4").load(path).select("path", "content").mapInArrow(run, "path string, clips_generated bigint, success boolean, error_message string")
+
+
 def without_unseen(detections: DataFrame) -> DataFrame:
     """Ankles at 0 or below count as not seen."""
     ok = lambda c: F.when((F.col(f"{c}.x") > 0) & (F.col(f"{c}.y") > 0), F.col(c))

@@ -52,8 +52,21 @@ def test_no_subject_in_two_parts_and_mode_before_remap(spark):
     tie = spark.createDataFrame([("a", "r", 0), ("b", "r", 0), ("c", "r", 2), ("d", "r", 2), ("e", "r", 1), ("f", "r", 1), ("g", "r", 1)], videos.schema)
     assert S.dominant_labels(tie, {2: 0}).first().label == 1
     assert S.dominant_labels(spark.createDataFrame([("b", "r", 1), ("a", "r", 2), ("c", "r", 2), ("d", "r", 1)], videos.schema)).first().label == 2
-    exact = S.exact_split(S.dominant_labels(videos), SplitConfig())
-    assert exact.count() == 17
+    # labels in the order in which the sorted runners first show them, one generator over all: b comes first here, though its label is the larger
+    people = [("d", 1), ("a", 2), ("c", 1), ("b", 2), ("e", 2), ("f", 1), ("g", 2), ("h", 1)]
+    rng = random.Random(42)
+    two, one = ["a", "b", "e", "g"], ["c", "d", "f", "h"]
+    rng.shuffle(two)
+    rng.shuffle(one)
+    frame = spark.createDataFrame(people, "runner_id string, label int")
+    exact = {r.runner_id: r.split for r in S.exact_split(frame, SplitConfig(seed=42)).collect()}
+    assert exact == {r: p for g in (two, one) for r, p in zip(g, ["train", "train", "val", "test"])}
+    every = sorted(p for p, _ in people)
+    random.Random(42).shuffle(every)
+    simple = {r.runner_id: r.split for r in S.exact_split(frame, SplitConfig(seed=42), stratified=False).collect()}
+    assert simple == dict(zip(every, ["train"] * 5 + ["val"] + ["test"] * 2))
+    with pytest.raises(ValueError):
+        S.require_some(videos.limit(0))
     with pytest.raises(ValueError):
         SplitConfig(train=0.9, val=0.2)
 
@@ -125,7 +138,11 @@ def test_result_documents(spark, tmp_path):
     assert [r["experiment_id"] for r in doc["results"]] == ["a", "b"] and doc["summary"] == {"total_experiments": 2, "completed": 1, "pending": 1, "failed": 0}
     assert sorted(X.read_results(rows, str(tmp_path / "r")).collect()) == sorted(rows.collect())
     X.write_csv(rows.withColumn("val_acc", F.lit(None).cast("double")), str(tmp_path / "c"))
-    assert spark.read.option("header", True).csv(str(tmp_path / "c")).columns == ["experiment_id", "augmentations", "val_acc", "status"]
+    head = "experiment_id augmentations original_samples augmented_samples versions_per_video train_acc val_acc test_acc best_val_acc train_loss val_loss test_loss training_time_s status"
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).columns == head.split()
+    full = spark.createDataFrame([("x", ["flip", "blur"], 7, 175, 25, 66.666, None, 0.125, 1.005, 0.00005, 12.5, "PENDING"), ("y", [], 1, 1, 1, *[None] * 6, "FAILED")], "experiment_id string, augmentations array<string>, original_train_count int, augmented_train_count int, versions_per_video int, train_acc double, val_acc double, test_acc double, best_val_acc double, train_loss double, training_time_seconds double, status string")
+    shown = {r.experiment_id: tuple(r)[1:] for r in X.csv_rows(full).collect()}
+    assert shown["x"] == ("flip+blur", "7", "175", "25", "66.67", "", "0.12", "1.00", "0.0001", "", "", "12", "PENDING") and shown["y"] == ("none", "1", "1", "1", *[""] * 8, "FAILED")
 
 
 def test_files(spark, tmp_path):
@@ -171,16 +188,72 @@ def test_work_goes_on_where_it_stopped(spark, tmp_path):
     assert seen == [["a", "bad"], ["bad"]] and {r.path for r in resume.completed(spark, done).collect()} == {"a"}
 
 
+def test_documents_of_augmented_and_experiment_splits(spark):
+    split = spark.createDataFrame([("train", 0, "in/b_001.mp4"), ("train", 1, "in/a_001.mp4"), ("train", 2, "in/c_001.mp4"), ("val", 0, "in/z_001.mp4"), ("val", 1, "in/y_001.mp4")], "split string, place int, path string")
+    names = ["b_v002_001.mp4", "b_v001_001.mp4", "a_v001_001.mp4", "other_v001_001.mp4"]
+    made = spark.createDataFrame([(n,) for n in names], "name string")
+    doc = json.loads(A.experiment_document(split, made, "x", "base.json").first().json)
+    assert doc == {"train": ["b_v001_001.mp4", "b_v002_001.mp4", "a_v001_001.mp4"], "val": ["in/z_001.mp4", "in/y_001.mp4"], "test": [],
+                   "metadata": {"experiment_id": "x", "original_train_count": 3, "augmented_train_count": 3, "missing_train_count": 1, "base_split": "base.json"}}
+    about = spark.range(1).select(F.lit(7).alias("total_train"))
+    doc = json.loads(A.augmented_document(split, made, 2, "gs://b/raw/", "gs://b/made/", "s.json", "b", about).first().json)
+    assert doc["train"] == [f"gs://b/made/{n}" for n in sorted(names[:3])] and doc["val"] == ["gs://b/raw/y_001.mp4", "gs://b/raw/z_001.mp4"]
+    assert doc["metadata"] == {"source_split": "s.json", "gcs_bucket": "b", "versions_per_video": 2, "original_train_count": 3, "augmented_train_count": 3, "val_count": 2, "test_count": 0, "original_metadata": {"total_train": 7}}
+
+
+def test_videos_that_fail_are_rows(spark, tmp_path):
+    for n in ("a.mp4", "b.mp4"):
+        (tmp_path / n).write_bytes(n.encode())
+
+    def work(path, content):
+        if content == b"b.mp4":
+            raise OSError("no frames")
+        return 3
+
+    got = {r.path.rsplit("/", 1)[-1]: tuple(r)[1:] for r in files.attempted(spark, str(tmp_path), work).collect()}
+    assert got == {"a.mp4": (3, True, None), "b.mp4": (0, False, "no frames")}
+    where = str(tmp_path / "text")
+    assert files.get_text(spark, where) is None
+    files.put_text(spark, where, "one\ntwo")
+    assert files.get_text(spark, where) == "one\ntwo"
+
+
+def test_ranks_and_phases(spark):
+    rows = spark.createDataFrame([("a", "COMPLETED", 50.0, 1), ("b", "COMPLETED", None, 2), ("c", "PENDING", 70.0, 3), ("d", "COMPLETED", 50.0, 4), ("e", "COMPLETED", 99.5, 5)], "experiment_id string, status string, val_acc double, seq int")
+    assert [r.experiment_id for r in X.ranked(rows).orderBy("rank").collect()] == ["e", "a", "d", "b"]
+    outcomes = spark.createDataFrame([("a", None, 60.0), ("c", "out of memory", None), ("x", None, 1.0)], "experiment_id string, error_message string, val_acc double")
+    got = {r.experiment_id: (r.status, r.val_acc) for r in X.after_phase(rows, outcomes).collect()}
+    assert got == {"a": ("COMPLETED", 60.0), "b": ("COMPLETED", None), "c": ("FAILED", 70.0), "d": ("COMPLETED", 50.0), "e": ("COMPLETED", 99.5)}
+    assert {r[0] for r in X.remaining(rows, rows.where("seq < 3")).collect()} == {"c", "d", "e"}
+    report = spark.createDataFrame([(2, "x", 0.5)], "tracks int, predicted_label string, confidence double")
+    assert json.loads(P.report_document(report, video="v.mp4").first().json) == {"video": "v.mp4", "tracks": 2, "predicted_label": "x", "confidence": 0.5}
+
+
 def test_kernels(spark):
     x = np.arange(48, dtype=np.uint8).reshape(4, 4, 3)
     assert (N.grayscale(np.full((2, 2, 3), 77, np.uint8)) == 77).all() and (N.flip(N.flip(x)) == x).all()
-    assert N.brightness_contrast(np.full((1, 1, 3), 100, np.uint8), 1.1, 0.5)[0, 0, 0] == int(0.5 * (100 - 128) + 128 + 0.1 * 255)
+    # contrast 1 + c, brightness 1 + b: c * (x - 128) + 128 + (b - 1) * 255
+    assert N.brightness_contrast(np.full((1, 1, 3), 100, np.uint8), 0.1, -0.5)[0, 0, 0] == int(0.5 * (100 - 128) + 128 + 0.1 * 255)
+    assert (N.brightness_contrast(x, 0.0, 0.0) == x).all()
     assert (N.blur(np.full((6, 6, 3), 9, np.uint8), 0.8) == 9).all() and len(N.gaussian_weights(0.1)) == 3
     cut = N.cutout(np.zeros((20, 20, 3), np.uint8), 0.1, 0.2, 0.15)
-    assert cut[2:9, 4:11].min() == 128 and cut.sum() == 128 * 7 * 7 * 3
+    # the side is int(20 * sqrt(0.15)) = 7, the place int(0.1 * 13) = 1, int(0.2 * 13) = 2
+    assert cut[1:8, 2:9].min() == 128 and cut.sum() == 128 * 7 * 7 * 3
     crop = N.padded_crop(x, -1, -1, 2, 3)
     assert crop.shape == (4, 3, 3) and crop[0].sum() == 0 and (crop[1:, 1:] == x[:3, :2]).all() and N.padded_crop(x, 9, 9, 12, 12).sum() == 0
     assert N.normalised(np.zeros((2, 4, 4, 3), np.uint8)).shape == (2, 3, 4, 4)
+    row = dict(flip=True, brightness=0.1, contrast=-0.2, blur_sigma=0.5, rotation=None, scale=None, cutout_top=0.5, cutout_left=0.0)
+    made = N.augmented(x, row, 0.15)
+    assert (made == N.cutout(N.blur(N.brightness_contrast(N.flip(N.grayscale(x)), 0.1, -0.2), 0.5), 0.5, 0.0, 0.15)).all()
+    none = dict.fromkeys(row) | {"flip": False}
+    assert (N.augmented(x, none, 0.15) == N.grayscale(x)).all() and (N.augmented(x, none | {"scale": 0.9}, 0.15, rescale=lambda f, s: f // 2) == N.grayscale(x) // 2).all()
+    with pytest.raises(ValueError):
+        N.augmented(x, none | {"rotation": 3.0}, 0.15)
+    assert (N.resized(x, 4, 4) == x).all() and (N.resized(np.full((3, 5, 3), 9, np.uint8), 8, 2) == 9).all()
+    wide = N.resized(np.array([[[0], [100]]], np.uint8), 1, 4)[0, :, 0].tolist()
+    assert wide == [0, 25, 75, 100]  # centres at -0.25, 0.25, 0.75 and 1.25, the edge repeated
+    assert N.item([x, x], side=8).shape == (2, 3, 8, 8) and (N.item(None) == 0).all() and N.item([]).shape == (16, 3, 224, 224)
+    assert N.blur(x[:1, :2], 1.0).shape == (1, 2, 3)
     frames = spark.createDataFrame([(1, 4, 4, 3, x.tobytes()), (2, 4, 4, 3, None), (3, 4, 4, 3, b"x")], "id int, height int, width int, channels int, pixels binary")
     got = {r.id: r.pixels for r in N.on_frames(frames, N.flip).collect()}
     assert bytes(got[1]) == np.ascontiguousarray(N.flip(x)).tobytes() and got[2] is None and got[3] is None
