@@ -1,9 +1,10 @@
 """Long passages that several documents share, found on a de Bruijn graph of words.
 
 A run of 13 words is an edge from its first 12 words to its last 12.  Edges that
-start in more than one document are kept, paths of them without branches are
-compacted by joins, and each document's share of a path is taken from its source
-coordinates and verified there.
+start in more than one document are kept, and paths of them without branches are
+compacted by joins.  An edge's coordinates are those of the document in which it
+is seen first; each other document's share of a path is a span of words, which is
+verified at its own coordinates.
 
 Few edges repeat, so each window is first reduced to the least hash among its
 runs of 5 words (its anchor).  Equal windows have equal anchors; only windows
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,17 @@ def _owner(places: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))[places]
 
 
+def _cut_out(raw: bytes, stays: np.ndarray, begin: np.ndarray, end: np.ndarray, at: int, to: int) -> bytes:
+    """The bytes from at to `to`, without the words that don't stay and the white space after them, or before them at the end."""
+    turns = np.flatnonzero(np.diff(np.concatenate([[False], stays, [False]])))
+    runs_ = list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True))
+    n, out = len(stays), []
+    for a, b in runs_:
+        last = to if b == n else int(end[b - 1]) if (a, b) == runs_[-1] else int(begin[b])
+        out.append(raw[at if a == 0 else int(begin[a]) : last])
+    return b"".join(out)
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -72,14 +85,15 @@ def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(tail, head, id, v, place) of every window of docs whose anchor is in the column anchors.
+    """(tail, head, check, id, v, place) of every window of docs whose anchor is in the column anchors.
 
-    tail and head are hashes of the window's first and last words, all but one;
-    v tells texts of one id apart; place counts words.
+    tail and head are hashes of the window's first and last words, all but one,
+    and check is one of the whole window by another family of hashes; v tells
+    texts of one id apart; place counts words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher, other = Hasher(), Hasher(family=1)
         for batch in slices(batches):
             words, _, _, firsts, _ = hasher.batch(batch.column(1))
             starts, places, short = _anchors(words, firsts, window, anchor)
@@ -91,15 +105,15 @@ def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             # an anchor that only its hash with another text's number equals adds an edge in vain, and no more
             hit = np.isin(short[places] + text.astype(U) * U(0x9E3779B97F4A7C15), wanted + own * U(0x9E3779B97F4A7C15))
             starts, text = starts[hit], text[hit]
-            node = runs(words, window - 1)
+            node, check = runs(words, window - 1), runs(other.batch(batch.column(1))[0], window)
             ids = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [_signed(node[starts]), _signed(node[starts + 1]), batch.column(0).take(ids), batch.column(2).take(ids), pa.array((starts - firsts[text]).astype(np.int32))],
-                ["tail", "head", "id", "v", "place"],
+                [_signed(node[starts]), _signed(node[starts + 1]), _signed(check[starts]), batch.column(0).take(ids), batch.column(2).take(ids), pa.array((starts - firsts[text]).astype(np.int32))],
+                ["tail", "head", "check", "id", "v", "place"],
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text", "v", "anchors").mapInArrow(run, f"tail bigint, head bigint, id {kind}, v int, place int")
+    return docs.select("id", "text", "v", "anchors").mapInArrow(run, f"tail bigint, head bigint, check bigint, id {kind}, v int, place int")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -107,61 +121,107 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] =
     return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"), F.xxhash64(text).bitwiseAND(0x7FFF).cast("int").alias("v"), F.struct(*carry, F.lit(0).alias("_")).alias("carried"))
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """(id, print, first_id): of each document, the least id with the same text, known by 128 bits and its length."""
+def classes(docs: DataFrame, salts: int = 16) -> DataFrame:
+    """(id, print, first_id): of each document, the least id with the same text, known by 128 bits and its length.  Texts with many copies are dealt by a salt."""
     text = F.col("text")
     known = docs.where("id is not null and text is not null").select("id", "print", F.xxhash64(F.lit("other"), text).alias("_h"), F.octet_length(text).alias("_n"))
-    first = known.groupBy("print", "_h", "_n").agg(F.min("id").alias("first_id"))
-    return known.join(first, ["print", "_h", "_n"]).select("id", "print", "first_id")
+    first = known.groupBy("print", "_h", "_n").agg(F.min("id").alias("first_id"), F.max("id").alias("_last")).where("first_id < _last").drop("_last")
+    first = first.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = known.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    return salted.join(first, ["print", "_h", "_n", "_s"], "left").select("id", "print", F.coalesce("first_id", "id").alias("first_id"))
+
+
+def compacted(edge: DataFrame) -> DataFrame:
+    """edge(tail, head, check, first_id, v, place) with path and offset: the place of its path's first edge in the graph, and how many edges come before.
+
+    v and place are an edge's coordinates in the document first_id, where it is
+    seen first.  A node joins two edges to one path if it has one on each side
+    and both are seen first in the same document.  Edges that follow each other
+    there are one piece; pieces are joined to paths by going from each to the one
+    before, then twice as far in each round.  A path that closes in itself is cut
+    between its pieces.
+    """
+    ends = edge.select(F.col("head").alias("node"), F.lit(1).alias("_in"), F.lit(0).alias("_out"), "first_id").unionByName(edge.select(F.col("tail").alias("node"), F.lit(0).alias("_in"), F.lit(1).alias("_out"), "first_id"))
+    inner = ends.groupBy("node").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.min("first_id").alias("_a"), F.max("first_id").alias("_b")).where("_in = 1 and _out = 1 and _a = _b")
+    marked = edge.join(inner.select(F.col("node").alias("tail"), F.lit(True).alias("_inner")), "tail", "left")
+    by = Window.partitionBy("first_id").orderBy("v", "place")
+    follows = F.col("_inner") & (F.lag("v").over(by) == F.col("v")) & (F.lag("place").over(by) + 1 == F.col("place")) & (F.lag("head").over(by) == F.col("tail"))
+    cut = marked.withColumn("_new", F.when(follows, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(by))
+    whole = Window.partitionBy("first_id", "_run")
+    # a piece is known by the hashes of its first edge
+    root = F.min(F.struct("place", "tail", "head", "check", "_inner")).over(whole)
+    piece = written(cut.withColumn("_root", root).select("tail", "head", "check", "first_id", "v", "place", F.xxhash64("_root.tail", "_root.head", "_root.check").alias("piece"), (F.col("place") - F.col("_root.place")).alias("_at"), F.col("_root.tail").alias("_first"), F.col("_root._inner").alias("_goes_on")))
+    size = piece.groupBy("piece").agg(F.count("*").alias("n"), F.first("_first").alias("_first"), F.first("_goes_on").alias("_goes_on"))
+    before = piece.select(F.col("head").alias("_first"), F.col("piece").alias("up"), (F.col("_at") + 1).alias("far"))
+    linked = size.where("_goes_on").join(before, "_first").select("piece", "up", "far").where("piece <> up")
+    step = written(linked)
+    total = step.count()
+    for _ in range(max(total, 1).bit_length() + 1 if total else 0):
+        far = step.select(F.col("piece").alias("up"), F.col("up").alias("_up"), F.col("far").alias("_far"))
+        now = step.join(far, "up", "left").select("piece", F.coalesce("_up", "up").alias("up"), (F.col("far") + F.coalesce("_far", F.lit(0))).alias("far"), F.col("_up").isNotNull().alias("_on"))
+        step = written(now)
+        if step.where("_on").isEmpty():
+            break
+        step = step.drop("_on")
+    step = step.join(step.select(F.col("piece").alias("up")).distinct(), "up", "left_anti").select("piece", "up", "far")  # what still leads on goes round
+    return piece.join(step, "piece", "left").select("tail", "head", "check", "first_id", "v", "place", F.coalesce("up", "piece").alias("path"), (F.col("_at") + F.coalesce("far", F.lit(0))).alias("offset"))
 
 
 def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Repeated passages that are not in their first document.
 
-    (id, v, first_id, start, n_windows, tail, head): n_windows consecutive windows
-    from word start on, all of which start in the smaller id first_id too; tail
-    and head are the hashes at both ends, for verification at the source.  Of a
-    copy of a whole text, n_windows is WHOLE and tail the text's fingerprint.
+    (id, v, first_id, first_place, path, offset, start, n_windows, tail, head):
+    n_windows consecutive windows from word start on, which are the edges of path
+    from offset on, and start at word first_place of the smaller id first_id too;
+    tail and head are the hashes at both ends, for verification at the source.
+    Of a copy of a whole text, n_windows is WHOLE, tail the text's fingerprint, and
+    there is no path.
     """
     docs = _keyed(docs, id_col, text_col)
     same = written(classes(docs))
-    seen = anchors(docs, window, anchor)
-    repeated = seen.groupBy("anchor").agg(F.min("print").alias("_a"), F.max("print").alias("_b")).where("_a < _b").select("anchor")
     # anchors go to the first document of each text; its copies are removed whole
-    first = same.where("id = first_id").select("id", "print").distinct()
-    # each key is once in what is hashed here, a partition's share of it is small, and skewed partitions of the other side can be split
-    wanted = written(seen.join(repeated.hint("shuffle_hash"), "anchor").distinct().join(first, "print").groupBy("id").agg(F.collect_list("anchor").alias("anchors")))
+    wanted = written(_wanted(docs, same, window, anchor))
     # whatever the sizes, texts are joined the same way, by their ids
     found = written(edges(docs.join(wanted.hint("merge"), "id"), window, anchor))
     dropped(wanted)
-    edge = found.groupBy("tail", "head").agg(F.min("id").alias("first_id"), F.max("id").alias("_last")).where("first_id < _last").drop("_last")
-    edge = written(edge)
-    # a node joins two edges if it has one on each side and both start in the same document first
-    ends = edge.select(F.col("head").alias("node"), F.lit(1).alias("_in"), F.lit(0).alias("_out"), "first_id").unionByName(edge.select(F.col("tail").alias("node"), F.lit(0).alias("_in"), F.lit(1).alias("_out"), "first_id"))
-    node = ends.groupBy("node").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.min("first_id").alias("_a"), F.max("first_id").alias("_b")).where("_in = 1 and _out = 1 and _a = _b")
-    marked = written(edge.join(node.select(F.col("node").alias("tail"), F.lit(True).alias("_goes_on")), "tail", "left"))
+    key = ["tail", "head", "check"]
+    # a text's windows come in order, so of several in the first document the first is kept
+    at = F.min_by(F.col("v").cast("long") * (1 << 32) + F.col("place"), "id")
+    edge = found.groupBy(*key).agg(F.min("id").alias("first_id"), F.max("id").alias("_last"), at.alias("_at")).where("first_id < _last")
+    edge = written(edge.select(*key, "first_id", F.shiftright("_at", 32).cast("int").alias("v"), F.col("_at").bitwiseAND(0xFFFFFFFF).cast("int").alias("place")))
+    paths = written(compacted(edge))
     dropped(edge)
-    dup = found.join(marked.hint("shuffle_hash"), ["tail", "head"]).where("first_id < id")
+    # each key is once in what is hashed here, a partition's share of it is small, and skewed partitions of the other side can be split
+    dup = found.join(paths.select(*key, "first_id", F.col("place").alias("first_place"), "path", "offset").hint("shuffle_hash"), key).where("first_id < id")
     by = Window.partitionBy("id").orderBy("v", "place")
-    near = (F.col("v") == F.lag("v").over(by)) & (F.col("place") - F.lag("place").over(by) <= 1) & (F.col("first_id") == F.lag("first_id").over(by))
-    step = F.when(near & (F.col("_goes_on") | (F.col("place") == F.lag("place").over(by))), 0).otherwise(1)
-    run = dup.withColumn("_new", F.coalesce(step, F.lit(1))).withColumn("_run", F.sum("_new").over(by))
-    paths = run.groupBy("id", "_run").agg(
-        F.min("v").alias("v"), F.min("first_id").alias("first_id"), F.min("place").alias("start"), (F.max("place") - F.min("place") + 1).alias("n_windows"), F.min_by("tail", "place").alias("tail"), F.max_by("head", "place").alias("head")
+    prior = lambda c, step: F.lag(c).over(by) + step == F.col(c)
+    run = dup.withColumn("_new", F.when(prior("v", 0) & prior("path", 0) & prior("place", 1) & prior("offset", 1) & prior("first_place", 1), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(by))
+    passages = run.groupBy("id", "_run").agg(
+        F.min("v").alias("v"), F.min("first_id").alias("first_id"), F.min("first_place").alias("first_place"), F.min("path").alias("path"), F.min("offset").alias("offset"), F.min("place").alias("start"), F.count("*").cast("int").alias("n_windows"),
+        F.min_by("tail", "place").alias("tail"), F.max_by("head", "place").alias("head"),
     ).drop("_run")
-    copies = same.where("id > first_id").select("id", F.col("print").bitwiseAND(0x7FFF).cast("int").alias("v"), "first_id", F.lit(0).alias("start"), F.lit(WHOLE).alias("n_windows"), F.col("print").alias("tail"), F.col("print").alias("head"))
-    out = written(paths.unionByName(copies))
-    dropped(found, marked, same)
+    none = F.lit(None).cast("bigint")
+    copies = same.where("id > first_id").select("id", F.col("print").bitwiseAND(0x7FFF).cast("int").alias("v"), "first_id", F.lit(0).alias("first_place"), none.alias("path"), none.alias("offset"), F.lit(0).alias("start"), F.lit(WHOLE).alias("n_windows"), F.col("print").alias("tail"), F.col("print").alias("head"))
+    out = written(passages.unionByName(copies))
+    dropped(found, paths, same)
     return out
 
 
+def _wanted(docs: DataFrame, same: DataFrame, window: int, anchor: int) -> DataFrame:
+    """(id, anchors): of the first document of each text, the anchors that another text has too."""
+    seen = anchors(docs, window, anchor)
+    repeated = seen.groupBy("anchor").agg(F.min("print").alias("_a"), F.max("print").alias("_b")).where("_a < _b").select("anchor")
+    first = same.where("id = first_id").select("id", "print").distinct()
+    return seen.join(repeated.hint("shuffle_hash"), "anchor").distinct().join(first, "print").groupBy("id").agg(F.collect_list("anchor").alias("anchors"))
+
+
 def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, carry: tuple[str, ...] = (), untouched: bool = False) -> DataFrame:
     """(id_col, n_words, n_removed, kept, *carry): each document without the words that repeated windows cover.
 
     A word goes if it lies in a window of `window` words that also starts in a
     document of smaller id; windows are judged on the input.  Words are runs of
     anything but ASCII white space, and kept ones are joined by one blank;
-    with untouched, a text from which nothing goes is kept as it is.  With
+    with untouched, the rest of the text, white space and all, is kept as it is.  With
     digest, kept_sha256 (lower-case hex) stands for kept.  A null text has no
     words; a document with a null id is compared with none; documents of one id
     are not compared with each other.  Of other columns, those in carry are kept.
@@ -196,13 +256,16 @@ def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col:
             counts = np.append(0, np.cumsum(stays))[firsts]
             left = np.diff(counts)
             raw = data.tobytes()
+            bounds = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))).tolist()
             kept = []
             for k in range(batch.num_rows):
                 lo, hi = firsts[k], firsts[k + 1]
                 if left[k] == total[k] and untouched:
                     kept.append(batch.column(1)[k].as_py())
                     continue
-                if left[k] == total[k]:
+                if untouched:
+                    joined = _cut_out(raw, stays[lo:hi], begin[lo:hi], end[lo:hi], bounds[k], bounds[k + 1])
+                elif left[k] == total[k]:
                     joined = b" ".join(raw[begin[lo] : end[hi - 1]].split()) if hi > lo else b""
                 else:
                     mine = np.flatnonzero(stays[lo:hi]) + lo

@@ -3,7 +3,8 @@
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D, so UTF-8 texts
 can be cut bytewise.  Hashes of short words are polynomial over their bytes, taken
 from prefix sums modulo 2**64 and then mixed; long words could be built so that
-such hashes agree whatever the base, so theirs is a digest's.
+such hashes agree whatever the base, so theirs is a digest's.  There are two
+families, which together know a run of words by 128 bits.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
+_BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 SPACE_BYTES = np.zeros(256, bool)
 SPACE_BYTES[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -45,8 +46,8 @@ def powers(base: int, n: int) -> np.ndarray:
 class Hasher:
     """Word hashes of texts, with power tables that are kept between batches."""
 
-    def __init__(self, lower: bool = False):
-        self.base, self.lower = _BASE, lower
+    def __init__(self, lower: bool = False, family: int = 0):
+        self.base, self.lower, self.family = _BASE[family], lower, bytes([family])
         self.inverse = pow(self.base, -1, 1 << 64)
         self.tables = None
 
@@ -75,7 +76,7 @@ class Hasher:
         np.cumsum(data.astype(U) * power[: len(data)] + power[: len(data)], out=sums[1:])
         out = mix((sums[end] - sums[begin]) * inverse[begin])
         for i in np.flatnonzero(end - begin >= LONG).tolist():
-            out[i] = int.from_bytes(hashlib.blake2b(data[begin[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+            out[i] = int.from_bytes(hashlib.blake2b(data[begin[i] : end[i]].tobytes(), digest_size=8, key=self.family).digest(), "little")
         return out, begin, end
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -102,6 +102,112 @@ def test_near_duplicates_against_brute_force(spark, percent):
     assert {r.n_shingles for r in got if r.doc_id in (90, 91, 92)} == {0}
 
 
+def twins(n=12):
+    """Two words that every polynomial hash modulo 2**64 takes for one."""
+    one = "a"
+    for _ in range(n):
+        one += one.translate(str.maketrans("ab", "ba"))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_polynomial_hashes_take_for_one(spark):
+    one, other = twins()
+    rest = [f"w{i}" for i in range(20)]
+    docs = spark.createDataFrame([(1, " ".join([*rest[:6], one, *rest[6:12]])), (2, " ".join([*rest[:6], other, *rest[6:12]])), (3, f"{one} x"), (4, f"{other} x")], "doc_id bigint, text string")
+    assert {r.doc_id: r.n_removed for r in substrings.remove(docs).collect()} == dict.fromkeys((1, 2, 3, 4), 0)
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 100).collect()} == {k: k for k in (1, 2, 3, 4)}
+
+
+def plain_paths(edges):
+    """The edges (tail, head, first document) of each path of a graph, by walking."""
+    out, into = {}, {}
+    for t, h, d in edges:
+        out.setdefault(t, []).append((t, h, d))
+        into.setdefault(h, []).append((t, h, d))
+    inner = lambda n: len(out.get(n, [])) == 1 == len(into.get(n, [])) and out[n][0][2] == into[n][0][2]
+    found = []
+    for e in edges:
+        if inner(e[0]):
+            continue
+        path = [e]
+        while inner(path[-1][1]):
+            path.append(out[path[-1][1]][0])
+        found.append(path)
+    return found
+
+
+def test_paths_against_a_plain_graph(spark):
+    rng = random.Random(3)
+    # a few long paths, that branch and meet, numbered so that neighbours in the graph aren't neighbours in the document
+    edges = {(n, n + 1, 1 + n // 40) for n in range(200)} | {(rng.randrange(200), 300 + k, 1) for k in range(6)} | {(320 + k, rng.randrange(200), 2) for k in range(6)}
+    ring = [(900, 901, 1), (901, 902, 1), (902, 900, 1)]
+    places = {e: k for k, e in enumerate(sorted(edges | set(ring), key=lambda e: e[0] if e[0] % 9 else rng.random() * 999))}
+    rows = [(t, h, 7, d, 0, places[t, h, d]) for t, h, d in places]
+    got = substrings.compacted(spark.createDataFrame(rows, "tail bigint, head bigint, check bigint, first_id bigint, v int, place int")).collect()
+    paths = {}
+    for r in got:
+        if r.tail < 900:
+            paths.setdefault(r.path, []).append((r.offset, (r.tail, r.head, r.first_id)))
+    assert sorted([e for _, e in sorted(p)] for p in paths.values()) == sorted(plain_paths(sorted(edges)))
+    assert all([o for o, _ in sorted(p)] == list(range(len(p))) for p in paths.values())
+    assert len(got) == len(rows)
+
+
+def test_what_is_left_keeps_its_white_space(spark):
+    run = " ".join(f"p{i}" for i in range(14))
+    docs = spark.createDataFrame([(1, f"a\n\nb {run} z"), (2, f" c\td\n\n{run}\ne  f\n"), (3, f"{run}\tx"), (4, f"y\n{run} ")], "doc_id bigint, text string")
+    got = {r.doc_id: r.kept for r in substrings.remove(docs, untouched=True).collect()}
+    assert got == {1: f"a\n\nb {run} z", 2: " c\td\n\ne  f\n", 3: "x", 4: "y"}
+
+
+def test_many_texts_alike_but_not_enough_make_few_candidates(spark, monkeypatch):
+    """Texts with some words of one base changed: pairs are from 50 to 90 % alike, and most of them must not be listed."""
+    counts = {}
+
+    def candidates(n):
+        rng = random.Random(n)
+        base = [f"b{i}" for i in range(100)]
+        rows = [(0, " ".join(base))]
+        for i in range(1, n):
+            words = base[:]
+            for k in rng.sample(range(100), rng.randint(1, 5)):
+                words[k] = f"x{i}-{k}"
+            rows.append((i, " ".join(words)))
+        made, real = [], neardup.possible
+
+        def counted(*a):
+            made.append(real(*a).count())
+            return real(*a)
+
+        monkeypatch.setattr(neardup, "possible", counted)
+        got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 80).collect()
+        monkeypatch.setattr(neardup, "possible", real)
+        counts[n] = sum(made)
+        return rows, got
+
+    rows, got = candidates(150)
+    assert {r.doc_id: r.component_id for r in got} == components_of(rows, 80)
+    candidates(300)
+    assert counts[300] <= 2 * counts[150] + 300
+
+
+def components_of(rows, percent):
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in rows for w in [t.split()]}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in sets}
+
+
 def test_near_duplicates_through_a_middle_text(spark):
     """Copies that resemble a common origin, but not each other, are found through it in any order of ids."""
     rng = random.Random(3)
