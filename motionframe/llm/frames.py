@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -26,7 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         base = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = base.get() if base.isDefined() else "/tmp/motionframe-checkpoints"
+        if base.isDefined():
+            base = base.get()
+        elif spark.sparkContext.master.partition("[")[0] == "local":  # driver and executor are one process here
+            base = f"{tempfile.gettempdir()}/motionframe-checkpoints"
+        else:
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -35,6 +42,7 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or shared_dir(spark)
     df.write.mode("overwrite").parquet(path)
+    gc.collect()
     spark.sparkContext._jvm.System.gc()  # the context removes shuffle files of plans that are garbage, once they are collected
     return spark.read.schema(df.schema).parquet(path)
 

@@ -6,10 +6,13 @@ on the graph.  Nodes are dealt into blocks of like vectors, of bounded size, and
 numbered in them, so that a number tells the block.  Blocks exchange rows that
 hold arrays, one for each pair of blocks that have something to tell each other;
 a node's share of them is bounded by the parameters, whatever the number of nodes.
+Vectors travel as 8-bit steps from the centre of their block; results are scored
+from the original ones.
 
 The graph starts from small leaves of random projection trees.  In each round
-every node tells those that it lists, is answered by them, and joins its neighbours,
-on either side, with each other; what is nearer than what they have is offered to them.
+every node tells those that it lists, vectors go to where they are neighbours, and a
+node's neighbours, on either side, are joined with each other; what is nearer than
+what they have is offered to them.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import written
+from .frames import dropped, written
 from .words import U, mix
 
 
@@ -37,7 +40,7 @@ class Params:
     sample: int = 2048  # vectors that the driver draws planes from
     rounds: int = 8
     stop: float = 0.02  # ends the rounds when fewer of all neighbours are new
-    offers: int = 16  # that a block makes to a node in a round
+    offers: int = 8  # that a block makes to a node in a round
     entries: int = 64  # nodes that every query starts from, and as many of the longest
     beam: int = 256
     expand: int = 48  # nodes of a query that are expanded in a round
@@ -50,19 +53,19 @@ BITS = 20
 INDEX = (1 << BITS) - 1
 
 # what a row of MESSAGE is
-STATE, REQUEST, ANSWER, REVERSE, OFFER, ASK, LIST, WANT, VECTORS = range(9)
-MESSAGE = "dest bigint, kind int, nodes array<bigint>, vecs array<float>, bounds array<float>, ends array<int>, links array<bigint>, sims array<float>, fresh array<boolean>"
-ARRAYS = {"nodes": pa.int64(), "vecs": pa.float32(), "bounds": pa.float32(), "ends": pa.int32(), "links": pa.int64(), "sims": pa.float32(), "fresh": pa.bool_()}
+STATE, REQUEST, REVERSE, OFFER, ASK, LIST, WANT, VECTORS = range(8)
+MESSAGE = "dest bigint, kind int, codes binary, nodes array<bigint>, scales array<float>, centre array<float>, bounds array<float>, ends array<int>, links array<bigint>, sims array<float>, fresh array<boolean>"
+ARRAYS = {"nodes": pa.int64(), "scales": pa.float32(), "centre": pa.float32(), "bounds": pa.float32(), "ends": pa.int32(), "links": pa.int64(), "sims": pa.float32(), "fresh": pa.bool_()}
 
 
 def told(rows: list[dict]) -> pa.Table:
     """Rows of MESSAGE; arrays that are left out are null."""
-    return pa.table({"dest": pa.array([r["dest"] for r in rows], pa.int64()), "kind": pa.array([r["kind"] for r in rows], pa.int32()), **{c: pa.array([r.get(c) for r in rows], pa.list_(kind)) for c, kind in ARRAYS.items()}})
+    return pa.table({"dest": pa.array([r["dest"] for r in rows], pa.int64()), "kind": pa.array([r["kind"] for r in rows], pa.int32()), "codes": pa.array([r.get("codes") for r in rows], pa.binary()), **{c: pa.array([r.get(c) for r in rows], pa.list_(kind)) for c, kind in ARRAYS.items()}})
 
 
 def heard(table: pa.Table | pa.RecordBatch) -> list[dict]:
     """The rows of MESSAGE, their arrays as NumPy's."""
-    out = [{"dest": d, "kind": k} for d, k in zip(table.column("dest").to_pylist(), table.column("kind").to_pylist(), strict=True)]
+    out = [{"dest": d, "kind": k, "codes": c} for d, k, c in zip(*(table.column(n).to_pylist() for n in ("dest", "kind", "codes")), strict=True)]
     for c in ARRAYS:
         column = table.column(c)
         for row, x in zip(out, column, strict=True):
@@ -134,22 +137,48 @@ def dealt(vectors: DataFrame, sample: np.ndarray, n: int, most: int, seed: int)
     return celled.join(full, "p").withColumn("p", F.col("p") * (1 << BITS) + part).drop("_parts")
 
 
+def coded(x: np.ndarray) -> dict:
+    """Vectors as steps from their mean, each with a scale of its own, so that like vectors stay apart."""
+    centre = x.mean(0)
+    rest = x - centre
+    scales = np.abs(rest).max(1) / 127
+    scales[scales == 0] = 1
+    return {"codes": np.rint(rest / scales[:, None]).astype(np.int8).tobytes(), "scales": scales.astype(np.float32), "centre": centre}
+
+
+def codes_of(row: dict) -> np.ndarray:
+    return np.frombuffer(row["codes"], np.int8).reshape(len(row["scales"]), -1)
+
+
+def decoded(row: dict) -> np.ndarray:
+    return codes_of(row) * row["scales"][:, None] + row["centre"]
+
+
+def some(row: dict, at: np.ndarray) -> dict:
+    """The vectors of a row at some places."""
+    return {"codes": codes_of(row)[at].tobytes(), "scales": row["scales"][at], "centre": row["centre"]}
+
+
 def packed(vectors: DataFrame, p: Params) -> DataFrame:
-    """A STATE row for each block of vectors(p, node, vec): vecs by node, and no neighbours yet."""
+    """A STATE row for each block of vectors(p, node, vec): vectors by node, and no neighbours yet."""
 
     def run(key: tuple, part: pa.Table) -> pa.Table:
         order = np.argsort(part["node"].to_numpy())
         n = len(order)
         x = part["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)[order]
-        return told([{"dest": key[0].as_py(), "kind": STATE, "vecs": x.ravel(), "links": np.full(n * p.degree, -1), "sims": np.full(n * p.degree, -np.inf, np.float32), "fresh": np.zeros(n * p.degree, bool)}])
+        return told([{"dest": key[0].as_py(), "kind": STATE, **coded(x), "links": np.full(n * p.degree, -1), "sims": np.full(n * p.degree, -np.inf, np.float32), "fresh": np.zeros(n * p.degree, bool)}])
 
     return vectors.select("p", "node", "vec").groupBy("p").applyInArrow(run, MESSAGE)
 
 
-def opened(row: dict, degree: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(vecs, links, sims, fresh) of a STATE row, a row a node."""
-    links = row["links"].reshape(-1, degree)
-    return row["vecs"].reshape(len(links), -1), links, row["sims"].reshape(-1, degree), row["fresh"].reshape(-1, degree)
+def opened(row: dict, degree: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(links, sims, fresh) of a STATE row, a row a node."""
+    return tuple(row[c].reshape(-1, degree) for c in ("links", "sims", "fresh"))
+
+
+def offered(u: np.ndarray, v: np.ndarray, s: np.ndarray) -> list[dict]:
+    """OFFER rows: v to u, as near as s."""
+    return [{"dest": to, "kind": OFFER, "ends": (u[k] & INDEX).astype(np.int32), "links": v[k], "sims": s[k]} for to, k in parts(u >> BITS)]
 
 
 def started(vectors: DataFrame, p: Params, top: float, seed: int) -> DataFrame:
@@ -173,7 +202,7 @@ def started(vectors: DataFrame, p: Params, top: float, seed: int) -> DataFrame:
             near = np.argpartition(-s, max(most - 1, 0), axis=1)[:, :most]
             found.append((np.repeat(ids[at], most), ids[at][near].ravel(), np.take_along_axis(s, near, 1).ravel()))
         u, v, s = (np.concatenate(c) for c in zip(*found, strict=True))
-        return told([{"dest": to, "kind": OFFER, "nodes": u[k], "links": v[k], "sims": s[k]} for to, k in parts(u >> BITS)])
+        return told(offered(u, v, s))
 
     return vectors.select("p", "node", "vec").groupBy("p").applyInArrow(run, MESSAGE)
 
@@ -183,11 +212,11 @@ def merged(state: DataFrame, offers: DataFrame, p: Params) -> DataFrame:
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         rows = heard(table)
-        own, offered = of_kind(rows, STATE)[0], of_kind(rows, OFFER)
-        _, links, sims, _ = opened(own, p.degree)
+        own, came = of_kind(rows, STATE)[0], of_kind(rows, OFFER)
+        links, sims, _ = opened(own, p.degree)
         n = len(links)
-        u = np.append(np.repeat(np.arange(n), p.degree), joined(offered, "nodes", np.int64) & INDEX)
-        v, s = np.append(links.ravel(), joined(offered, "links", np.int64)), np.append(sims.ravel(), joined(offered, "sims", np.float32))
+        u = np.append(np.repeat(np.arange(n), p.degree), joined(came, "ends", np.int64))
+        v, s = np.append(links.ravel(), joined(came, "links", np.int64)), np.append(sims.ravel(), joined(came, "sims", np.float32))
         new = np.arange(len(u)) >= links.size
         order = np.lexsort((new, v, u))
         order = order[v[order] >= 0]
@@ -200,25 +229,23 @@ def merged(state: DataFrame, offers: DataFrame, p: Params) -> DataFrame:
         to = u[order] * p.degree + slot
         links, sims, fresh = np.full(n * p.degree, -1), np.full(n * p.degree, -np.inf, np.float32), np.zeros(n * p.degree, bool)
         links[to], sims[to], fresh[to] = v[order], s[order], new[order]
-        return told([{"dest": key[0].as_py(), "kind": STATE, "vecs": own["vecs"], "links": links, "sims": sims, "fresh": fresh}])
+        return told([own | {"links": links, "sims": sims, "fresh": fresh}])
 
     return state.unionByName(offers).groupBy("dest").applyInArrow(run, MESSAGE)
 
 
-def requests(state: DataFrame, p: Params, vectors: bool = True) -> DataFrame:
-    """REQUEST rows: what nodes list which of another block's, with the listing nodes' vectors and the nearness that they ask for at least."""
+def requests(state: DataFrame, p: Params) -> DataFrame:
+    """REQUEST rows: which nodes of a block list which of another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in heard(batch):
-                x, links, sims, fresh = opened(row, p.degree)
+                links, _, fresh = opened(row, p.degree)
                 who, slot = np.nonzero(links >= 0)
                 to, out = links[who, slot], []
                 for dest, k in parts(to >> BITS):
                     nodes, at = np.unique(who[k], return_inverse=True)
                     out.append({"dest": dest, "kind": REQUEST, "nodes": row["dest"] << BITS | nodes, "ends": at.astype(np.int32), "links": to[k], "fresh": fresh[who[k], slot[k]]})
-                    if vectors:
-                        out[-1] |= {"vecs": x[nodes].ravel(), "bounds": sims[nodes].min(1)}
                 yield from told(out).to_batches()
 
     return state.mapInArrow(run, MESSAGE)
@@ -234,20 +261,20 @@ def thinned(asked: list[dict], most: int, seed: int) -> tuple[np.ndarray, np.nda
 
 
 def answers(state: DataFrame, asked: DataFrame, p: Params, seed: int) -> DataFrame:
-    """ANSWER rows for those who asked, and a REVERSE row for the own block."""
+    """A REVERSE row for each block, of who lists its nodes, and VECTORS rows to where a node lists one of the block's, or is listed by one."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         rows = heard(table)
-        asked, out, here = of_kind(rows, REQUEST), [], key[0].as_py()
-        x, _, sims, _ = opened(of_kind(rows, STATE)[0], p.degree)
-        for r in asked:
-            nodes = np.unique(r["links"] & INDEX)
-            out.append({"dest": int(r["nodes"][0]) >> BITS, "kind": ANSWER, "nodes": here << BITS | nodes, "vecs": x[nodes].ravel(), "bounds": sims[nodes].min(1)})
+        asked, here, own = of_kind(rows, REQUEST), key[0].as_py(), of_kind(rows, STATE)[0]
+        links, sims, _ = opened(own, p.degree)
         to, who, fresh = thinned(asked, p.reverse, seed)
-        nodes, vecs, bounds = joined(asked, "nodes", np.int64), joined(asked, "vecs", np.float32).reshape(-1, x.shape[1]), joined(asked, "bounds", np.float32)
-        nodes, at = np.unique(nodes, return_index=True)
-        kept = np.unique(np.searchsorted(nodes, who))
-        out.append({"dest": here, "kind": REVERSE, "nodes": nodes[kept], "vecs": vecs[at[kept]].ravel(), "bounds": bounds[at[kept]], "ends": to.astype(np.int32), "links": who, "fresh": fresh})
+        out = [{"dest": here, "kind": REVERSE, "ends": to.astype(np.int32), "links": who, "fresh": fresh}]
+        lister, slot = np.nonzero(links >= 0)
+        dest = np.concatenate([links[lister, slot] >> BITS, *(np.full(len(r["links"]), int(r["nodes"][0]) >> BITS) for r in asked)])
+        node = np.concatenate([lister, *(r["links"] & INDEX for r in asked)])
+        for block, k in parts(dest):
+            nodes = np.unique(node[k])
+            out.append({"dest": block, "kind": VECTORS, "nodes": here << BITS | nodes, "bounds": sims[nodes].min(1), **some(own, nodes)})
         return told(out)
 
     return state.unionByName(asked).groupBy("dest").applyInArrow(run, MESSAGE)
@@ -258,12 +285,12 @@ def offers(state: DataFrame, answered: DataFrame, p: Params, top: float) -> Data
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         rows = heard(table)
-        known, back = [r for r in rows if r["kind"] != STATE], of_kind(rows, REVERSE)
-        x, links, _, fresh = opened(of_kind(rows, STATE)[0], p.degree)
-        ids, at = np.unique(joined(known, "nodes", np.int64), return_index=True)
-        x, least = joined(known, "vecs", np.float32).reshape(-1, x.shape[1])[at], joined(known, "bounds", np.float32)[at]
-        if not len(ids):
+        known, back = of_kind(rows, VECTORS), of_kind(rows, REVERSE)
+        if not known:
             return told([])
+        links, _, fresh = opened(of_kind(rows, STATE)[0], p.degree)
+        ids, at = np.unique(joined(known, "nodes", np.int64), return_index=True)
+        x, least = np.concatenate([decoded(r) for r in known])[at], joined(known, "bounds", np.float32)[at]
         length, n = norms(x), len(links)
         who = np.where(links >= 0, np.searchsorted(ids, links), -1)
         turned, new = np.full((n, p.reverse), -1), np.zeros((n, p.reverse), bool)
@@ -298,21 +325,26 @@ def offers(state: DataFrame, answered: DataFrame, p: Params, top: float) -> Data
         keys = kept[0] if kept else np.zeros(0, U)
         u, v = ids[(keys >> (width + precise)).astype(np.int64)], ids[(keys & ((U(1) << width) - U(1))).astype(np.int64)]
         s = -(((keys >> width) & ((U(1) << precise) - U(1))) << (U(31) - precise)).astype(np.uint32).view(np.float32)
-        return told([{"dest": to, "kind": OFFER, "nodes": u[k], "links": v[k], "sims": s[k]} for to, k in parts(u >> BITS)])
+        return told(offered(u, v, s))
 
     return state.unionByName(answered).groupBy("dest").applyInArrow(run, MESSAGE)
 
 
 def build(vectors: DataFrame, sample: np.ndarray, n: int, top: float, p: Params) -> DataFrame:
     """The neighbour graph of the n vectors(p, node, id, vec), as STATE rows."""
+
+    def next_of(old: DataFrame, new: DataFrame) -> DataFrame:
+        out = written(new)
+        dropped(old)
+        return out
+
     state = written(packed(vectors, p))
     for seed in range(1, p.dealings + 1):
         cells = dealt(vectors.drop("p"), sample, n, p.block, seed)
-        state = written(merged(state, started(cells, p, top, seed), p))
-    state = written(state.withColumn("fresh", F.transform("links", lambda x: x >= 0)))
+        state = next_of(state, merged(state, started(cells, p, top, seed), p))
+    state = next_of(state, state.withColumn("fresh", F.transform("links", lambda x: x >= 0)))
     for seed in range(p.rounds):
-        told_ = answers(state, requests(state, p), p, seed)
-        state = written(merged(state, offers(state, told_, p, top), p))
+        state = next_of(state, merged(state, offers(state, answers(state, requests(state, p), p, seed), p, top), p))
         came, total = state.agg(F.sum(F.size(F.filter("fresh", lambda x: x))), F.sum(F.size("fresh"))).first()
         if came < p.stop * total:
             break
@@ -324,7 +356,7 @@ def lists(state: DataFrame, p: Params) -> DataFrame:
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         rows = heard(table)
-        _, links, _, _ = opened(of_kind(rows, STATE)[0], p.degree)
+        links, _, _ = opened(of_kind(rows, STATE)[0], p.degree)
         to, who, _ = thinned(of_kind(rows, REQUEST), p.reverse, 0)
         u, v = np.append(np.repeat(np.arange(len(links)), p.degree), to), np.append(links.ravel(), who)
         order = np.lexsort((v, u))
@@ -334,7 +366,7 @@ def lists(state: DataFrame, p: Params) -> DataFrame:
         order = order[once]
         return told([{"dest": key[0].as_py(), "kind": STATE, "links": v[order], "ends": np.bincount(u[order], minlength=len(links)).astype(np.int32)}])
 
-    return state.unionByName(requests(state, p, vectors=False)).groupBy("dest").applyInArrow(run, MESSAGE)
+    return state.unionByName(requests(state, p)).groupBy("dest").applyInArrow(run, MESSAGE)
 
 
 QUERY = "b bigint, id bigint, own bigint, vec array<float>, cand array<bigint>, sims array<float>, done array<boolean>"
@@ -387,7 +419,7 @@ def sent(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
         for b in sorted({int(r["links"][0]) for r in wanted}):
             nodes = np.unique(np.concatenate([r["nodes"] for r in wanted if r["links"][0] == b]))
             own = of_kind(rows, STATE)[0]
-            out.append({"dest": b, "kind": VECTORS, "nodes": nodes, "vecs": own["vecs"].reshape(len(own["ends"]), -1)[nodes & INDEX].ravel()})
+            out.append({"dest": b, "kind": VECTORS, "nodes": nodes, **some(own, nodes & INDEX)})
         return told(out)
 
     return blocks.unionByName(wanted).groupBy("dest").applyInArrow(run, MESSAGE)
@@ -398,9 +430,11 @@ def stepped(queries: DataFrame, got: DataFrame, p: Params, first: bool) -> DataF
 
     def run(key: tuple, mine: pa.Table, table: pa.Table) -> pa.Table:
         rows = heard(table)
-        ids, at = np.unique(joined(of_kind(rows, VECTORS), "nodes", np.int64), return_index=True)
-        x = joined(of_kind(rows, VECTORS), "vecs", np.float32)
-        x = x.reshape(len(at), -1)[at] if len(at) else x.reshape(0, 1)
+        known = of_kind(rows, VECTORS)
+        ids, at = np.unique(joined(known, "nodes", np.int64), return_index=True)
+        if known:
+            codes, scales = np.concatenate([codes_of(r) for r in known])[at], joined(known, "scales", np.float32)[at]
+            centres, block = np.stack([r["centre"] for r in known]), np.repeat(np.arange(len(known)), [len(r["nodes"]) for r in known])[at]
         of: dict[int, np.ndarray] = {}
         for r in of_kind(rows, LIST):
             ends = np.cumsum(r["ends"])
@@ -415,7 +449,7 @@ def stepped(queries: DataFrame, got: DataFrame, p: Params, first: bool) -> DataF
             new = np.unique(np.concatenate(lists)) if lists else np.zeros(0, int)
             new = new[~np.isin(ids[new], cand)] if len(new) else new
             if len(new):
-                cand, sims, done = np.append(cand, ids[new]), np.append(sims, x[new] @ vec), np.append(done, np.zeros(len(new), bool))
+                cand, sims, done = np.append(cand, ids[new]), np.append(sims, codes[new].astype(np.float32) @ vec * scales[new] + (centres @ vec)[block[new]]), np.append(done, np.zeros(len(new), bool))
             keep = np.lexsort((cand, -sims))[: p.beam]
             out.append((cand[keep], sims[keep], done[keep]))
         columns = {c: pa.array([r[k] for r in out], pa.list_(kind)) for k, (c, kind) in enumerate({"cand": pa.int64(), "sims": pa.float32(), "done": pa.bool_()}.items())}
@@ -428,19 +462,22 @@ def search(queries: DataFrame, state: DataFrame, entries: np.ndarray, p: Params)
     """(id, cand, sims): the nodes that a greedy search of each of queries(b, id, own, vec) holds at its end, nearest first.
 
     own is the query's own node, or null; b, below zero, names blocks of queries.
+    The graph's table is deleted.
     A round expands each query's `expand` nearest nodes that it hasn't expanded,
     until none is left or search_rounds are over.
     """
     near = written(lists(state, p))
-    blocks = written(state.drop("ends").withColumn("ends", F.sequence(F.lit(1), (F.size("links") / p.degree).cast("int"))).withColumns({"links": F.lit(None).cast("array<bigint>"), "sims": F.lit(None).cast("array<float>"), "fresh": F.lit(None).cast("array<boolean>")}))
+    blocks = state.withColumns({"links": F.lit(None).cast("array<bigint>"), "sims": F.lit(None).cast("array<float>"), "fresh": F.lit(None).cast("array<boolean>")})
     none = {"cand": "array<bigint>", "sims": "array<float>", "done": "array<boolean>"}
     now = written(queries.select("b", "id", "own", "vec", *(F.array().cast(kind).alias(c) for c, kind in none.items())))
     for turn in range(p.search_rounds + 1):
         got = written(tells(near, asks(now, p, entries if turn == 0 else None)))
         back = sent(blocks, got.where(F.col("kind") == WANT)).unionByName(got.where(F.col("kind") == LIST))
-        now = written(stepped(now, back, p, turn == 0))
+        before, now = now, written(stepped(now, back, p, turn == 0))
+        dropped(got, before)
         if now.where(F.exists("done", lambda x: ~x)).isEmpty():
             break
+    dropped(near, state)
     return now.select("id", "cand", "sims")
 
 
