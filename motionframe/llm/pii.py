@@ -1,7 +1,8 @@
 """Personal data and secrets replaced by surrogates: keyed, of the same type and format, one for each entity.
 
 A surrogate is drawn from a keyed hash of the entity's type and canonical form,
-so mentions of one entity stay together across documents.  The distinct entities
+so mentions of one entity stay together across documents.  Of a person's name the
+given and the family name are an entity each, so short and full forms agree.  The distinct entities
 are checked for clashes: one whose surrogate equals another's, or an original,
 draws again until none does.
 """
@@ -25,17 +26,26 @@ TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Doña", "Signora", "госпожа", "г-жа", "κυρία"],
     "n": ["Dr", "Prof", "Mx"],
 }
-# Given names by script and gender, and parts that family names are joined from.
+# What letters begin with, before a name.
+SALUTATIONS = ["Dear", "Hello", "Hi", "Liebe", "Lieber", "Hallo", "Cher", "Chère", "Bonjour", "Querido", "Querida", "Estimado", "Estimada", "Hola", "Уважаемый", "Уважаемая", "Дорогой", "Дорогая", "Αγαπητέ", "Αγαπητή"]
+# Frequent given names, by which a full name without a form of address is known.
+KNOWN = {
+    "m": ["Adam", "Alexander", "Andrew", "Anthony", "Antonio", "Brian", "Carlos", "Charles", "Christopher", "Daniel", "David", "Edward", "François", "George", "Hans", "Henry", "Jack", "Jacques", "James", "Jean", "Johann", "John", "José", "Joseph", "Juan", "Jürgen", "Kevin", "Klaus", "Luis", "Manuel", "Marco", "Mark", "Matthew", "Michael", "Miguel", "Patrick", "Paul", "Pedro", "Peter", "Philippe", "Pierre", "Richard", "Robert", "Stefan", "Stephen", "Thomas", "Timothy", "Walter", "William", "Wolfgang", "Александр", "Алексей", "Андрей", "Борис", "Владимир", "Дмитрий", "Иван", "Михаил", "Николай", "Павел", "Сергей", "Γιώργος", "Γιάννης", "Δημήτρης", "Κώστας", "Νίκος"],
+    "f": ["Alice", "Ana", "Angela", "Anna", "Anne", "Barbara", "Carmen", "Catherine", "Charlotte", "Christine", "Claudia", "Deborah", "Elena", "Elisabeth", "Elizabeth", "Emily", "Emma", "Françoise", "Giulia", "Hannah", "Heike", "Isabel", "Jane", "Jennifer", "Jessica", "Julia", "Karen", "Katharina", "Laura", "Linda", "Lisa", "Lucía", "Margaret", "Maria", "María", "Marie", "Mary", "Monika", "Nancy", "Patricia", "Petra", "Sabine", "Sandra", "Sarah", "Sophie", "Susan", "Ursula", "Victoria", "Анна", "Елена", "Екатерина", "Ирина", "Мария", "Наталья", "Ольга", "Светлана", "Татьяна", "Άννα", "Ελένη", "Κατερίνα", "Μαρία", "Σοφία"],
+}
+# Given names for surrogates by script and gender, and parts that family names are joined from.
 GIVEN = {
-    "LATIN": {"m": ["Adam", "Bruno", "Carl", "Daniel", "Emil", "Felix", "Hugo", "Martin", "Oscar", "Paul", "Simon", "Victor"], "f": ["Anna", "Clara", "Diana", "Elena", "Emma", "Julia", "Laura", "Maria", "Nora", "Rosa", "Sara", "Vera"], "n": ["Alex", "Andrea", "Charlie", "Dominique", "Jona", "Kim", "Luca", "Noa", "Robin", "Sascha", "Toni", "Vanja"]},
-    "CYRILLIC": {"m": ["Антон", "Борис", "Виктор", "Егор", "Иван", "Лев", "Максим", "Олег", "Павел", "Тимур"], "f": ["Алла", "Вера", "Дарья", "Елена", "Ирина", "Лидия", "Мария", "Нина", "Ольга", "Софья"], "n": ["Саша", "Женя", "Валя", "Слава", "Шура"]},
-    "GREEK": {"m": ["Άρης", "Γιώργος", "Ηλίας", "Νίκος", "Πέτρος", "Στέφανος"], "f": ["Άννα", "Δάφνη", "Ελένη", "Ζωή", "Μαρία", "Σοφία"], "n": ["Αλεξ", "Φοίβη", "Ίρις"]},
+    "LATIN": {"m": ["Anselm", "Bruno", "Cyril", "Dorian", "Emil", "Felix", "Hugo", "Magnus", "Oscar", "Rufus", "Simon", "Victor"], "f": ["Agatha", "Clara", "Diana", "Flora", "Greta", "Helena", "Ida", "Livia", "Nora", "Rosa", "Stella", "Vera"], "n": ["Alex", "Andrea", "Charlie", "Dominique", "Jona", "Kim", "Luca", "Noa", "Robin", "Sascha", "Toni", "Vanja"]},
+    "CYRILLIC": {"m": ["Антон", "Виктор", "Глеб", "Егор", "Лев", "Максим", "Олег", "Роман", "Тимур", "Фёдор"], "f": ["Алла", "Вера", "Дарья", "Зоя", "Лидия", "Нина", "Полина", "Раиса", "Софья", "Юлия"], "n": ["Саша", "Женя", "Валя", "Слава", "Шура"]},
+    "GREEK": {"m": ["Άρης", "Ηλίας", "Λουκάς", "Πέτρος", "Στέφανος", "Φώτης"], "f": ["Δάφνη", "Ζωή", "Ηρώ", "Θάλεια", "Μυρτώ", "Νεφέλη"], "n": ["Αλεξ", "Φοίβη", "Ίρις"]},
 }
 FAMILY = {
     "LATIN": (["Al", "Ber", "Cor", "Dal", "Fer", "Gal", "Hal", "Kel", "Lan", "Mar", "Nor", "Os", "Per", "Ran", "Sal", "Tor", "Ver", "Wal"], ["", "a", "de", "en", "i", "ma", "o", "ri", "ta", "ve"], ["berg", "dan", "feld", "ger", "len", "man", "nes", "rand", "son", "stin", "ton", "vik"]),
     "CYRILLIC": (["Бел", "Вол", "Гор", "Зим", "Кар", "Лаз", "Мор", "Нов", "Род", "Сок", "Тар", "Фом"], ["", "а", "е", "и", "о", "оле"], ["ин", "ов", "ев", "ский", "енко", "ук"]),
     "GREEK": (["Αθαν", "Βασιλ", "Δημητρ", "Κων", "Μακρ", "Νικολ", "Παπ", "Σταυρ"], ["", "α", "ι", "ο"], ["άκης", "ίδης", "όπουλος", "άς", "έας"]),
 }
+# Endings of family names of men, and of women.
+GENDERED = [("ский", "ская"), ("цкий", "цкая"), ("ов", "ова"), ("ев", "ева"), ("ин", "ина"), ("όπουλος", "οπούλου"), ("άκης", "άκη"), ("ίδης", "ίδη"), ("άς", "ά"), ("έας", "έα")]
 _DOMAINS = ("example.org", "example.net", "example.com")
 _SYLLABLES = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
 # What family names grow by with each redraw.
@@ -50,24 +60,63 @@ PATTERNS = (
     ("ip", r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"),
     ("card", r"(?<![0-9-])(?:[0-9]{13,19}|[0-9]{4}(?:(?: [0-9]{4}){3}|(?:-[0-9]{4}){3}| [0-9]{6} [0-9]{5}|-[0-9]{6}-[0-9]{5}))(?![0-9]|-[0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("phone", r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|\.[0-9])"),
-    ("phone", r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9]|\.[0-9])"),
+    # without a country or brackets, area and exchange must be ones that are given out, or a trunk's 0 comes first
+    ("phone", r"(?<![0-9+])(?:\+1[ .-]?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}|(?:1[ .-])?(?:\([0-9]{3}\)[ .-]?[0-9]{3}|[2-9][0-9]{2}[ .-][2-9][0-9]{2}))[ .-][0-9]{4}(?![0-9]|\.[0-9])"),
+    ("phone", r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?|[0-9]{1,4}[ .-])[0-9]{3,8}(?:[ .-][0-9]{2,4}){0,3}|(?:\(0?[0-9]{2,4}\)[ .-]?|0[0-9]{1,3}[ .-])[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3})(?![0-9]|\.[0-9])"),
     ("phone", r"(?<![0-9+])\+[0-9]{8,15}(?![0-9])"),
-    ("name", r"(?<!\w)(?:%s)\.? [^\W\d_a-zа-я]\w+(?: [^\W\d_a-zа-я]\w+)?" % "|".join(map(re.escape, sorted(_TITLE_OF, key=len, reverse=True)))),
 )
 FINDER = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p) in enumerate(PATTERNS)))
-#: Without a digit, an @ or a form of address, a text has no entity.
+_one_of = lambda words: "|".join(map(re.escape, sorted(words, key=len, reverse=True)))
+_NAME = r"[^\W\d_a-zа-яё][^\W\d_]+(?:-[^\W\d_a-zа-яё][^\W\d_]+)?"
+_KNOWN_OF = {n: g for g, names in KNOWN.items() for n in names}
+#: A title and one or two names, a salutation and them, or a frequent given name and one more.
+NAMES = re.compile(rf"(?<!\w)(?:(?P<title>{_one_of(_TITLE_OF)})\.? (?P<t1>{_NAME})(?: (?P<t2>{_NAME}))?|(?:{_one_of(SALUTATIONS)}) (?!(?:{_one_of(_TITLE_OF)})\b)(?P<s1>{_NAME})(?: (?P<s2>{_NAME}))?|(?P<k1>{_one_of(_KNOWN_OF)}) (?P<k2>{_NAME}))")
+#: Without a digit or an @, a text has no entity but names; without one of these words, no name.
 HINT = re.compile("[0-9@]")
+_WORD = re.compile(r"[^\W\d_]+")
+_NAME_HINTS = frozenset({w for x in (*_TITLE_OF, *SALUTATIONS, *_KNOWN_OF) for w in _WORD.findall(x)})
+_HEX = re.compile("[0-9a-f]+|[0-9A-F]+")
 _UNWANTED = re.compile("[^0-9A-Za-z]")
 
 
 def canonical(kind: str, value: str) -> str:
-    """What mentions of one entity have in common."""
+    """What mentions of one entity have in common; of names, see named()."""
     if kind in ("phone", "card", "ssn", "iban"):
         return _UNWANTED.sub("", value).upper()
-    if kind == "name":
-        return value.partition(" ")[0].rstrip(".") + " " + " ".join(value.partition(" ")[2].split()).casefold()
-    return value.lower()
+    return value if kind == "secret" and not _HEX.fullmatch(value) else value.lower()
+
+
+def family_of(name: str, gender: str) -> tuple[str, str]:
+    """(canonical form, f or m): the family's name as its men have it.  Without a known gender, an ending of women's tells it."""
+    low = name.lower()
+    for man, woman in GENDERED:
+        if gender != "m" and low.endswith(woman) and (gender == "f" or script_of(low) == "CYRILLIC"):
+            return low[: -len(woman)] + man, "f"
+    return low, "f" if gender == "f" else "m"
+
+
+def named(m: re.Match) -> list[tuple[str, str, int, int, str]]:
+    """(type, canonical form, start, end, gender) of the given and the family name of a match of NAMES.
+
+    A given name's gender is that of the title, or that which the name itself is
+    known for; it is a part of the canonical form.
+    """
+    is_name = {k: bool(v) and v[0].isupper() for k, v in m.groupdict().items()}
+    first, second = next((a, b) for a, b in (("t1", "t2"), ("s1", "s2"), ("k1", "k2")) if m[a])
+    if not is_name[first] or (first == "k1" and not is_name[second]):
+        return []
+    # what follows a title alone is a family's name
+    given, family = (first, second if is_name[second] else None) if is_name[second] or first == "s1" else (None, first)
+    gender = _TITLE_OF.get(m["title"], "n")
+    out = []
+    if given:
+        known = _KNOWN_OF.get(m[given].title(), "n")
+        gender = known if gender == "n" else gender
+        out.append(("given", f"{gender}:{m[given].lower()}", *m.span(given), gender))
+    if family:
+        canon, form = family_of(m[family], gender)
+        out.append(("family", canon, *m.span(family), form))
+    return out
 
 
 def _draw(key: bytes, *parts: object):
@@ -99,23 +148,28 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
     """The canonical form of the entity's surrogate.
 
     A name has as many more syllables as it was drawn again, so that there are
-    enough for any number of entities.
+    enough for any number of entities.  A secret keeps what kind of sign is where.
     """
     draw = _draw(key, kind, canon, attempt)
     if kind == "email":
         return "".join(_SYLLABLES[draw(len(_SYLLABLES))] for _ in range(5)) + f"{draw(1000):03d}@{_SYLLABLES[draw(len(_SYLLABLES))]}{_SYLLABLES[draw(len(_SYLLABLES))]}.{_DOMAINS[draw(len(_DOMAINS))]}"
     if kind == "ip":
         return ".".join(str(1 + draw(254)) for _ in range(4))
-    if kind == "name":
-        title, _, rest = canon.partition(" ")
-        script = script_of(rest)
-        names, (a, b, c) = GIVEN[script][_TITLE_OF.get(title, "n")], FAMILY[script]
-        more = _MIDDLES[script]
-        family = a[draw(len(a))] + b[draw(len(b))] + "".join(more[draw(len(more))] for _ in range(attempt)) + c[draw(len(c))]
-        return title + " " + (names[draw(len(names))] + " " if " " in rest else "") + family
+    if kind in ("given", "family"):
+        gender, _, name = canon.partition(":") if kind == "given" else ("m", "", canon)
+        script = script_of(name)
+        names, (a, b, c), more = GIVEN[script][gender], FAMILY[script], _MIDDLES[script]
+        middle = lambda: "".join(more[draw(len(more))] for _ in range(attempt))
+        if kind == "family":
+            return a[draw(len(a))] + b[draw(len(b))] + middle() + c[draw(len(c))]
+        base = names[draw(len(names))]
+        return f"{gender}:{base[:-1]}{middle()}{base[-1]}"
     if kind == "secret":
-        head = next((p for p in ("akia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-") if canon.startswith(p)), "")
-        return head + "".join("0123456789abcdef"[draw(16)] for _ in canon[len(head) :])
+        head = next((p for p in ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-") if canon.startswith(p)), "")
+        if not head:
+            return "".join("0123456789abcdef"[draw(16)] for _ in canon)
+        like = lambda c: "0123456789"[draw(10)] if c.isdigit() else chr((65 if c.isupper() else 97) + draw(26))
+        return head + "".join(map(like, canon[len(head) :]))
     out = [("0123456789"[draw(10)] if c.isdigit() else chr(65 + draw(26))) for c in canon]
     if kind == "phone":
         out[:1] = canon[:1]  # the country or the trunk stays
@@ -130,24 +184,45 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
     return "".join(out)
 
 
-def in_format_of(kind: str, value: str, canon: str) -> str:
-    """A canonical surrogate, laid out and cased as the mention it stands for."""
+def in_format_of(kind: str, value: str, canon: str, form: str = "") -> str:
+    """A canonical surrogate, laid out and cased as the mention it stands for, and of its gender."""
     if kind in ("phone", "card", "ssn", "iban"):
         letters = iter(canon)
         return "".join(next(letters) if c.isalnum() and c.isascii() else c for c in value)
-    if kind == "name":
-        head, _, rest = value.partition(" ")
-        new = canon.partition(" ")[2]
-        return head + " " + (new.upper() if rest.isupper() else new)
+    if kind == "secret" and not _HEX.fullmatch(value):
+        return canon
+    if kind == "given":
+        canon = canon.partition(":")[2]
+    if kind == "family" and form == "f":
+        canon = next((canon[: -len(man)] + woman for man, woman in GENDERED if canon.endswith(man)), canon)
+    if kind in ("given", "family"):
+        return canon.upper() if value.isupper() else canon
     return canon.upper() if value.upper() == value and value.lower() != value else canon
 
 
+def entities_of(text: str) -> list[tuple[str, str, int, int, str]]:
+    """(type, canonical form, start, end, gender) of every entity in the text, in code points, in order.
+
+    Numbers of a card's length are cards if their check digit fits.  A form of
+    address isn't part of a name.
+    """
+    found = []
+    if HINT.search(text):
+        for m in FINDER.finditer(text):
+            kind, value = PATTERNS[int(m.lastgroup[1:])][0], m[0]
+            if kind != "card" or _luhn(_UNWANTED.sub("", value)) == 0:
+                found.append((kind, canonical(kind, value), *m.span(), ""))
+    if not _NAME_HINTS.isdisjoint(_WORD.findall(text)):
+        names = [x for m in NAMES.finditer(text) for x in named(m)]
+        if names:
+            found = sorted(found + names, key=lambda x: x[2])
+            found = [x for k, x in enumerate(found) if not k or x[2] >= max(y[3] for y in found[max(0, k - 4) : k])]
+    return found
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
-    """(type, start, end) of every entity in the text, in code points.  Numbers of a card's length are cards if their check digit fits."""
-    if not HINT.search(text) and not any(t in text for t in _TITLE_OF):
-        return []
-    found = [(PATTERNS[int(m.lastgroup[1:])][0], *m.span()) for m in FINDER.finditer(text)]
-    return [(kind, a, b) for kind, a, b in found if kind != "card" or _luhn(_UNWANTED.sub("", text[a:b])) == 0]
+    """(type, start, end) of every entity in the text."""
+    return [(kind, a, b) for kind, _, a, b, _ in entities_of(text)]
 
 
 def mentions(docs: DataFrame) -> DataFrame:
@@ -157,7 +232,7 @@ def mentions(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, 2 << 20):
             at, kinds, canons = [], [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
-                for kind, canon in sorted({(kind, canonical(kind, text[a:b])) for kind, a, b in find(text or "")}):
+                for kind, canon in sorted({x[:2] for x in entities_of(text or "")}):
                     at.append(k)
                     kinds.append(kind)
                     canons.append(canon)
@@ -173,7 +248,8 @@ def drawn(entities: DataFrame, key: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
-            fake = [canonical(kind, surrogate(kind, canon, key, attempt)) for kind, canon, attempt in rows]
+            made = ((kind, surrogate(kind, canon, key, attempt)) for kind, canon, attempt in rows)
+            fake = [x.lower() if kind in ("given", "family") else canonical(kind, x) for kind, x in made]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fake, pa.string())], ["kind", "canon", "attempt", "fake"])
 
     return entities.select("kind", "canon", "attempt").mapInArrow(run, "kind string, canon string, attempt int, fake string")
@@ -187,11 +263,14 @@ def settled(entities: DataFrame, key: bytes, most: int = 64) -> DataFrame:
     `most` draws, which means that a format of numbers is too small for its
     entities; names have room for any number of them.
     """
+    # given names of any gender must differ
+    bare = lambda c: F.when(F.col("kind") == "given", F.substring(c, 3, 1 << 20)).otherwise(F.col(c))
     now = written(drawn(entities.withColumn("attempt", F.lit(0)), key))
     for attempt in range(1, most + 1):
-        taken = entities.select("kind", F.col("canon").alias("fake"), F.lit(True).alias("_original"))
-        first = now.groupBy("kind", "fake").agg(F.min(F.struct("attempt", "canon"))["canon"].alias("_owner"))
-        clash = now.join(taken, ["kind", "fake"], "left").join(first, ["kind", "fake"]).where("_original or canon <> _owner").select("kind", "canon")
+        made = now.withColumn("fake", bare("fake"))
+        taken = entities.select("kind", bare("canon").alias("fake"), F.lit(True).alias("_original")).distinct()
+        first = made.groupBy("kind", "fake").agg(F.min(F.struct("attempt", "canon"))["canon"].alias("_owner"))
+        clash = made.join(taken, ["kind", "fake"], "left").join(first, ["kind", "fake"]).where("_original or canon <> _owner").select("kind", "canon")
         clash = written(clash)
         if clash.isEmpty():
             return now.where("attempt > 0").select("kind", "canon", "attempt")
@@ -227,9 +306,8 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
             for text, late_ones in zip(batch.column(place).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
                 attempts = {(x["kind"], x["canon"]): x["attempt"] for x in late_ones or ()}
                 parts, rows, at, size = [], [], 0, 0
-                for kind, a, b in find(text or ""):
-                    canon = canonical(kind, text[a:b])
-                    new = in_format_of(kind, text[a:b], surrogate(kind, canon, key, attempts.get((kind, canon), 0)))
+                for kind, canon, a, b, form in entities_of(text or ""):
+                    new = in_format_of(kind, text[a:b], surrogate(kind, canon, key, attempts.get((kind, canon), 0)), form)
                     size += a - at
                     rows.append({"kind": kind, "start": size, "surrogate": new})
                     size += len(new)
