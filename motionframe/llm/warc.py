@@ -69,7 +69,7 @@ def numbered(body: DataFrame, repeats: bool) -> DataFrame:
     return out.unionByName(again.join(first, ["id", "digest"]).withColumn("own", F.when(F.col("_row") == F.col("_first"), text).otherwise(F.concat_ws(":", text, "_row"))).drop("_row", "_first"))
 
 
-def write(pages: DataFrame, path: str, min_bytes: int = 0, segment: int = 1 << 16, chunk: int = 1 << 13, records_a_file: int = 4096, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date: str = "1970-01-01T00:00:00Z") -> None:
+def write(pages: DataFrame, path: str, min_bytes: int = 0, segment: int = 1 << 16, chunk: int = 1 << 13, records_a_file: int = 1024, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date: str = "1970-01-01T00:00:00Z") -> None:
     """Writes each row as a record: a response, or a revisit of the equal payload of at least min_bytes with the largest id.
 
     Blocks of more than `segment` bytes go on in continuation records.  A null
@@ -145,7 +145,13 @@ _KINDS = [pa.string()] * 6 + [pa.int32(), pa.int64(), pa.string(), pa.string(),
 
 
 def parsed(content: bytes) -> Iterator[tuple]:
-    """The records of one archive; unsegmented responses come with their payload in place of the block.  Stops at what is no record."""
+    """The records of one archive; unsegmented responses come with their payload in place of the block.
+
+    Stops at what is no record, or has no whole number as its length.  A segment
+    number or total length that is no whole number counts as 0, which no whole
+    record has.
+    """
+    whole_number = lambda x, other: int(x) if x.isascii() and x.isdigit() and len(x) < 16 else other
     at = 0
     while content.startswith(b"WARC/", at):
         end = content.find(b"\r\n\r\n", at)
@@ -155,11 +161,13 @@ def parsed(content: bytes) -> Iterator[tuple]:
         for line in content[at:end].split(b"\r\n")[1:]:
             key, _, value = line.partition(b":")
             head[key.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-        size = int(head.get("content-length", 0))
+        size = whole_number(head.get("content-length", "0"), None)
+        if size is None:
+            return
         block = content[end + 4 : end + 4 + size]
         at = end + 4 + size + 4
         row = [head.get(key) for _, key in FIELDS]
-        row[6:8] = (None if x is None else int(x) for x in row[6:8])
+        row[6:8] = (None if x is None else min(whole_number(x, 0), most) for x, most in zip(row[6:8], ((1 << 31) - 1, 1 << 62), strict=True))
         whole = row[6] is None and row[1] == "response"
         yield (*row, None if whole else block, http_payload(block) if whole else None)
 

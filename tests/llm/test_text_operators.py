@@ -170,7 +170,19 @@ def test_media_round_trip(data, more):
 
 def test_media_reader_survives_what_is_no_media():
     good = media.write(bytes(range(64)))
-    assert media.read(b"") is None and media.read(b"\0" * 100) is None and media.read(good[:-70]) is None or True
+    assert media.read(b"") is None and media.read(b"\0" * 100) is None and media.read(good[:60]) is None
+    # the tables are whole, the media data aren't: what is left of the payload is read
+    assert media.payload_of(good[:-1], media.read(good[:-1])) == bytes(range(63))
+    deep = b""
+    for _ in range(3000):
+        deep = media.box(b"moov", deep)
+    assert media.read(deep) is None and len(media.walk(memoryview(deep))) == 16
+    at = good.index(b"stsz")
+    for fixed, n in ((64, (1 << 32) - 1), (0, (1 << 32) - 1), (1 << 31, 1), (0, 0)):
+        track = media.read(good[: at + 8] + fixed.to_bytes(4, "big") + n.to_bytes(4, "big") + good[at + 16 :])
+        assert track is None or len(track["starts"]) == n == 0
+    at = good.index(b"stsc")
+    assert media.read(good[: at + 12] + b"\xff" * 12 + good[at + 24 :]) is None
     for n in range(0, len(good), 7):
         media.read(good[:n])
     wide = good.replace(b"mdat", b"free")
@@ -195,6 +207,16 @@ def test_dechunked():
         assert warc.dechunked(broken) is None
 
 
+def test_headers_that_are_no_numbers():
+    record = lambda **head: ("WARC/1.1\r\n" + "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in head.items()) + "\r\nabc\r\n\r\n").encode()
+    good = record(WARC_Record_ID="<a>", WARC_Type="resource", Content_Length=3)
+    assert [r[0] for r in warc.parsed(good + good)] == ["<a>", "<a>"]
+    for size in ("x", "-3", "1e3", "9" * 40, "³"):
+        assert [r[0] for r in warc.parsed(good + record(WARC_Record_ID="<b>", Content_Length=size) + good)] == ["<a>"]
+    odd = list(warc.parsed(record(WARC_Record_ID="<b>", WARC_Type="response", WARC_Segment_Number="x", WARC_Segment_Total_Length="9" * 40, Content_Length=3)))
+    assert [r[6:8] for r in odd] == [(0, 0)] and odd[0][10] == b"abc"
+
+
 def test_archives_round_trip_with_segments_and_revisits(spark, tmp_path):
     big = "".join(chr(97 + i % 26) for i in range(5000)) + "\r\n\r\nWARC/1.1\r\né"
     rows = [(1, "http://a/", "same", "c"), (2, None, "same", "c"), (3, "http://b/\r\nx", None, "c"), (4, "http://c/", "", "c"), (5, "http://d/", big, "c"), (6, "u", big, "c"), (None, "u", "same", None), (7, "u", "once", "c"), (7, "u", "once", "c")]
