@@ -71,9 +71,17 @@ def write(payload: bytes) -> bytes:
     return head + moov(first) + data
 
 
-def walk(data: memoryview, at: int, end: int, found: list, path: tuple = ()) -> list:
-    """(path, body's start, body's end) of every box, nested ones after the box that holds them.  Stops at a box that doesn't fit."""
-    while at + 8 <= end:
+def walk(data: memoryview, deepest: int = 16) -> list[tuple[tuple, int, int]]:
+    """(path, body's start, body's end) of every box, nested ones after the box that holds them.
+
+    What follows a box that doesn't fit is left out, and so is what lies deeper
+    than `deepest` boxes.
+    """
+    found, open_ = [], [(0, len(data), ())]
+    while open_:
+        at, end, path = open_.pop()
+        if at + 8 > end:
+            continue
         size, kind = struct.unpack_from(">I4s", data, at)
         body = at + 8
         if size == 1 and body + 8 <= end:
@@ -81,12 +89,12 @@ def walk(data: memoryview, at: int, end: int, found: list, path: tuple = ()) ->
         elif size == 0:
             size = end - at
         if size < body - at or at + size > end:
-            break
+            continue
         here = (*path, kind)
         found.append((here, body, at + size))
-        if kind in CONTAINERS:
-            walk(data, body, at + size, found, here)
-        at += size
+        open_.append((at + size, end, path))
+        if kind in CONTAINERS and len(here) < deepest:
+            open_.append((body, at + size, here))
     return found
 
 
@@ -98,14 +106,21 @@ def _track(data: memoryview, boxes: dict[bytes, tuple[int, int]]) -> dict | None
     codec = bytes(data[boxes[b"stsd"][0] + 12 : boxes[b"stsd"][0] + 16]).decode("latin-1")
     at = boxes[b"stsz"][0] + 4
     fixed, n = struct.unpack_from(">II", data, at)
+    if n > len(data):
+        raise ValueError("more samples than bytes")
     sizes = np.full(n, fixed, np.int64) if fixed else ints(at + 8, n)
+    if sizes.sum() > len(data):
+        raise ValueError("samples of more bytes than the file has")
     wide = b"co64" in boxes
     at = boxes[b"co64" if wide else b"stco"][0] + 4
     offsets = ints(at + 4, struct.unpack_from(">I", data, at)[0], ">u8" if wide else ">u4")
     at = boxes[b"stsc"][0] + 4
     runs = ints(at + 4, 3 * struct.unpack_from(">I", data, at)[0]).reshape(-1, 3)
+    if runs[:, 0].max(initial=0) > len(offsets) + 1 or runs[:, 1].max(initial=0) > len(data):
+        raise ValueError("chunks that aren't there")
     a_chunk = np.repeat(runs[:, 1], np.diff(np.append(runs[:, 0], len(offsets) + 1)))[: len(offsets)]
-    chunk = np.repeat(np.arange(len(a_chunk)), a_chunk)[:n]
+    a_chunk = np.diff(np.minimum(np.cumsum(a_chunk), n), prepend=0)
+    chunk = np.repeat(np.arange(len(a_chunk)), a_chunk)
     ends = np.cumsum(sizes[: len(chunk)])
     begins = ends - sizes[: len(chunk)]
     first = np.searchsorted(chunk, chunk)
@@ -127,10 +142,10 @@ def _track(data: memoryview, boxes: dict[bytes, tuple[int, int]]) -> dict | None
 
 
 def read(file: bytes) -> dict | None:
-    """The first track with sample tables, or None if there is none or its tables are broken."""
+    """The first track with sample tables, or None if there is none or its tables are broken, or tell of more samples or bytes than there are."""
     data = memoryview(file)
     tracks: list[dict[bytes, tuple[int, int]]] = []
-    for path, begin, end in walk(data, 0, len(data), []):
+    for path, begin, end in walk(data):
         if path[-1] == b"trak":
             tracks.append({})
         elif b"trak" in path and tracks:
