@@ -85,11 +85,12 @@ def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(tail, head, check, id, v, place) of every window of docs whose anchor is in the column anchors.
+    """(id, v, start, nodes, checks): runs of consecutive windows of docs whose anchors are in the column anchors.
 
-    tail and head are hashes of the window's first and last words, all but one,
-    and check is one of the whole window by another family of hashes; v tells
-    texts of one id apart; place counts words.
+    A window is an edge from a node to the next: nodes has the hashes of all
+    but a window's last word, and in the end of all but the last window's first;
+    checks has those of the whole windows, by another family of hashes.  v tells
+    texts of one id apart; start counts words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,15 +106,31 @@ def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             # an anchor that only its hash with another text's number equals adds an edge in vain, and no more
             hit = np.isin(short[places] + text.astype(U) * U(0x9E3779B97F4A7C15), wanted + own * U(0x9E3779B97F4A7C15))
             starts, text = starts[hit], text[hit]
-            node, check = runs(words, window - 1), runs(other.batch(batch.column(1))[0], window)
+            opens = np.flatnonzero((np.diff(starts, prepend=-2) != 1) | (np.diff(text, prepend=-1) != 0))
+            n = np.diff(np.append(opens, len(starts)))
+            first, text = starts[opens], text[opens]
+
+            def lists_of(values: np.ndarray, n: np.ndarray, first: np.ndarray = first) -> pa.Array:
+                """values[first : first + n] of each run."""
+                ends = np.append(0, np.cumsum(n))
+                return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(values[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])]))
+
             ids = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [_signed(node[starts]), _signed(node[starts + 1]), _signed(check[starts]), batch.column(0).take(ids), batch.column(2).take(ids), pa.array((starts - firsts[text]).astype(np.int32))],
-                ["tail", "head", "check", "id", "v", "place"],
+                [batch.column(0).take(ids), batch.column(2).take(ids), pa.array((first - firsts[text]).astype(np.int32)), lists_of(runs(words, window - 1), n + 1), lists_of(runs(other.batch(batch.column(1))[0], window), n)],
+                ["id", "v", "start", "nodes", "checks"],
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text", "v", "anchors").mapInArrow(run, f"tail bigint, head bigint, check bigint, id {kind}, v int, place int")
+    return docs.select("id", "text", "v", "anchors").mapInArrow(run, f"id {kind}, v int, start int, nodes array<bigint>, checks array<bigint>")
+
+
+def exploded(found: DataFrame, head: bool) -> DataFrame:
+    """(tail, check[, head], id, at) of each edge of edges(); at is v and the place, in one number."""
+    n = F.size("checks")
+    columns = [F.slice("nodes", 1, n).alias("tail"), "checks"] + [F.slice("nodes", 2, n).alias("head")] * head
+    each = found.select("id", (F.col("v").cast("long") * (1 << 32) + F.col("start")).alias("_at"), F.posexplode(F.arrays_zip(*columns)).alias("_i", "e"))
+    return each.select("e.tail", F.col("e.checks").alias("check"), *(["e.head"] * head), "id", (F.col("_at") + F.col("_i")).alias("at"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -132,49 +149,48 @@ def classes(docs: DataFrame, salts: int = 16) -> DataFrame:
 
 
 def compacted(edge: DataFrame) -> DataFrame:
-    """edge(tail, head, check, first_id, v, place) with path and offset: the place of its path's first edge in the graph, and how many edges come before.
-
-    v and place are an edge's coordinates in the document first_id, where it is
-    seen first.  A node joins two edges to one path if it has one on each side
-    and both are seen first in the same document.  Edges that follow each other
-    there are one piece; pieces are joined to paths by going from each to the one
-    before, then twice as far in each round.  A path that closes in itself is cut
-    between its pieces.
+    """edge(tail, check, head, first_id, at) with path and offset in place of head: a name of the path that it is on, and how many edges come before.
+
+    at is an edge's place in the document first_id, where it is seen first.  A
+    node joins two edges to one path if it has one on each side and both are seen
+    first in the same document.  Edges that follow each other there are one
+    piece; pieces are joined to paths by going from each to the one before, then
+    twice as far in each round.  A path that closes in itself is cut between its
+    pieces.
     """
     ends = edge.select(F.col("head").alias("node"), F.lit(1).alias("_in"), F.lit(0).alias("_out"), "first_id").unionByName(edge.select(F.col("tail").alias("node"), F.lit(0).alias("_in"), F.lit(1).alias("_out"), "first_id"))
     inner = ends.groupBy("node").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.min("first_id").alias("_a"), F.max("first_id").alias("_b")).where("_in = 1 and _out = 1 and _a = _b")
     marked = edge.join(inner.select(F.col("node").alias("tail"), F.lit(True).alias("_inner")), "tail", "left")
-    by = Window.partitionBy("first_id").orderBy("v", "place")
-    follows = F.col("_inner") & (F.lag("v").over(by) == F.col("v")) & (F.lag("place").over(by) + 1 == F.col("place")) & (F.lag("head").over(by) == F.col("tail"))
-    cut = marked.withColumn("_new", F.when(follows, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(by))
-    whole = Window.partitionBy("first_id", "_run")
-    # a piece is known by the hashes of its first edge
-    root = F.min(F.struct("place", "tail", "head", "check", "_inner")).over(whole)
-    piece = written(cut.withColumn("_root", root).select("tail", "head", "check", "first_id", "v", "place", F.xxhash64("_root.tail", "_root.head", "_root.check").alias("piece"), (F.col("place") - F.col("_root.place")).alias("_at"), F.col("_root.tail").alias("_first"), F.col("_root._inner").alias("_goes_on")))
-    size = piece.groupBy("piece").agg(F.count("*").alias("n"), F.first("_first").alias("_first"), F.first("_goes_on").alias("_goes_on"))
-    before = piece.select(F.col("head").alias("_first"), F.col("piece").alias("up"), (F.col("_at") + 1).alias("far"))
-    linked = size.where("_goes_on").join(before, "_first").select("piece", "up", "far").where("piece <> up")
-    step = written(linked)
-    total = step.count()
-    for _ in range(max(total, 1).bit_length() + 1 if total else 0):
+    by = Window.partitionBy("first_id").orderBy("at", "tail", "check")
+    follows = F.col("_inner") & (F.lag("at").over(by) + 1 == F.col("at")) & (F.lag("head").over(by) == F.col("tail"))
+    opens = ~F.coalesce(follows, F.lit(False))
+    # a piece is known by its first edge
+    first = F.last(F.when(opens, F.struct("tail", "check", "at", "_inner")), True).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    name = F.xxhash64("_first.tail", "_first.check")
+    piece = written(marked.withColumn("_first", first).select("tail", "check", "head", "first_id", "at", name.alias("piece"), (F.col("at") - F.col("_first.at")).alias("_k"), F.when(F.col("_first._inner"), F.col("_first.tail")).alias("_from")))
+    before = piece.select(F.col("head").alias("_from"), F.col("piece").alias("up"), (F.col("_k") + 1).alias("far"))
+    step = written(piece.where("_k = 0 and _from is not null").select("piece", "_from").join(before, "_from").select("piece", "up", "far").where("piece <> up"))
+    for _ in range(step.count().bit_length() + 1):
         far = step.select(F.col("piece").alias("up"), F.col("up").alias("_up"), F.col("far").alias("_far"))
-        now = step.join(far, "up", "left").select("piece", F.coalesce("_up", "up").alias("up"), (F.col("far") + F.coalesce("_far", F.lit(0))).alias("far"), F.col("_up").isNotNull().alias("_on"))
-        step = written(now)
-        if step.where("_on").isEmpty():
+        now = written(step.join(far, "up", "left").select("piece", F.coalesce("_up", "up").alias("up"), (F.col("far") + F.coalesce("_far", F.lit(0))).alias("far"), F.col("_up").isNotNull().alias("_on")))
+        dropped(step)
+        step = now.drop("_on")
+        if now.where("_on").isEmpty():
             break
-        step = step.drop("_on")
-    step = step.join(step.select(F.col("piece").alias("up")).distinct(), "up", "left_anti").select("piece", "up", "far")  # what still leads on goes round
-    return piece.join(step, "piece", "left").select("tail", "head", "check", "first_id", "v", "place", F.coalesce("up", "piece").alias("path"), (F.col("_at") + F.coalesce("far", F.lit(0))).alias("offset"))
+    step = step.join(step.select(F.col("piece").alias("up")).distinct(), "up", "left_anti")  # what still leads on goes round
+    out = written(piece.join(step, "piece", "left").select("tail", "check", "first_id", "at", F.coalesce("up", "piece").alias("path"), (F.col("_k") + F.coalesce("far", F.lit(0))).alias("offset")))
+    dropped(piece)
+    return out
 
 
 def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Repeated passages that are not in their first document.
 
-    (id, v, first_id, first_place, path, offset, start, n_windows, tail, head):
+    (id, v, first_id, first_place, path, offset, start, n_windows, total):
     n_windows consecutive windows from word start on, which are the edges of path
     from offset on, and start at word first_place of the smaller id first_id too;
-    tail and head are the hashes at both ends, for verification at the source.
-    Of a copy of a whole text, n_windows is WHOLE, tail the text's fingerprint, and
+    total is the sum of the checks that these have there, for verification.  Of a
+    copy of a whole text, n_windows is WHOLE, total the text's fingerprint, and
     there is no path.
     """
     docs = _keyed(docs, id_col, text_col)
@@ -184,24 +200,24 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
     # whatever the sizes, texts are joined the same way, by their ids
     found = written(edges(docs.join(wanted.hint("merge"), "id"), window, anchor))
     dropped(wanted)
-    key = ["tail", "head", "check"]
+    key = ["tail", "check"]
     # a text's windows come in order, so of several in the first document the first is kept
-    at = F.min_by(F.col("v").cast("long") * (1 << 32) + F.col("place"), "id")
-    edge = found.groupBy(*key).agg(F.min("id").alias("first_id"), F.max("id").alias("_last"), at.alias("_at")).where("first_id < _last")
-    edge = written(edge.select(*key, "first_id", F.shiftright("_at", 32).cast("int").alias("v"), F.col("_at").bitwiseAND(0xFFFFFFFF).cast("int").alias("place")))
-    paths = written(compacted(edge))
+    edge = exploded(found, head=True).groupBy(*key).agg(F.min("head").alias("head"), F.min("id").alias("first_id"), F.max("id").alias("_last"), F.min_by("at", "id").alias("at")).where("first_id < _last").drop("_last")
+    edge = written(edge)
+    paths = compacted(edge)
     dropped(edge)
     # each key is once in what is hashed here, a partition's share of it is small, and skewed partitions of the other side can be split
-    dup = found.join(paths.select(*key, "first_id", F.col("place").alias("first_place"), "path", "offset").hint("shuffle_hash"), key).where("first_id < id")
-    by = Window.partitionBy("id").orderBy("v", "place")
+    dup = exploded(found, head=False).join(paths.withColumnRenamed("at", "first_at").hint("shuffle_hash"), key).where("first_id < id")
+    by = Window.partitionBy("id").orderBy("at")
     prior = lambda c, step: F.lag(c).over(by) + step == F.col(c)
-    run = dup.withColumn("_new", F.when(prior("v", 0) & prior("path", 0) & prior("place", 1) & prior("offset", 1) & prior("first_place", 1), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(by))
+    run = dup.withColumn("_new", F.when(prior("at", 1) & prior("path", 0) & prior("offset", 1) & prior("first_at", 1), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(by))
+    place = lambda c: F.col(c).bitwiseAND(0xFFFFFFFF).cast("int")
     passages = run.groupBy("id", "_run").agg(
-        F.min("v").alias("v"), F.min("first_id").alias("first_id"), F.min("first_place").alias("first_place"), F.min("path").alias("path"), F.min("offset").alias("offset"), F.min("place").alias("start"), F.count("*").cast("int").alias("n_windows"),
-        F.min_by("tail", "place").alias("tail"), F.max_by("head", "place").alias("head"),
-    ).drop("_run")
+        F.min("at").alias("at"), F.min("first_id").alias("first_id"), F.min("first_at").alias("first_at"), F.min("path").alias("path"), F.min("offset").alias("offset"), F.count("*").cast("int").alias("n_windows"), F.sum(F.shiftrightunsigned("check", 32)).alias("total")
+    )
+    passages = passages.select("id", F.shiftright("at", 32).cast("int").alias("v"), "first_id", place("first_at").alias("first_place"), "path", "offset", place("at").alias("start"), "n_windows", "total")
     none = F.lit(None).cast("bigint")
-    copies = same.where("id > first_id").select("id", F.col("print").bitwiseAND(0x7FFF).cast("int").alias("v"), "first_id", F.lit(0).alias("first_place"), none.alias("path"), none.alias("offset"), F.lit(0).alias("start"), F.lit(WHOLE).alias("n_windows"), F.col("print").alias("tail"), F.col("print").alias("head"))
+    copies = same.where("id > first_id").select("id", F.col("print").bitwiseAND(0x7FFF).cast("int").alias("v"), "first_id", F.lit(0).alias("first_place"), none.alias("path"), none.alias("offset"), F.lit(0).alias("start"), F.lit(WHOLE).alias("n_windows"), F.col("print").alias("total"))
     out = written(passages.unionByName(copies))
     dropped(found, paths, same)
     return out
@@ -227,32 +243,33 @@ def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col:
     are not compared with each other.  Of other columns, those in carry are kept.
     """
     keyed = _keyed(docs, id_col, text_col, carry)
-    cut = spans(docs, window, anchor, id_col, text_col).groupBy("id").agg(F.collect_list(F.struct("v", "start", "n_windows", "tail", "head")).alias("spans"))
+    cut = spans(docs, window, anchor, id_col, text_col).groupBy("id").agg(F.collect_list(F.struct("v", "start", "n_windows", "total")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher, other = Hasher(), Hasher(family=1)
         for batch in slices(batches):
             lists = batch.column(3)
             part = lists.flatten()
             prints = batch.column(5).to_numpy(zero_copy_only=False)
-            v, start, n, tail, head = (part.field(k).to_numpy(zero_copy_only=False) for k in range(5))
+            v, start, n, total = (part.field(k).to_numpy(zero_copy_only=False) for k in range(4))
             text = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             words, begin, end, firsts, data = hasher.batch(batch.column(1))
             gone = np.zeros(len(words) + 1, np.int64)
             if len(text):
-                copied = (n == WHOLE) & (prints[text] == tail) & (firsts[text + 1] - firsts[text] >= window)
+                copied = (n == WHOLE) & (prints[text] == total) & (firsts[text + 1] - firsts[text] >= window)
                 np.add.at(gone, firsts[text[copied]], 1)
                 np.add.at(gone, firsts[text[copied] + 1], -1)
-                node = runs(words, window - 1).view(np.int64)
                 at = firsts[text] + start.astype(np.int64)
                 to = at + n.astype(np.int64)
                 ok = (n != WHOLE) & (v == batch.column(2).to_numpy()[text]) & (to + window - 1 <= firsts[text + 1])
-                text, at, to, tail, head = text[ok], at[ok], to[ok], tail[ok], head[ok]
-                ok = (node[at] == tail) & (node[to] == head)  # the words at the coordinates are the path's
+                at, to, total = at[ok], to[ok], total[ok]
+                # the words at the coordinates are those of the first document
+                sums = np.append(0, np.cumsum((runs(other.batch(batch.column(1))[0], window) >> U(32)).astype(np.int64)))
+                ok = sums[to] - sums[at] == total
                 np.add.at(gone, at[ok], 1)
                 np.add.at(gone, to[ok] + window - 1, -1)
             stays = np.cumsum(gone[:-1]) == 0
-            total = np.diff(firsts)
+            n_words = np.diff(firsts)
             counts = np.append(0, np.cumsum(stays))[firsts]
             left = np.diff(counts)
             raw = data.tobytes()
@@ -260,18 +277,18 @@ def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col:
             kept = []
             for k in range(batch.num_rows):
                 lo, hi = firsts[k], firsts[k + 1]
-                if left[k] == total[k] and untouched:
+                if left[k] == n_words[k] and untouched:
                     kept.append(batch.column(1)[k].as_py())
                     continue
                 if untouched:
                     joined = _cut_out(raw, stays[lo:hi], begin[lo:hi], end[lo:hi], bounds[k], bounds[k + 1])
-                elif left[k] == total[k]:
+                elif left[k] == n_words[k]:
                     joined = b" ".join(raw[begin[lo] : end[hi - 1]].split()) if hi > lo else b""
                 else:
                     mine = np.flatnonzero(stays[lo:hi]) + lo
                     joined = b" ".join(raw[a:b] for a, b in zip(begin[mine].tolist(), end[mine].tolist(), strict=True))
                 kept.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(total - left), pa.array(kept, pa.string()), batch.column(4)], ["id", "n_words", "n_removed", "kept", "carried"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words), pa.array(n_words - left), pa.array(kept, pa.string()), batch.column(4)], ["id", "n_words", "n_removed", "kept", "carried"])
 
     kind, carried = (keyed.schema[c].dataType.simpleString() for c in ("id", "carried"))
     out = keyed.join(cut.hint("merge"), "id", "left").select("id", "text", "v", "spans", "carried", "print").mapInArrow(run, f"id {kind}, n_words bigint, n_removed bigint, kept string, carried {carried}")

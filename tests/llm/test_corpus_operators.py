@@ -142,12 +142,12 @@ def test_paths_against_a_plain_graph(spark):
     edges = {(n, n + 1, 1 + n // 40) for n in range(200)} | {(rng.randrange(200), 300 + k, 1) for k in range(6)} | {(320 + k, rng.randrange(200), 2) for k in range(6)}
     ring = [(900, 901, 1), (901, 902, 1), (902, 900, 1)]
     places = {e: k for k, e in enumerate(sorted(edges | set(ring), key=lambda e: e[0] if e[0] % 9 else rng.random() * 999))}
-    rows = [(t, h, 7, d, 0, places[t, h, d]) for t, h, d in places]
-    got = substrings.compacted(spark.createDataFrame(rows, "tail bigint, head bigint, check bigint, first_id bigint, v int, place int")).collect()
+    rows = [(t, 1000 * t + h, h, d, places[t, h, d]) for t, h, d in places]
+    got = substrings.compacted(spark.createDataFrame(rows, "tail bigint, check bigint, head bigint, first_id bigint, at bigint")).collect()
     paths = {}
     for r in got:
         if r.tail < 900:
-            paths.setdefault(r.path, []).append((r.offset, (r.tail, r.head, r.first_id)))
+            paths.setdefault(r.path, []).append((r.offset, (r.tail, r.check - 1000 * r.tail, r.first_id)))
     assert sorted([e for _, e in sorted(p)] for p in paths.values()) == sorted(plain_paths(sorted(edges)))
     assert all([o for o, _ in sorted(p)] == list(range(len(p))) for p in paths.values())
     assert len(got) == len(rows)
