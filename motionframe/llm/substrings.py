@@ -158,9 +158,10 @@ def compacted(edge: DataFrame) -> DataFrame:
     twice as far in each round.  A path that closes in itself is cut between its
     pieces.
     """
-    ends = edge.select(F.col("head").alias("node"), F.lit(1).alias("_in"), F.lit(0).alias("_out"), "first_id").unionByName(edge.select(F.col("tail").alias("node"), F.lit(0).alias("_in"), F.lit(1).alias("_out"), "first_id"))
-    inner = ends.groupBy("node").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.min("first_id").alias("_a"), F.max("first_id").alias("_b")).where("_in = 1 and _out = 1 and _a = _b")
-    marked = edge.join(inner.select(F.col("node").alias("tail"), F.lit(True).alias("_inner")), "tail", "left")
+    out_of = edge.groupBy(F.col("tail").alias("node")).agg(F.count("*").alias("_out"), F.min("first_id").alias("_a"))
+    into = edge.groupBy(F.col("head").alias("node")).agg(F.count("*").alias("_in"), F.min("first_id").alias("_b"))
+    inner = written(out_of.where("_out = 1").join(into.where("_in = 1"), "node").where("_a = _b").select(F.col("node").alias("tail"), F.lit(True).alias("_inner")))
+    marked = edge.join(inner, "tail", "left")
     by = Window.partitionBy("first_id").orderBy("at", "tail", "check")
     follows = F.col("_inner") & (F.lag("at").over(by) + 1 == F.col("at")) & (F.lag("head").over(by) == F.col("tail"))
     opens = ~F.coalesce(follows, F.lit(False))
@@ -179,7 +180,7 @@ def compacted(edge: DataFrame) -> DataFrame:
             break
     step = step.join(step.select(F.col("piece").alias("up")).distinct(), "up", "left_anti")  # what still leads on goes round
     out = written(piece.join(step, "piece", "left").select("tail", "check", "first_id", "at", F.coalesce("up", "piece").alias("path"), (F.col("_k") + F.coalesce("far", F.lit(0))).alias("offset")))
-    dropped(piece)
+    dropped(piece, inner)
     return out
 
 
@@ -206,8 +207,11 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
     edge = written(edge)
     paths = compacted(edge)
     dropped(edge)
-    # each key is once in what is hashed here, a partition's share of it is small, and skewed partitions of the other side can be split
-    dup = exploded(found, head=False).join(paths.withColumnRenamed("at", "first_at").hint("shuffle_hash"), key).where("first_id < id")
+    # they meet by a shorter hash: of two edges that share it both are found, and the sums of checks tell which it is
+    short = F.xxhash64(*key).alias("k")
+    there = paths.select(short, "check", "first_id", F.col("at").alias("first_at"), "path", "offset")
+    # hardly a key is twice in what is hashed here, a partition's share of it is small, and skewed partitions of the other side can be split
+    dup = exploded(found, head=False).select(short, "id", "at").join(there.hint("shuffle_hash"), "k").where("first_id < id")
     by = Window.partitionBy("id").orderBy("at")
     prior = lambda c, step: F.lag(c).over(by) + step == F.col(c)
     run = dup.withColumn("_new", F.when(prior("at", 1) & prior("path", 0) & prior("offset", 1) & prior("first_at", 1), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(by))
