@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +48,12 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_join(rows: DataFrame, of_keys: DataFrame, on: list[str], by: list[str], how: str = "inner", salts: int = 8) -> DataFrame:
+    """rows joined with of_keys, which has a row a key at most; the rows of one key are dealt to tasks by a hash of the columns `by`."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
+    return salted.join(of_keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [*on, "_salt"], how).drop("_salt")
+
+
 def dropped(*tables: DataFrame) -> None:
     """Deletes tables that written() made; nothing may read them any more."""
     for df in tables:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import slices, written
+from .frames import slices, spread_join, written
 from .words import Hasher, U, mix, runs
 
 SHINGLE = 5
@@ -116,7 +116,7 @@ def compared(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> Da
     is dealt over many groups.
     """
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("_groups"))
-    dealt = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("_groups")).cast("int").alias("_group"), F.col("b").alias("node"), F.lit(False).alias("pivot"))
+    dealt = spread_join(pairs, counts, ["a"], ["b"]).select("a", F.pmod(F.xxhash64("b"), F.col("_groups")).cast("int").alias("_group"), F.col("b").alias("node"), F.lit(False).alias("pivot"))
     heads = counts.select("a", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("_group")).select("a", "_group", F.col("a").alias("node"), F.lit(True).alias("pivot"))
     each = heads.unionByName(dealt).join(sets.hint("merge"), "node")
 
@@ -242,9 +242,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = spread_join(both, least, ["a"], ["b"]).where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+        small = spread_join(large, least, ["a"], ["b"]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
         now = written(small)
         seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if seen == state:

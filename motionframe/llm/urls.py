@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import shared_dir, written
+from .frames import shared_dir, spread_join, written
 
 WILD = "*"
 #: Stands for WILD in nodes; no path has it.
@@ -70,12 +70,6 @@ class TreeParams:
     min_purity: float = 0.5
 
 
-def joined(urls: DataFrame, of_nodes: DataFrame, on: list[str], how: str = "left", salts: int = 16) -> DataFrame:
-    """urls with the columns of of_nodes, which has a row a key; the urls of one key are dealt by a salt."""
-    salted = urls.withColumn("_salt", F.pmod(F.xxhash64("key", "path"), F.lit(salts)).cast("int"))
-    return salted.join(of_nodes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [*on, "_salt"], how).drop("_salt")
-
-
 def merged(apart: DataFrame, p: TreeParams) -> DataFrame:
     """(host, node, _s, _as) of the branches apart(host, node, _s, m, b): _as names those of a parent that are one, after the first of them.
 
@@ -130,7 +124,7 @@ def templates(urls: DataFrame, p: TreeParams) -> DataFrame:
         whole = written(whole.where((F.col("n") >= p.min_support) & (F.col("all_m") > p.min_labelled) & (F.col("all_b") > 0) & (F.col("all_b") < F.col("all_m"))).drop("n"))
         if whole.isEmpty():
             break
-        marked = joined(now, whole.select("host", "node", F.lit(True).alias("_open")), ["host", "node"]).withColumn("_open", F.col("_open").isNotNull() & (F.col("_size") > level))
+        marked = spread_join(now, whole.select("host", "node", F.lit(True).alias("_open")), ["host", "node"], ["key", "path"], "left").withColumn("_open", F.col("_open").isNotNull() & (F.col("_size") > level))
         finish(marked.where("not _open"), level)
         now = marked.where("_open").drop("_open").withColumn("_s", F.get("_seg", F.lit(level)))
         child = now.groupBy("host", "node", "_s").agg(F.count("*").alias("n"), F.count("bad").alias("m"), F.sum("bad").alias("b")).na.fill(0, ["b"])
@@ -143,7 +137,7 @@ def templates(urls: DataFrame, p: TreeParams) -> DataFrame:
         apart = merged(strong.join(whole, ["host", "node"]).where(z >= p.min_z), p)
         own = F.concat(F.lit("/"), F.when(F.col("_as").isNotNull(), F.col("_s")).otherwise(F.lit(WILD)))
         # written at each level, as the next one reads it more than once
-        named = joined(now, apart, ["host", "node", "_s"]).withColumns({"template": F.concat("template", own), "node": F.concat("node", F.lit("/"), F.coalesce("_as", F.lit(_ANY)))})
+        named = spread_join(now, apart, ["host", "node", "_s"], ["key", "path"], "left").withColumns({"template": F.concat("template", own), "node": F.concat("node", F.lit("/"), F.coalesce("_as", F.lit(_ANY)))})
         now = written(named.drop("_as", "_s"))
         level += 1
     done = finish(now, level)
@@ -170,6 +164,6 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule], p: TreeParams
     total = share.agg(F.sum("m").alias("_m"), F.sum("b").alias("_b"))
     prior = F.coalesce(1 - F.col("_b") / F.nullif(F.col("_m"), F.lit(0)), F.lit(1.0))
     pure = share.crossJoin(F.broadcast(total)).select("host", "node", ((F.col("m") - F.col("b") + p.prior_weight * prior) / (F.col("m") + p.prior_weight)).alias("purity"))  # total is one row
-    found = joined(tree, pure, ["host", "node"], "inner").withColumn("_rule", longest_rule(rules, F.col("host"), F.col("path")))
+    found = spread_join(tree, pure, ["host", "node"], ["key", "path"]).withColumn("_rule", longest_rule(rules, F.col("host"), F.col("path")))
     own = F.when(F.col("purity") < p.min_purity, "block").otherwise("allow")
     return found.select(F.col("key").alias(id_col), "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce("_rule.verdict", own).alias("verdict"), "template", "purity")
