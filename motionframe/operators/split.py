@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import SplitConfig
-from ..functions.scalars import remapped
+from ..functions.scalars import file_name, remapped
+from ..sources.files import read_split
+from .catalog import label_from_name
 
 
 def dominant_labels(videos: DataFrame, remap: dict[int, int] | None = None) -> DataFrame:
@@ -90,6 +92,18 @@ def exact_split(runners: DataFrame, c: SplitConfig, stratified: bool = True) ->
     return row.withColumn("split", part_of(F.col("_k"), F.col("_n"), c, stratified)).drop("_k", "_n")
 
 
+def load_split(spark: SparkSession, path: str, remap: dict[int, int] | None = None, augment: bool = True) -> DataFrame:
+    """(split, place, path, label, label_idx, augmented) of a split document, which must have all parts.
+
+    label_idx counts the labels of a part in their order; only train rows are
+    augmented, and they only with `augment`.
+    """
+    rows = read_split(spark, path, strict=True).withColumn("label", label_from_name(file_name(F.col("path")), remap or {}))
+    index = F.row_number().over(Window.partitionBy("split").orderBy("label")) - 1  # a row a label
+    labels = rows.select("split", "label").distinct().withColumn("label_idx", index)
+    return rows.join(labels, ["split", "label"]).select("split", "place", "path", "label", "label_idx", ((F.col("split") == "train") & F.lit(augment)).alias("augmented"))
+
+
 def require_some(videos: DataFrame) -> DataFrame:
     """videos, or an error if no file could be parsed."""
     if videos.isEmpty():

@@ -172,6 +172,13 @@ def clips(regions_: DataFrame, length: int = 16, step: int = 16) -> DataFrame:
     return out.select(*KEY, (F.col("k") + 1).alias("clip_no"), F.transform("f", lambda x: x["frame_idx"]).alias("frame_idxs"))
 
 
+def process(detections: DataFrame, c: TrackConfig, detect: bool = True) -> DataFrame:
+    """The clips of a video's moving subjects, from its detections: short tracks go, then those that don't move, unless detect is off; the rest are cropped and cut."""
+    real = without_ghosts(detections, c.min_track_frames)
+    kept = of_tracks(real, select_runners(motion_stats(real), c)) if detect else real
+    return clips(regions(kept, c), c.clip_length, c.clip_stride)
+
+
 def clip_name(stem: Column, track: Column, number: Column) -> Column:
     return F.format_string("%s_ID_%d_clip_%03d", stem, track, number)
 

@@ -171,6 +171,10 @@ def test_split_documents(spark, tmp_path):
     assert files.read_split(spark, str(tmp_path / "lacks.json")).count() == 1
     with pytest.raises(KeyError):
         files.read_split(spark, str(tmp_path / "lacks.json"), strict=True)
+    (tmp_path / "whole.json").write_text('{"train": ["x/a_007.mp4", "x/b_002.mp4", "x/c_009.mp4"], "val": ["x/d_009.mp4"], "test": []}')
+    got = {r.path[2]: tuple(r)[3:] for r in S.load_split(spark, str(tmp_path / "whole.json"), {9: 2}).collect()}
+    assert got == {"a": (7, 1, True), "b": (2, 0, True), "c": (2, 0, True), "d": (2, 0, False)}
+    assert not S.load_split(spark, str(tmp_path / "whole.json"), augment=False).where("augmented").count()
 
 
 def test_work_goes_on_where_it_stopped(spark, tmp_path):

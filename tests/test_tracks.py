@@ -133,3 +133,12 @@ def test_crops_without_height_and_fitted_sizes(spark):
 def test_empty_input(spark):
     none = spark.createDataFrame([], DETECTIONS)
     assert T.motion_stats(none).count() == 0 and T.clips(T.regions(none, TrackConfig())).count() == 0 and T.exponential_mean(none, CropConfig()).count() == 0
+
+
+def test_whole_process_keeps_the_clips_of_moving_subjects(spark):
+    """Of a short track, one that stands and one that moves, with frames of 40, only the last has clips: (40 - 16) // 16 + 1."""
+    moving = [((100.0 + 6 * i, 300.0), (104.0 + 6 * i, 300.0), 200.0) for i in range(40)]
+    standing = [((700.0, 500.0), (704.0, 500.0), 200.0)] * 40
+    rows = frame(spark, [moving[:10], standing, moving])
+    assert [(r.track_id, r.clip_no, r.frame_idxs[0], len(r.frame_idxs)) for r in T.process(rows, TrackConfig()).orderBy("clip_no").collect()] == [(2, 1, 1, 16), (2, 2, 49, 16)]
+    assert {r.track_id for r in T.process(rows, TrackConfig(), detect=False).collect()} == {1, 2}
