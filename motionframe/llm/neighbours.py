@@ -138,8 +138,8 @@ def dealt(vectors: DataFrame, sample: np.ndarray, n: int, most: int, seed: int)
 
 
 def coded(x: np.ndarray) -> dict:
-    """Vectors as steps from their mean, each with a scale of its own, so that like vectors stay apart."""
-    centre = x.mean(0)
+    """Vectors as steps from their median, which a few long ones don't move, each with a scale of its own, so that like vectors stay apart."""
+    centre = np.median(x, 0).astype(np.float32)
     rest = x - centre
     scales = np.abs(rest).max(1) / 127
     scales[scales == 0] = 1
