@@ -22,6 +22,7 @@ def slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[p
         rows = max(1, int(batch.num_rows * most / max(batch.nbytes, 1)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -22,9 +22,9 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 #: Characters handled at once; a longer text is handled alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Distinct pre-tokens that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 # The white space of the Unicode standard (property White_Space).
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
@@ -95,14 +95,14 @@ class Encoder:
             return self.power, self.inverse
         return powers(BASE, n + 1), powers(INVERSE, n + 1)
 
-    def _ids(self, words: list[str]) -> list[np.ndarray]:
+    def _ids(self, words: list[str]) -> list[bytes]:
         known = self.known
         if missing := [w for w in words if w not in known]:
             if len(known) + len(missing) > REMEMBERED:
                 known.clear()
                 missing = words
             for w, ids in zip(missing, self.encode(missing), strict=True):
-                known[w] = np.asarray(ids, np.uint32)
+                known[w] = np.asarray(ids, np.uint32).tobytes()
         return [known[w] for w in words]
 
     def _chunk(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -127,9 +127,9 @@ class Encoder:
             which[odd] = np.arange(len(odd)) + len(words)
             words += [joined[start[i] : end[i]] for i in odd.tolist()]
         ids = self._ids(words)
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         base = np.cumsum(size) - size
-        flat = np.concatenate(ids)
+        flat = np.frombuffer(b"".join(ids), np.uint32)
         each = size[which]
         upto = np.cumsum(each)
         at = np.arange(upto[-1]) + np.repeat(base[which] - (upto - each), each)
