@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(name: str, of: str = "") -> Column:
+    """The column, or the field of the struct column `of`, of exactly this name."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(f"{of}.{quoted}" if of else quoted).alias(name)
+
+
 def slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in slices of about `most` bytes, one row at least, so that long texts don't pile up."""
     for batch in batches:
