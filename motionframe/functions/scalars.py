@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,3 +56,13 @@ def file_name(path: Column) -> Column:
 
 def stem(name: Column) -> Column:
     return F.regexp_replace(name, r"\.[^.]*$", "")
+
+
+def document(value: Column) -> Column:
+    """A struct as a JSON text, two spaces a level, null fields and empty maps and lists included.
+
+    Spark's own writer spaces and breaks lines in another way, so the text is
+    laid out again; for documents, which are few, not for rows.
+    """
+    laid_out = F.udf(lambda x: None if x is None else json.dumps(json.loads(x), indent=2), "string", useArrow=True)
+    return laid_out(F.to_json(value, {"ignoreNullFields": "false"}))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import argmax, softmax
+from ..functions.scalars import argmax, document, softmax
 
 
 def predicted(logits: DataFrame, names: Column) -> DataFrame:
@@ -50,9 +50,37 @@ def report(clips: DataFrame, key: str, names: Column) -> DataFrame:
     return out.select("tracks", F.col("track").alias("primary_track"), outcome.alias("outcome"), label_of(F.col("predicted_idx"), names).alias("predicted_label"), "confidence", F.coalesce("n_clips", F.lit(0)).cast("long").alias("num_clips"))
 
 
+def percents(v: Column, names: Column) -> Column:
+    """A map of label to percent from a vector of shares, in its order; labels that aren't all different are an error."""
+    places = F.transform(v, lambda _, i: label_of(i, names))
+    return F.map_from_arrays(places, F.transform(v, lambda x: x * 100))
+
+
+def full_report(clips: DataFrame, key: str, names: Column, clip: str, video: str, model_dir: str) -> DataFrame:
+    """One row with the fields of an inference report in their order, and each good clip of the primary track by name.
+
+    clips as for report(), and a column that names a clip.  A video has few clips of one track, and they are one list.
+    """
+    short = report(clips, key, names)
+    main = short.select(F.col("primary_track").alias("_main"), "num_clips")
+    one = F.struct(F.col(clip).cast("string").alias("clip"), "predicted_label", "confidence", percents(F.col("probability_vector"), names).alias("probabilities"))
+    mine = clips.where("probability_vector is not null").join(F.broadcast(main), F.col(key) == F.col("_main"))  # main is one row
+    # maps have no order, so a list of structs that hold them is sorted by name and place alone
+    each = mine.select(F.struct(F.col(clip).cast("string").alias("n"), F.monotonically_increasing_id().alias("at")).alias("k"), one.alias("v"))
+    listed = each.agg(F.array_sort(F.collect_list(F.struct("k", "v")), lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)).alias("l"))
+    means = mean_probability(mine, key).select(percents(F.col("mean"), names).alias("mean_probabilities"))
+    none = "array<struct<clip: string, predicted_label: string, confidence: double, probabilities: map<string, double>>>"
+    row = short.join(means, how="left").join(listed, how="left")
+    return row.select(
+        F.lit(video).alias("video"), F.lit(model_dir).alias("model_dir"), F.col("tracks").alias("total_runners_detected"), F.col("primary_track").alias("primary_track_id"),
+        F.when(F.col("primary_track").isNotNull(), "most_clips").alias("primary_track_selection_reason"), "num_clips", "predicted_label", "confidence", "mean_probabilities",
+        F.coalesce(F.transform("l", lambda x: x["v"]), F.array().cast(none)).alias("per_clip"),
+    )
+
+
 def report_document(row: DataFrame, **about: str) -> DataFrame:
-    """One row, json: a report() with what else is known of it, such as the video and the model."""
-    return row.select(F.to_json(F.struct(*(F.lit(v).alias(k) for k, v in about.items()), *row.columns), {"pretty": "true"}).alias("json"))
+    """One row, json: a report with what else is known of it; fields without a value are null."""
+    return row.select(document(F.struct(*(F.lit(v).alias(k) for k, v in about.items()), *row.columns)).alias("json"))
 
 
 def sampled_frames(n: Column, how: str = "uniform", size: int = 16, draw: Column | None = None) -> Column:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..functions.scalars import uniform
 from ..operators import experiments as X
 from ..operators import predict as P
+from ..sources.files import scratch
 from ..sources.views import detections, results, table
+from ..streaming import runlog
 
 
 def names():
@@ -23,6 +25,10 @@ def some_failed(s, d):
     return clips(s, d).withColumn("probability_vector", F.when(F.col("clip_id") % 5 != 0, F.col("probability_vector")))
 
 
+def full(s, d):
+    return P.full_report(some_failed(s, d), "track", names(), "clip_id", "v.mp4", "models/m")
+
+
 def lengths(s, d):
     return detections(s, d).groupBy("track_id").agg((F.count("*") % 40 + 1).cast("int").alias("n"))
 
@@ -38,13 +44,33 @@ def sides(s, d):
 
 def flags(s, d):
     local, remote = sides(s, d)
-    return results(s, d), local.where("status <> 'PENDING'"), remote.where("status = 'COMPLETED'")
+    return results(s, d), local.where("status <> 'pending'"), remote.where("status = 'completed'")
 
 
 def phase(s, d):
     """The local rows, and an outcome for each id that has a remote one: an error where that isn't completed."""
     local, remote = sides(s, d)
-    return local.drop("seq"), remote.select("experiment_id", F.when(F.col("status") != "COMPLETED", F.lower("status")).alias("error_message"), (F.col("val_acc") + 1).alias("val_acc"))
+    return local.drop("seq"), remote.select("experiment_id", F.when(F.col("status") != "completed", F.col("status")).alias("error_message"), (F.col("val_acc") + 1).alias("val_acc"))
+
+
+def run_events(s, d):
+    """Orders as events of their customer's experiment: every twentieth resets it, the parity of the order is the writer."""
+    o = table(s, d, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "pending").otherwise("failed")
+    return o.select(
+        F.format_string("exp_%06d", "o_custkey").alias("experiment_id"), F.when(F.col("o_orderkey") % 20 == 0, "reset").otherwise("put").alias("op"), F.col("o_orderdate").cast("timestamp").alias("at"), F.col("o_orderkey").alias("seq"),
+        status.alias("status"), F.round(F.col("o_totalprice") % 100, 2).alias("val_acc"), (F.col("o_orderkey") % 2).alias("w"),
+    )
+
+
+def logged(s, d):
+    """What a log of two writers says, one of whom compacts it before the other is done."""
+    log, rows = scratch(s), run_events(s, d)
+    runlog.append(rows.where("w = 0 and seq % 3 = 0"), log, "w0")
+    runlog.append(rows.where("w = 1"), log, "w1")
+    runlog.compact(s, log)
+    runlog.append(rows.where("w = 0 and seq % 3 <> 0"), log, "w0")
+    return runlog.results(s, log).select("experiment_id", "status", "val_acc", "seq")
 
 
 def filled(rows):
@@ -80,6 +106,10 @@ QUERIES = {
     "f5_temporal_offset": lambda s, d: frames(s, d, "offset"),
     "f5_accuracy_loss": lambda s, d: R6(P.accuracy(batches(s, d)), "accuracy", "loss"),
     "f5_best_epoch": lambda s, d: P.best_epochs(epochs(s, d)),
+    "f5_clip_percents": lambda s, d: clips(s, d).select("clip_id", F.explode(P.percents(F.col("probability_vector"), names())).alias("label", "percent")).withColumn("percent", F.round("percent", 6)),
+    "f5_report_clips": lambda s, d: full(s, d).select("video", "total_runners_detected", "primary_track_id", "primary_track_selection_reason", "num_clips", F.explode("per_clip").alias("c")).select("*", "c.clip", "c.predicted_label", F.round("c.confidence", 6).alias("confidence"), F.size("c.probabilities").alias("classes")).drop("c"),
+    "f5_report_means": lambda s, d: full(s, d).select("primary_track_id", F.explode("mean_probabilities").alias("label", "percent")).withColumn("percent", F.round("percent", 6)),
+    "f6_log_state": logged,
     "f6_upsert": lambda s, d: X.upserted(*sides(s, d)),
     "f6_merge_save": lambda s, d: X.saved(*sides(s, d)),
     "f6_merge_load": lambda s, d: X.loaded(*sides(s, d)),
@@ -104,11 +134,11 @@ cp AS (SELECT clip_id, track, arg_max(i, (x, -i)) AS idx, max(p) AS conf FROM pr
 NAME = "CASE WHEN idx % 3 <> 0 THEN 'class_' || idx ELSE idx::VARCHAR END"
 MEAN = "me AS (SELECT track, i, avg(p) AS p, count(*) AS n FROM {src} GROUP BY ALL), tr AS (SELECT track, arg_max(i, (p, -i)) AS idx, max(p) * 100 AS conf, max(n) AS n_clips FROM me GROUP BY track)"
 RES = """
-re AS (SELECT printf('exp_%06d', o_custkey) AS experiment_id, CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'PENDING' ELSE 'FAILED' END AS status, CASE WHEN o_orderkey % 5 <> 0 THEN round(o_totalprice % 100, 2) END AS val_acc,
+re AS (SELECT printf('exp_%06d', o_custkey) AS experiment_id, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'failed' END AS status, CASE WHEN o_orderkey % 5 <> 0 THEN round(o_totalprice % 100, 2) END AS val_acc,
     o_orderkey % 2 = 0 AS remote, o_orderkey AS seq FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderkey % 2 ORDER BY o_orderkey DESC) = 1),
 lo AS (SELECT experiment_id, status, val_acc, seq FROM re WHERE NOT remote), rm AS (SELECT experiment_id, status, val_acc, seq FROM re WHERE remote),
-sv AS (SELECT lo.* FROM lo LEFT JOIN rm USING (experiment_id) WHERE lo.status = 'COMPLETED' OR rm.status IS NULL OR rm.status <> 'COMPLETED' UNION ALL SELECT rm.* FROM rm LEFT JOIN lo USING (experiment_id) WHERE rm.status = 'COMPLETED' AND (lo.status IS NULL OR lo.status <> 'COMPLETED')),
-au AS (SELECT DISTINCT experiment_id FROM lo WHERE status <> 'PENDING'), td AS (SELECT DISTINCT experiment_id FROM rm WHERE status = 'COMPLETED'), al AS (SELECT DISTINCT experiment_id FROM re)
+sv AS (SELECT lo.* FROM lo LEFT JOIN rm USING (experiment_id) WHERE lo.status = 'completed' OR rm.status IS NULL OR rm.status <> 'completed' UNION ALL SELECT rm.* FROM rm LEFT JOIN lo USING (experiment_id) WHERE rm.status = 'completed' AND (lo.status IS NULL OR lo.status <> 'completed')),
+au AS (SELECT DISTINCT experiment_id FROM lo WHERE status <> 'pending'), td AS (SELECT DISTINCT experiment_id FROM rm WHERE status = 'completed'), al AS (SELECT DISTINCT experiment_id FROM re)
 """
 
 
@@ -128,17 +158,24 @@ SQL = {
     "f5_temporal_offset": frames_sql("floor(('0x' || substr(md5(track_id || '|offset'), 1, 8))::BIGINT / 4294967296.0::DOUBLE * (n - 15)) + i"),
     "f5_accuracy_loss": "WITH b AS (SELECT l_orderkey, avg(l_discount * 10) AS loss, count(*) FILTER (l_returnflag = 'N') AS hits, count(*) AS n FROM lineitem GROUP BY 1) SELECT round(sum(hits) / sum(n) * 100, 6) AS accuracy, round(avg(loss), 6) AS loss FROM b",
     "f5_best_epoch": "WITH e AS (SELECT l_suppkey AS run, l_linenumber AS epoch, round(avg(l_quantity), 4) AS val_accuracy FROM lineitem GROUP BY ALL) SELECT *, val_accuracy > coalesce(max(val_accuracy) OVER (PARTITION BY run ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS is_best FROM e",
+    "f5_clip_percents": f"WITH {CLIP} SELECT clip_id, {NAME.replace('idx', 'i')} AS label, round(p * 100, 6) AS percent FROM pr",
+    "f5_report_clips": f"WITH {CLIP}, m AS (SELECT label AS track, (SELECT count(DISTINCT label) FROM embeddings) AS n FROM embeddings GROUP BY label ORDER BY count(*) DESC, label LIMIT 1), g AS (SELECT clip_id, idx, conf, m.* FROM cp JOIN m USING (track) WHERE clip_id % 5 <> 0) SELECT 'v.mp4' AS video, n AS total_runners_detected, track AS primary_track_id, 'most_clips' AS primary_track_selection_reason, count(*) OVER () AS num_clips, clip_id::VARCHAR AS clip, {NAME} AS predicted_label, round(conf * 100, 6) AS confidence, 64::INT AS classes FROM g",
+    "f5_report_means": f"WITH {CLIP}, m AS (SELECT label AS track FROM embeddings GROUP BY label ORDER BY count(*) DESC, label LIMIT 1) SELECT track AS primary_track_id, {NAME.replace('idx', 'i')} AS label, round(avg(p) * 100, 6) AS percent FROM pr JOIN m USING (track) WHERE clip_id % 5 <> 0 GROUP BY track, i",
+    # the last reset takes what came before it; then completed before not, late before early
+    "f6_log_state": """WITH e AS (SELECT printf('exp_%06d', o_custkey) AS experiment_id, o_orderkey % 20 = 0 AS is_reset, {'at': o_orderdate, 'w': o_orderkey % 2, 'seq': o_orderkey} AS pos, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'failed' END AS status, round(o_totalprice % 100, 2) AS val_acc FROM orders),
+        r AS (SELECT *, max(pos) FILTER (is_reset) OVER (PARTITION BY experiment_id) AS cut FROM e)
+        SELECT experiment_id, status, val_acc, pos.seq AS seq FROM r WHERE NOT is_reset AND (cut IS NULL OR pos > cut) QUALIFY row_number() OVER (PARTITION BY experiment_id ORDER BY status = 'completed' DESC, pos DESC) = 1""",
     "f6_upsert": f"WITH {RES} SELECT * FROM rm UNION ALL SELECT * FROM lo ANTI JOIN rm USING (experiment_id)",
     "f6_merge_save": f"WITH {RES} SELECT * FROM sv",
     "f6_merge_load": f"WITH {RES} SELECT rm.*, CASE WHEN lo.experiment_id IS NULL THEN 'new' ELSE 'updated' END AS origin FROM rm LEFT JOIN lo USING (experiment_id) UNION ALL SELECT lo.*, 'current' FROM lo ANTI JOIN rm USING (experiment_id)",
-    "f6_status_summary": f"WITH {RES} SELECT count(*) AS total_experiments, count(*) FILTER (status = 'COMPLETED') AS completed, count(*) FILTER (status = 'PENDING') AS pending, count(*) FILTER (status = 'FAILED') AS failed FROM sv",
+    "f6_status_summary": f"WITH {RES} SELECT count(*) AS total_experiments, count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'failed') AS failed FROM sv",
     # sorted(completed, key=lambda r: r.val_acc or 0, reverse=True), which keeps equal ones in their order: of (a, 50), (b, none), (c, 70, pending), (d, 50) come a, d, b
-    "f6_ranked_summary": f"WITH {RES} SELECT experiment_id, val_acc, (row_number() OVER (ORDER BY coalesce(val_acc, 0) DESC, seq))::INT AS rank FROM sv WHERE status = 'COMPLETED'",
+    "f6_ranked_summary": f"WITH {RES} SELECT experiment_id, val_acc, (row_number() OVER (ORDER BY coalesce(val_acc, 0) DESC, seq))::INT AS rank FROM sv WHERE status = 'completed'",
     "f6_eligible": f"WITH {RES} SELECT experiment_id FROM au WHERE experiment_id IN (SELECT experiment_id FROM re WHERE val_acc IS NOT NULL) AND experiment_id NOT IN (SELECT experiment_id FROM td)",
     "f6_progress": f"WITH {RES}, f AS (SELECT al.experiment_id, au.experiment_id AS a, td.experiment_id AS t FROM al LEFT JOIN au USING (experiment_id) LEFT JOIN td USING (experiment_id)) SELECT count(*) AS total, count(a) AS augmented, count(t) AS trained, count(*) FILTER (t IS NULL) AS remaining FROM f",
     "f6_remaining": f"WITH {RES} SELECT experiment_id FROM al WHERE experiment_id NOT IN (SELECT experiment_id FROM au)",
-    # a result becomes COMPLETED with the metrics, or FAILED with the message; without an outcome it stays
-    "f6_after_phase": f"WITH {RES} SELECT lo.experiment_id, CASE WHEN rm.status IS NULL THEN lo.status WHEN rm.status = 'COMPLETED' THEN 'COMPLETED' ELSE 'FAILED' END AS status, CASE WHEN rm.status = 'COMPLETED' THEN rm.val_acc + 1 ELSE lo.val_acc END AS val_acc FROM lo LEFT JOIN rm USING (experiment_id)",
+    # a result becomes completed with the metrics, or failed with the message; without an outcome it stays
+    "f6_after_phase": f"WITH {RES} SELECT lo.experiment_id, CASE WHEN rm.status IS NULL THEN lo.status WHEN rm.status = 'completed' THEN 'completed' ELSE 'failed' END AS status, CASE WHEN rm.status = 'completed' THEN rm.val_acc + 1 ELSE lo.val_acc END AS val_acc FROM lo LEFT JOIN rm USING (experiment_id)",
     "f6_list": f"WITH {RES} SELECT experiment_id, experiment_id IN (SELECT experiment_id FROM au) AS augmented, experiment_id IN (SELECT experiment_id FROM td) AS trained FROM al",
     # "+".join(augmentations) or "none", counts as they are, accuracies with 2 digits, losses with 4, seconds with none, "" for what there isn't: (x, [flip, blur], 7, 175, 25, 66.666, none, ...) is x,flip+blur,7,175,25,66.67,,...
     "f6_results_csv": f"""WITH {RES}, n AS (SELECT *, ['none', 'flip', 'flip+blur'][seq % 3 + 1] AS augmentations FROM sv)

@@ -5,13 +5,15 @@ Paths are read by Spark, so any file system that it knows will do.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import file_name
+from ..functions.scalars import document, file_name
 
 DETECTIONS = "video_id string, track_id int, frame_idx int, left_ankle struct<x:double,y:double>, right_ankle struct<x:double,y:double>, confidence double, bbox_height double, det_seq int"
 
@@ -21,6 +23,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path below spark.checkpoint.dir, which driver and executors share; where it isn't set, only a session of one process has another."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = f"{tempfile.gettempdir()}/motionframe-checkpoints"
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def listing(spark: SparkSession, path: str, recursive: bool = False, suffix: str = ".mp4", missing_ok: bool = True) -> DataFrame:
     """(path, name) of the files with the suffix, matched by case, below a folder or for a single file.
 
@@ -78,9 +90,10 @@ def split_document(assigned: DataFrame) -> DataFrame:
     total = {f"total_{p}": F.count_if(F.col("split") == p) for p in PARTS}
     whole = assigned.agg(*(c.alias(k) for k, c in {**row, **runner, **total}.items()))
     counts = assigned.groupBy("split", "label").count().groupBy("split").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("label").cast("string"), "count")))).alias("m"))
-    maps = counts.agg(*(F.first(F.when(F.col("split") == p, F.col("m")), True).alias(f"{p}_label_counts") for p in PARTS))
+    none = F.create_map().cast("map<string, bigint>")
+    maps = counts.agg(*(F.coalesce(F.first(F.when(F.col("split") == p, F.col("m")), True), none).alias(f"{p}_label_counts") for p in PARTS))
     meta = F.struct(*runner, *(f"{p}_label_counts" for p in PARTS), *total)
-    return whole.join(F.broadcast(maps)).select(F.to_json(F.struct(*PARTS, meta.alias("metadata")), {"pretty": "true"}).alias("json"))  # both are one row
+    return whole.join(F.broadcast(maps)).select(document(F.struct(*PARTS, meta.alias("metadata"))).alias("json"))  # both are one row
 
 
 def parts_document(rows: DataFrame, about: DataFrame) -> DataFrame:
@@ -88,23 +101,35 @@ def parts_document(rows: DataFrame, about: DataFrame) -> DataFrame:
     mine = lambda p: F.transform(F.array_sort(F.collect_list(F.when(F.col("split") == p, F.struct("place", "path")))), lambda x: x["path"])
     lists = rows.agg(*(mine(p).alias(p) for p in PARTS))
     whole = lists.join(F.broadcast(about.select(F.struct(*about.columns).alias("metadata"))))  # both are one row
-    return whole.select(F.to_json(F.struct(*PARTS, "metadata"), {"pretty": "true"}).alias("json"))
+    return whole.select(document(F.struct(*PARTS, "metadata")).alias("json"))
 
 
 def put_text(spark: SparkSession, path: str, text: str) -> None:
-    """A text at a path, which becomes a folder of one file, in place of what was there."""
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(path)
+    """One file with the text, in UTF-8, in place of what was there; it is written beside it and then renamed, so a reader sees all of it or none."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    to = jvm.org.apache.hadoop.fs.Path(path)
+    fs = to.getFileSystem(conf)
+    beside = jvm.org.apache.hadoop.fs.Path(to.getParent(), f"_{uuid.uuid4().hex}")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(to, True)
+    if not fs.rename(beside, to):
+        raise OSError(f"{path} could not be put in its place")
 
 
 def get_text(spark: SparkSession, path: str) -> str | None:
     """What put_text() put there, or the text of a single file; null where there is none."""
     if not exists(spark, path):
         return None
-    return "".join(r.value for r in spark.read.text(path, wholetext=True).collect()).removesuffix("\n")  # one document
+    return "".join(r.content.decode() for r in spark.read.format("binaryFile").load(path).select("content").collect())  # one document
 
 
 def write_split(assigned: DataFrame, path: str) -> None:
-    split_document(assigned).coalesce(1).write.mode("overwrite").text(path)
+    """The document of a split as one file."""
+    put_text(assigned.sparkSession, path, split_document(assigned).first().json)
 
 
 def decoded(spark: SparkSession, path: str, decode: Callable[[str, bytes], Iterator[dict]]) -> DataFrame:

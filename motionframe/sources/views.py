@@ -40,7 +40,7 @@ def runners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as experiment results: a customer is an experiment, the parity of the order tells the local from the remote copy."""
-    status = F.when(F.col("o_orderstatus") == "F", "COMPLETED").when(F.col("o_orderstatus") == "O", "PENDING").otherwise("FAILED")
+    status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "pending").otherwise("failed")
     rows = table(spark, sf_dir, "orders").select(
         F.format_string("exp_%06d", "o_custkey").alias("experiment_id"), status.alias("status"), F.when(F.col("o_orderkey") % 5 != 0, F.round(F.col("o_totalprice") % 100, 2)).alias("val_acc"),
         (F.col("o_orderkey") % 2 == 0).alias("remote"), F.col("o_orderkey").alias("seq"),

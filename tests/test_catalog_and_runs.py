@@ -123,26 +123,124 @@ def test_sampling_of_frames(spark):
 
 def test_merging_of_results(spark):
     schema = "experiment_id string, status string, seq int"
-    local = spark.createDataFrame([("c", "PENDING", 1), ("d", "COMPLETED", 1), ("e", "FAILED", 1), ("f", "PENDING", 1)], schema)
-    remote = spark.createDataFrame([("a", "COMPLETED", 2), ("b", "FAILED", 2), ("c", "COMPLETED", 2), ("d", "COMPLETED", 2), ("e", "PENDING", 2)], schema)
-    assert {(r.experiment_id, r.status, r.seq) for r in X.saved(local, remote).collect()} == {("a", "COMPLETED", 2), ("c", "COMPLETED", 2), ("d", "COMPLETED", 1), ("e", "FAILED", 1), ("f", "PENDING", 1)}
+    local = spark.createDataFrame([("c", "pending", 1), ("d", "completed", 1), ("e", "failed", 1), ("f", "pending", 1)], schema)
+    remote = spark.createDataFrame([("a", "completed", 2), ("b", "failed", 2), ("c", "completed", 2), ("d", "completed", 2), ("e", "pending", 2)], schema)
+    assert {(r.experiment_id, r.status, r.seq) for r in X.saved(local, remote).collect()} == {("a", "completed", 2), ("c", "completed", 2), ("d", "completed", 1), ("e", "failed", 1), ("f", "pending", 1)}
     assert {(r.experiment_id, r.seq, r.origin) for r in X.loaded(local, remote).collect()} == {("a", 2, "new"), ("b", 2, "new"), ("c", 2, "updated"), ("d", 2, "updated"), ("e", 2, "updated"), ("f", 1, "current")}
     ids = lambda df: {r.experiment_id for r in df.collect()}
     assert ids(X.eligible(local, remote.where("experiment_id = 'c'"))) == {"d", "e", "f"} and ids(X.eligible(local, remote, local.where("experiment_id = 'c'"), force=True)) == {"c"}
 
 
-def test_result_documents(spark, tmp_path):
-    rows = spark.createDataFrame([("b", "PENDING", 1), ("a", "COMPLETED", None)], "experiment_id string, status string, seq int")
-    X.write_results(rows, str(tmp_path / "r"))
-    doc = json.loads("".join(r.value for r in spark.read.option("wholetext", True).text(str(tmp_path / "r")).collect()))
-    assert [r["experiment_id"] for r in doc["results"]] == ["a", "b"] and doc["summary"] == {"total_experiments": 2, "completed": 1, "pending": 1, "failed": 0}
-    assert sorted(X.read_results(rows, str(tmp_path / "r")).collect()) == sorted(rows.collect())
-    X.write_csv(rows.withColumn("val_acc", F.lit(None).cast("double")), str(tmp_path / "c"))
-    head = "experiment_id augmentations original_samples augmented_samples versions_per_video train_acc val_acc test_acc best_val_acc train_loss val_loss test_loss training_time_s status"
-    assert spark.read.option("header", True).csv(str(tmp_path / "c")).columns == head.split()
-    full = spark.createDataFrame([("x", ["flip", "blur"], 7, 175, 25, 66.666, None, 0.125, 1.005, 0.00005, 12.5, "PENDING"), ("y", [], 1, 1, 1, *[None] * 6, "FAILED")], "experiment_id string, augmentations array<string>, original_train_count int, augmented_train_count int, versions_per_video int, train_acc double, val_acc double, test_acc double, best_val_acc double, train_loss double, training_time_seconds double, status string")
-    shown = {r.experiment_id: tuple(r)[1:] for r in X.csv_rows(full).collect()}
-    assert shown["x"] == ("flip+blur", "7", "175", "25", "66.67", "", "0.12", "1.00", "0.0001", "", "", "12", "PENDING") and shown["y"] == ("none", "1", "1", "1", *[""] * 8, "FAILED")
+def test_result_documents_byte_for_byte(spark, tmp_path):
+    """Rows worked by hand: what isn't known is null in JSON and empty in CSV."""
+    kinds = "experiment_id string, augmentations array<string>, augmentation_description string, original_train_count int, augmented_train_count int, train_acc double, val_acc double, test_acc double, best_val_acc double, train_loss double, training_time_seconds double, status string, error_message string, seq int"
+    rows = [("x", ["flip", "blur"], "Flip + Blur", 7, 175, 66.666, None, 0.125, 1.005, 0.00005, 12.5, "completed", None, 1), ("a,b", [], 'says "no"', 0, 0, *[None] * 6, "failed", "h\u00e9, out", 2)]
+    df = spark.createDataFrame(rows, kinds).repartition(2)
+    X.write_results(df, str(tmp_path / "r.json"), order="seq")
+    result = """    {
+      "experiment_id": "%s",
+      "augmentations": %s,
+      "augmentation_description": "%s",
+      "original_train_count": %s,
+      "augmented_train_count": %s,
+      "versions_per_video": 25,
+      "train_acc": %s,
+      "val_acc": null,
+      "test_acc": %s,
+      "train_loss": %s,
+      "val_loss": null,
+      "test_loss": null,
+      "best_val_acc": %s,
+      "training_time_seconds": %s,
+      "status": "%s",
+      "error_message": %s,
+      "model_path": null,
+      "dataset_path": null
+    }"""
+    one = result % ("x", '[\n        "flip",\n        "blur"\n      ]', "Flip + Blur", 7, 175, 66.666, 0.125, "5e-05", 1.005, 12.5, "completed", "null")
+    two = result % ("a,b", "[]", 'says \\"no\\"', 0, 0, *["null"] * 5, "failed", '"h\\u00e9, out"')
+    tail = """{
+    "total_experiments": 2,
+    "completed": 1,
+    "pending": 0,
+    "failed": 1
+  }"""
+    assert (tmp_path / "r.json").read_text() == f'{{\n  "results": [\n{one},\n{two}\n  ],\n  "summary": {tail}\n}}'
+    X.write_csv(df, str(tmp_path / "r.csv"), order="seq")
+    head = "experiment_id,augmentations,original_samples,augmented_samples,versions_per_video,train_acc,val_acc,test_acc,best_val_acc,train_loss,val_loss,test_loss,training_time_s,status"
+    # without the column of versions its field is empty; halves go to the even digit, 1.005 is a little less than it says
+    assert (tmp_path / "r.csv").read_bytes().decode() == f'{head}\r\nx,flip+blur,7,175,,66.67,,0.12,1.00,0.0001,,,12,completed\r\n"a,b",none,0,0,,,,,,,,,,failed\r\n'
+    back = X.read_results(df, str(tmp_path / "r.json"))
+    assert back.columns == df.columns[:-1] and sorted(back.collect(), key=str) == sorted(df.drop("seq").collect(), key=str)
+    # a document that another program wrote, with fields that this one doesn't know
+    (tmp_path / "o.json").write_text(json.dumps({"results": [{"experiment_id": "r", "status": "completed", "val_acc": 70.0, "new": 1}, {"experiment_id": "x", "status": "completed", "val_acc": 1.0}], "summary": {}}, indent=2))
+    few = df.select("experiment_id", "status", "val_acc")
+    kept = {r.experiment_id: r.val_acc for r in X.saved(few, X.read_results(few, str(tmp_path / "o.json"))).collect()}
+    assert kept == {"x": None, "a,b": None, "r": 70.0}
+    assert X.status_summary(X.read_results(few, str(tmp_path / "o.json"))).first().completed == 2
+
+
+def test_inference_reports(spark):
+    """All fields, null where there is nothing to say, and a clip a clip of the primary track that could be read."""
+    rows = [(1, "b_clip_002.mp4", [0.25, 0.75]), (1, "a_clip_001.mp4", [0.5, 0.5]), (1, "c.mp4", None), (2, "d.mp4", [1.0, 0.0])]
+    clips = spark.createDataFrame(rows, "track int, name string, probability_vector array<double>")
+    names = F.create_map(F.lit(0), F.lit("zero"), F.lit(1), F.lit("one"))
+    done = clips.withColumn("predicted_label", P.label_of(F.array_position("probability_vector", F.array_max("probability_vector")).cast("int") - 1, names)).withColumn("confidence", F.array_max("probability_vector") * 100)
+    report = P.full_report(done, "track", names, "name", "v.mp4", "m")
+    assert json.loads(P.report_document(report).first().json) == {
+        "video": "v.mp4", "model_dir": "m", "total_runners_detected": 2, "primary_track_id": 1, "primary_track_selection_reason": "most_clips", "num_clips": 2, "predicted_label": "one", "confidence": 62.5,
+        "mean_probabilities": {"zero": 37.5, "one": 62.5},
+        "per_clip": [{"clip": "a_clip_001.mp4", "predicted_label": "zero", "confidence": 50.0, "probabilities": {"zero": 50.0, "one": 50.0}}, {"clip": "b_clip_002.mp4", "predicted_label": "one", "confidence": 75.0, "probabilities": {"zero": 25.0, "one": 75.0}}],
+    }
+    none = dict.fromkeys(("primary_track_id", "primary_track_selection_reason", "predicted_label", "confidence", "mean_probabilities"))
+    assert json.loads(P.report_document(P.full_report(done.limit(0), "track", names, "name", "v.mp4", "m")).first().json) == {"video": "v.mp4", "model_dir": "m", "total_runners_detected": 0, "num_clips": 0, "per_clip": []} | none
+    failed = P.full_report(done.withColumn("probability_vector", F.lit(None).cast("array<double>")), "track", names, "name", "v.mp4", "m")
+    assert json.loads(P.report_document(failed).first().json) == {"video": "v.mp4", "model_dir": "m", "total_runners_detected": 2, "num_clips": 0, "per_clip": []} | none | {"primary_track_id": 1, "primary_track_selection_reason": "most_clips"}
+
+
+def test_a_log_of_runs_loses_nothing(spark, tmp_path):
+    """Writers and compactions at once; the state is that of a plain loop over all events."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from motionframe.streaming import runlog
+
+    log, rng = str(tmp_path / "log"), random.Random(3)
+    kinds = "experiment_id string, op string, at timestamp, seq bigint, status string, val_acc double"
+    import datetime
+
+    day = lambda k: datetime.datetime(2025, 1, 1, tzinfo=datetime.UTC) + datetime.timedelta(days=k)
+    every = {f"w{w}-{b}": [(f"e{rng.randrange(12)}", "reset" if rng.random() < 0.15 else "put", day(rng.randrange(5)), 100 * b + k, rng.choice(["completed", "failed", "augmented", None]), float(rng.randrange(99))) for k in range(15)] for w in range(3) for b in range(3)}
+    assert runlog.results(spark, log).count() == 0 and runlog.compact(spark, log) is None
+
+    def work(name):
+        runlog.append(spark.createDataFrame(every[name], kinds), log, name[:2])
+        if name.endswith("1"):
+            runlog.compact(spark, log)
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(work, every))
+    state = {}
+    flat = sorted(((e[2], w[:2], e[3], e) for w, rows in every.items() for e in rows), key=lambda x: x[:3])
+    for x in flat:
+        e = x[3]
+        if e[1] == "reset":
+            state.pop(e[0], None)
+        elif e[0] not in state or state[e[0]][4] != "completed" or e[4] == "completed":
+            state[e[0]] = e
+    got = lambda: {r.experiment_id: (r.status, r.val_acc) for r in runlog.results(spark, log).collect()}
+    want = {k: (e[4], e[5]) for k, e in state.items()}
+    assert got() == want
+    runlog.compact(spark, log)
+    assert len(runlog.batches(spark, log)[0]) == 1 and got() == want
+    assert runlog.vacuum(spark, log) >= 9 and got() == want and runlog.vacuum(spark, log) == 0
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "experiment_id string")
+    runlog.append(ids("a", "b"), log, "w0", kind="trained")
+    runlog.append(ids("b"), log, "w1", kind="trained", op="reset")
+    runlog.append(ids("c"), log, "w1", kind="augmented")
+    assert {r[0] for r in runlog.members(spark, log, "trained").collect()} == {"a"} and {r[0] for r in runlog.members(spark, log, "augmented").collect()} == {"c"} and got() == want
+    # an append that dies before its folder is renamed is not there
+    (tmp_path / "log" / "_events-dead").mkdir()
+    assert got() == want
 
 
 def test_files(spark, tmp_path):
@@ -164,8 +262,8 @@ def test_split_documents(spark, tmp_path):
     rows = [("b", "r1", 0, "train"), ("a", "r1", 1, "train"), ("c", "r2", 0, "val")]
     split = spark.createDataFrame(rows, "path string, runner_id string, label int, split string")
     files.write_split(split, str(tmp_path / "s"))
-    doc = json.loads("".join(r.value for r in spark.read.option("wholetext", True).text(str(tmp_path / "s")).collect()))
-    assert doc["train"] == ["a", "b"] and doc["metadata"]["train_label_counts"] == {"0": 1, "1": 1} and doc["metadata"]["total_test"] == 0
+    doc = json.loads((tmp_path / "s").read_text())
+    assert doc["train"] == ["a", "b"] and doc["metadata"]["train_label_counts"] == {"0": 1, "1": 1} and doc["metadata"]["total_test"] == 0 and doc["metadata"]["test_label_counts"] == {}
     assert {(r.split, r.place, r.path) for r in files.read_split(spark, str(tmp_path / "s")).collect()} == {("train", 0, "a"), ("train", 1, "b"), ("val", 0, "c")}
     (tmp_path / "lacks.json").write_text('{"train": ["a"]}')
     assert files.read_split(spark, str(tmp_path / "lacks.json")).count() == 1
@@ -223,11 +321,15 @@ def test_videos_that_fail_are_rows(spark, tmp_path):
 
 
 def test_ranks_and_phases(spark):
-    rows = spark.createDataFrame([("a", "COMPLETED", 50.0, 1), ("b", "COMPLETED", None, 2), ("c", "PENDING", 70.0, 3), ("d", "COMPLETED", 50.0, 4), ("e", "COMPLETED", 99.5, 5)], "experiment_id string, status string, val_acc double, seq int")
+    rows = spark.createDataFrame([("a", "completed", 50.0, 1), ("b", "completed", None, 2), ("c", "pending", 70.0, 3), ("d", "completed", 50.0, 4), ("e", "completed", 99.5, 5)], "experiment_id string, status string, val_acc double, seq int")
     assert [r.experiment_id for r in X.ranked(rows).orderBy("rank").collect()] == ["e", "a", "d", "b"]
     outcomes = spark.createDataFrame([("a", None, 60.0), ("c", "out of memory", None), ("x", None, 1.0)], "experiment_id string, error_message string, val_acc double")
     got = {r.experiment_id: (r.status, r.val_acc) for r in X.after_phase(rows, outcomes).collect()}
-    assert got == {"a": ("COMPLETED", 60.0), "b": ("COMPLETED", None), "c": ("FAILED", 70.0), "d": ("COMPLETED", 50.0), "e": ("COMPLETED", 99.5)}
+    assert got == {"a": ("completed", 60.0), "b": ("completed", None), "c": ("failed", 70.0), "d": ("completed", 50.0), "e": ("completed", 99.5)}
+    made = spark.createDataFrame([("c", None, "d/c"), ("d", "disk", None)], "experiment_id string, error_message string, dataset_path string")
+    wide = rows.withColumn("dataset_path", F.lit(None).cast("string")).withColumn("error_message", F.lit(None).cast("string"))
+    told = {r.experiment_id: (r.status, r.dataset_path, r.error_message) for r in X.after_phase(wide, made, X.AUGMENTING).collect()}
+    assert told["c"] == ("augmented", "d/c", None) and told["d"] == ("failed", None, "disk") and told["a"] == ("completed", None, None)
     assert {r[0] for r in X.remaining(rows, rows.where("seq < 3")).collect()} == {"c", "d", "e"}
     report = spark.createDataFrame([(2, "x", 0.5)], "tracks int, predicted_label string, confidence double")
     assert json.loads(P.report_document(report, video="v.mp4").first().json) == {"video": "v.mp4", "tracks": 2, "predicted_label": "x", "confidence": 0.5}
