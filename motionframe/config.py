@@ -71,6 +71,22 @@ class AugmentConfig:
     cutout_ratio: float = CUTOUT_RATIO
 
 
+@dataclass(frozen=True)
+class RuntimeConfig:
+    """What is drawn for each clip while a network is trained."""
+
+    flip: float = 0.5
+    brightness: float = 0.25
+    contrast: float = 0.25
+    scale: tuple[float, float] = (0.9, 1.1)
+    blur: float = 0.3
+    blur_sigma: tuple[float, float] = (0.1, 1.0)
+    rotation: float = 0.3
+    degrees: float = 5.0
+    cutout: float = 0.3
+    cutout_ratio: float = CUTOUT_RATIO
+
+
 def selective(kinds: list[str], versions: int = VERSIONS) -> AugmentConfig:
     """Only the named kinds, at their standard probability; names are matched without case, unknown ones warned of."""
     import warnings

@@ -1,8 +1,8 @@
 """Pixel kernels on frames of height x width x channels, and the UDF boundary around them.
 
 A frame is a row with height, width, channels and pixels (bytes, row by row).
-Kernels are NumPy functions of one frame; warps that interpolate, codecs and
-networks stay outside, as functions that a caller brings.
+Kernels are NumPy functions of one frame; codecs and networks stay outside, as
+functions that a caller brings.
 """
 
 from __future__ import annotations
@@ -17,6 +17,15 @@ from pyspark.sql import DataFrame
 LUMA = (0.299, 0.587, 0.114)
 
 
+def framed(pixels, height: int | None, width: int | None, channels: int | None) -> np.ndarray | None:
+    """A frame from an Arrow value or bytes, without a copy; None if they don't fit the shape."""
+    raw = pixels.as_buffer() if isinstance(pixels, pa.Scalar) else pixels
+    shape = (height, width, channels)
+    if raw is None or None in shape or min(shape) <= 0 or len(memoryview(raw)) != int(np.prod(shape)):
+        return None
+    return np.frombuffer(raw, np.uint8).reshape(shape)
+
+
 def grayscale(frame: np.ndarray) -> np.ndarray:
     """Luma in all three channels; halves round up."""
     luma = np.floor(frame[..., :3].astype(np.float64) @ np.array(LUMA) + 0.5).clip(0, 255).astype(np.uint8)
@@ -109,6 +118,120 @@ def padded_crop(frame: np.ndarray, x1: int, y1: int, x2: int, y2: int) -> np.nda
     return out
 
 
+def mirrored(at: np.ndarray, n: int) -> np.ndarray:
+    """Places beyond an edge, mirrored without repeating it."""
+    if n == 1:
+        return np.zeros_like(at)
+    at = np.abs(at) % (2 * n - 2)
+    return np.where(at < n, at, 2 * n - 2 - at)
+
+
+def sampled(frame: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The frame at places between pixels, bilinear in double precision, mirrored beyond its edges; halves round up."""
+    h, w = frame.shape[:2]
+    top, left = np.floor(y).astype(np.int64), np.floor(x).astype(np.int64)
+    dy, dx = (v.reshape(*v.shape, *[1] * (frame.ndim - 2)) for v in (y - top, x - left))
+    at = lambda r, c: frame[mirrored(r, h), mirrored(c, w)].astype(np.float64)
+    out = (at(top, left) * (1 - dx) + at(top, left + 1) * dx) * (1 - dy) + (at(top + 1, left) * (1 - dx) + at(top + 1, left + 1) * dx) * dy
+    return np.floor(out + 0.5).clip(0, 255).astype(np.uint8)
+
+
+def rotated(frame: np.ndarray, degrees: float) -> np.ndarray:
+    """Turned about the middle against the clock; each pixel is looked up where it comes from.  Libraries with weights of fixed point may differ by 1 or 2."""
+    h, w = frame.shape[:2]
+    a, b = np.cos(np.radians(degrees)), np.sin(np.radians(degrees))
+    y, x = np.mgrid[:h, :w].astype(np.float64)
+    y, x = y - h / 2, x - w / 2
+    return sampled(frame, b * x + a * y + h / 2, a * x - b * y + w / 2)
+
+
+def scale_room(height: int, width: int, scale: float) -> tuple[int, int]:
+    """How far a crop of the frame's size may be moved in the scaled frame; a frame that isn't higher has none in either way."""
+    more = int(height * scale) - height
+    return (more, int(width * scale) - width) if more > 0 else (0, 0)
+
+
+def scaled_crop(frame: np.ndarray, scale: float, top: int = 0, left: int = 0) -> np.ndarray:
+    """Scaled, then cut to its size from (top, left), or brought back to it if it has become smaller."""
+    h, w = frame.shape[:2]
+    new_h, new_w = int(h * scale), int(w * scale)
+    if new_h <= 0 or new_w <= 0:
+        raise ValueError(f"nothing is left of {h} x {w} at {scale}")
+    big = resized(frame, new_h, new_w)
+    return big[top : top + h, left : left + w] if new_h >= h and new_w >= w else resized(big, h, w)
+
+
+def placed(share: float, room: int) -> int:
+    """A place from 0 up to room from a share below 1, each as likely."""
+    return min(int(share * (room + 1)), room)
+
+
+#: In which order the kinds are applied when versions are made, and when a network is trained.
+ORDERS = {"offline": ("flip", "brightness_contrast", "blur", "rotation", "scale", "cutout"), "runtime": ("flip", "brightness_contrast", "scale", "blur", "rotation", "cutout")}
+#: The parameters of a kind; a kind is applied if its first isn't null.
+OF_KIND = {"flip": ("flip",), "brightness_contrast": ("brightness", "contrast"), "blur": ("blur_sigma",), "rotation": ("rotation",), "scale": ("scale", "scale_top", "scale_left"), "cutout": ("cutout_top", "cutout_left")}
+PARAMETERS = tuple(p for ps in OF_KIND.values() for p in ps)
+
+
+def compiled(row: tuple, order: str, ratio: float) -> list[Callable[[np.ndarray], np.ndarray]]:
+    """The kernels that a row of PARAMETERS applies, in the order of that name, after grey.
+
+    When training, places are drawn over whole pixels, edges included; when
+    versions are made, they are cut from shares.  A scaled frame's place is
+    a share of the room (0 where it isn't given).
+    """
+    p = dict(zip(PARAMETERS, row, strict=True))
+
+    def scaled(frame: np.ndarray) -> np.ndarray:
+        room = scale_room(*frame.shape[:2], p["scale"])
+        return scaled_crop(frame, p["scale"], *(placed(p[k] or 0.0, max(r, 0)) for k, r in zip(("scale_top", "scale_left"), room, strict=True)))
+
+    def cut(frame: np.ndarray) -> np.ndarray:
+        if order == "offline":
+            return cutout(frame, p["cutout_top"], p["cutout_left"] or 0.0, ratio)
+        (h, w), out = frame.shape[:2], frame.copy()
+        dy, dx = int(h * ratio**0.5), int(w * ratio**0.5)
+        y, x = placed(p["cutout_top"], h - dy), placed(p["cutout_left"] or 0.0, w - dx)
+        out[y : y + dy, x : x + dx] = 128
+        return out
+
+    steps = {
+        "flip": flip, "brightness_contrast": lambda f: brightness_contrast(f, p["brightness"] or 0.0, p["contrast"] or 0.0), "blur": lambda f: blur(f, p["blur_sigma"]),
+        "rotation": lambda f: rotated(f, p["rotation"]), "scale": scaled, "cutout": cut,
+    }
+    on = {k: any(p[x] for x in OF_KIND[k]) if k in ("flip", "brightness_contrast") else p[OF_KIND[k][0]] is not None for k in steps}
+    return [grayscale, *(steps[k] for k in ORDERS[order] if on[k])]
+
+
+def augmented_frames(frames: DataFrame, order: str = "offline", ratio: float = 0.15) -> DataFrame:
+    """frames(height, width, channels, pixels and PARAMETERS, null ones or none at all) after the kernels of their parameters.
+
+    Frames of a clip carry the same parameters, so all have the same draws.
+    A row's plan is compiled once and kept while rows have its parameters.  A
+    null frame, or one whose bytes don't fit its shape, is null.
+    """
+    names, there = frames.columns, [p for p in PARAMETERS if p in frames.columns]
+    if order not in ORDERS:
+        raise ValueError(f"no order {order}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, plan = None, []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one = batch.slice(k, 1)
+                row = tuple(one.column(p)[0].as_py() if p in there else None for p in PARAMETERS)
+                if row != last:
+                    last, plan = row, compiled(row, order, ratio)
+                frame = framed(one.column("pixels")[0], *(one.column(n)[0].as_py() for n in ("height", "width", "channels")))
+                for step in plan if frame is not None else ():
+                    frame = step(frame)
+                new = [None] * 4 if frame is None else [np.ascontiguousarray(frame).tobytes(), *frame.shape]
+                made = {n: pa.array([v], one.schema.field(n).type) for n, v in zip(("pixels", "height", "width", "channels"), new, strict=True)}
+                yield pa.RecordBatch.from_arrays([made.get(n, one.column(n)) for n in names], schema=one.schema)
+
+    return frames.mapInArrow(run, frames.schema)
+
+
 # Mean and deviation of the channels that image models were trained with.
 CHANNEL_MEAN = (0.485, 0.456, 0.406)
 CHANNEL_SD = (0.229, 0.224, 0.225)

@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from ..config import PRESET_NAMES, STANDARD, AugmentConfig, preset_config, preset_kinds
+from ..config import PRESET_NAMES, STANDARD, AugmentConfig, RuntimeConfig, preset_config, preset_kinds
 from ..functions.scalars import file_name, hash32, stem, uniform
 from ..sources.files import parts_document
 from .catalog import augmented_name, below, without_version
@@ -40,6 +41,28 @@ def params_native(expanded: DataFrame, c: AugmentConfig, video: str = "stem") ->
     return expanded.withColumns(out)
 
 
+def runtime_params(clips: DataFrame, c: RuntimeConfig, key: str = "stem", epoch: int | Column = 0) -> DataFrame:
+    """clips with flip, PARAMS, scale_top, scale_left and offset: what training draws for a clip in an epoch, null where a kind isn't applied.
+
+    Brightness, contrast and scale are always drawn, unless their range is a
+    point.  Draws are hashes of clip, epoch and slot, so all frames of a clip
+    share them and a rerun has the same.  `offset` is the share by which
+    sampled_frames() moves a clip.
+    """
+    e = F.lit(epoch).cast("string") if isinstance(epoch, int) else epoch.cast("string")
+    u = lambda slot: uniform(F.col(key), e, F.lit(slot))
+    span = lambda slot, lo, hi: F.lit(lo) + (hi - lo) * u(slot)
+    none = F.lit(None).cast("double")
+    either = c.brightness > 0 or c.contrast > 0
+    moved = c.scale != (1.0, 1.0)
+    return clips.withColumns({
+        "flip": u("on:flip") < c.flip, "brightness": span("brightness", -c.brightness, c.brightness) if either else none, "contrast": span("contrast", -c.contrast, c.contrast) if either else none,
+        "blur_sigma": F.when(u("on:blur") < c.blur, span("blur_sigma", *c.blur_sigma)), "rotation": F.when(u("on:rotation") < c.rotation, span("rotation", -c.degrees, c.degrees)),
+        "scale": span("scale", *c.scale) if moved else none, "cutout_top": F.when(u("on:cutout") < c.cutout, u("cutout_top")), "cutout_left": F.when(u("on:cutout") < c.cutout, u("cutout_left")),
+        "scale_top": u("scale_top") if moved else none, "scale_left": u("scale_left") if moved else none, "offset": u("offset"),
+    })
+
+
 def drawn(video: str, version: int, c: AugmentConfig) -> dict:
     """The draws of random.Random, seeded by the hash of video and version; a parameter is drawn only if its kind is applied."""
     import hashlib
@@ -68,8 +91,8 @@ def params_exact(expanded: DataFrame, c: AugmentConfig, video: str = "stem") ->
             new = {"flip": pa.array([r["flip"] for r in rows], pa.bool_())} | {p: pa.array([r[p] for r in rows], pa.float64()) for p in PARAMS}
             yield pa.RecordBatch.from_arrays([*batch.columns, *new.values()], [*names, *new])
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in expanded.schema)
-    return expanded.mapInArrow(run, ddl + ", flip boolean, " + ", ".join(f"{p} double" for p in PARAMS))
+    drawn_ = [StructField("flip", BooleanType()), *(StructField(p, DoubleType()) for p in PARAMS)]
+    return expanded.mapInArrow(run, StructType([*expanded.schema, *drawn_]))
 
 
 def described() -> Column:

@@ -6,6 +6,7 @@ Every operator takes detections as DataFrames and works on windows over
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -196,24 +197,41 @@ def carried(detections: DataFrame, c: CropConfig) -> DataFrame:
     })
 
 
+#: Places of a mean that one product of weights gives; powers of 1 - alpha beyond them would vanish.
+BLOCK = 64
+
+
+def running_mean(x: np.ndarray, alpha: float, start: float | None = None) -> np.ndarray:
+    """The exponential mean at each place, which begins with the first value, or goes on from start."""
+    out = np.empty(len(x))
+    if not len(x):
+        return out
+    at = np.arange(min(BLOCK, len(x)))
+    fall = (1 - alpha) ** np.maximum(at[:, None] - at, 0)
+    weights = np.where(at[:, None] >= at, alpha * fall, 0.0)
+    mean = x[0] if start is None else start  # a mean that begins with a value is moved by it nowhere
+    for k in range(0, len(x), BLOCK):
+        part = x[k : k + BLOCK]
+        n = len(part)
+        out[k : k + n] = weights[:n, :n] @ part + fall[:n, 0] * (1 - alpha) * mean
+        mean = out[k + n - 1]
+    return out
+
+
 def exponential_mean(detections: DataFrame, c: CropConfig) -> DataFrame:
     """(video_id, track_id, frame_idx, sx, sy) of frames without detection: a mean that only such frames move.
 
-    It recurs, so each track's frames, which its length bounds, are gone through once in order.
+    It recurs, so each track's frames, which its length bounds, are in one
+    task, in the order of frame_idx and det_seq; rows of one place come in any.
     """
-    lost = carried(detections, c).where("not seen").select(*KEY, "frame_idx", "cx", "cy")
+    lost = carried(detections, c).where("not seen").select(*KEY, "frame_idx", "det_seq", "cx", "cy")
 
     def run(track: pa.Table) -> pa.Table:
-        track = track.sort_by("frame_idx")
-        out = {}
-        for old, new in (("cx", "sx"), ("cy", "sy")):
-            out[new], mean = [], None
-            for x in track[old].to_pylist():
-                mean = x if mean is None else c.alpha * x + (1 - c.alpha) * mean
-                out[new].append(mean)
-        return pa.table({**{k: track[k] for k in (*KEY, "frame_idx")}, **{k: pa.array(v, pa.float64()) for k, v in out.items()}})
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lost.schema if f.name not in ("cx", "cy"))
+        track = track.sort_by([("frame_idx", "ascending"), ("det_seq", "ascending")])
+        means = {new: pa.array(running_mean(track[old].to_numpy(), c.alpha)) for old, new in (("cx", "sx"), ("cy", "sy"))}
+        return pa.table({k: track[k] for k in (*KEY, "frame_idx")} | means)
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lost.schema if f.name not in ("det_seq", "cx", "cy"))
     return lost.groupBy(*KEY).applyInArrow(run, kinds + ", sx double, sy double")
 
 
