@@ -5,11 +5,12 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,28 @@ def named(name: str, of: str = "") -> Column:
     return F.col(f"{of}.{quoted}" if of else quoted).alias(name)
 
 
+def beside(df: DataFrame, column: str, fields: StructType, make: Callable[[Iterator[pa.Array]], Iterator[list[pa.Array]]], most: int = 1 << 20, instead: tuple[str, ...] = ()) -> DataFrame:
+    """df, less the columns `instead`, with fields, whose arrays `make` gives for each array of the column's values.
+
+    Other columns go along in a struct, so they may have any names.
+    """
+    names = [c for c in df.columns if c not in instead]
+    kept = StructType([df.schema[n] for n in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+
+        def values() -> Iterator[pa.Array]:
+            for part in slices(batches, most):
+                held.append(part.column(0).flatten())
+                yield part.column(1)
+
+        for made in make(values()):
+            yield pa.RecordBatch.from_arrays([*held.pop(), *made], [*names, *fields.names])
+
+    return df.select(F.struct(*map(named, names)).alias("row"), named(column)).mapInArrow(run, StructType([*kept, *fields]))
+
+
 def slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in slices of about `most` bytes, one row at least, so that long texts don't pile up."""
     for batch in batches:

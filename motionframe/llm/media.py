@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
-from .frames import slices
+from .frames import beside, slices
 
 #: Bytes of one stored sample: a frame of so many 8-bit PCM values.
 FRAME = 64
@@ -201,12 +202,11 @@ def probe(files: DataFrame, media_col: str = "media", payload: bool = False) ->
     ddl = "codec string, timescale bigint, duration_s double, n_samples bigint, keyframe_ranges array<struct<start:bigint,end:bigint>>"
     if payload:
         new, ddl = new | {"payload": pa.binary()}, ddl + ", payload binary"
-    base = files.drop(*(c for c in new if c != media_col))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2 << 20):
+    def run(stored: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
+        for part in stored:
             rows = []
-            for file in batch.column(batch.schema.get_field_index(media_col)).to_pylist():
+            for file in part.to_pylist():
                 track = None if file is None else read(file)
                 if track is None:
                     rows.append(dict.fromkeys(new))
@@ -217,6 +217,6 @@ def probe(files: DataFrame, media_col: str = "media", payload: bool = False) ->
                     "codec": track["codec"], "timescale": track["timescale"], "duration_s": track["ticks"] / track["timescale"] if track["timescale"] else None,
                     "n_samples": len(track["starts"]), "keyframe_ranges": [{"start": a, "end": b} for a, b in zip(begin.tolist(), end.tolist(), strict=True)],
                 } | ({"payload": payload_of(file, track)} if payload else {}))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([r[c] for r in rows], kind) for c, kind in new.items())], [*batch.schema.names, *new])
+            yield [pa.array([r[c] for r in rows], kind) for c, kind in new.items()]
 
-    return base.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema] + [ddl]))
+    return beside(files, media_col, _parse_datatype_string(ddl), run, most=2 << 20, instead=tuple(c for c in new if c != media_col))

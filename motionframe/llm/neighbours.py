@@ -46,6 +46,8 @@ class Params:
     expand: int = 48  # nodes of a query that are expanded in a round
     search_rounds: int = 10
     query_block: int = 256
+    apart: int = 256  # at most so many vectors are scored beside the graph,
+    longer: float = 1e6  # those so many times longer than the longest in it
 
 
 #: Bits of a node's number in its block, and of a part's number in its cell.
@@ -416,10 +418,11 @@ def sent(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(key: tuple, table: pa.Table) -> pa.Table:
         rows = heard(table)
         wanted, out = of_kind(rows, WANT), []
-        for b in sorted({int(r["links"][0]) for r in wanted}):
-            nodes = np.unique(np.concatenate([r["nodes"] for r in wanted if r["links"][0] == b]))
+        if wanted:
             own = of_kind(rows, STATE)[0]
-            out.append({"dest": b, "kind": VECTORS, "nodes": nodes, **some(own, nodes & INDEX)})
+            for b, k in parts(np.array([int(r["links"][0]) for r in wanted])):
+                nodes = np.unique(np.concatenate([wanted[i]["nodes"] for i in k.tolist()]))
+                out.append({"dest": b, "kind": VECTORS, "nodes": nodes, **some(own, nodes & INDEX)})
         return told(out)
 
     return blocks.unionByName(wanted).groupBy("dest").applyInArrow(run, MESSAGE)
@@ -481,6 +484,22 @@ def search(queries: DataFrame, state: DataFrame, entries: np.ndarray, p: Params)
     return now.select("id", "cand", "sims")
 
 
+def beside(queries: DataFrame, ids: np.ndarray, x: np.ndarray, most: int) -> DataFrame:
+    """(id, node): of each of queries(id, raw) the `most` of the few vectors x, named ids, with the largest inner product; all pairs are scored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q = batch.column("raw").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            for a in range(0, len(q), 256):
+                part = q[a : a + 256]
+                # by each side's own size: products of very long vectors are beyond doubles
+                score = (part / np.abs(part).max(1, keepdims=True)) @ x.T
+                near = np.argsort(-score, axis=1, kind="stable")[:, :most]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("id").to_numpy()[a : a + 256], near.shape[1])), pa.array(ids[near].ravel())], ["id", "node"])
+
+    return queries.select("id", "raw").mapInArrow(run, "id bigint, node bigint")
+
+
 def nearest(base: DataFrame, queries: DataFrame, k: int = 20, params: Params | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id_col, score): up to k rows of base with the largest inner product with each query, as found.
 
@@ -489,7 +508,9 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, params: Params | N
     from the first component to the last; ties go to the smaller id.  Rows whose
     id or vector is null, or whose vector is zero or holds null or non-finite
     components, take no part; of vectors of several lengths the shorter ones count
-    as filled up with zeros.  Of repeated ids each vector counts.
+    as filled up with zeros.  Of repeated ids each vector counts.  Vectors far
+    longer than all others, at most `apart` of them, are scored against every
+    query beside the graph; a query's own length doesn't matter.
     """
     p = params or Params()
     tidy = lambda df: df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("raw")).where(F.col("id").isNotNull() & usable(F.col("raw")))
@@ -498,12 +519,16 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, params: Params | N
     wide = max(base.agg(size).first()[0] or 0, asked.agg(size).first()[0] or 0)
     filled = lambda df: df.withColumn("raw", F.concat("raw", F.array_repeat(F.lit(0.0), F.lit(wide) - F.size("raw"))))
     base, asked = filled(base), filled(asked)
-    largest = base.agg(F.max(F.array_max(F.transform("raw", F.abs)))).first()[0]
-    if largest is None:
+    size = F.array_max(F.transform("raw", F.abs))
+    node = written(base.groupBy("raw").agg(F.min("id").alias("id")).select("id", "raw", size.alias("size")))
+    # a few vectors far longer than all others would leave these no bits: they don't go into the graph
+    first = node.orderBy(F.desc("size"), "id").limit(p.apart + 1).select("id", "size", "raw").collect()  # `apart` bounds it
+    if not first:
         return asked.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias(id_col), F.lit(0.0).alias("score")).limit(0)
+    largest = next((r["size"] for r, before in zip(first[:0:-1], first[-2::-1], strict=True) if before["size"] > p.longer * r["size"]), first[0]["size"])
+    long = [r for r in first if r["size"] > largest]
     scaled = lambda by: F.transform("raw", lambda x: (x / by).cast("float")).alias("vec")
-    node = base.groupBy("raw").agg(F.min("id").alias("id")).select("id", "raw", scaled(largest))
-    node = written(node)
+    node = node.where(F.col("size") <= largest).select("id", "raw", scaled(F.lit(largest)))
     length = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
     n, top = node.agg(F.count("*"), F.max(length)).first()
     drawn = node.orderBy(F.xxhash64("raw"), "id").limit(p.sample).select("vec").toArrow()["vec"].combine_chunks()  # `sample` bounds it
@@ -515,12 +540,19 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, params: Params | N
     entries = np.unique([r[0] for order in by for r in node.orderBy(order, "id").limit(p.entries).select("node").collect()])  # `entries` bounds it
     # a query's scale doesn't change its order
     own = asked.join(node.select("raw", F.col("node").alias("own")), "raw", "left").withColumn("query_id", F.col("id")).withColumn("id", F.monotonically_increasing_id())
-    query = written(own.select("id", "query_id", "own", "raw", scaled(F.greatest(F.lit(largest), F.array_max(F.transform("raw", F.abs))))))
+    query = written(own.select("id", "query_id", "own", "raw", scaled(size)))
     count = query.count()
     like = dealt(query.select("id", "own", "vec"), sample, count, p.query_block, 0)
     hits = search(like.select((-1 - F.col("p")).alias("b"), "id", "own", "vec"), state, entries, p)
     # vectors close to the last place may change places in double precision; the rest of the beam can't
     near = hits.select("id", F.explode(F.slice("cand", 1, 4 * (k + 1))).alias("node"))
+    node = node.select("raw", "node")
+    if long:
+        x = np.array([r["raw"] for r in long])
+        names = -1 - np.arange(len(long))
+        near = near.unionByName(beside(query, names, x / np.abs(x).max(), 4 * (k + 1)))
+        named = asked.sparkSession.createDataFrame([(r["raw"], int(i)) for r, i in zip(long, names, strict=True)], "raw array<double>, node bigint")
+        node = node.unionByName(named)
     dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     scored = near.join(query.select("id", "query_id", F.col("raw").alias("a")), "id").join(node.select("node", F.col("raw").alias("b")), "node").select("id", "query_id", "node", dot.alias("score"))
     best = Window.partitionBy("id").orderBy(F.desc("score"), "node")

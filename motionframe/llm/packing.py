@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import slices, written
+from .frames import named, slices, written
 from .pretokens import Encoder
 
 
@@ -199,22 +199,21 @@ def pack(parts: DataFrame, capacity: int = 1024, length_col: str = "length", ord
     Columns named sequence_id and offset are replaced.
     """
     spark = parts.sparkSession
-    parts = parts.drop("sequence_id", "offset")
-    length = F.col(length_col)
-    ok = length.between(1, capacity)
-    counted = parts.withColumn("_len", F.when(ok, length.cast("long")))
+    names = [c for c in parts.columns if c not in ("sequence_id", "offset")]
+    length, keys = named(length_col), [named(c, "_row") for c in order]
+    counted = parts.select(F.struct(*map(named, names)).alias("_row"), F.when(length.between(1, capacity), length.cast("long")).alias("_len"))
     counts = {r[0]: r[1] for r in counted.where("_len is not null").groupBy("_len").count().collect()}
     table = spark.createDataFrame(slots(plan(counts, capacity)), "_len long, _from long, _to long, _seq long, _off long")
     groups = F.broadcast(spark.createDataFrame([(k, -(-n // group)) for k, n in counts.items()], "_len long, _groups long"))  # its rows are bounded by capacity
-    keyed = counted.join(groups, "_len", "left").withColumn("_salt", F.pmod(F.xxhash64(*order), F.coalesce("_groups", F.lit(1)))).drop("_groups")
+    keyed = counted.join(groups, "_len", "left").withColumn("_salt", F.pmod(F.xxhash64(*keys), F.coalesce("_groups", F.lit(1)))).drop("_groups")
     sizes = keyed.where("_len is not null").groupBy("_len", "_salt").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_len").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1))
     firsts = sizes.select("_len", "_salt", F.coalesce(before, F.lit(0)).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_len", "_salt").orderBy(*order)) - 1 + F.col("_before")
+    rank = F.row_number().over(Window.partitionBy("_len", "_salt").orderBy(*keys)) - 1 + F.col("_before")
     ranked = keyed.join(firsts, ["_len", "_salt"], "left").withColumn("_rank", rank)
     hit = (ranked["_len"] == table["_len"]) & (ranked["_rank"] >= table["_from"]) & (ranked["_rank"] < table["_to"])
     placed = ranked.join(F.broadcast(table), hit, "left")  # its rows are bounded by capacity
-    return placed.select(*(parts[c] for c in parts.columns), (F.col("_seq") + F.col("_rank") - F.col("_from")).alias("sequence_id"), F.col("_off").alias("offset"))
+    return placed.select(*(named(c, "_row") for c in names), (F.col("_seq") + F.col("_rank") - F.col("_from")).alias("sequence_id"), F.col("_off").alias("offset"))
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 2, capacity: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

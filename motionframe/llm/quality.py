@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from .frames import slices
+from .frames import beside, slices
 from .words import SPACE_BYTES, Hasher, U, runs, starts_inside
 
 SIGNS = string.punctuation
@@ -179,13 +180,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     Columns of these names are replaced.
     """
-    base = docs.drop("score", "predicted")
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: Iterator[pa.Array]) -> Iterator[list[pa.Array]]:
         hasher = Hasher(lower=True)
-        for batch in slices(batches, 1 << 20):
-            s = model.score(features(batch.column(batch.schema.get_field_index(text_col)), hasher))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*batch.schema.names, "score", "predicted"])
+        for part in texts:
+            s = model.score(features(part, hasher))
+            yield [pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
 
-    return base.mapInArrow(run, ddl + ", score double, predicted int")
+    return beside(docs, text_col, StructType([StructField("score", DoubleType()), StructField("predicted", IntegerType())]), run, instead=("score", "predicted"))
