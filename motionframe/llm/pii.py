@@ -94,6 +94,11 @@ PATTERNS = (
     ("phone", r"(?<![0-9+])\+[0-9]{8,15}(?![0-9])"),
 )
 FINDER = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p) in enumerate(PATTERNS)))
+#: Those of PATTERNS that a text can only match if it has one of these, and all the others, which are looked for alone elsewhere.
+RARE = {"-----BEGIN": "-----begin", "eyJ": "eyj", "(?P<pw>": ("passw", "passphrase", "kennwort", "contrase", "mot de passe", "пароль")}
+_RARE_HINTS = tuple(w for ws in RARE.values() for w in ((ws,) if isinstance(ws, str) else ws))
+_GROUPS = re.compile("[0-9A-Fa-f]:(?::|[0-9A-Fa-f]{1,4}:)")
+USUAL = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p) in enumerate(PATTERNS) if not any(r in p for r in (*RARE, "{1,4}:"))))
 _one_of = lambda words: "|".join(map(re.escape, sorted(words, key=len, reverse=True)))
 _CAPITAL = r"[^\W\d_a-zа-яё]"
 _NAME = rf"(?:{_CAPITAL}['’](?={_CAPITAL}))?{_CAPITAL}[^\W\d_]+(?:[-'’]{_CAPITAL}[^\W\d_]+)?"
@@ -106,10 +111,11 @@ NAMES = re.compile(
     rf"(?<!\w)(?:(?P<title>{_TITLES})\.? {_PART}(?P<t1>{_NAME})(?: {_PART}(?P<t2>{_NAME}))?|(?:{_one_of({*SALUTATIONS, 'DEAR', 'HELLO'})}) (?!(?:{_TITLES})\b)(?P<s1>{_NAME})(?: {_PART}(?P<s2>{_NAME}))?"
     rf"|(?:{_one_of(INTRODUCTIONS)})\s(?!(?:{_TITLES})\b)(?P<i1>{_NAME}) {_PART}(?P<i2>{_NAME})|(?P<k1>{_KNOWN_NAMES}) {_PART}(?P<k2>{_NAME})(?: (?P<k3>{_NAME}))?)"
 )
-#: Without a digit, an @ or the start of a key, a text has no entity but names and passwords; without one of these words, no name.
-HINT = re.compile("[0-9@]|-----BEGIN|(?i:passw|passphrase|kennwort|contrase|mot de passe|пароль)")
+#: Without a digit or an @, a text has no entity but names and RARE ones; without one of these words or phrases, no name.
+HINT = re.compile("[0-9@]")
+_INTRODUCED = ("name is", "name:", "regards,", "sincerely,", "name ist", "grüßen,", "appelle", "cordialement,", "llamo", "atentamente,", "зовут", "λένε")
 _WORD = re.compile(r"[^\W\d_]+")
-_NAME_HINTS = frozenset({w for x in (*_TITLE_OF, *SALUTATIONS, *_KNOWN_OF, *(n.upper() for n in _KNOWN_OF), "DEAR", "HELLO") for w in _WORD.findall(x)} | {w for x in INTRODUCTIONS for w in _WORD.findall(x)[-1:]})
+_NAME_HINTS = frozenset(w for x in (*_TITLE_OF, *SALUTATIONS, *_KNOWN_OF, *(n.upper() for n in _KNOWN_OF), "DEAR", "HELLO") for w in _WORD.findall(x))
 _HEX = re.compile("[0-9a-f]+|[0-9A-F]+")
 _UNWANTED = re.compile("[^0-9A-Za-z]")
 
@@ -274,14 +280,16 @@ def entities_of(text: str) -> list[tuple[str, str, int, int, str]]:
     address isn't part of a name.
     """
     found = []
-    if HINT.search(text):
-        for m in FINDER.finditer(text):
+    low = text.lower()
+    rare = any(w in low for w in _RARE_HINTS) or _GROUPS.search(text)
+    if rare or HINT.search(text):
+        for m in (FINDER if rare else USUAL).finditer(text):
             kind, value = PATTERNS[int(m.lastgroup[1:])][0], m[0]  # the outer group closes last
             if kind == "password":
                 found.append((kind, m["pw"], *m.span("pw"), ""))
             elif kind != "card" or _luhn(_UNWANTED.sub("", value)) == 0:
                 found.append((kind, canonical(kind, value), *m.span(), ""))
-    if not _NAME_HINTS.isdisjoint(_WORD.findall(text)):
+    if not _NAME_HINTS.isdisjoint(_WORD.findall(text)) or any(w in low for w in _INTRODUCED):
         names = [x for m in NAMES.finditer(text) for x in named(m)]
         if names:
             found = sorted(found + names, key=lambda x: x[2])
