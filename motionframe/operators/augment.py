@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,7 +31,8 @@ PARAMS = ["brightness", "contrast", "blur_sigma", "rotation", "scale", "cutout_t
 def params_native(expanded: DataFrame, c: AugmentConfig, video: str = "stem") -> DataFrame:
     """expanded(video, version) with flip and PARAMS, null where a kind isn't applied; draws are hashes of video, version and slot.
 
-    They have the distribution of params_exact, and other values.
+    They have the distribution of params_exact, and other values.  A probability
+    may be a column of expanded too.
     """
     u = lambda slot: uniform(F.col(video), F.col("version").cast("string"), F.lit(slot))
     on = {k: u(f"on:{k}") < p for k, p in c.probability.items()}
@@ -126,6 +128,40 @@ def preset_configs(spark: SparkSession, n: int) -> DataFrame:
     return spark.createDataFrame(rows, "name string, versions int, " + ", ".join(f"{k} double" for k in STANDARD))
 
 
+#: Which parameter tells that a kind is applied.
+_SHOWN = {"brightness_contrast": "brightness", "blur": "blur_sigma", "rotation": "rotation", "scale": "scale", "cutout": "cutout_top"}
+
+
+def preset_params(work: DataFrame, c: AugmentConfig, preset: str = "preset", video: str = "stem") -> DataFrame:
+    """work(video, preset) with version, flip and PARAMS: each video's versions as the preset of that name draws them.
+
+    A name that no preset has, or null, makes no version.
+    """
+    configs = preset_configs(work.sparkSession, c.versions)
+    found = configs.select(F.col("name").alias(preset), "versions", F.struct(*STANDARD).alias("_p"))
+    each = work.join(F.broadcast(found), preset).withColumn("version", F.explode(F.sequence(F.lit(1), F.col("versions"))))  # a row a preset
+    drawn_ = params_native(each, replace(c, probability={k: F.col(f"_p.{k}") for k in STANDARD}), video)
+    return drawn_.select(*work.columns, "version", "flip", *PARAMS)
+
+
+def suite(videos: DataFrame, n: int, names: Sequence[str] = PRESET_NAMES, video: str = "stem") -> DataFrame:
+    """(place, name, versions, made, plain, and a column a kind): what each preset makes of all videos.
+
+    A kind's column counts the versions that it is applied to, plain those without any; no
+    videos give no rows.  A preset has a kind at its standard probability or not at all, so
+    versions are drawn once and counted by the kinds drawn, and presets meet the counts.
+    """
+    drawn_ = params_native(versions(videos.select(video), n), AugmentConfig(versions=n), video)
+    has = {"flip": F.col("flip")} | {k: F.col(p).isNotNull() for k, p in _SHOWN.items()}
+    cells = drawn_.groupBy((F.col("version") == 1).alias("_first"), *(c.alias(k) for k, c in has.items())).agg(F.count("*").alias("_n"))
+    listed = [F.struct(F.lit(i).alias("place"), F.lit(x).alias("name"), F.lit(preset_config(x, n).versions).alias("versions"), F.array(*map(F.lit, preset_kinds(x))).cast("array<string>").alias("kinds")) for i, x in enumerate(names)]
+    each = cells.withColumn("_x", F.explode(F.array(*listed))).where(F.col("_first") | (F.col("_x.versions") > 1))
+    applied = {k: F.col(k) & F.array_contains("_x.kinds", k) for k in STANDARD}
+    total = lambda when: F.sum(F.when(when, F.col("_n")).otherwise(0))
+    none = ~F.greatest(*applied.values())
+    return each.groupBy(*(F.col(f"_x.{c}").alias(c) for c in ("place", "name", "versions"))).agg(F.sum("_n").alias("made"), total(none).alias("plain"), *(total(c).alias(k) for k, c in applied.items()))
+
+
 def planned(split: DataFrame, n: int, prefix: str) -> DataFrame:
     """split(path, split) with train paths replaced by all their versions, whether they are there or not."""
     made = versions(split.where("split = 'train'"), n).withColumn("path", below(prefix, augmented_name(stem(file_name(F.col("path"))), F.col("version")))).drop("version")

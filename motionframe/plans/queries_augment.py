@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import AugmentConfig
+from ..config import PRESET_NAMES, AugmentConfig
 from ..operators import augment as A
 from ..operators.catalog import augmented_name
 from ..sources.views import videos
@@ -36,6 +36,12 @@ def drawn(s, d):
     return A.params_native(A.versions(clips(s, d).select("doc_id", "stem"), N), CONFIG)
 
 
+def assigned(s, d):
+    """Every clip with a preset, in turn."""
+    names = F.array(*map(F.lit, PRESET_NAMES))
+    return clips(s, d).select("doc_id", "stem", F.element_at(names, (F.col("doc_id") % len(PRESET_NAMES)).cast("int") + 1).alias("preset"))
+
+
 def rounded(df):
     return df.withColumns({p: F.round(p, 9) for p in A.PARAMS})
 
@@ -49,6 +55,8 @@ QUERIES = {
     "f4_params_exact": lambda s, d: A.params_exact(A.versions(clips(s, d).select("doc_id", "stem"), N), CONFIG).drop("stem"),
     "f4_presets": lambda s, d: A.presets(s).select("place", "name", F.array_join("augmentations", ",").alias("augmentations"), "description"),
     "f4_preset_config": lambda s, d: A.preset_configs(s, 25),
+    "f4_preset_params": lambda s, d: rounded(A.preset_params(assigned(s, d), CONFIG)).drop("stem"),
+    "f4_suite": lambda s, d: A.suite(clips(s, d), N),
     "f4_map_versions": lambda s, d: A.mapped(clips(s, d), available(s, d), N).select("doc_id", "version", "name", "present"),
     "f4_coverage": lambda s, d: A.coverage(A.mapped(clips(s, d), available(s, d), N)).withColumn("percent", F.round("percent", 6)),
     "f4_first_missing": lambda s, d: A.first_missing(A.mapped(clips(s, d), available(s, d), N), 2).withColumn("first", F.array_join("first", ",")),
@@ -81,6 +89,8 @@ def draw(name: str, kind: str, p: float, lo: float, hi: float) -> str:
 DRAWN = f"""{VID}, dr AS (SELECT doc_id, version, {u('on:flip')} < 0.7::DOUBLE AS flip, {draw('brightness', 'brightness_contrast', 0.8, -0.25, 0.25)}, {draw('contrast', 'brightness_contrast', 0.8, -0.25, 0.25)}, {draw('blur_sigma', 'blur', 0.6, 0.1, 1.0)},
     {draw('rotation', 'rotation', 0.8, -5.0, 5.0)}, {draw('scale', 'scale', 0.6, 0.9, 1.1)}, {draw('cutout_top', 'cutout', 0.6, 0.0, 0.35)}, {draw('cutout_left', 'cutout', 0.6, 0.0, 0.85)} FROM ver)"""
 PROB = {"flip": 0.7, "brightness_contrast": 0.8, "blur": 0.6, "rotation": 0.8, "scale": 0.6, "cutout": 0.6}
+#: The kind that each parameter belongs to.
+KIND = {"brightness": "brightness_contrast", "contrast": "brightness_contrast", "blur_sigma": "blur", "rotation": "rotation", "scale": "scale", "cutout_top": "cutout", "cutout_left": "cutout"}
 SHORT = {"flip": "flip", "bc": "brightness_contrast", "blur": "blur", "rotation": "rotation", "scale": "scale", "cutout": "cutout"}
 ORDERED = """
 'baseline', 'flip_only', 'bc_only', 'blur_only', 'rotation_only', 'scale_only', 'cutout_only', 'flip_bc', 'flip_blur', 'flip_rotation', 'flip_scale', 'flip_cutout', 'bc_blur', 'bc_rotation', 'bc_scale', 'bc_cutout', 'blur_rotation',
@@ -99,6 +109,16 @@ SQL = {
     "f4_describe": f"WITH {DRAWN} SELECT doc_id, version, concat_ws('+', 'gray', CASE WHEN flip THEN 'flip' END, CASE WHEN brightness IS NOT NULL THEN 'bc(#,#)' END, CASE WHEN blur_sigma IS NOT NULL THEN 'blur(#)' END, CASE WHEN rotation IS NOT NULL THEN 'rot(#)' END, CASE WHEN scale IS NOT NULL THEN 'scale(#)' END, CASE WHEN cutout_top IS NOT NULL THEN 'cutout' END) AS kinds FROM dr",
     "f4_presets": f"WITH {PRESETS} SELECT place, name, array_to_string(a, ',') AS augmentations, CASE WHEN len(a) = 0 THEN 'Baseline (grayscale only)' ELSE array_to_string(a, ' + ') END AS description FROM pr",
     "f4_preset_config": f"WITH {PRESETS} SELECT name, CASE WHEN len(a) = 0 THEN 1 ELSE 25 END AS versions, " + ", ".join(f"CASE WHEN list_contains(a, '{k}') THEN {p}::DOUBLE ELSE 0::DOUBLE END AS {k}" for k, p in PROB.items()) + " FROM pr",
+    "f4_preset_params": f"WITH {DRAWN}, {PRESETS} SELECT doc_id, version, name AS preset, flip AND list_contains(a, 'flip') AS flip, "
+    + ", ".join(f"CASE WHEN list_contains(a, '{k}') THEN round({p}, 9) END AS {p}" for p, k in KIND.items())
+    + " FROM dr JOIN pr ON place = doc_id % 30 WHERE version = 1 OR len(a) > 0",
+    "f4_suite": f"WITH {DRAWN}, {PRESETS}, x AS (SELECT place, name, CASE WHEN len(a) = 0 THEN 1 ELSE 4 END AS versions, list_contains(a, 'flip') AND flip AS flip, "
+    + ", ".join(f"list_contains(a, '{k}') AND {p} IS NOT NULL AS {k}" for p, k in KIND.items() if p not in ("contrast", "cutout_left"))
+    + " FROM dr JOIN pr ON version = 1 OR len(a) > 0) SELECT place, name, versions, count(*) AS made, count(*) FILTER (NOT ("
+    + " OR ".join(PROB)
+    + ")) AS plain, "
+    + ", ".join(f"count(*) FILTER ({k}) AS {k}" for k in PROB)
+    + " FROM x GROUP BY ALL",
     "f4_map_versions": f"WITH {VID} SELECT doc_id, version, name, name IN (SELECT name FROM av) AS present FROM ver",
     "f4_coverage": f"WITH {VID}, m AS (SELECT *, name IN (SELECT name FROM av) AS present FROM ver) SELECT count(*) AS expected, count(*) FILTER (NOT present) AS missing, round(count(*) FILTER (present) / count(*) * 100, 6) AS percent, count(DISTINCT stem) FILTER (NOT present) AS affected FROM m",
     "f4_first_missing": f"WITH {VID}, m AS (SELECT stem, count(*) AS missing, list_sort(list(name)) AS n FROM ver ANTI JOIN av USING (name) GROUP BY stem) SELECT stem, missing, array_to_string(n[1:2], ',') AS first FROM m",

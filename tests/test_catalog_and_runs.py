@@ -91,6 +91,26 @@ def test_presets():
         assert config.selective(["FLIP", "unknown"]).probability == {k: 0.7 if k == "flip" else 0.0 for k in config.STANDARD}
 
 
+def test_presets_of_videos(spark):
+    c = AugmentConfig(versions=3)
+    work = spark.createDataFrame([(v, p, 1.0) for v in ("a_1", "b_2", "c_3") for p in ("baseline", "bc_cutout", "all_augmentations", "unknown", None)], "stem string, preset string, flip_rate double")
+    got = {(r.stem, r.preset, r.version): r for r in A.preset_params(work, c).collect()}
+    assert {k[1:] for k in got} == {("baseline", 1), *((p, v) for p in ("bc_cutout", "all_augmentations") for v in (1, 2, 3))}
+    plain = {(r.stem, r.version): r for r in A.params_native(A.versions(work.select("stem").distinct(), 3), c).collect()}
+    kinds = {"brightness_contrast": ("brightness", "contrast"), "blur": ("blur_sigma",), "rotation": ("rotation",), "scale": ("scale",), "cutout": ("cutout_top", "cutout_left")}
+    for (video, name, version), r in got.items():
+        on, like = config.preset_kinds(name), plain[video, version]
+        assert r.flip == (like.flip and "flip" in on)
+        assert all(r[p] == (like[p] if k in on else None) for k, ps in kinds.items() for p in ps)
+    names = ["baseline", "bc_cutout", "all_augmentations"]
+    for r in A.suite(work.select("stem").distinct(), 3, names).collect():
+        mine = [x for (_, name, _), x in got.items() if name == r.name]
+        shown = [{k: any(x[p] is not None for p in ps) for k, ps in kinds.items()} | {"flip": x.flip} for x in mine]
+        assert (r.place, r.versions, r.made, r.plain) == (names.index(r.name), 1 if r.name == "baseline" else 3, len(mine), sum(not any(s.values()) for s in shown))
+        assert all(r[k] == sum(s[k] for s in shown) for k in config.STANDARD)
+    assert A.suite(work.limit(0), 3).collect() == []
+
+
 def test_missing_versions_raise_if_all_are_needed(spark):
     videos = spark.createDataFrame([("a_1",)], "stem string")
     mapped = A.mapped(videos, spark.createDataFrame([("a_v001_1.mp4",)], "name string"), 2)
