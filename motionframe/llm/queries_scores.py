@@ -22,12 +22,15 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's label is that of the document whose number ends its path: bad if toxic or of low quality."""
+    """A page's label is that of the document whose number ends its path: bad if toxic or of low quality.
+
+    Outside the rules, the threshold is found on labels that the tree hasn't seen.
+    """
     pages = table(spark, sf_dir, "pages")
     number = F.regexp_extract(urls.path_of(F.col("url")), r"/(\d{1,18})(?:\.html)?/?$", 1)
     of_page = pages.select("page_id", F.when(number != "", number.cast("long")).alias("doc_id"))
     labels = of_page.join(table(spark, sf_dir, "labels"), "doc_id").select("page_id", F.greatest("toxic", 1 - F.col("quality")).alias("bad"))
-    return urls.judge(pages, labels, RULES)
+    return urls.judge(pages, labels, RULES, urls.TreeParams(min_purity=None))
 
 
 QUERIES = {"op2_quality": op2_quality, "op7_url_filter": op7_url_filter}
