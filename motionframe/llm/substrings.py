@@ -2,9 +2,11 @@
 
 A run of 13 words is an edge from its first 12 words to its last 12.  Edges that
 start in more than one document are kept, and paths of them without branches are
-compacted by joins.  An edge's coordinates are those of the document in which it
-is seen first; each other document's share of a path is a span of words, which is
-verified at its own coordinates.
+compacted by joins.  A path goes on as long as all texts that have its last edge
+have the next one in the next place, and no other text has that, so each text has
+all of a path or nothing.  Texts are matched with paths, then, by the paths' first
+edges alone: a path in a text is one row, a span of words, which is verified at
+the text's own coordinates.
 
 Few edges repeat, so each window is first reduced to the least hash among its
 runs of 5 words (its anchor).  Equal windows have equal anchors; only windows
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import dropped, slices, written
@@ -29,6 +31,8 @@ WINDOW = 13
 #: In place of a number of windows: all that the text has.
 WHOLE = -1
 ANCHOR = 5
+#: Places of edges are marked by powers of a factor, modulo each of two primes.
+MARKS = (((1 << 31) - 1, 1664525), ((1 << 31) - 19, 22695477))
 
 
 def _anchors(words: np.ndarray, firsts: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,6 +69,36 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def _powers(prime: int, factor: int, n: int) -> np.ndarray:
+    """1, factor, factor**2, ... modulo the prime: n of them at least."""
+    out, top = np.ones(1, U), factor
+    while len(out) < n:
+        out = np.concatenate([out, out * U(top) % U(prime)])
+        top = top * top % prime
+    return out
+
+
+def _marks(of_text: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A mark of each place of a text, of 31 bits for each of the primes; one place on, it is the factor times as much."""
+    most = int(places.max(initial=0)) + 1
+    (p, a), (q, b) = MARKS
+    low = of_text % U(p) * _powers(p, a, most)[places] % U(p)
+    return low | (of_text >> U(31)) % U(q) * _powers(q, b, most)[places] % U(q) << U(31)
+
+
+def marked(df: DataFrame, key: list[str], *aggregates: Column) -> DataFrame:
+    """df's rows by key, with aggregates and (here, next): what the places marked in `mark` add up to, and what they do one place on.
+
+    Of two edges, the next of one equals the other's here if the other one's
+    places are those of the first, each one place on, and else hardly ever.
+    """
+    low, high = F.sum(F.col("mark").bitwiseAND(0x7FFFFFFF)).alias("_low"), F.sum(F.shiftright("mark", 31)).alias("_high")
+    (p, a), (q, b) = MARKS
+    low_of, high_of = F.col("_low") % p, F.col("_high") % q
+    both = lambda x, y: x.bitwiseOR(F.shiftleft(y, 31))
+    return df.groupBy(*key).agg(*aggregates, low, high).select("*", both(low_of, high_of).alias("here"), both(low_of * a % p, high_of * b % q).alias("next")).drop("_low", "_high")
+
+
 def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """(anchor, print) of every text, each pair once a row."""
 
@@ -85,12 +119,12 @@ def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(id, v, start, nodes, checks): runs of consecutive windows of docs whose anchors are in the column anchors.
+    """(id, v, start, nodes, checks, marks): runs of consecutive windows of docs whose anchors are in the column anchors.
 
     A window is an edge from a node to the next: nodes has the hashes of all
     but a window's last word, and in the end of all but the last window's first;
-    checks has those of the whole windows, by another family of hashes.  v tells
-    texts of one id apart; start counts words.
+    checks has those of the whole windows, by another family of hashes, and marks
+    those of their places.  v tells texts of one id apart; start counts words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,26 +150,28 @@ def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                 return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(values[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])]))
 
             ids = pa.array(text)
+            ends = np.append(0, np.cumsum(n)).astype(np.int32)
+            marks = _marks(batch.column(4).to_numpy().view(U)[_owner(starts, firsts)], starts - firsts[_owner(starts, firsts)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(ids), batch.column(2).take(ids), pa.array((first - firsts[text]).astype(np.int32)), lists_of(runs(words, window - 1), n + 1), lists_of(runs(other.batch(batch.column(1))[0], window), n)],
-                ["id", "v", "start", "nodes", "checks"],
+                [batch.column(0).take(ids), batch.column(2).take(ids), pa.array((first - firsts[text]).astype(np.int32)), lists_of(runs(words, window - 1), n + 1), lists_of(runs(other.batch(batch.column(1))[0], window), n), pa.ListArray.from_arrays(pa.array(ends), _signed(marks))],
+                ["id", "v", "start", "nodes", "checks", "marks"],
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text", "v", "anchors").mapInArrow(run, f"id {kind}, v int, start int, nodes array<bigint>, checks array<bigint>")
+    return docs.select("id", "text", "v", "anchors", F.xxhash64("id", "print").alias("mark")).mapInArrow(run, f"id {kind}, v int, start int, nodes array<bigint>, checks array<bigint>, marks array<bigint>")
 
 
-def exploded(found: DataFrame, head: bool) -> DataFrame:
-    """(tail, check[, head], id, at) of each edge of edges(); at is v and the place, in one number."""
+def exploded(found: DataFrame, whole: bool) -> DataFrame:
+    """(tail, check[, head, mark], id, at) of each edge of edges(); at is v and the place, in one number."""
     n = F.size("checks")
-    columns = [F.slice("nodes", 1, n).alias("tail"), "checks"] + [F.slice("nodes", 2, n).alias("head")] * head
+    columns = [F.slice("nodes", 1, n).alias("tail"), "checks"] + [F.slice("nodes", 2, n).alias("head"), "marks"] * whole
     each = found.select("id", (F.col("v").cast("long") * (1 << 32) + F.col("start")).alias("_at"), F.posexplode(F.arrays_zip(*columns)).alias("_i", "e"))
-    return each.select("e.tail", F.col("e.checks").alias("check"), *(["e.head"] * head), "id", (F.col("_at") + F.col("_i")).alias("at"))
+    return each.select("e.tail", F.col("e.checks").alias("check"), *(["e.head", F.col("e.marks").alias("mark")] * whole), "id", (F.col("_at") + F.col("_i")).alias("at"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"), F.xxhash64(text).bitwiseAND(0x7FFF).cast("int").alias("v"), F.struct(*carry, F.lit(0).alias("_")).alias("carried"))
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"), F.xxhash64(text).bitwiseAND(0x7FFFFFFF).cast("int").alias("v"), F.struct(*carry, F.lit(0).alias("_")).alias("carried"))
 
 
 def classes(docs: DataFrame, salts: int = 16) -> DataFrame:
@@ -149,26 +185,27 @@ def classes(docs: DataFrame, salts: int = 16) -> DataFrame:
 
 
 def compacted(edge: DataFrame) -> DataFrame:
-    """edge(tail, check, head, first_id, at) with path and offset in place of head: a name of the path that it is on, and how many edges come before.
+    """edge(tail, check, head, first_id, at, here, next) with path and offset in place of head, here and next: a name of the path that it is on, and how many edges come before.
 
     at is an edge's place in the document first_id, where it is seen first.  A
-    node joins two edges to one path if it has one on each side and both are seen
-    first in the same document.  Edges that follow each other there are one
-    piece; pieces are joined to paths by going from each to the one before, then
-    twice as far in each round.  A path that closes in itself is cut between its
-    pieces.
+    node joins two edges to one path if it has one on each side, both are seen
+    first in the same document, and the next of the one is the here of the other,
+    so that the same texts have them.  Edges that follow each other in the first
+    document are one piece; pieces are joined to paths by going from each to the
+    one before, then twice as far in each round.  A path that closes in itself,
+    which no text of an end can have, is cut between its pieces.
     """
-    out_of = edge.groupBy(F.col("tail").alias("node")).agg(F.count("*").alias("_out"), F.min("first_id").alias("_a"))
-    into = edge.groupBy(F.col("head").alias("node")).agg(F.count("*").alias("_in"), F.min("first_id").alias("_b"))
-    inner = written(out_of.where("_out = 1").join(into.where("_in = 1"), "node").where("_a = _b").select(F.col("node").alias("tail"), F.lit(True).alias("_inner")))
-    marked = edge.join(inner, "tail", "left")
+    out_of = edge.groupBy(F.col("tail").alias("node")).agg(F.count("*").alias("_out"), F.min("first_id").alias("_a"), F.min("here").alias("_here"))
+    into = edge.groupBy(F.col("head").alias("node")).agg(F.count("*").alias("_in"), F.min("first_id").alias("_b"), F.min("next").alias("_next"))
+    inner = written(out_of.where("_out = 1").join(into.where("_in = 1"), "node").where("_a = _b and _here = _next").select(F.col("node").alias("tail"), F.lit(True).alias("_inner")))
+    known = edge.join(inner, "tail", "left")
     by = Window.partitionBy("first_id").orderBy("at", "tail", "check")
     follows = F.col("_inner") & (F.lag("at").over(by) + 1 == F.col("at")) & (F.lag("head").over(by) == F.col("tail"))
     opens = ~F.coalesce(follows, F.lit(False))
     # a piece is known by its first edge
     first = F.last(F.when(opens, F.struct("tail", "check", "at", "_inner")), True).over(by.rowsBetween(Window.unboundedPreceding, 0))
     name = F.xxhash64("_first.tail", "_first.check")
-    piece = written(marked.withColumn("_first", first).select("tail", "check", "head", "first_id", "at", name.alias("piece"), (F.col("at") - F.col("_first.at")).alias("_k"), F.when(F.col("_first._inner"), F.col("_first.tail")).alias("_from")))
+    piece = written(known.withColumn("_first", first).select("tail", "check", "head", "first_id", "at", name.alias("piece"), (F.col("at") - F.col("_first.at")).alias("_k"), F.when(F.col("_first._inner"), F.col("_first.tail")).alias("_from")))
     before = piece.select(F.col("head").alias("_from"), F.col("piece").alias("up"), (F.col("_k") + 1).alias("far"))
     step = written(piece.where("_k = 0 and _from is not null").select("piece", "_from").join(before, "_from").select("piece", "up", "far").where("piece <> up"))
     for _ in range(step.count().bit_length() + 1):
@@ -187,12 +224,11 @@ def compacted(edge: DataFrame) -> DataFrame:
 def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Repeated passages that are not in their first document.
 
-    (id, v, first_id, first_place, path, offset, start, n_windows, total):
-    n_windows consecutive windows from word start on, which are the edges of path
-    from offset on, and start at word first_place of the smaller id first_id too;
-    total is the sum of the checks that these have there, for verification.  Of a
-    copy of a whole text, n_windows is WHOLE, total the text's fingerprint, and
-    there is no path.
+    (id, v, first_id, first_place, path, start, n_windows, total): n_windows
+    consecutive windows from word start on, which are all edges of path, and
+    start at word first_place of the smaller id first_id too; total is the sum of
+    the checks that these have there, for verification.  Of a copy of a whole
+    text, n_windows is WHOLE, total the text's fingerprint, and there is no path.
     """
     docs = _keyed(docs, id_col, text_col)
     same = written(classes(docs))
@@ -202,26 +238,20 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
     found = written(edges(docs.join(wanted.hint("merge"), "id"), window, anchor))
     dropped(wanted)
     key = ["tail", "check"]
-    # a text's windows come in order, so of several in the first document the first is kept
-    edge = exploded(found, head=True).groupBy(*key).agg(F.min("head").alias("head"), F.min("id").alias("first_id"), F.max("id").alias("_last"), F.min_by("at", "id").alias("at")).where("first_id < _last").drop("_last")
+    edge = marked(exploded(found, whole=True), key, F.min("head").alias("head"), F.min("id").alias("first_id"), F.max("id").alias("_last"), F.min_by("at", "id").alias("at")).where("first_id < _last").drop("_last")
     edge = written(edge)
     paths = compacted(edge)
     dropped(edge)
     # they meet by a shorter hash: of two edges that share it both are found, and the sums of checks tell which it is
     short = F.xxhash64(*key).alias("k")
-    there = paths.select(short, "check", "first_id", F.col("at").alias("first_at"), "path", "offset")
-    # hardly a key is twice in what is hashed here, a partition's share of it is small, and skewed partitions of the other side can be split
-    dup = exploded(found, head=False).select(short, "id", "at").join(there.hint("shuffle_hash"), "k").where("first_id < id")
-    by = Window.partitionBy("id").orderBy("at")
-    prior = lambda c, step: F.lag(c).over(by) + step == F.col(c)
-    run = dup.withColumn("_new", F.when(prior("at", 1) & prior("path", 0) & prior("offset", 1) & prior("first_at", 1), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(by))
+    opens = F.col("offset") == 0
+    head = paths.groupBy("path", "first_id").agg(F.max(F.when(opens, short)).alias("k"), F.max(F.when(opens, F.col("at"))).alias("first_at"), F.count("*").cast("int").alias("n_windows"), F.sum(F.shiftrightunsigned("check", 32)).alias("total"))
+    # what is hashed here is a row a path, and skewed partitions of the other side can be split
+    met = exploded(found, whole=False).select(short, "id", "at").join(head.hint("shuffle_hash"), "k").where("first_id < id")
     place = lambda c: F.col(c).bitwiseAND(0xFFFFFFFF).cast("int")
-    passages = run.groupBy("id", "_run").agg(
-        F.min("at").alias("at"), F.min("first_id").alias("first_id"), F.min("first_at").alias("first_at"), F.min("path").alias("path"), F.min("offset").alias("offset"), F.count("*").cast("int").alias("n_windows"), F.sum(F.shiftrightunsigned("check", 32)).alias("total")
-    )
-    passages = passages.select("id", F.shiftright("at", 32).cast("int").alias("v"), "first_id", place("first_at").alias("first_place"), "path", "offset", place("at").alias("start"), "n_windows", "total")
+    passages = met.select("id", F.shiftright("at", 32).cast("int").alias("v"), "first_id", place("first_at").alias("first_place"), "path", place("at").alias("start"), "n_windows", "total")
     none = F.lit(None).cast("bigint")
-    copies = same.where("id > first_id").select("id", F.col("print").bitwiseAND(0x7FFF).cast("int").alias("v"), "first_id", F.lit(0).alias("first_place"), none.alias("path"), none.alias("offset"), F.lit(0).alias("start"), F.lit(WHOLE).alias("n_windows"), F.col("print").alias("total"))
+    copies = same.where("id > first_id").select("id", F.col("print").bitwiseAND(0x7FFFFFFF).cast("int").alias("v"), "first_id", F.lit(0).alias("first_place"), none.alias("path"), F.lit(0).alias("start"), F.lit(WHOLE).alias("n_windows"), F.col("print").alias("total"))
     out = written(passages.unionByName(copies))
     dropped(found, paths, same)
     return out

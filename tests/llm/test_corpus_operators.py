@@ -118,13 +118,13 @@ def test_words_that_polynomial_hashes_take_for_one(spark):
     assert {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, 100).collect()} == {k: k for k in (1, 2, 3, 4)}
 
 
-def plain_paths(edges):
-    """The edges (tail, head, first document) of each path of a graph, by walking."""
+def plain_paths(edges, cut):
+    """The edges (tail, head, first document) of each path of a graph, by walking; nodes in cut end paths."""
     out, into = {}, {}
     for t, h, d in edges:
         out.setdefault(t, []).append((t, h, d))
         into.setdefault(h, []).append((t, h, d))
-    inner = lambda n: len(out.get(n, [])) == 1 == len(into.get(n, [])) and out[n][0][2] == into[n][0][2]
+    inner = lambda n: len(out.get(n, [])) == 1 == len(into.get(n, [])) and out[n][0][2] == into[n][0][2] and n not in cut
     found = []
     for e in edges:
         if inner(e[0]):
@@ -142,17 +142,48 @@ def test_paths_against_a_plain_graph(spark):
     edges = {(n, n + 1, 1 + n // 40) for n in range(200)} | {(rng.randrange(200), 300 + k, 1) for k in range(6)} | {(320 + k, rng.randrange(200), 2) for k in range(6)}
     ring = [(900, 901, 1), (901, 902, 1), (902, 900, 1)]
     places = {e: k for k, e in enumerate(sorted(edges | set(ring), key=lambda e: e[0] if e[0] % 9 else rng.random() * 999))}
-    rows = [(t, 1000 * t + h, h, d, places[t, h, d]) for t, h, d in places]
-    got = substrings.compacted(spark.createDataFrame(rows, "tail bigint, check bigint, head bigint, first_id bigint, at bigint")).collect()
+    cut = {17, 55, 56, 130}  # where other texts have the edge before than have the one after
+    rows = [(t, 1000 * t + h, h, d, places[t, h, d], t + 5000 * (t in cut), h) for t, h, d in places]
+    got = substrings.compacted(spark.createDataFrame(rows, "tail bigint, check bigint, head bigint, first_id bigint, at bigint, here bigint, next bigint")).collect()
     paths = {}
     for r in got:
         if r.tail < 900:
             paths.setdefault(r.path, []).append((r.offset, (r.tail, r.check - 1000 * r.tail, r.first_id)))
-    assert sorted([e for _, e in sorted(p)] for p in paths.values()) == sorted(plain_paths(sorted(edges)))
+    assert sorted([e for _, e in sorted(p)] for p in paths.values()) == sorted(plain_paths(sorted(edges), cut))
     assert all([o for o, _ in sorted(p)] == list(range(len(p))) for p in paths.values())
     assert len(got) == len(rows)
 
 
+def test_a_path_in_a_text_is_one_row(spark):
+    """Six texts share 60 words, one of them has 20 of these only, and one has them twice: rows of the join are counted."""
+    rng = random.Random(8)
+    word = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared = word(60)
+    texts = [[*word(15), *shared, *word(15)] for _ in range(6)] + [[*word(9), *shared[20:40], *word(9)], [*shared, *word(3), *shared]]
+    rows = [(i, " ".join(t), "", 0) for i, t in enumerate(texts)]
+    got = substrings.spans(spark.createDataFrame(rows, DOCS).repartition(4)).collect()
+    # the short one parts the 48 windows into 20, 8 and 20
+    assert sorted((r.id, r.start, r.n_windows) for r in got) == sorted([(i, 15 + at, n) for i in range(1, 6) for at, n in ((0, 20), (20, 8), (28, 20))] + [(6, 9, 8)] + [(7, base + at, n) for base in (0, 63) for at, n in ((0, 20), (20, 8), (28, 20))])
+    assert len({r.path for r in got}) == 3 and {r.first_id for r in got} == {0}
+    assert {r.first_place for r in got} == {15, 35, 43}
+    assert sorted(tuple(r) for r in substrings.remove(spark.createDataFrame(rows, DOCS)).collect()) == removed(rows)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_texts_that_go_round_and_rows_of_one_id(spark, seed):
+    """Few words, so that windows repeat within a text, and many texts of one id, some of them twice."""
+    rng = random.Random(seed)
+    loop = [f"v{i}" for i in range(rng.choice([3, 16]))]
+    rows = []
+    for i in range(60):
+        at = rng.randrange(len(loop))
+        part = ((loop[at:] + loop) * 9)[: rng.choice([5, 13, 14, 40, 44])]
+        rows.append((i % 20, " ".join([*[f"x{rng.randrange(99)}" for _ in range(rng.randrange(3))], *part, *[f"y{rng.randrange(3)}"] * rng.choice([0, 1, 30])]), "", 0))
+    rows += rows[:7]
+    got = substrings.remove(spark.createDataFrame(rows, DOCS).repartition(5)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == removed(rows)
+
+
 def test_what_is_left_keeps_its_white_space(spark):
     run = " ".join(f"p{i}" for i in range(14))
     docs = spark.createDataFrame([(1, f"a\n\nb {run} z"), (2, f" c\td\n\n{run}\ne  f\n"), (3, f"{run}\tx"), (4, f"y\n{run} ")], "doc_id bigint, text string")
