@@ -33,6 +33,8 @@ WHOLE = -1
 ANCHOR = 5
 #: Places of edges are marked by powers of a factor, modulo each of two primes.
 MARKS = (((1 << 31) - 1, 1664525), ((1 << 31) - 19, 22695477))
+#: Windows in one row of edges(), at most.
+ROW = 1024
 
 
 def _anchors(words: np.ndarray, firsts: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,16 +89,15 @@ def _marks(of_text: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def marked(df: DataFrame, key: list[str], *aggregates: Column) -> DataFrame:
-    """df's rows by key, with aggregates and (here, next): what the places marked in `mark` add up to, and what they do one place on.
+    """df's rows by key, with aggregates and (here, next): what the places marked by low and high add up to, and what they do one place on.
 
     Of two edges, the next of one equals the other's here if the other one's
     places are those of the first, each one place on, and else hardly ever.
     """
-    low, high = F.sum(F.col("mark").bitwiseAND(0x7FFFFFFF)).alias("_low"), F.sum(F.shiftright("mark", 31)).alias("_high")
     (p, a), (q, b) = MARKS
     low_of, high_of = F.col("_low") % p, F.col("_high") % q
     both = lambda x, y: x.bitwiseOR(F.shiftleft(y, 31))
-    return df.groupBy(*key).agg(*aggregates, low, high).select("*", both(low_of, high_of).alias("here"), both(low_of * a % p, high_of * b % q).alias("next")).drop("_low", "_high")
+    return df.groupBy(*key).agg(*aggregates, F.sum("low").alias("_low"), F.sum("high").alias("_high")).select("*", both(low_of, high_of).alias("here"), both(low_of * a % p, high_of * b % q).alias("next")).drop("_low", "_high")
 
 
 def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -119,12 +120,13 @@ def anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(id, v, start, nodes, checks, marks): runs of consecutive windows of docs whose anchors are in the column anchors.
+    """(id, start, nodes, checks, mark): runs of consecutive windows of docs whose anchors are in the column anchors.
 
     A window is an edge from a node to the next: nodes has the hashes of all
     but a window's last word, and in the end of all but the last window's first;
-    checks has those of the whole windows, by another family of hashes, and marks
-    those of their places.  v tells texts of one id apart; start counts words.
+    checks has 32 bits of those of the whole windows, by another family of hashes,
+    and mark is that of the first one's place.  start counts words.  Longer runs
+    than of ROW windows are cut.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +134,7 @@ def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
         for batch in slices(batches):
             words, _, _, firsts, _ = hasher.batch(batch.column(1))
             starts, places, short = _anchors(words, firsts, window, anchor)
-            lists = batch.column(3)
+            lists = batch.column(2)
             sizes = np.diff(lists.offsets.to_numpy())
             wanted = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(U)
             own = np.repeat(np.arange(batch.num_rows), sizes).astype(U)
@@ -140,38 +142,40 @@ def edges(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             # an anchor that only its hash with another text's number equals adds an edge in vain, and no more
             hit = np.isin(short[places] + text.astype(U) * U(0x9E3779B97F4A7C15), wanted + own * U(0x9E3779B97F4A7C15))
             starts, text = starts[hit], text[hit]
-            opens = np.flatnonzero((np.diff(starts, prepend=-2) != 1) | (np.diff(text, prepend=-1) != 0))
+            new = (np.diff(starts, prepend=-2) != 1) | (np.diff(text, prepend=-1) != 0)
+            since = np.arange(len(starts)) - np.maximum.accumulate(np.where(new, np.arange(len(starts)), 0))
+            opens = np.flatnonzero(since % ROW == 0)
             n = np.diff(np.append(opens, len(starts)))
             first, text = starts[opens], text[opens]
+            places = first - firsts[text]
 
             def lists_of(values: np.ndarray, n: np.ndarray, first: np.ndarray = first) -> pa.Array:
                 """values[first : first + n] of each run."""
                 ends = np.append(0, np.cumsum(n))
-                return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(values[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])]))
+                return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])]))
 
-            ids = pa.array(text)
-            ends = np.append(0, np.cumsum(n)).astype(np.int32)
-            marks = _marks(batch.column(4).to_numpy().view(U)[_owner(starts, firsts)], starts - firsts[_owner(starts, firsts)])
+            checks = (runs(other.batch(batch.column(1))[0], window) >> U(32)).astype(np.uint32).view(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(ids), batch.column(2).take(ids), pa.array((first - firsts[text]).astype(np.int32)), lists_of(runs(words, window - 1), n + 1), lists_of(runs(other.batch(batch.column(1))[0], window), n), pa.ListArray.from_arrays(pa.array(ends), _signed(marks))],
-                ["id", "v", "start", "nodes", "checks", "marks"],
+                [batch.column(0).take(pa.array(text)), pa.array(places.astype(np.int32)), lists_of(runs(words, window - 1).view(np.int64), n + 1), lists_of(checks, n), _signed(_marks(batch.column(3).to_numpy().view(U)[text], places))],
+                ["id", "start", "nodes", "checks", "mark"],
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text", "v", "anchors", F.xxhash64("id", "print").alias("mark")).mapInArrow(run, f"id {kind}, v int, start int, nodes array<bigint>, checks array<bigint>, marks array<bigint>")
+    return docs.select("id", "text", "anchors", F.xxhash64("id", "print").alias("mark")).mapInArrow(run, f"id {kind}, start int, nodes array<bigint>, checks array<int>, mark bigint")
 
 
-def exploded(found: DataFrame, whole: bool) -> DataFrame:
-    """(tail, check[, head, mark], id, at) of each edge of edges(); at is v and the place, in one number."""
+def exploded(found: DataFrame, marks: bool) -> DataFrame:
+    """(tail, head, check, id, at[, low, high]) of each edge of edges(); at is its place in the text, low and high are the mark's two halves."""
     n = F.size("checks")
-    columns = [F.slice("nodes", 1, n).alias("tail"), "checks"] + [F.slice("nodes", 2, n).alias("head"), "marks"] * whole
-    each = found.select("id", (F.col("v").cast("long") * (1 << 32) + F.col("start")).alias("_at"), F.posexplode(F.arrays_zip(*columns)).alias("_i", "e"))
-    return each.select("e.tail", F.col("e.checks").alias("check"), *(["e.head", F.col("e.marks").alias("mark")] * whole), "id", (F.col("_at") + F.col("_i")).alias("at"))
+    each = found.select("id", "start", "mark", F.posexplode(F.arrays_zip(F.slice("nodes", 1, n).alias("tail"), F.slice("nodes", 2, n).alias("head"), "checks")).alias("_i", "e"))
+    of_first = F.col("mark").bitwiseAND(0x7FFFFFFF), F.shiftright("mark", 31)
+    halves = [(half * F.get(F.lit(_powers(p, a, ROW).tolist()), F.col("_i")) % p).alias(name) for half, (p, a), name in zip(of_first, MARKS, ("low", "high"), strict=True)] if marks else []
+    return each.select("e.tail", "e.head", F.col("e.checks").alias("check"), "id", (F.col("start") + F.col("_i")).alias("at"), *halves)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"), F.xxhash64(text).bitwiseAND(0x7FFFFFFF).cast("int").alias("v"), F.struct(*carry, F.lit(0).alias("_")).alias("carried"))
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"), F.struct(*carry, F.lit(0).alias("_")).alias("carried"))
 
 
 def classes(docs: DataFrame, salts: int = 16) -> DataFrame:
@@ -185,7 +189,7 @@ def classes(docs: DataFrame, salts: int = 16) -> DataFrame:
 
 
 def compacted(edge: DataFrame) -> DataFrame:
-    """edge(tail, check, head, first_id, at, here, next) with path and offset in place of head, here and next: a name of the path that it is on, and how many edges come before.
+    """edge(tail, head, check, first_id, at, here, next) with path and offset in place of here and next: a name of the path that it is on, and how many edges come before.
 
     at is an edge's place in the document first_id, where it is seen first.  A
     node joins two edges to one path if it has one on each side, both are seen
@@ -199,13 +203,13 @@ def compacted(edge: DataFrame) -> DataFrame:
     into = edge.groupBy(F.col("head").alias("node")).agg(F.count("*").alias("_in"), F.min("first_id").alias("_b"), F.min("next").alias("_next"))
     inner = written(out_of.where("_out = 1").join(into.where("_in = 1"), "node").where("_a = _b and _here = _next").select(F.col("node").alias("tail"), F.lit(True).alias("_inner")))
     known = edge.join(inner, "tail", "left")
-    by = Window.partitionBy("first_id").orderBy("at", "tail", "check")
+    by = Window.partitionBy("first_id").orderBy("at", "tail", "head", "check")
     follows = F.col("_inner") & (F.lag("at").over(by) + 1 == F.col("at")) & (F.lag("head").over(by) == F.col("tail"))
     opens = ~F.coalesce(follows, F.lit(False))
     # a piece is known by its first edge
-    first = F.last(F.when(opens, F.struct("tail", "check", "at", "_inner")), True).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    name = F.xxhash64("_first.tail", "_first.check")
-    piece = written(known.withColumn("_first", first).select("tail", "check", "head", "first_id", "at", name.alias("piece"), (F.col("at") - F.col("_first.at")).alias("_k"), F.when(F.col("_first._inner"), F.col("_first.tail")).alias("_from")))
+    first = F.last(F.when(opens, F.struct("tail", "head", "check", "at", "_inner")), True).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    name = F.xxhash64("_first.tail", "_first.head", "_first.check")
+    piece = written(known.withColumn("_first", first).select("tail", "head", "check", "first_id", "at", name.alias("piece"), (F.col("at") - F.col("_first.at")).alias("_k"), F.when(F.col("_first._inner"), F.col("_first.tail")).alias("_from")))
     before = piece.select(F.col("head").alias("_from"), F.col("piece").alias("up"), (F.col("_k") + 1).alias("far"))
     step = written(piece.where("_k = 0 and _from is not null").select("piece", "_from").join(before, "_from").select("piece", "up", "far").where("piece <> up"))
     for _ in range(step.count().bit_length() + 1):
@@ -216,7 +220,7 @@ def compacted(edge: DataFrame) -> DataFrame:
         if now.where("_on").isEmpty():
             break
     step = step.join(step.select(F.col("piece").alias("up")).distinct(), "up", "left_anti")  # what still leads on goes round
-    out = written(piece.join(step, "piece", "left").select("tail", "check", "first_id", "at", F.coalesce("up", "piece").alias("path"), (F.col("_k") + F.coalesce("far", F.lit(0))).alias("offset")))
+    out = written(piece.join(step, "piece", "left").select("tail", "head", "check", "first_id", "at", F.coalesce("up", "piece").alias("path"), (F.col("_k") + F.coalesce("far", F.lit(0))).alias("offset")))
     dropped(piece, inner)
     return out
 
@@ -224,11 +228,12 @@ def compacted(edge: DataFrame) -> DataFrame:
 def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Repeated passages that are not in their first document.
 
-    (id, v, first_id, first_place, path, start, n_windows, total): n_windows
+    (id, first_id, first_place, path, start, n_windows, total): n_windows
     consecutive windows from word start on, which are all edges of path, and
     start at word first_place of the smaller id first_id too; total is the sum of
     the checks that these have there, for verification.  Of a copy of a whole
     text, n_windows is WHOLE, total the text's fingerprint, and there is no path.
+    Texts of one id share its spans: what isn't there in one of them isn't verified.
     """
     docs = _keyed(docs, id_col, text_col)
     same = written(classes(docs))
@@ -237,21 +242,20 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col: s
     # whatever the sizes, texts are joined the same way, by their ids
     found = written(edges(docs.join(wanted.hint("merge"), "id"), window, anchor))
     dropped(wanted)
-    key = ["tail", "check"]
-    edge = marked(exploded(found, whole=True), key, F.min("head").alias("head"), F.min("id").alias("first_id"), F.max("id").alias("_last"), F.min_by("at", "id").alias("at")).where("first_id < _last").drop("_last")
+    key = ["tail", "head", "check"]
+    edge = marked(exploded(found, marks=True), key, F.min("id").alias("first_id"), F.max("id").alias("_last"), F.min_by("at", "id").alias("at")).where("first_id < _last").drop("_last")
     edge = written(edge)
     paths = compacted(edge)
     dropped(edge)
     # they meet by a shorter hash: of two edges that share it both are found, and the sums of checks tell which it is
     short = F.xxhash64(*key).alias("k")
     opens = F.col("offset") == 0
-    head = paths.groupBy("path", "first_id").agg(F.max(F.when(opens, short)).alias("k"), F.max(F.when(opens, F.col("at"))).alias("first_at"), F.count("*").cast("int").alias("n_windows"), F.sum(F.shiftrightunsigned("check", 32)).alias("total"))
+    head = paths.groupBy("path", "first_id").agg(F.max(F.when(opens, short)).alias("k"), F.max(F.when(opens, F.col("at"))).alias("first_at"), F.count("*").cast("int").alias("n_windows"), F.sum(F.col("check").bitwiseAND(0xFFFFFFFF)).alias("total"))
     # what is hashed here is a row a path, and skewed partitions of the other side can be split
-    met = exploded(found, whole=False).select(short, "id", "at").join(head.hint("shuffle_hash"), "k").where("first_id < id")
-    place = lambda c: F.col(c).bitwiseAND(0xFFFFFFFF).cast("int")
-    passages = met.select("id", F.shiftright("at", 32).cast("int").alias("v"), "first_id", place("first_at").alias("first_place"), "path", place("at").alias("start"), "n_windows", "total")
+    met = exploded(found, marks=False).select(short, "id", "at").join(head.hint("shuffle_hash"), "k").where("first_id < id")
+    passages = met.select("id", "first_id", F.col("first_at").alias("first_place"), "path", F.col("at").alias("start"), "n_windows", "total")
     none = F.lit(None).cast("bigint")
-    copies = same.where("id > first_id").select("id", F.col("print").bitwiseAND(0x7FFFFFFF).cast("int").alias("v"), "first_id", F.lit(0).alias("first_place"), none.alias("path"), F.lit(0).alias("start"), F.lit(WHOLE).alias("n_windows"), F.col("print").alias("total"))
+    copies = same.where("id > first_id").select("id", "first_id", F.lit(0).alias("first_place"), none.alias("path"), F.lit(0).alias("start"), F.lit(WHOLE).alias("n_windows"), F.col("print").alias("total"))
     out = written(passages.unionByName(copies))
     dropped(found, paths, same)
     return out
@@ -277,15 +281,15 @@ def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col:
     are not compared with each other.  Of other columns, those in carry are kept.
     """
     keyed = _keyed(docs, id_col, text_col, carry)
-    cut = spans(docs, window, anchor, id_col, text_col).groupBy("id").agg(F.collect_list(F.struct("v", "start", "n_windows", "total")).alias("spans"))
+    cut = spans(docs, window, anchor, id_col, text_col).groupBy("id").agg(F.collect_list(F.struct("start", "n_windows", "total")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, other = Hasher(), Hasher(family=1)
         for batch in slices(batches):
-            lists = batch.column(3)
+            lists = batch.column(2)
             part = lists.flatten()
-            prints = batch.column(5).to_numpy(zero_copy_only=False)
-            v, start, n, total = (part.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+            prints = batch.column(4).to_numpy(zero_copy_only=False)
+            start, n, total = (part.field(k).to_numpy(zero_copy_only=False) for k in range(3))
             text = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             words, begin, end, firsts, data = hasher.batch(batch.column(1))
             gone = np.zeros(len(words) + 1, np.int64)
@@ -295,7 +299,7 @@ def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col:
                 np.add.at(gone, firsts[text[copied] + 1], -1)
                 at = firsts[text] + start.astype(np.int64)
                 to = at + n.astype(np.int64)
-                ok = (n != WHOLE) & (v == batch.column(2).to_numpy()[text]) & (to + window - 1 <= firsts[text + 1])
+                ok = (n != WHOLE) & (to + window - 1 <= firsts[text + 1])
                 at, to, total = at[ok], to[ok], total[ok]
                 # the words at the coordinates are those of the first document
                 sums = np.append(0, np.cumsum((runs(other.batch(batch.column(1))[0], window) >> U(32)).astype(np.int64)))
@@ -322,8 +326,8 @@ def remove(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, id_col:
                     mine = np.flatnonzero(stays[lo:hi]) + lo
                     joined = b" ".join(raw[a:b] for a, b in zip(begin[mine].tolist(), end[mine].tolist(), strict=True))
                 kept.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words), pa.array(n_words - left), pa.array(kept, pa.string()), batch.column(4)], ["id", "n_words", "n_removed", "kept", "carried"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words), pa.array(n_words - left), pa.array(kept, pa.string()), batch.column(3)], ["id", "n_words", "n_removed", "kept", "carried"])
 
     kind, carried = (keyed.schema[c].dataType.simpleString() for c in ("id", "carried"))
-    out = keyed.join(cut.hint("merge"), "id", "left").select("id", "text", "v", "spans", "carried", "print").mapInArrow(run, f"id {kind}, n_words bigint, n_removed bigint, kept string, carried {carried}")
+    out = keyed.join(cut.hint("merge"), "id", "left").select("id", "text", "spans", "carried", "print").mapInArrow(run, f"id {kind}, n_words bigint, n_removed bigint, kept string, carried {carried}")
     return out.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_sha256" if digest else "kept"), *(F.col("carried")[c].alias(c) for c in carry))
