@@ -6,6 +6,8 @@ Every operator takes detections as DataFrames and works on windows over
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -137,7 +139,8 @@ def regions(detections: DataFrame, c: TrackConfig) -> DataFrame:
     by_height, by_stride = F.col("height") * c.roi_height_ratio, F.col("stride_width") + 2 * F.col("height") * c.foot_length_ratio
     sized = smooth.withColumns({"_roi": F.greatest(by_height, by_stride, F.lit(float(c.min_roi))), "stride_dominant": (by_stride > by_height) & (by_stride > c.min_roi)})
     sized = sized.withColumn("roi_size", whole(smoothed(F.col("_roi"), c.height_window))).drop("_roi")
-    placed = sized.withColumn("cy", F.col("cy") - (0.5 - c.ankle_vertical_ratio) * F.col("roi_size") + F.col("roi_size") * c.side_offset_ratio)
+    above = float(Decimal("0.5") - Decimal(str(c.ankle_vertical_ratio)))  # 0.5 - 0.35 in doubles is over 0.15, which moves bounds that are whole
+    placed = sized.withColumn("cy", F.col("cy") - above * F.col("roi_size") + F.col("roi_size") * c.side_offset_ratio)
     half = F.expr("roi_size div 2")
     bounds = placed.withColumns({"x1": whole(F.col("cx") - half), "y1": whole(F.col("cy") - half), "x2": whole(F.col("cx") + half), "y2": whole(F.col("cy") + half)})
     over = F.greatest(-F.col("x1"), F.lit(0)) + F.greatest(-F.col("y1"), F.lit(0)) + F.greatest(F.col("x2") - c.frame.width, F.lit(0)) + F.greatest(F.col("y2") - c.frame.height, F.lit(0))

@@ -113,6 +113,12 @@ def test_bounds_cut_toward_zero_and_padding_limit(spark):
     assert spark.range(1).select(T.whole(F.lit(10.5) - half), T.whole(F.lit(10.5) + half), T.whole(F.lit(5.0) - half), T.whole(F.lit(5.0) + half)).first()[:] == (-64, 85, -70, 80)
 
 
+def test_bounds_that_are_whole_stay_whole(spark):
+    """125.1 - 0.15 * 162 + 162 * 0.1 is 117 in doubles; with 0.5 - 0.35, which is over 0.15, it is less, and the bound one lower."""
+    r = T.regions(frame(spark, [[((100.0, 125.1), (101.0, 125.1), 405.0)]]), TrackConfig()).first()
+    assert (r.roi_size, r.cy, r.y1, r.y2) == (162, 117.0, 36, 198)
+
+
 def test_one_exchange_for_the_whole_chain(spark):
     plan = T.regions(frame(spark, [[((1.0, 1.0), None, 9.0)] * 3]), TrackConfig())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
