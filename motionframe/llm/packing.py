@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from .frames import named, slices, written
 from .pretokens import Encoder
 
+#: Words that are encoded at once.
+WORDS = 1 << 14
+
 
 @lru_cache(2)
 def _tokenizer(path: str):
@@ -29,8 +32,18 @@ def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    return tokenizer, Encoder(lambda words: [x.ids for x in tokenizer.encode_batch(words, add_special_tokens=False)]), special
+    return tokenizer, Encoder(lambda words: [ids for at in range(0, len(words), WORDS) for ids in _ids_of_words(tokenizer, words[at : at + WORDS])]), special
+
+
+def _ids_of_words(tokenizer, words: list[str]) -> list[np.ndarray]:
+    """The ids of each word, none of which is empty: one encoding of all, as an object a word costs more than its ids."""
+    encoding = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+    ids = np.array(encoding.ids, np.uint32)
+    end = np.cumsum(np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(words))).tolist()
+    return [ids[a:b] for a, b in zip([0, *end], end, strict=False)]
 
 
 def token_ids(texts: list[str], path: str) -> list[np.ndarray]:

@@ -23,7 +23,7 @@ INVERSE = pow(BASE, -1, 1 << 64)
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 #: Characters handled at once; a longer text is handled alone.
 CHUNK = 1 << 19
-#: Distinct pre-tokens that a worker remembers.
+#: Distinct pre-tokens of a generation; a worker remembers two.
 REMEMBERED = 300_000
 # The white space of the Unicode standard (property White_Space).
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -87,7 +87,7 @@ class Encoder:
     """ids of whole texts, from a function that gives the ids of distinct pre-tokens."""
 
     def __init__(self, encode: Callable[[list[str]], list]):
-        self.encode, self.known = encode, {}
+        self.encode, self.known, self.older = encode, {}, {}
         self.power, self.inverse = powers(BASE, CHUNK + 1), powers(INVERSE, CHUNK + 1)
 
     def _tables(self, n: int):
@@ -98,10 +98,13 @@ class Encoder:
     def _ids(self, words: list[str]) -> list[bytes]:
         known = self.known
         if missing := [w for w in words if w not in known]:
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = words
-            for w, ids in zip(missing, self.encode(missing), strict=True):
+            if len(known) + len(missing) > REMEMBERED:  # what is still met comes over from the older generation, the rest goes with it
+                self.older, self.known = known, {}
+                known, missing = self.known, words
+            older = self.older
+            known.update({w: older[w] for w in missing if w in older})
+            fresh = [w for w in missing if w not in older]
+            for w, ids in zip(fresh, self.encode(fresh) if fresh else [], strict=True):
                 known[w] = np.asarray(ids, np.uint32).tobytes()
         return [known[w] for w in words]
 
