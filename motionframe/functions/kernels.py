@@ -11,8 +11,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+#: Bytes of frames that are handed over at once.
+MOST = 1 << 20
 #: Weights of red, green and blue in luma.
 LUMA = (0.299, 0.587, 0.114)
 
@@ -29,7 +32,7 @@ def framed(pixels, height: int | None, width: int | None, channels: int | None)
 def grayscale(frame: np.ndarray) -> np.ndarray:
     """Luma in all three channels; halves round up."""
     luma = np.floor(frame[..., :3].astype(np.float64) @ np.array(LUMA) + 0.5).clip(0, 255).astype(np.uint8)
-    return np.repeat(luma[..., None], 3, axis=2)
+    return np.repeat(luma[..., None], 3, axis=-1)
 
 
 def flip(frame: np.ndarray) -> np.ndarray:
@@ -96,10 +99,10 @@ def augmented(frame: np.ndarray, row: dict, ratio: float, rotate: Warp | None =
     return out if row["cutout_top"] is None else cutout(out, row["cutout_top"], row["cutout_left"], ratio)
 
 
-def resized(frame: np.ndarray, height: int, width: int) -> np.ndarray:
+def resized(frame: np.ndarray, height: int, width: int, axis_of_rows: int = 0) -> np.ndarray:
     """Bilinear, with the centres of pixels at halves and the edge repeated; in double precision, so libraries of fixed-point weights may differ by 1."""
     out = frame.astype(np.float64)
-    for axis, size in ((0, height), (1, width)):
+    for axis, size in ((axis_of_rows, height), (axis_of_rows + 1, width)):
         have = out.shape[axis]
         at = ((np.arange(size) + 0.5) * have / size - 0.5).clip(0, have - 1)
         low = np.floor(at).astype(int)
@@ -207,27 +210,43 @@ def augmented_frames(frames: DataFrame, order: str = "offline", ratio: float = 0
     """frames(height, width, channels, pixels and PARAMETERS, null ones or none at all) after the kernels of their parameters.
 
     Frames of a clip carry the same parameters, so all have the same draws.
-    A row's plan is compiled once and kept while rows have its parameters.  A
-    null frame, or one whose bytes don't fit its shape, is null.
+    Rows are handled MOST bytes of pixels at a time, one row at least.  A null
+    frame, or one whose bytes don't fit its shape, is null.
     """
+    from . import stacks
+
     names, there = frames.columns, [p for p in PARAMETERS if p in frames.columns]
     if order not in ORDERS:
         raise ValueError(f"no order {order}")
 
+    def made(pixels: pa.Array, shapes: list[tuple], rows: list[tuple]) -> list[tuple]:
+        """(pixels, height, width, channels) of each row; frames of one shape are stacked."""
+        framed_ = [framed(v, *shape) for v, shape in zip(pixels, shapes, strict=True)]
+        out: list[tuple] = [(None,) * 4] * len(rows)
+        for shape, which in stacks.by([None if f is None else f.shape for f in framed_]).items():
+            if shape is None:
+                continue
+            together = max(1, stacks.STACK // (shape[0] * shape[1] * 3))
+            for at in range(0, len(which), together):
+                part = which[at : at + together]
+                new = stacks.augmented(np.stack([framed_[k] for k in part]), [rows[k] for k in part], order, ratio)
+                for k, frame in zip(part, new, strict=True):
+                    out[k] = (frame.tobytes(), *frame.shape)
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, plan = None, []
         for batch in batches:
-            for k in range(batch.num_rows):
-                one = batch.slice(k, 1)
-                row = tuple(one.column(p)[0].as_py() if p in there else None for p in PARAMETERS)
-                if row != last:
-                    last, plan = row, compiled(row, order, ratio)
-                frame = framed(one.column("pixels")[0], *(one.column(n)[0].as_py() for n in ("height", "width", "channels")))
-                for step in plan if frame is not None else ():
-                    frame = step(frame)
-                new = [None] * 4 if frame is None else [np.ascontiguousarray(frame).tobytes(), *frame.shape]
-                made = {n: pa.array([v], one.schema.field(n).type) for n, v in zip(("pixels", "height", "width", "channels"), new, strict=True)}
-                yield pa.RecordBatch.from_arrays([made.get(n, one.column(n)) for n in names], schema=one.schema)
+            size = np.asarray(pc.fill_null(pc.binary_length(batch.column("pixels")), 0).to_numpy(zero_copy_only=False), np.int64)
+            before, at = np.append(0, np.cumsum(size)), 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(before, before[at] + MOST, "right")) - 1)
+                one = batch.slice(at, to - at)
+                rows = list(zip(*(one.column(p).to_pylist() if p in there else [None] * one.num_rows for p in PARAMETERS), strict=True))
+                shapes = list(zip(*(one.column(n).to_pylist() for n in ("height", "width", "channels")), strict=True))
+                new = zip(*made(one.column("pixels"), shapes, rows), strict=True)
+                arrays = {n: pa.array(v, one.schema.field(n).type) for n, v in zip(("pixels", "height", "width", "channels"), new, strict=True)}
+                yield pa.RecordBatch.from_arrays([arrays.get(n, one.column(n)) for n in names], schema=one.schema)
+                at = to
 
     return frames.mapInArrow(run, frames.schema)
 
