@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
@@ -16,6 +16,10 @@ from ..functions.kernels import framed, padded_crop, resized
 FRAME = ("video_id", "frame_idx")
 #: Bytes of crops that are handed over at once.
 MOST = 1 << 23
+#: What a crop's row takes in Python beside its bytes, or a little more.
+BESIDE = 1 << 10
+#: Regions of a frame that are a row.
+TOGETHER = 256
 
 
 def square_crop(frame: np.ndarray, x1: int, y1: int, x2: int, y2: int, size: int) -> np.ndarray:
@@ -35,14 +39,17 @@ def cropped(frames: DataFrame, regions: DataFrame, side: int | None = 224, valid
     column).  Crops are brought to side x side, or left as they are if it is None.
     A frame whose bytes don't fit its shape, and a region of no size, have crops of null.
 
-    The regions of a frame, as many as it has tracks, are one row, and meet the
-    frame once: its pixels cross one exchange, whatever the number of tracks,
-    and aren't sorted, for the regions of a partition are the side that is hashed.
+    The regions of a frame are rows of TOGETHER, so that no row grows with the
+    number of its tracks, and meet the frame in one exchange: its pixels cross it
+    once, whatever the number of tracks, and aren't sorted, for the regions of a
+    partition are the side that is hashed.  A worker gets them once a row.
     """
     if valid is None:
         valid = F.col("crop_valid") if "crop_valid" in regions.columns else F.lit(True)
     one = F.struct("track_id", "det_seq", "roi_size", "x1", "y1", "x2", "y2")
-    boxes = regions.where(valid).groupBy(*FRAME).agg(F.sort_array(F.collect_list(one)).alias("boxes"))
+    place = F.row_number().over(Window.partitionBy(*FRAME).orderBy("track_id", "det_seq")) - 1
+    few = regions.where(valid).withColumn("_row", F.floor(place / TOGETHER)).groupBy(*FRAME, "_row")
+    boxes = few.agg(F.sort_array(F.collect_list(one)).alias("boxes")).drop("_row")
     met = frames.select(*FRAME, "height", "width", "channels", "pixels").join(boxes.hint("shuffle_hash"), list(FRAME))
     kinds = regions.schema
     schema = StructType([*(f for f in met.schema if f.name in FRAME), kinds["track_id"], kinds["det_seq"], *(StructField(n, IntegerType()) for n in ("height", "width", "channels")), StructField("pixels", BinaryType())])
@@ -65,7 +72,7 @@ def cropped(frames: DataFrame, regions: DataFrame, side: int | None = 224, valid
                 where = tuple(row[n].as_py() for n in FRAME)
                 for box in row["boxes"].as_py():
                     rows.append((*where, box["track_id"], box["det_seq"], *made(frame, box)))
-                    held += len(rows[-1][-1] or b"")
+                    held += len(rows[-1][-1] or b"") + BESIDE
                     if held >= MOST:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
                         rows, held = [], 0
