@@ -78,10 +78,15 @@ def written(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread_join(rows: DataFrame, of_keys: DataFrame, on: list[str], by: list[str], how: str = "inner", salts: int = 8) -> DataFrame:
-    """rows joined with of_keys, which has a row a key at most; the rows of one key are dealt to tasks by a hash of the columns `by`."""
+def spread_join(rows: DataFrame, of_keys: DataFrame, on: list[str], by: list[str], how: str = "inner", salts: int = 8, few: bool = False) -> DataFrame:
+    """rows joined with of_keys, which has a row a key at most; the rows of one key are dealt to tasks by a hash of the columns `by`.
+
+    Unless of_keys are few, both are shuffled: Spark takes the compressed files of
+    a table that was written, and no salts, for the size of what the driver would broadcast.
+    """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
-    return salted.join(of_keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [*on, "_salt"], how).drop("_salt")
+    keys = of_keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(keys if few else keys.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def dropped(*tables: DataFrame) -> None:

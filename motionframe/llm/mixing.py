@@ -107,7 +107,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
             break
         # of each source only the bucket that its threshold lies in goes on
         mine = state.where("rows > 0").select("s", *([F.shiftright("p1", low).alias("at")] if of == "k" else ["p1", F.shiftright("p2", low).alias("at")]))
-        next_ = spread_join(inside, mine, ["s"], ["k", "k2"]).where(bucket == F.col("at")).where(F.lit(True) if of == "k" else F.col("k") == F.col("p1"))
+        next_ = spread_join(inside, mine, ["s"], ["k", "k2"], few=True).where(bucket == F.col("at")).where(F.lit(True) if of == "k" else F.col("k") == F.col("p1"))
         inside = written(next_.select("s", "size", "k", "k2"))
         used.append(inside)
     of, low = _upto(level)
@@ -116,6 +116,6 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     last = 2 * F.col("need") >= F.col("words")  # nearer with the document at the threshold than without
     taken_in = F.coalesce((here < edge) | ((here == edge) & last), F.lit(False))
     goals = state.select("s", "source_size", "target", "whole", "need", "words", "p1", "p2")
-    out = spread_join(base, goals, ["s"], ["k", "k2"], "left").withColumn("repeats", F.when(F.col("size") > 0, F.col("whole") + taken_in.cast("int")).otherwise(0))
+    out = spread_join(base, goals, ["s"], ["k", "k2"], "left", few=True).withColumn("repeats", F.when(F.col("size") > 0, F.col("whole") + taken_in.cast("int")).otherwise(0))
     dropped(*used)
     return out.select(F.col("held.doc_id").alias("doc_id"), "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"), *(named(c, "held") for c in kept))

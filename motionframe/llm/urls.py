@@ -8,7 +8,8 @@ tree.  Nodes whose smoothed share of good labels is too low are rejected; how
 low is too low is a parameter, or found on labels that the tree hasn't seen.
 
 Equal hosts and paths are one row with counts until the verdicts are known, and
-rules are a table that hosts and beginnings of paths are looked up in.
+rules are a table that hosts and beginnings of paths are looked up in.  Of what
+grows with pages, hosts or labels nothing is broadcast, as that passes through the driver.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ def ruled(urls: DataFrame, rules: DataFrame) -> DataFrame:
     tried = tried.where(F.length("path") >= F.col("l")).select("host", "path", "of", F.substr("path", F.lit(1), F.col("l")).alias("start"))
     fits = spread_join(tried, listed, ["of", "start"], ["host", "path"]).withColumn("rule", F.concat("of", "start"))
     best = fits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "_r.verdict"), F.struct(F.length("rule"), -F.col("_r.place"))).alias("_best"))
-    return urls.join(best, ["host", "path"], "left").withColumns({"rule": F.col("_best.rule"), "verdict": F.col("_best.verdict")}).drop("_best")
+    return urls.join(best.hint("merge"), ["host", "path"], "left").withColumns({"rule": F.col("_best.rule"), "verdict": F.col("_best.verdict")}).drop("_best")
 
 
 @dataclass(frozen=True)
@@ -158,7 +159,7 @@ def templates(urls: DataFrame, p: TreeParams) -> DataFrame:
         error = F.sqrt(rate * (1 - rate) * (1 / m + 1 / rest))
         z = F.abs(F.col("b") / m - (F.col("all_b") - F.col("b")) / rest) / F.nullif(error, F.lit(0.0))
         strong = child.where((F.col("n") >= p.min_support) & (F.col("m") >= p.min_labelled))
-        apart = merged(strong.join(whole, ["host", "node"]).where(z >= p.min_z), p)
+        apart = merged(strong.join(whole.hint("merge"), ["host", "node"]).where(z >= p.min_z), p)
         own = F.concat(F.lit("/"), F.when(F.col("_as").isNotNull(), F.col("_s")).otherwise(F.lit(WILD)))
         # written at each level, as the next one reads it more than once
         named = spread_join(now, apart, ["host", "node", "_s"], ["path"], "left").withColumns({"template": F.concat("template", own), "node": F.concat("node", F.lit("/"), F.coalesce("_as", F.lit(_ANY)))})
@@ -208,7 +209,7 @@ def _held(key: Column) -> Column:
 def _counted(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """(host, path, n, m, b, held_m, held_b): urls, and labels inside and outside the held-out third.  Repeated pages are counted before they meet their label."""
     bad = labels.where(F.col("bad").isin(0, 1) & F.col("key").isNotNull()).groupBy("key").agg(F.max("bad").cast("long").alias("bad"))
-    rows = pages.groupBy("key", "host", "path").agg(F.count("*").alias("n")).join(bad, "key", "left")
+    rows = pages.groupBy("key", "host", "path").agg(F.count("*").alias("n")).join(bad.hint("merge"), "key", "left")
     held, seen = F.coalesce(_held(F.col("key")), F.lit(False)), F.col("bad").isNotNull()
     total = lambda c, when: F.sum(F.when(when, c).otherwise(0))
     b = F.col("n") * F.col("bad")
