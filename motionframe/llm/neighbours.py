@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours by inner product: an NN-descent graph, searched greedily from many queries at once.
+"""Approximate nearest neighbours by inner product: NN-descent graphs of shards, searched greedily from many queries at once.
 
 Equal vectors are one node.  The graph is by distance after the vectors were made
 equally long by one more component, so that nearness by inner product is nearness
@@ -9,7 +9,12 @@ a node's share of them is bounded by the parameters, whatever the number of node
 Vectors travel as 8-bit steps from the centre of their block; results are scored
 from the original ones.
 
-The graph starts from small leaves of random projection trees.  In each round
+A shard is a bounded share of the nodes, drawn by a hash, with a graph of its own, so
+that the graph is as good among many nodes as among few, and a search meets a
+shard's vectors and lists in one task.  Every query is searched in every shard, and the
+nearest of all are merged: searching grows with queries times shards.
+
+A graph starts from leaves of random projection trees, in which all are compared.  In each round
 every node tells those that it lists, vectors go to where they are neighbours, and a
 node's neighbours, on either side, are joined with each other; what is nearer than
 what they have is offered to them.
@@ -34,18 +39,22 @@ from .words import U, mix
 class Params:
     degree: int = 32  # neighbours of a node
     reverse: int = 32  # nodes that have it as neighbour, in a round and in the search
+    shard: int = 65536  # nodes of a shard, about
     block: int = 1024  # nodes of a block
-    leaf: int = 64  # nodes of a leaf, among which the graph starts
+    cell: int = 8192  # nodes of a cell, which is cut into leaves
+    leaf: int = 8192  # nodes of a leaf, among which the graph starts
     dealings: int = 4  # of nodes to leaves
     sample: int = 2048  # vectors that the driver draws planes from
     rounds: int = 8
     stop: float = 0.02  # ends the rounds when fewer of all neighbours are new
     offers: int = 8  # that a block makes to a node in a round
-    entries: int = 64  # nodes that every query starts from, and as many of the longest
-    beam: int = 256
+    entries: int = 2048  # nodes of a shard that a query's search may start from,
+    longest: int = 64  # and so many of the longest
+    beam: int = 256  # half of it, if there are several shards
     expand: int = 48  # nodes of a query that are expanded in a round
     search_rounds: int = 10
-    query_block: int = 256
+    query_block: int = 4096  # queries of a part at most,
+    parts: int = 12  # which are so many at least, if that leaves 256 in each
     apart: int = 256  # at most so many vectors are scored beside the graph,
     longer: float = 1e6  # those so many times longer than the longest in it
 
@@ -55,7 +64,7 @@ BITS = 20
 INDEX = (1 << BITS) - 1
 
 # what a row of MESSAGE is
-STATE, REQUEST, REVERSE, OFFER, ASK, LIST, WANT, VECTORS = range(8)
+STATE, REQUEST, REVERSE, OFFER, VECTORS = range(5)
 MESSAGE = "dest bigint, kind int, codes binary, nodes array<bigint>, scales array<float>, centre array<float>, bounds array<float>, ends array<int>, links array<bigint>, sims array<float>, fresh array<boolean>"
 ARRAYS = {"nodes": pa.int64(), "scales": pa.float32(), "centre": pa.float32(), "bounds": pa.float32(), "ends": pa.int32(), "links": pa.int64(), "sims": pa.float32(), "fresh": pa.bool_()}
 
@@ -104,6 +113,8 @@ def norms(x: np.ndarray) -> np.ndarray:
 
 def nearness(dots: np.ndarray, a: np.ndarray, b: np.ndarray, top: float) -> np.ndarray:
     """Minus half the squared distance of vectors whose squared lengths a and b were made up to top; written so that long vectors don't drown short ones."""
+    if min(a.min(initial=top), b.min(initial=top)) >= top * (1 - 1e-7):  # equally long to float32's last place, as normalised vectors are
+        return np.minimum(dots - np.float32(top), 0).astype(np.float32, copy=False)
     return np.minimum(dots - (top * (a + b) - a * b) / (top + np.sqrt(np.maximum(top - a, 0) * np.maximum(top - b, 0))), 0).astype(np.float32)
 
 
@@ -113,13 +124,18 @@ def usable(c: Column) -> Column:
     return c.isNotNull() & (F.size(c) > 0) & ~bad & F.exists(c, lambda x: x != 0)
 
 
+def planes_for(n: int, most: int) -> int:
+    """How many planes cut n vectors into cells of about `most`."""
+    return max(0, math.ceil(math.log2(max(n, 1) / most)))
+
+
 def dealt(vectors: DataFrame, sample: np.ndarray, n: int, most: int, seed: int) -> DataFrame:
-    """vectors with the column p: cells of like vectors, cut by random planes, in parts of about `most` rows at most.
+    """vectors(g, ...) with the column p: cells of like vectors of a shard g, of about n, cut by random planes, in parts of about `most` rows at most.
 
     A plane lies between two vectors of the sample, in its middle.  A cell that
     is too full for all that, as of vectors that hardly differ, is dealt by a hash.
     """
-    bits = max(0, math.ceil(math.log2(max(n, 1) / most)))
+    bits = planes_for(n, most)
     rng = np.random.default_rng(seed)
     at = rng.integers(0, max(len(sample), 1), (2, bits))
     planes = (sample[at[0]] - sample[at[1]]).astype(np.float32) if len(sample) else np.zeros((0, 1), np.float32)
@@ -131,7 +147,8 @@ def dealt(vectors: DataFrame, sample: np.ndarray, n: int, most: int, seed: int)
         for batch in batches:
             x = batch.column(batch.schema.get_field_index("vec")).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
             cell = ((x @ planes.T > middle) << np.arange(bits)).sum(1) if bits else np.zeros(batch.num_rows, np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int64))], [*batch.schema.names, "p"])
+            cell = cell.astype(np.int64) | batch.column("g").to_numpy().astype(np.int64) << bits
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], [*batch.schema.names, "p"])
 
     celled = vectors.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema) + ", p bigint")
     full = celled.groupBy("p").agg(F.ceil(F.count("*") / most).alias("_parts"))
@@ -198,11 +215,13 @@ def started(vectors: DataFrame, p: Params, top: float, seed: int) -> DataFrame:
                 half = np.argpartition(x[at] @ (a - b), len(at) // 2)
                 stack += [at[half[: len(at) // 2]], at[half[len(at) // 2 :]]]
                 continue
-            s = nearness(x[at] @ x[at].T, length[at][:, None], length[at], top)
-            np.fill_diagonal(s, -np.inf)
             most = min(p.degree, len(at) - 1)
-            near = np.argpartition(-s, max(most - 1, 0), axis=1)[:, :most]
-            found.append((np.repeat(ids[at], most), ids[at][near].ravel(), np.take_along_axis(s, near, 1).ravel()))
+            for a in range(0, len(at), 256):  # all of a leaf with all of it, in strips that stay small
+                mine = at[a : a + 256]
+                s = nearness(x[mine] @ x[at].T, length[mine][:, None], length[at], top)
+                s[np.arange(len(mine)), np.arange(a, a + len(mine))] = -np.inf
+                near = np.argpartition(s, min(len(at) - most, len(at) - 1), axis=1)[:, len(at) - most :]
+                found.append((np.repeat(ids[mine], most), ids[at][near].ravel(), np.take_along_axis(s, near, 1).ravel()))
         u, v, s = (np.concatenate(c) for c in zip(*found, strict=True))
         return told(offered(u, v, s))
 
@@ -333,7 +352,7 @@ def offers(state: DataFrame, answered: DataFrame, p: Params, top: float) -> Data
 
 
 def build(vectors: DataFrame, sample: np.ndarray, n: int, top: float, p: Params) -> DataFrame:
-    """The neighbour graph of the n vectors(p, node, id, vec), as STATE rows."""
+    """The neighbour graphs of the shards g of vectors(g, p, node, id, vec), of about n each, as STATE rows."""
 
     def next_of(old: DataFrame, new: DataFrame) -> DataFrame:
         out = written(new)
@@ -342,7 +361,7 @@ def build(vectors: DataFrame, sample: np.ndarray, n: int, top: float, p: Params)
 
     state = written(packed(vectors, p))
     for seed in range(1, p.dealings + 1):
-        cells = dealt(vectors.drop("p"), sample, n, p.block, seed)
+        cells = dealt(vectors.drop("p"), sample, n, p.cell, seed)
         state = next_of(state, merged(state, started(cells, p, top, seed), p))
     state = next_of(state, state.withColumn("fresh", F.transform("links", lambda x: x >= 0)))
     for seed in range(p.rounds):
@@ -354,11 +373,12 @@ def build(vectors: DataFrame, sample: np.ndarray, n: int, top: float, p: Params)
 
 
 def lists(state: DataFrame, p: Params) -> DataFrame:
-    """A STATE row for each block, with the neighbours of each node on either side in links, and their numbers in ends."""
+    """A STATE row for each block, of its vectors, with the neighbours of each node on either side in links, and their numbers in ends."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         rows = heard(table)
-        links, _, _ = opened(of_kind(rows, STATE)[0], p.degree)
+        own = of_kind(rows, STATE)[0]
+        links, _, _ = opened(own, p.degree)
         to, who, _ = thinned(of_kind(rows, REQUEST), p.reverse, 0)
         u, v = np.append(np.repeat(np.arange(len(links)), p.degree), to), np.append(links.ravel(), who)
         order = np.lexsort((v, u))
@@ -366,122 +386,74 @@ def lists(state: DataFrame, p: Params) -> DataFrame:
         once = np.ones(len(order), bool)
         once[1:] = (u[order][1:] != u[order][:-1]) | (v[order][1:] != v[order][:-1])
         order = order[once]
-        return told([{"dest": key[0].as_py(), "kind": STATE, "links": v[order], "ends": np.bincount(u[order], minlength=len(links)).astype(np.int32)}])
+        return told([{c: own[c] for c in ("dest", "kind", "codes", "scales", "centre")} | {"links": v[order], "ends": np.bincount(u[order], minlength=len(links)).astype(np.int32)}])
 
     return state.unionByName(requests(state, p)).groupBy("dest").applyInArrow(run, MESSAGE)
 
 
-QUERY = "b bigint, id bigint, own bigint, vec array<float>, cand array<bigint>, sims array<float>, done array<boolean>"
-
-
-def asks(queries: DataFrame, p: Params, entries: np.ndarray | None) -> DataFrame:
-    """ASK rows for the nodes that each block of queries expands next.  With entries, these are their own nodes, and the entries are LIST and WANT rows."""
-
-    def run(key: tuple, part: pa.Table) -> pa.Table:
-        b, out = key[0].as_py(), []
-        if entries is None:
-            nodes = [np.array(c.as_py(), np.int64)[~np.array(d.as_py(), bool)][: p.expand] for c, d in zip(part["cand"], part["done"], strict=True)]
-            nodes = np.unique(np.concatenate(nodes))
-        else:
-            nodes = np.unique(np.array([x for x in part["own"].to_pylist() if x is not None], np.int64))
-            out.append({"dest": b, "kind": LIST, "nodes": np.array([-1]), "ends": np.array([len(entries)], np.int32), "links": entries})
-            out += [{"dest": to, "kind": WANT, "nodes": entries[k], "links": np.array([b])} for to, k in parts(entries >> BITS)]
-        return told(out + [{"dest": to, "kind": ASK, "nodes": nodes[k], "links": np.array([b])} for to, k in parts(nodes >> BITS)])
-
-    return queries.groupBy("b").applyInArrow(run, MESSAGE)
-
-
-def tells(near: DataFrame, asked: DataFrame) -> DataFrame:
-    """LIST rows, of the neighbours of the nodes asked for, and WANT rows to the neighbours' blocks."""
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        rows = heard(table)
-        out = [r for r in rows if r["kind"] in (LIST, WANT)]
-        asked = of_kind(rows, ASK)
-        if asked:
-            own = of_kind(rows, STATE)[0]
-            ends = np.append(0, np.cumsum(own["ends"]))
-        for r in asked:
-            at = r["nodes"] & INDEX
-            flat = np.concatenate([own["links"][ends[k] : ends[k + 1]] for k in at.tolist()])
-            out.append({"dest": int(r["links"][0]), "kind": LIST, "nodes": r["nodes"], "ends": own["ends"][at], "links": flat})
-            flat = np.unique(flat)
-            out += [{"dest": to, "kind": WANT, "nodes": flat[k], "links": r["links"]} for to, k in parts(flat >> BITS)]
-        return told(out)
-
-    return near.unionByName(asked).groupBy("dest").applyInArrow(run, MESSAGE)
+FOUND = "id bigint, node bigint, sim float"
 
 
-def sent(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
-    """VECTORS rows: what each block of queries wants, each vector once."""
+def search(queries: DataFrame, state: DataFrame, shards: int, bits: int, parts: int, most: int, p: Params) -> DataFrame:
+    """FOUND rows: of each of queries(id, own, vec) and each shard the `most` nearest nodes that a greedy search of the shard's graph ends with.
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        rows = heard(table)
-        wanted, out = of_kind(rows, WANT), []
-        if wanted:
-            own = of_kind(rows, STATE)[0]
-            for b, k in parts(np.array([int(r["links"][0]) for r in wanted])):
-                nodes = np.unique(np.concatenate([wanted[i]["nodes"] for i in k.tolist()]))
-                out.append({"dest": b, "kind": VECTORS, "nodes": nodes, **some(own, nodes & INDEX)})
-        return told(out)
-
-    return blocks.unionByName(wanted).groupBy("dest").applyInArrow(run, MESSAGE)
-
-
-def stepped(queries: DataFrame, got: DataFrame, p: Params, first: bool) -> DataFrame:
-    """QUERY rows after what the LIST rows name was scored by the VECTORS rows."""
+    own is the query's own node, or null.  Each of the `parts` of the queries meets
+    each shard once.  A search starts from the nearest of the shard's entries; a
+    round expands the query's `expand` nearest nodes that it hasn't expanded,
+    until none of the beam is left or search_rounds are over.  The graph's table is deleted.
+    """
+    near = written(lists(state, p))
+    dropped(state)
+    beam = p.beam if shards == 1 else max(p.beam // 2, most)
 
     def run(key: tuple, mine: pa.Table, table: pa.Table) -> pa.Table:
-        rows = heard(table)
-        known = of_kind(rows, VECTORS)
-        ids, at = np.unique(joined(known, "nodes", np.int64), return_index=True)
-        if known:
-            codes, scales = np.concatenate([codes_of(r) for r in known])[at], joined(known, "scales", np.float32)[at]
-            centres, block = np.stack([r["centre"] for r in known]), np.repeat(np.arange(len(known)), [len(r["nodes"]) for r in known])[at]
-        of: dict[int, np.ndarray] = {}
-        for r in of_kind(rows, LIST):
-            ends = np.cumsum(r["ends"])
-            of |= dict(zip(r["nodes"].tolist(), np.split(np.searchsorted(ids, r["links"]), ends[:-1]), strict=True))
+        rows = sorted(heard(table), key=lambda r: r["dest"])
+        if not rows or not mine.num_rows:
+            return pa.table({"id": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "sim": pa.array([], pa.float32())})
+        ids = np.concatenate([r["dest"] << BITS | np.arange(len(r["scales"])) for r in rows])
+        x, ends, n = np.concatenate([decoded(r) for r in rows]), joined(rows, "ends", np.int64), len(ids)
+        # a row of neighbours for each node, filled up with the place n, which counts as seen
+        beside = np.full((n, max(ends.max(), 1)), n, np.int32)
+        beside[np.arange(beside.shape[1]) < ends[:, None]] = np.searchsorted(ids, joined(rows, "links", np.int64))
+        drawn = np.random.default_rng(key[0].as_py()).permutation(n)[: p.entries]
+        entries = np.union1d(drawn, np.argsort(-norms(x), kind="stable")[: p.longest])
+        vec = mine["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(mine.num_rows, -1)
+        own = np.array([-1 if o is None else o for o in mine["own"].to_pylist()])
+        at = np.minimum(np.searchsorted(ids, own), n - 1)
+        at = np.where(ids[at] == own, at, -1)
         out = []
-        for vec, cand, sims, done, own in zip(mine["vec"], mine["cand"], mine["sims"], mine["done"], mine["own"].to_pylist(), strict=True):
-            vec, cand, sims, done = (c.values.to_numpy(zero_copy_only=False) for c in (vec, cand, sims, done))
-            done = done.copy()
-            go = np.flatnonzero(~done)[: p.expand]
-            done[go] = True
-            lists = [of[k] for k in (cand[go].tolist() if not first else [-1, own]) if k in of]
-            new = np.unique(np.concatenate(lists)) if lists else np.zeros(0, int)
-            new = new[~np.isin(ids[new], cand)] if len(new) else new
-            if len(new):
-                cand, sims, done = np.append(cand, ids[new]), np.append(sims, codes[new].astype(np.float32) @ vec * scales[new] + (centres @ vec)[block[new]]), np.append(done, np.zeros(len(new), bool))
-            keep = np.lexsort((cand, -sims))[: p.beam]
-            out.append((cand[keep], sims[keep], done[keep]))
-        columns = {c: pa.array([r[k] for r in out], pa.list_(kind)) for k, (c, kind) in enumerate({"cand": pa.int64(), "sims": pa.float32(), "done": pa.bool_()}.items())}
-        return pa.table({"b": mine["b"], "id": mine["id"], "own": mine["own"], "vec": mine["vec"], **columns})
-
-    return queries.groupBy("b").cogroup(got.groupBy("dest")).applyInArrow(run, QUERY)
-
-
-def search(queries: DataFrame, state: DataFrame, entries: np.ndarray, p: Params) -> DataFrame:
-    """(id, cand, sims): the nodes that a greedy search of each of queries(b, id, own, vec) holds at its end, nearest first.
-
-    own is the query's own node, or null; b, below zero, names blocks of queries.
-    The graph's table is deleted.
-    A round expands each query's `expand` nearest nodes that it hasn't expanded,
-    until none is left or search_rounds are over.
-    """
-    near = written(lists(state, p))
-    blocks = state.withColumns({"links": F.lit(None).cast("array<bigint>"), "sims": F.lit(None).cast("array<float>"), "fresh": F.lit(None).cast("array<boolean>")})
-    none = {"cand": "array<bigint>", "sims": "array<float>", "done": "array<boolean>"}
-    now = written(queries.select("b", "id", "own", "vec", *(F.array().cast(kind).alias(c) for c, kind in none.items())))
-    for turn in range(p.search_rounds + 1):
-        got = written(tells(near, asks(now, p, entries if turn == 0 else None)))
-        back = sent(blocks, got.where(F.col("kind") == WANT)).unionByName(got.where(F.col("kind") == LIST))
-        before, now = now, written(stepped(now, back, p, turn == 0))
-        dropped(got, before)
-        if now.where(F.exists("done", lambda x: ~x)).isEmpty():
-            break
-    dropped(near, state)
-    return now.select("id", "cand", "sims")
+        for a in range(0, len(vec), 256):
+            first = vec[a : a + 256] @ x[entries].T
+            for q, o, s in zip(vec[a : a + 256], at[a : a + 256].tolist(), first, strict=True):
+                seen = np.zeros(n + 1, bool)
+                seen[entries] = seen[n] = True
+                cand, sims = entries, s
+                if o >= 0 and not seen[o]:
+                    seen[o], cand, sims = True, np.append(cand, o), np.append(sims, x[o] @ q)
+                done = np.zeros(len(cand), bool)
+                for turn in range(p.search_rounds + 1):
+                    keep = np.argpartition(-sims, beam)[:beam] if len(sims) > beam else np.arange(len(sims))
+                    keep = keep[np.lexsort((cand[keep], -sims[keep]))]
+                    cand, sims, done = cand[keep], sims[keep], done[keep]
+                    go = np.flatnonzero(~done)[: p.expand]
+                    if not len(go) or turn == p.search_rounds:
+                        break
+                    done[go] = True
+                    new = beside[cand[go]].ravel()
+                    new = np.unique(new[~seen[new]])
+                    seen[new] = True
+                    cand, sims, done = np.append(cand, new), np.append(sims, x[new] @ q), np.append(done, np.zeros(len(new), bool))
+                out.append((ids[cand[:most]], sims[:most]))
+        names = np.repeat(mine["id"].to_numpy(), [len(c) for c, _ in out])
+        return pa.table({"id": names, "node": np.concatenate([c for c, _ in out]), "sim": np.concatenate([c for _, c in out]).astype(np.float32)})
+
+    each = lambda name, n: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    asked = queries.select(each("g", shards), F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), "id", "own", "vec")
+    there = near.select(F.shiftright("dest", BITS + bits).cast("int").alias("g"), each("part", parts), *near.columns)
+    found = asked.groupBy("g", "part").cogroup(there.groupBy("g", "part")).applyInArrow(run, FOUND)
+    out = written(found)
+    dropped(near)
+    return out
 
 
 def beside(queries: DataFrame, ids: np.ndarray, x: np.ndarray, most: int) -> DataFrame:
@@ -534,29 +506,33 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 20, params: Params | N
     drawn = node.orderBy(F.xxhash64("raw"), "id").limit(p.sample).select("vec").toArrow()["vec"].combine_chunks()  # `sample` bounds it
     sample = drawn.flatten().to_numpy(zero_copy_only=False).reshape(len(drawn), -1)
     place = F.row_number().over(Window.partitionBy("p").orderBy(F.xxhash64("raw"), "id")) - 1
-    node = written(dealt(node, sample, n, p.block, 0).withColumn("node", F.col("p") * (1 << BITS) + place))
-    state = build(node.select("p", "node", "id", "vec"), sample, n, top, p)
-    by = [F.xxhash64("raw"), length.desc()]
-    entries = np.unique([r[0] for order in by for r in node.orderBy(order, "id").limit(p.entries).select("node").collect()])  # `entries` bounds it
+    shards = max(1, math.ceil(n / p.shard))
+    each = math.ceil(n / shards)
+    node = node.withColumn("g", F.pmod(F.xxhash64("raw"), F.lit(shards)).cast("int"))
+    node = written(dealt(node, sample, each, p.block, 0).withColumn("node", F.col("p") * (1 << BITS) + place))
+    state = build(node.select("g", "p", "node", "id", "vec"), sample, each, top, p)
     # a query's scale doesn't change its order
     own = asked.join(node.select("raw", F.col("node").alias("own")), "raw", "left").withColumn("query_id", F.col("id")).withColumn("id", F.monotonically_increasing_id())
     query = written(own.select("id", "query_id", "own", "raw", scaled(size)))
     count = query.count()
-    like = dealt(query.select("id", "own", "vec"), sample, count, p.query_block, 0)
-    hits = search(like.select((-1 - F.col("p")).alias("b"), "id", "own", "vec"), state, entries, p)
-    # vectors close to the last place may change places in double precision; the rest of the beam can't
-    near = hits.select("id", F.explode(F.slice("cand", 1, 4 * (k + 1))).alias("node"))
+    most = 4 * (k + 1)  # vectors close to the last place may change places in double precision; the rest of the beam can't
+    parts = max(1, math.ceil(count / p.query_block), min(p.parts, count // 256))
+    hits = search(query.select("id", "own", "vec"), state, shards, planes_for(each, p.block), parts, most, p)
+    if shards > 1:
+        nearest_of = Window.partitionBy("id").orderBy(F.desc("sim"), "node")
+        hits = hits.withColumn("_r", F.row_number().over(nearest_of)).where(F.col("_r") <= most)
+    near = hits.select("id", "node")
     node = node.select("raw", "node")
     if long:
         x = np.array([r["raw"] for r in long])
         names = -1 - np.arange(len(long))
-        near = near.unionByName(beside(query, names, x / np.abs(x).max(), 4 * (k + 1)))
+        near = near.unionByName(beside(query, names, x / np.abs(x).max(), most))
         named = asked.sparkSession.createDataFrame([(r["raw"], int(i)) for r, i in zip(long, names, strict=True)], "raw array<double>, node bigint")
         node = node.unionByName(named)
     dot = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     scored = near.join(query.select("id", "query_id", F.col("raw").alias("a")), "id").join(node.select("node", F.col("raw").alias("b")), "node").select("id", "query_id", "node", dot.alias("score"))
     best = Window.partitionBy("id").orderBy(F.desc("score"), "node")
-    scored = scored.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= 4 * (k + 1)).drop("_r")
+    scored = scored.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= most).drop("_r")
     # of a node's rows the k + 1 least ids are enough for every query
     least = Window.partitionBy("raw").orderBy("id")
     rows = base.select("raw", "id").distinct().withColumn("_r", F.row_number().over(least)).where(F.col("_r") <= k + 1)

@@ -123,3 +123,39 @@ def test_neighbours_beside_very_long_vectors(spark, ratio):
         assert len(mine) == 10 and all(abs(s - score[v]) <= 1e-9 * max(abs(score[v]), 1) for _, v, s in got[q])
         hits, total = hits + len(set(best) & set(mine)), total + 10
     assert hits >= 0.9 * total
+
+
+def test_neighbours_are_searched_in_one_job_however_many_rounds(spark, monkeypatch):
+    """Vectors don't travel to queries round by round, which grew with the vectors for every block of queries."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1200, 12))
+    x[100:130] = x[0]  # copies
+    base = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    tables, written = [], neighbours.written
+    monkeypatch.setattr(neighbours, "written", lambda df: tables.append(df) or written(df))
+    counts = []
+    for turns in (1, 6):
+        tables.clear()
+        p = neighbours.Params(degree=8, reverse=8, block=64, leaf=16, dealings=1, rounds=1, beam=64, expand=4, search_rounds=turns)
+        neighbours.nearest(base, base.where("vec_id % 20 = 0"), 5, p).count()
+        counts.append(len(tables))
+    assert counts[0] == counts[1]
+
+
+def test_neighbours_of_several_shards_are_merged(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1500, 12))
+    x[100:130] = x[0]  # copies are one node, of one shard
+    x[7] *= 40
+    base = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    p = neighbours.Params(degree=8, reverse=8, shard=250, block=64, cell=128, leaf=64, dealings=2, rounds=3, entries=16, longest=2, beam=64, expand=16)
+    got = {}
+    for r in neighbours.nearest(base, base.where("vec_id % 20 = 0"), 10, p).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    hits = 0
+    for q in range(0, 1500, 20):
+        score = x @ x[q]
+        best = sorted((i for i in range(1500) if i != q), key=lambda i: (-score[i], i))[:10]
+        assert len(got[q]) == 10 and got[q] == sorted(got[q], key=lambda r: (-r[1], r[0])) and all(abs(s - score[i]) < 1e-9 for i, s in got[q])
+        hits += len(set(best) & {i for i, _ in got[q]})
+    assert hits >= 0.95 * 10 * len(got) and len(got) == 75
